@@ -27,7 +27,7 @@ CAPACITY = 1024
 END_ID = 2
 PIECES_PER_TASK = 65_536
 
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: From the second white-space character on: there the published pattern's lookahead always breaks the text.
 _BREAK = re.compile(f"[{_SPACE}](?=[{_SPACE}][^{_SPACE}])")
 
