@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, toxicity
+from . import language, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -25,5 +25,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity)}
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.classify(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id)}
 ORACLES: dict[str, str] = {}
