@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, packing, quality, toxicity
+from . import language, lines, packing, quality, rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -29,5 +29,40 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.classify(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id)}
-ORACLES: dict[str, str] = {}
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rules.judge(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return docs.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicate(_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id, op2_quality_rules, op6_line_dedup)}
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": r"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+w as (select doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from d),
+win as (select doc_id, i, list_slice(words, i, i + 4) as g from (select doc_id, words, unnest(range(1, len(words) - 3)) as i from w)),
+again as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as n from win) where n > 1),
+covered as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + 5)) as p from again) group by doc_id),
+s as (
+  select w.doc_id, w.text, cast(len(words) as bigint) as n_words, cast(length(list_aggregate(list_concat(words, ['']), 'string_agg', '')) as bigint) as word_chars,
+    cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, cast(coalesce(covered.n, 0) as bigint) as n_repeat_words
+  from w left join covered using (doc_id)),
+b as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed, len(regexp_extract_all(text, '\p{L}')) as letters, len(regexp_extract_all(text, '\p{Lu}')) as capitals from s)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or 100 * n_symbols > 25 * n_words or word_chars < 2 * n_words or word_chars > 40 * n_words or 100 * n_dup_lines > 30 * len(string_split(text, chr(10)))
+    or 100 * (length(text) - length(replace(text, '!', ''))) > 30 * n_words or 100 * capitals > 50 * letters or 100 * letters < 50 * word_chars) as kept
+from b""",
+    "op6_line_dedup": r"""
+with l as (
+  select doc_id, coalesce(source, '') as site, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as pos from documents where text is not null),
+b as (select doc_id, site, line, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from l),
+spread as (select bare from b where length(bare) >= 20 group by bare having count(distinct site) >= 10),
+r as (select b.*, spread.bare is not null as hit, row_number() over (partition by b.bare order by doc_id, pos) as k from b left join spread on b.bare = spread.bare),
+j as (
+  select doc_id, string_agg(line, chr(10) order by pos) filter (where not hit or k = 1) as text, count(*) as n_lines, count(*) filter (where hit and k > 1) as n_removed from r group by doc_id)
+select d.doc_id, case when d.text is null then null else coalesce(j.text, '') end as text, d.source, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed
+from documents d left join j using (doc_id)""",
+}
