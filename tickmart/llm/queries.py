@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, lines, packing, quality, rules, toxicity
+from . import language, lines, ngram_join, packing, quality, rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -38,7 +38,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.deduplicate(_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id, op2_quality_rules, op6_line_dedup)}
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.cluster(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id, op2_quality_rules, op6_line_dedup, op9_ngram_jaccard_join)}
 ORACLES: dict[str, str] = {
     "op2_quality_rules": r"""
 with d as (select doc_id, coalesce(text, '') as text from documents),
