@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, lines, ngram_join, packing, quality, rules, toxicity
+from . import ann, language, lines, ngram_join, packing, quality, rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -42,7 +42,12 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.cluster(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id, op2_quality_rules, op6_line_dedup, op9_ngram_jaccard_join)}
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id, op2_quality_rules, op6_line_dedup, op9_ngram_jaccard_join, op7_nearest_neighbours)}
 ORACLES: dict[str, str] = {
     "op2_quality_rules": r"""
 with d as (select doc_id, coalesce(text, '') as text from documents),
