@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, language, lines, ngram_join, packing, quality, rules, toxicity
+from . import ann, language, lines, ngram_join, packing, quality, rules, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -47,7 +47,11 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id, op2_quality_rules, op6_line_dedup, op9_ngram_jaccard_join, op7_nearest_neighbours)}
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id, op2_quality_rules, op6_line_dedup, op9_ngram_jaccard_join, op7_nearest_neighbours, op3_warc)}
 ORACLES: dict[str, str] = {
     "op2_quality_rules": r"""
 with d as (select doc_id, coalesce(text, '') as text from documents),
@@ -64,6 +68,13 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not (base_failed or 100 * n_symbols > 25 * n_words or word_chars < 2 * n_words or word_chars > 40 * n_words or 100 * n_dup_lines > 30 * len(string_split(text, chr(10)))
     or 100 * (length(text) - length(replace(text, '!', ''))) > 30 * n_words or 100 * capitals > 50 * letters or 100 * letters < 50 * word_chars) as kept
 from b""",
+    "op3_warc": """
+with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes from pages),
+m as (select *, max(page_id) over (partition by html) as first_id from p)
+select page_id, payload_bytes, sha1(html) as payload_digest,
+  case when payload_bytes >= 1000 and page_id < first_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id < first_id then first_id end as refers_to
+from m""",
     "op6_line_dedup": r"""
 with l as (
   select doc_id, coalesce(source, '') as site, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as pos from documents where text is not null),
