@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, language, lines, ngram_join, packing, quality, rules, toxicity, warc
+from . import ann, language, lines, ngram_join, packing, pieces, quality, rules, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -51,7 +51,25 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_quality_classifier, op8_toxicity, op4_language_id, op2_quality_rules, op6_line_dedup, op9_ngram_jaccard_join, op7_nearest_neighbours, op3_warc)}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_quality_rules,
+        op3_warc,
+        op4_language_id,
+        op5_quality_classifier,
+        op6_line_dedup,
+        op7_nearest_neighbours,
+        op8_toxicity,
+        op9_ngram_jaccard_join,
+        op10_sentencepiece,
+    )
+}
 ORACLES: dict[str, str] = {
     "op2_quality_rules": r"""
 with d as (select doc_id, coalesce(text, '') as text from documents),
