@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 from .scratch import folder
 
 MIN_REVISIT_BYTES = 1000
-#: About so many payload bytes go in one archive.
-ARCHIVE_BYTES = 32 << 20
+#: The most records in one archive. A task writes its own archives, so their bytes follow the size of shuffle partitions.
+ARCHIVE_RECORDS = 20_000
 _SALTS = 16
 _MEMBER = b"\x1f\x8b\x08"
 _VERSION = b"WARC/1."
 _END = b"\r\n\r\n"
+#: A member is read in steps of so many bytes: what is past its end is copied at most once.
+_STEP = 16_384
 
 RECORD = "path string, start long, end long, record_type string, record_id string, refers_to string, target_uri string, payload_digest string, payload_bytes long, payload binary"
 GAP = "path string, start long, end long, reason string"
@@ -64,33 +66,34 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     return "\r\n".join(lines).encode() + _END + body + _END
 
 
-def write(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> None:
+def write(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, archive_records: int = ARCHIVE_RECORDS) -> None:
     """Archives of gzip members below path, one record for each row of pages (page_id, url, html); null html is empty."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    total = rows.agg(F.sum(F.octet_length("payload").cast("long"))).first()[0] or 0
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for row in b.to_pylist():
-                pack = zlib.compressobj(6, zlib.DEFLATED, 31)
+                pack = zlib.compressobj(5, zlib.DEFLATED, 31)
                 out.append(pack.compress(record_bytes(row["page_id"], row["url"], row["payload"], row["digest"], row["record_type"], row["refers_to"])) + pack.flush())
             yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
 
     packed = with_revisits(rows, min_bytes).mapInArrow(members, "value binary")
-    packed.select(F.col("value").cast("string")).repartition(max(1, -(-total // archive_bytes))).write.option("lineSep", "\0").text(path)
+    packed.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", archive_records).text(path)
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int] | None:
     """What the gzip member at this place holds, and its end; None if it is damaged. zlib checks CRC and length."""
     if data[at : at + 3] != _MEMBER:
         return None
-    unpack = zlib.decompressobj(31)
+    unpack, out, view = zlib.decompressobj(31), [], memoryview(data)
     try:
-        out = unpack.decompress(memoryview(data)[at:])
+        while not unpack.eof and at < len(data):
+            out.append(unpack.decompress(view[at : at + _STEP]))
+            at = min(at + _STEP, len(data))
     except zlib.error:
         return None
-    return (out, len(data) - len(unpack.unused_data)) if unpack.eof else None
+    return (b"".join(out), at - len(unpack.unused_data)) if unpack.eof else None
 
 
 def _parse(data: bytes, at: int) -> tuple[dict, int] | str:
@@ -177,8 +180,11 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
         yield "gap", lost, len(data), why
 
 
-def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(records, gaps) of all archives below path, with the columns of RECORD and GAP. Each archive is one task's input."""
+def read(spark: SparkSession, path: str, with_payload: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(records, gaps) of all archives below path, with the columns of RECORD and GAP. Each archive is one task's input.
+
+    Without with_payload, payloads are checked all the same, but null in the result.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +194,8 @@ def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
                 size = 0
                 for kind, start, end, what in salvage(content.as_py()):
                     if kind == "record":
-                        rows.append({"path": name.as_py(), "start": start, "end": end, **what})
-                        size += len(what["payload"])
+                        rows.append({"path": name.as_py(), "start": start, "end": end, **what, **({} if with_payload else {"payload": None})})
+                        size += len(what["payload"]) if with_payload else 0
                     if size > 4 << 20 or len(rows) > 5000:
                         yield pa.RecordBatch.from_pylist(rows, _schema(RECORD))
                         rows, size = [], 0
@@ -216,5 +222,5 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark, path = pages.sparkSession, folder(pages.sparkSession)
     write(pages, path)
     number = lambda c: F.nullif(F.regexp_extract(F.col(c), r"^<urn:page:(-?\d*)>$", 1), F.lit("")).cast("long")
-    records, _ = read(spark, path)
+    records, _ = read(spark, path, with_payload=False)
     return records.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
