@@ -172,4 +172,7 @@ def with_tables(sql: str) -> str:
     if not needed:
         return sql
     own = ", ".join(f"{n} as ({TABLES[n]})" for n in needed)
-    return f"with {own}, {sql.strip()[5:]}" if sql.strip().lower().startswith("with ") else f"with {own}\n{sql.strip()}"
+    sql = sql.strip()
+    if sql.startswith("with recursive "):
+        return f"with recursive {own}, {sql[15:]}"
+    return f"with {own}, {sql[5:]}" if sql.startswith("with ") else f"with {own}\n{sql}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession) -> str:
@@ -16,3 +16,10 @@ def scratch_path(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tickmart-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows from a table in that folder, so that later steps start from it and not from df's plan."""
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
