@@ -17,7 +17,10 @@ from .models import METRICS, regression_metrics
 
 PAIR = ("exchange_id", "symbol")
 Forecaster = Callable[[Column, int], Column]
-_BY_TIME = W.partitionBy(*PAIR).orderBy("bucket_epoch_s")
+
+
+def _by_time() -> W:
+    return W.partitionBy(*PAIR).orderBy("bucket_epoch_s")
 
 
 @dataclass(frozen=True)
@@ -48,7 +51,7 @@ def ema(n: int = 10) -> Forecaster:
 def _contexts(series: DataFrame, config: Config) -> DataFrame:
     """series with row (from 1), rows, context (the prices up to and with the row) and ahead (those after it)."""
     return series.select(
-        "*", F.row_number().over(_BY_TIME).alias("row"), F.count("*").over(W.partitionBy(*PAIR)).alias("rows"), F.collect_list("price").over(_BY_TIME.rowsBetween(1 - config.max_context, 0)).alias("context"), F.collect_list("price").over(_BY_TIME.rowsBetween(1, config.horizon_steps)).alias("ahead"))
+        "*", F.row_number().over(_by_time()).alias("row"), F.count("*").over(W.partitionBy(*PAIR)).alias("rows"), F.collect_list("price").over(_by_time().rowsBetween(1 - config.max_context, 0)).alias("context"), F.collect_list("price").over(_by_time().rowsBetween(1, config.horizon_steps)).alias("ahead"))
 
 
 def rolling_origin_backtest(series: DataFrame, forecaster: Forecaster, config: Config) -> DataFrame:

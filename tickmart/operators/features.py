@@ -24,7 +24,9 @@ WINDOWS = (3, 5, 10, 30)
 #: Rows of a series that one window task of a recurrence sees at a time.
 CHUNK = 64
 
-_BY_TIME = W.partitionBy(*PAIR).orderBy("bucket_epoch_s")
+
+def _by_time() -> W:
+    return W.partitionBy(*PAIR).orderBy("bucket_epoch_s")
 
 
 def scope_pairs(ticks: DataFrame, cutoff_s: int | None = None, limit: int | None = None, exchanges: str | None = None, symbols: str | None = None) -> DataFrame:
@@ -92,13 +94,13 @@ def add_calendar(series: DataFrame) -> DataFrame:
 
 def add_lags(series: DataFrame, lags: tuple[int, ...] = LAGS) -> DataFrame:
     """Prices k rows before, and momentum from the fifth and tenth to the last, where these lags are asked for."""
-    wide = series.select("*", *[F.lag("price", k).over(_BY_TIME).alias(f"lag_{k}") for k in lags])
+    wide = series.select("*", *[F.lag("price", k).over(_by_time()).alias(f"lag_{k}") for k in lags])
     return wide.select("*", *[(F.col("lag_1") - F.col(f"lag_{k}")).alias(f"momentum_lag1_lag{k}") for k in (5, 10) if {1, k} <= set(lags)])
 
 
 def _before(what: Column, n: int) -> Column:
     """what over the n rows before the row's own; null until there are so many."""
-    return F.when(F.row_number().over(_BY_TIME) > n, what.over(_BY_TIME.rowsBetween(-n, -1)))
+    return F.when(F.row_number().over(_by_time()) > n, what.over(_by_time().rowsBetween(-n, -1)))
 
 
 def add_rolling(series: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
@@ -111,7 +113,7 @@ def add_sma(series: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
 
 def add_roc(series: DataFrame, n: int = 10) -> DataFrame:
     """Percentage change over n rows."""
-    return series.withColumn(f"ta_roc_{n}", 100.0 * F.try_divide(F.lag("price", 1).over(_BY_TIME) - F.lag("price", n + 1).over(_BY_TIME), F.lag("price", n + 1).over(_BY_TIME)))
+    return series.withColumn(f"ta_roc_{n}", 100.0 * F.try_divide(F.lag("price", 1).over(_by_time()) - F.lag("price", n + 1).over(_by_time()), F.lag("price", n + 1).over(_by_time())))
 
 
 def add_bbands(series: DataFrame, n: int = 20, width: float = 2.0) -> DataFrame:
@@ -145,21 +147,21 @@ def affine_scan(rows: DataFrame, keys: tuple[str, ...], order: str, a: float, b:
 
 def _smoothed(rows: DataFrame, value: str, n: int, alpha: float, out: str) -> DataFrame:
     """(pair, bucket_epoch_s, out) from the n-th value on: the first n values' mean, then alpha of each new one."""
-    placed = rows.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(_BY_TIME))
-    start = F.avg(value).over(_BY_TIME.rowsBetween(-(n - 1), 0))
+    placed = rows.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(_by_time()))
+    start = F.avg(value).over(_by_time().rowsBetween(-(n - 1), 0))
     fed = placed.withColumn("_b", F.when(F.col("_r") == n, start).otherwise(alpha * F.col(value))).where(F.col("_r") >= n)
     return affine_scan(fed.select(*PAIR, "bucket_epoch_s", "_b"), PAIR, "bucket_epoch_s", 1.0 - alpha, "_b", out).drop("_b")
 
 
 def add_ema(series: DataFrame, n: int) -> DataFrame:
     """Exponential mean, of weight 2 / (n + 1), of the prices before each row."""
-    lagged = series.select(*PAIR, "bucket_epoch_s", F.lag("price").over(_BY_TIME).alias("x"))
+    lagged = series.select(*PAIR, "bucket_epoch_s", F.lag("price").over(_by_time()).alias("x"))
     return series.join(_smoothed(lagged, "x", n, 2.0 / (n + 1), f"ta_ema_{n}"), [*PAIR, "bucket_epoch_s"], "left")
 
 
 def add_rsi(series: DataFrame, n: int = 14) -> DataFrame:
     """Relative strength of the prices before each row, 0 to 100."""
-    move = series.select(*PAIR, "bucket_epoch_s", (F.lag("price", 1).over(_BY_TIME) - F.lag("price", 2).over(_BY_TIME)).alias("d")).select(*PAIR, "bucket_epoch_s", F.greatest("d", F.when(F.col("d").isNotNull(), 0.0)).alias("up"), F.when(F.col("d").isNotNull(), F.greatest(-F.col("d"), F.lit(0.0))).alias("down"))
+    move = series.select(*PAIR, "bucket_epoch_s", (F.lag("price", 1).over(_by_time()) - F.lag("price", 2).over(_by_time())).alias("d")).select(*PAIR, "bucket_epoch_s", F.greatest("d", F.when(F.col("d").isNotNull(), 0.0)).alias("up"), F.when(F.col("d").isNotNull(), F.greatest(-F.col("d"), F.lit(0.0))).alias("down"))
     key = [*PAIR, "bucket_epoch_s"]
     both = _smoothed(move, "up", n, 1.0 / n, "_up").join(_smoothed(move, "down", n, 1.0 / n, "_down"), key)
     strength = both.select(*key, (100.0 * F.try_divide(F.col("_up"), F.col("_up") + F.col("_down"))).alias(f"ta_rsi_{n}"))
@@ -182,7 +184,7 @@ def feature_names(features: DataFrame) -> list[str]:
 
 def training_frame(features: DataFrame, horizon: int) -> DataFrame:
     """features with target, the price `horizon` rows ahead; rows that lack a feature or the target are left out."""
-    return features.withColumn("target", F.lead("price", horizon).over(_BY_TIME)).dropna()
+    return features.withColumn("target", F.lead("price", horizon).over(_by_time())).dropna()
 
 
 def max_training_rows(ticks: DataFrame, bin_seconds: int, cutoff_s: int | None = None, lags: tuple[int, ...] = LAGS, windows: tuple[int, ...] = WINDOWS, horizons: tuple[int, ...] = (1, 30)) -> DataFrame:
@@ -196,7 +198,7 @@ def max_training_rows(ticks: DataFrame, bin_seconds: int, cutoff_s: int | None =
 def holdout_split(frame: DataFrame, test_size: float = 0.2) -> DataFrame:
     """frame with row, rows and is_train: the first rows of each pair train, at least one, and at least one is held out."""
     rows = F.count("*").over(W.partitionBy(*PAIR))
-    wide = frame.withColumn("row", F.row_number().over(_BY_TIME)).withColumn("rows", rows)
+    wide = frame.withColumn("row", F.row_number().over(_by_time())).withColumn("rows", rows)
     cut = F.greatest(F.lit(1), F.least(F.col("rows") - 1, F.floor(F.col("rows") * (1.0 - test_size) + 1e-9)))
     return wide.withColumn("is_train", F.col("row") <= cut)
 
