@@ -6,9 +6,9 @@
    (their prefixes), so classes with equal prefix and size collapse into one group.
 3. Groups meet where they share a prefix shingle. Size, and bitmaps in which each shingle flips one bit, bound the
    similarity of all members of two groups from above; pairs that cannot pass are dropped in numpy blocks.
-4. First each group is paired with its nearest one in each block only, and expanded, verified and merged into
-   components; then every pair that is left between different components. So a large group of near copies costs few
-   pairs, and no link is lost.
+4. Where few groups meet, all their pairs are tried; elsewhere first each group with its nearest one only. What these
+   pairs verify is merged into components, and then every pair that is left between different components is tried. So
+   a large group of near copies costs few pairs, and no link is lost.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ SLOT_BITS = 20
 SLOT_BLOCK = 1 << 14
 #: Groups that meet at a shingle are compared in blocks of about so many.
 BLOCK_ROWS = 2048
+#: Where no more groups than this meet, all their pairs are tried at once.
+FEW = 32
 
 
 def shingle_sets(t: tb.Texts, gram: int) -> list[np.ndarray]:
@@ -85,8 +87,8 @@ def slot_counts(docs: DataFrame, gram: int) -> np.ndarray:
 
 
 def _bitmap(own: np.ndarray) -> bytes:
-    """One bit for each of at least twice as many places as shingles; a shingle flips one."""
-    bits = max(256, 1 << int(2 * len(own) - 1).bit_length())
+    """At least as many bits as shingles; each shingle flips one."""
+    bits = max(64, 1 << int(len(own) - 1).bit_length())
     place = (tb.mix(own ^ np.uint64(0xD6E8FEB86659FD93)) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(place, minlength=bits) & 1).astype(np.uint8).tobytes()
 
@@ -115,17 +117,6 @@ def sketches(docs: DataFrame, gram: int, percent: int) -> DataFrame:
     return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sketch, "doc_id long, n long, f1 long, f2 long, prefix array<bigint>, bitmap binary"))
 
 
-def _lanes(bitmaps: list[bytes], size: int) -> np.ndarray:
-    """Bitmaps folded to size bytes, as rows of 64-bit lanes."""
-    out = np.empty((len(bitmaps), size // 8), np.uint64)
-    for i, b in enumerate(bitmaps):
-        x = np.frombuffer(b, np.uint64)
-        while len(x) * 8 > size:
-            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-        out[i] = x
-    return out
-
-
 def collapse(classes: DataFrame) -> DataFrame:
     """One row for each class (gid, node, no prefix) and, after them, one for each group (gid, n, prefix, bitmap, radius).
 
@@ -166,7 +157,7 @@ def collapse(classes: DataFrame) -> DataFrame:
 
 
 def meetings(groups: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(token, left, right, gid) for groups that meet at a prefix shingle, in blocks of about 2 * block_rows at most.
+    """(token, left, right, part, gid, size) for groups that meet at a prefix shingle, in blocks of about 2 * block_rows at most.
 
     A shingle of very many groups is cut into chunks, and each pair of chunks is a block of its own.
     """
@@ -174,71 +165,90 @@ def meetings(groups: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"))
     rows = tokens.join(shared, "token").withColumn("parts", F.ceil(F.col("size") / block_rows).cast("int"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("gid"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return written(rows.select("token", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part", "gid"))
+    return written(rows.select("token", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part", "gid", "size"))
+
+
+def _apart(i: np.ndarray, j: np.ndarray, lanes: np.ndarray, at: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """How many bits differ between rows i and j; the wider of two bitmaps is folded to the other's width."""
+    out = np.zeros(len(i), np.int64)
+    wide, thin = np.where(width[i] >= width[j], i, j), np.where(width[i] >= width[j], j, i)
+    for w, v in {*zip(width[wide].tolist(), width[thin].tolist(), strict=True)}:
+        for some in np.array_split(pick := np.flatnonzero((width[wide] == w) & (width[thin] == v)), 1 + len(pick) * w // 1_000_000):
+            x = np.bitwise_xor.reduce(lanes[at[wide[some]][:, None] + np.arange(w)].reshape(len(some), w // v, v), axis=1)
+            out[some] = np.bitwise_count(x ^ lanes[at[thin[some]][:, None] + np.arange(v)]).sum(1)
+    return out
+
+
+def block_pairs(x: pa.Table, percent: int, nearest: bool) -> np.ndarray:
+    """Pairs (a, b), a < b, of groups that may hold a link, in a table of whole blocks, each sorted by n.
+
+    All pairs of all blocks at one distance between rows are compared in one step. A row whose partner at that distance
+    is too small for it needs no farther one.
+    """
+    n, gid, radius, label, part, size = (x.column(c).to_numpy() for c in ("n", "gid", "radius", "label", "part", "size"))
+    key = np.column_stack([x.column(c).to_numpy() for c in ("token", "left", "right")])
+    block = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]).any(1))))
+    bitmaps = x.column("bitmap").combine_chunks()
+    bitmaps = bitmaps if isinstance(bitmaps, pa.Array) else pa.concat_arrays(bitmaps.chunks)
+    ends = np.frombuffer(bitmaps.buffers()[1], np.int32)[bitmaps.offset : bitmaps.offset + len(bitmaps) + 1].astype(np.int64)
+    lanes = np.frombuffer(bitmaps.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.uint64)
+    at, width = (ends[:-1] - ends[0]) // 8, np.diff(ends) // 8
+    one_nearest = nearest & (size > FEW)
+    best, best_of = np.full(len(n), np.iinfo(np.int64).max), np.full(len(n), -1)
+    found: list[np.ndarray] = []
+    rows, step = np.arange(len(n)), 0
+    while True:
+        step += 1
+        rows = rows[rows >= step]
+        rows = rows[(block[rows - step] == block[rows]) & (100 * n[rows - step] >= percent * n[rows])]
+        if not len(rows):
+            break
+        i, j = rows, rows - step
+        use = ((label[i] != label[j]) | (label[i] < 0)) & ((key[i, 1] == key[i, 2]) | (part[i] != part[j]))
+        i, j = i[use], j[use]
+        apart = _apart(i, j, lanes, at, width) - radius[i] - radius[j]
+        # sets of sizes p and q are similar enough if they differ in at most (p + q)(100 - t) / (100 + t) shingles
+        ok = apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+        i, j, apart = i[ok], j[ok], apart[ok]
+        every = ~one_nearest[i]
+        found.append(np.column_stack([gid[i[every]], gid[j[every]]]))
+        closer = ~every & (apart < best[i])
+        best[i[closer]], best_of[i[closer]] = apart[closer], j[closer]
+    got = np.flatnonzero(best_of >= 0)
+    found.append(np.column_stack([gid[got], gid[best_of[got]]]))
+    return np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
 
 
 def candidates(met: DataFrame, groups: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """(a, b), a < b: pairs of groups (gid, n, bitmap, radius, label) that may hold a link between different labels.
 
-    nearest keeps, of those in which a group is the later one of its block, the one whose bitmaps differ least.
+    A label under 0 stands for several. nearest keeps of the pairs in large blocks only that of each group with the one
+    before it whose bitmap differs least.
     """
-    rows = met.join(groups.select("gid", "n", "bitmap", "radius", "label"), "gid").repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "n", "gid")
-
-    def pairs(x: pa.Table) -> list[tuple[int, int]]:
-        n, gid, radius, label, part = (x.column(c).to_numpy() for c in ("n", "gid", "radius", "label", "part"))
-        crossing = x.column("left")[0].as_py() != x.column("right")[0].as_py()
-        bitmaps = x.column("bitmap").to_pylist()
-        sizes = np.array([len(b) for b in bitmaps])
-        lanes = {s: _lanes([b for b, own in zip(bitmaps, sizes, strict=True) if own in (s, 2 * s)], s) for s in set(sizes.tolist())}
-        place = {s: np.cumsum(np.isin(sizes, (s, 2 * s))) - 1 for s in lanes}
-        low = np.searchsorted(n, -(-percent * n // 100), "left")
-        found = []
-        for i in range(1, len(n)):
-            others = np.arange(low[i], i)
-            if crossing:
-                others = others[part[others] != part[i]]
-            others = others[(label[others] != label[i]) | (label[i] < 0)]
-            best: tuple[float, int] | None = None
-            for s in {sizes[i], sizes[i] // 2} & lanes.keys():
-                js = others[sizes[others] == s]
-                if not len(js):
-                    continue
-                apart = np.bitwise_count(lanes[s][place[s][js]] ^ lanes[s][place[s][i]]).sum(1, dtype=np.int64) - radius[js] - radius[i]
-                # sets of sizes p and q are similar enough if they differ in at most (p + q)(100 - t) / (100 + t) shingles
-                ok = apart * (100 + percent) <= (n[js] + n[i]) * (100 - percent)
-                if nearest and ok.any():
-                    k = np.flatnonzero(ok)[apart[ok].argmin()]
-                    best = min(best or (np.inf, 0), (float(apart[k]), int(js[k])))
-                elif ok.any():
-                    found += [(gid[j], gid[i]) for j in js[ok]]
-            if best is not None:
-                found.append((gid[best[1]], gid[i]))
-        return found
+    columns = ["token", "left", "right", "part", "size", "gid", "n", "bitmap", "radius", "label"]
+    rows = met.join(groups.select("gid", "n", "bitmap", "radius", "label"), "gid").select(columns).repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "n", "gid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        held: list[pa.RecordBatch] = []
 
         def emit(x: pa.Table) -> Iterator[pa.RecordBatch]:
-            if x.num_rows > 1:
-                fresh = {(min(p), max(p)) for p in pairs(x)} - seen
-                if len(seen) > 500_000:
-                    seen.clear()
-                seen.update(fresh)
-                if fresh:
-                    a, b = zip(*sorted(fresh), strict=True)
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-        rest: pa.Table | None = None
+            if x.num_rows > 1 and len(pairs := block_pairs(x, percent, nearest)):
+                yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
         for b in batches:
-            t = pa.Table.from_batches([b])
-            t = pa.concat_tables([rest, t]) if rest is not None else t
-            key = np.column_stack([t.column(c).to_numpy() for c in ("token", "left", "right")])
-            cut = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist()]
-            for p, q in zip(cut, cut[1:], strict=False):
-                yield from emit(t.slice(p, q - p))
-            rest = t.slice(cut[-1])
-        if rest is not None:
-            yield from emit(rest)
+            held.append(b)
+            if sum(h.num_rows for h in held) < 20_000:
+                continue
+            x = pa.Table.from_batches(held)
+            last = x.slice(x.num_rows - 1)
+            same = np.ones(x.num_rows, bool)
+            for c in ("token", "left", "right"):
+                same &= x.column(c).to_numpy() == last.column(c)[0].as_py()
+            cut = int(np.flatnonzero(same)[0])
+            yield from emit(x.slice(0, cut))
+            held = x.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield from emit(pa.Table.from_batches(held))
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
@@ -277,7 +287,7 @@ def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFr
     members = table.where("node is not null").select("gid", "node", "n")
     met = meetings(groups)
 
-    near = candidates(met, groups.withColumn("label", F.lit(-1).cast("long")), percent, nearest=True)
+    near = written(candidates(met, groups.withColumn("label", F.lit(-1).cast("long")), percent, nearest=True))
     star = members.where("gid <> node").select(F.col("gid").alias("a"), F.col("node").alias("b"))
     tried = written(near.unionByName(star))
     edges = verified(tried, docs, gram, percent)
@@ -286,10 +296,11 @@ def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFr
     labelled = members.join(found, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("label"))
     of_group = labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")).select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1).alias("label"))
     of_group = written(of_group)
-    left_over = candidates(met, groups.join(of_group, "gid"), percent, nearest=False)
+    left_over = candidates(met.where(F.col("size") > FEW), groups.join(of_group, "gid"), percent, nearest=False)
     mixed = of_group.where("label < 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
     left, right = labelled.toDF("a", "na", "la"), labelled.toDF("b", "nb", "lb")
-    apart = left_over.unionByName(mixed).join(left, "a").join(right, "b").where("la <> lb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    # pairs tried above were tried between the groups' first members only
+    apart = left_over.unionByName(near).unionByName(mixed).distinct().join(left, "a").join(right, "b").where("la <> lb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = verified(apart, docs, gram, percent)
     final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)) if more.limit(1).count() else found
     by_class = classes.join(final, "node", "left").select("f1", "f2", "n", F.coalesce("component", "node").alias("component_id"))
