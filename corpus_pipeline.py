@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickmart.llm import language, lines, ngram_join, packing, quality
 from tickmart.llm.scratch import written
+from tickmart.llm.textbatch import small_batches
 
 #: The least share that a document's first language must have.
 LEAST_LANGUAGE_SHARE = 0.4
@@ -21,30 +22,35 @@ NEAR_GRAM, NEAR_PERCENT = 5, 80
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose quality score is under the classifier's threshold."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return quality.score(docs, quality.fit(docs, labels)).where("predicted = 1").select(*docs.columns)
 
 
 def keep_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents in which no language is found, or none has LEAST_LANGUAGE_SHARE."""
+    small_batches(spark)
     found = language.identify(docs, language.fit(docs))
     return found.where((F.col("lang_pred") != language.NO_LANGUAGE) & (F.col("score") >= LEAST_LANGUAGE_SHARE)).select(*docs.columns)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without lines found on many sites; a document with no other text goes. n_chars follows the text."""
+    small_batches(spark)
     left = lines.deduplicate(docs).where((F.col("n_removed") == 0) | (F.length(F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))) > 0))
     return left.select(*[F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest doc_id."""
+    small_batches(spark)
     groups = ngram_join.cluster(docs, NEAR_GRAM, NEAR_PERCENT)
     return docs.join(groups.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as pieces of full token sequences."""
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, language, lines, ngram_join, packing, pieces, quality, rules, toxicity, warc
+from . import ann, language, lines, ngram_join, packing, pieces, quality, rules, textbatch, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    textbatch.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: The bytes between words: [\x20\x09-\x0D].
 SEPARATOR = np.zeros(256, bool)
@@ -15,11 +16,17 @@ SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 _RANDOM = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of a few MB, whatever their lengths: several are in flight in each task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 @dataclass
 class Texts:
     """rows [first, last) of a batch: data holds their bytes, text i is data[at[i]:at[i + 1]]."""
