@@ -132,7 +132,7 @@ class Stream:
 class Codec:
     """Encodes and decodes whole texts; words seen before are looked up, in a memo of bounded size."""
 
-    MEMO, WORD = 200_000, 48
+    MEMO, WORD = 400_000, 48
 
     def __init__(self, path: str):
         self.pieces = Pieces(path)
@@ -225,17 +225,19 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     ids_crc32 is over little-endian unsigned 32-bit ids, decoded_crc32 over the decoded text in UTF-8; a null text counts
     as empty. round_trip tells whether the decoded text is the text; a text that holds the space mark itself is not.
+    Encoding and decoding share one pass, so ids need not leave the task.
     """
-    both = decode(encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), path), path)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low, high = min(_codec(path).pieces.byte_of, default=0), max(_codec(path).pieces.byte_of, default=-1)
+        codec = _codec(path)
+        low, high = min(codec.pieces.byte_of, default=0), max(codec.pieces.byte_of, default=-1)
         for b in batches:
-            flat, at = b.column("ids").values.to_numpy(), b.column("ids").offsets.to_numpy()
-            ids = [flat[p:q].astype("<u4") for p, q in zip(at, at[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array([int(((i >= low) & (i <= high)).sum()) for i in ids], pa.int64()), b.column("decoded"), b.column("text")],
-                names=["doc_id", "n_ids", "ids_crc32", "n_byte_ids", "decoded", "text"])
-
-    out = both.select(F.col("doc_id").cast("long"), "text", "ids", "decoded").mapInArrow(digest, "doc_id long, n_ids long, ids_crc32 long, n_byte_ids long, decoded string, text string")
-    return out.select("doc_id", "n_ids", "ids_crc32", "n_byte_ids", F.crc32("decoded").alias("decoded_crc32"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+            rows = []
+            for text in b.column("text").to_pylist():
+                ids = codec.encode(text or "")
+                own, decoded = np.array(ids, "<u4"), codec.decode(ids)
+                rows.append((len(ids), zlib.crc32(own.tobytes()), int(((own >= low) & (own <= high)).sum()), zlib.crc32(decoded.encode()), decoded == (text or "")))
+            n, crc, in_bytes, back, same = zip(*rows, strict=True) if rows else ([], [], [], [], [])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(in_bytes, pa.int64()), pa.array(back, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "n_ids", "ids_crc32", "n_byte_ids", "decoded_crc32", "round_trip"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(digest, "doc_id long, n_ids long, ids_crc32 long, n_byte_ids long, decoded_crc32 long, round_trip boolean")
