@@ -54,7 +54,10 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         F.when(F.col("_sorted").isNotNull(), F.array_sort(F.transform(F.filter("_sorted", lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"]))).alias("_places"),
     )
     covered = F.aggregate(F.transform("_places", lambda i, k: F.least(F.lit(WINDOW), F.coalesce(F.get("_places", k + 1) - i, F.lit(WINDOW)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return places.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", F.when(F.col("_places").isNotNull(), covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"))
+    # a filter on these columns must not be moved below: it would copy whole expressions into each other's inner loops,
+    # and Spark moves none past a column that it cannot compute twice
+    words = (F.col("n_words") + 0 * F.monotonically_increasing_id()).alias("n_words")
+    return places.select(*keep, words, "word_chars", "n_symbols", "n_dup_lines", F.when(F.col("_places").isNotNull(), covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"))
 
 
 def base_failed() -> Column:
