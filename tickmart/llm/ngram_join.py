@@ -31,7 +31,7 @@ SLOT_BLOCK = 1 << 14
 #: Groups that meet at a shingle are compared in blocks of about so many.
 BLOCK_ROWS = 2048
 #: Where no more groups than this meet, all their pairs are tried at once.
-FEW = 32
+FEW = 4
 
 
 def shingle_sets(t: tb.Texts, gram: int) -> list[np.ndarray]:
