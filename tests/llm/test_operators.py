@@ -178,6 +178,20 @@ def test_toxicity_learns_planted_words(spark, odd):
     assert toxicity.fit(docs, docs.where("toxic = 0")).score(["a", None]) == pytest.approx([1e-4, 1e-4])
 
 
+def test_toxic_dictionary_is_trained_and_rare_wording_is_known(spark):
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abdefgilmnorstu"), rng.integers(2, 9))) for _ in range(300)]
+    rare = ["quizzvex", "wockhyyp"]  # each in 3 % of the toxic texts; the rest say blockhead
+    said = lambda i: rare[i % 2] if i % 100 < 6 else "blockhead"
+    text = lambda bad: " ".join([*rng.choice(words, 30), *bad, *rng.choice(words, 30)])
+    texts = [text([said(i)] * 3) for i in range(2000)] + [text([]) for _ in range(2000)]
+    docs = spark.createDataFrame([(i, t, int(i < 2000)) for i, t in enumerate(texts)], "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs)
+    assert len(model.toxic) == 3 and len(model.toxic[0]) > 1000 and b"blockhead" in model.toxic[0]
+    assert all(w.encode() not in model.toxic[1] and w.encode() in model.toxic[2] for w in rare)
+    assert (model.score([text([w] * 3) for w in rare]) > 0.5).all() and (model.score([text([]) for _ in range(20)]) < 0.5).all()
+
+
 # lines
 
 

@@ -1,9 +1,11 @@
 """Toxicity by compression distance: which of two zstandard dictionaries shortens a window more.
 
-Two dictionaries are trained, one on ordinary text, one on toxic text. The toxic one also learns from the passages in
-which toxic documents differ most from ordinary ones: byte n-grams are contrasted by document frequency, and the runs
-they cover are the contrast passages. A window of words is compressed once with the ordinary dictionary and once with
-the ordinary dictionary behind the toxic passages, so the only difference in length is what toxic passages explain.
+Two dictionaries are trained, one on ordinary text, one on toxic text. In addition, the passages in which toxic
+documents differ most from ordinary ones make two lexicons: byte n-grams are contrasted by document frequency, and the
+runs they cover are the contrast passages, once of the n-grams that a share of toxic documents hold, once of all that a
+few hold. A window of words is compressed with the ordinary dictionary, with the trained toxic one, and with the ordinary
+one behind each lexicon; each of the three differences from the ordinary length is a distance. A lexicon is not put
+before the trained toxic dictionary: that one also holds ordinary text, whose gains would hide what passages explain.
 The differences of a document's windows are summarised and calibrated to a probability on the labelled sample.
 """
 
@@ -31,6 +33,10 @@ SAMPLE_BYTES = 20_000
 WINDOW_WORDS = 8
 GRAM = 5
 DICTIONARY_BYTES = 8192
+#: The least document frequency of an n-gram of the common lexicon, as a share, and of the rare one, as a count.
+COMMON_SHARE, RARE_COUNT = 0.035, 12
+#: Each of the three toxic dictionaries gives five.
+FEATURES = 15
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -56,10 +62,9 @@ def _frequencies(texts: list[list[bytes]]) -> Counter:
     return count
 
 
-def contrast_passages(toxic: list[list[bytes]], ordinary: list[list[bytes]], odds: float = 3.0) -> list[bytes]:
-    """Parts of words in toxic texts that are rare in ordinary ones, commonest first."""
+def contrast_passages(toxic: list[list[bytes]], ordinary: list[list[bytes]], least: float, odds: float = 3.0) -> list[bytes]:
+    """Parts of words in toxic texts that are rare in ordinary ones, commonest first. least is that of toxic texts that hold an n-gram."""
     a, b = _frequencies(toxic), _frequencies(ordinary)
-    least = max(3, 0.035 * len(toxic))
     marked = {g for g, n in a.items() if n >= least and np.log((n + 0.5) / (len(toxic) + 1)) - np.log((b[g] + 0.5) / (len(ordinary) + 1)) > odds}
     found: Counter = Counter()
     for words in toxic:
@@ -83,7 +88,7 @@ def _train(samples: list[bytes]) -> bytes:
 @dataclass
 class Model:
     ordinary: bytes
-    toxic: bytes
+    toxic: tuple[bytes, ...]
     weights: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
@@ -95,7 +100,7 @@ class Model:
     def _both(self) -> tuple:
         if not self._compressors:
             made = []
-            for content in (self.ordinary, self.toxic):
+            for content in (self.ordinary, *self.toxic):
                 how = zstandard.ZstdCompressionParameters(compression_level=1, window_log=16, hash_log=14, chain_log=14, search_log=4, min_match=5, strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_dict_id=0, write_checksum=0)
                 d = zstandard.ZstdCompressionDict(content or b" " * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 d.precompute_compress(compression_params=how)
@@ -104,8 +109,8 @@ class Model:
         return self._compressors
 
     def distances(self, texts: list[str | None]) -> np.ndarray:
-        """For each text: largest, mean of the two largest, mean, share of at least 3 and log count of at least 3 of its windows' differences in bytes; zeros without words."""
-        out = np.zeros((len(texts), 5))
+        """For each text and toxic dictionary: largest, mean of the two largest, mean, share of at least 3 and log count of at least 3 of its windows' differences in bytes; zeros without words."""
+        out = np.zeros((len(texts), FEATURES))
         for at in range(0, len(texts), 64):
             each = [windows(normalised(t)) for t in texts[at : at + 64]]
             flat = [w for ws in each for w in ws]
@@ -115,12 +120,13 @@ class Model:
             for c in self._both():
                 done = c.multi_compress_to_buffer(flat)
                 sizes.append(np.array([len(done[i]) for i in range(len(flat))]))
-            saved, first = sizes[0] - sizes[1], 0
+            saved, first = np.column_stack([sizes[0] - x for x in sizes[1:]]), 0
             for i, ws in enumerate(each):
-                own = np.sort(saved[first : first + len(ws)])
+                own = np.sort(saved[first : first + len(ws)], axis=0)
                 first += len(ws)
                 if len(own):
-                    out[at + i] = own[-1], own[-2:].mean(), own.mean(), (own >= 3).mean(), np.log1p((own >= 3).sum())
+                    high = (own >= 3).sum(0)
+                    out[at + i] = np.column_stack([own[-1], own[-2:].mean(0), own.mean(0), high / len(own), np.log1p(high)]).ravel()
         return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -138,12 +144,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return w
 
 
-def _dictionaries(bad: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, bytes]:
+def _dictionaries(bad: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, tuple[bytes, ...]]:
     common = _train([x for w in ordinary for x in windows(w, 24)]) if ordinary else b""
-    passages = contrast_passages(bad, ordinary)
-    special = b" ".join(reversed(passages))[-DICTIONARY_BYTES:]
-    general = _train([x for w in bad for x in windows(w, 24)]) if bad and not passages else b""
-    return common, special + general + common
+    general = _train([x for w in bad for x in windows(w, 24)]) if bad else b""
+    lexicons = [b" ".join(reversed(contrast_passages(bad, ordinary, least)))[-DICTIONARY_BYTES:] for least in (max(3, COMMON_SHARE * len(bad)), RARE_COUNT)]
+    return common, (general, *[x + common for x in lexicons])
 
 
 def train(texts: list[str | None], toxic: np.ndarray, toxic_share: float | None = None) -> Model:
@@ -155,16 +160,16 @@ def train(texts: list[str | None], toxic: np.ndarray, toxic_share: float | None
     """
     words, y = [normalised(t) for t in texts], np.asarray(toxic, dtype=np.float64)
     share = (y.sum() + 0.5) / (len(y) + 1.0) if toxic_share is None else min(max(toxic_share, 1e-4), 1 - 1e-4)
-    constant = np.array([np.log(share / (1 - share)), 0, 0, 0, 0, 0])
+    constant = np.array([np.log(share / (1 - share)), *[0] * FEATURES])
     half = np.arange(len(y)) % 2 == 0
 
     def learned(use: np.ndarray) -> Model:
         bad, ordinary = ([w for w, t, u in zip(words, y, use, strict=True) if u and t == k] for k in (1, 0))
-        return Model(*_dictionaries(bad, ordinary), constant, np.zeros(5), np.ones(5))
+        return Model(*_dictionaries(bad, ordinary), constant, np.zeros(FEATURES), np.ones(FEATURES))
 
     if min(len(set(y[half])), len(set(y[~half]))) < 2:
-        return Model(b"", b"", constant, np.zeros(5), np.ones(5))
-    x = np.zeros((len(y), 5))
+        return Model(b"", (b"",) * 3, constant, np.zeros(FEATURES), np.ones(FEATURES))
+    x = np.zeros((len(y), FEATURES))
     for use in (half, ~half):
         x[~use] = learned(use).distances([t for t, u in zip(texts, use, strict=True) if not u])
     model = learned(np.ones(len(y), bool))
