@@ -192,6 +192,18 @@ def test_toxic_dictionary_is_trained_and_rare_wording_is_known(spark):
     assert (model.score([text([w] * 3) for w in rare]) > 0.5).all() and (model.score([text([]) for _ in range(20)]) < 0.5).all()
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abdefgilmnorstu"), rng.integers(2, 9))) for _ in range(300)]
+    text = lambda bad, n: " ".join([*rng.choice(words, n), *bad, *rng.choice(words, 20)])
+    rows = [(i, text(["blockhead"] * 4 if i % 2 else [], 4500), i % 2) for i in range(120)]
+    assert all(t.find("blockhead") > 20_000 for _, t, bad in rows if bad)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs)
+    assert b"blockhead" in model.toxic[1]
+    assert model.score([text(["blockhead"] * 4, 4500)])[0] > 0.5 > model.score([text([], 4500)])[0]
+
+
 # lines
 
 

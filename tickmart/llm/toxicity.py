@@ -19,17 +19,22 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .learn import held_out, sampled_ids
+from .scratch import written
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
-#: The most labelled rows of each class, and the most bytes of each of their texts, that the dictionaries learn from.
+#: The most labelled rows of each class that the dictionaries learn from, by their whole texts.
 SAMPLE_PER_CLASS = 2000
-SAMPLE_BYTES = 20_000
+#: A dictionary is trained on about so many bytes at a time; what several times give is trained on once more.
+TRAIN_BYTES = 16 << 20
+#: Calibration sees a text with dictionaries from the other half of the sample; later texts with those from all of it.
+HALVES, ALL = (0, 1), 2
 WINDOW_WORDS = 8
 GRAM = 5
 DICTIONARY_BYTES = 8192
@@ -55,26 +60,14 @@ def _grams(word: bytes) -> list[bytes]:
     return [w[i : i + GRAM] for i in range(max(1, len(w) - GRAM + 1))]
 
 
-def _frequencies(texts: list[list[bytes]]) -> Counter:
-    count: Counter = Counter()
-    for words in texts:
-        count.update({g for w in set(words) for g in _grams(w)})
-    return count
-
-
-def contrast_passages(toxic: list[list[bytes]], ordinary: list[list[bytes]], least: float, odds: float = 3.0) -> list[bytes]:
-    """Parts of words in toxic texts that are rare in ordinary ones, commonest first. least is that of toxic texts that hold an n-gram."""
-    a, b = _frequencies(toxic), _frequencies(ordinary)
-    marked = {g for g, n in a.items() if n >= least and np.log((n + 0.5) / (len(toxic) + 1)) - np.log((b[g] + 0.5) / (len(ordinary) + 1)) > odds}
-    found: Counter = Counter()
-    for words in toxic:
-        for w in words:
-            at = [i for i, g in enumerate(_grams(w)) if g in marked]
-            runs = [at[k:] for k in range(len(at)) if not k or at[k] > at[k - 1] + 1]
-            for run in runs:
-                last = next((x for x, y in zip(run, run[1:], strict=False) if y > x + 1), run[-1])
-                found[(b" " + w)[run[0] : last + GRAM]] += 1
-    return [p for p, _ in sorted(found.items(), key=lambda x: (-x[1], x[0]))]
+def passages(words: list[bytes], marked: set[bytes]) -> Iterator[bytes]:
+    """The parts of words that runs of marked n-grams cover."""
+    for w in words:
+        at = [i for i, g in enumerate(_grams(w)) if g in marked]
+        runs = [at[k:] for k in range(len(at)) if not k or at[k] > at[k - 1] + 1]
+        for run in runs:
+            last = next((x for x, y in zip(run, run[1:], strict=False) if y > x + 1), run[-1])
+            yield (b" " + w)[run[0] : last + GRAM]
 
 
 def _train(samples: list[bytes]) -> bytes:
@@ -144,52 +137,125 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return w
 
 
-def _dictionaries(bad: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, tuple[bytes, ...]]:
-    common = _train([x for w in ordinary for x in windows(w, 24)]) if ordinary else b""
-    general = _train([x for w in bad for x in windows(w, 24)]) if bad else b""
-    lexicons = [b" ".join(reversed(contrast_passages(bad, ordinary, least)))[-DICTIONARY_BYTES:] for least in (max(3, COMMON_SHARE * len(bad)), RARE_COUNT)]
-    return common, (general, *[x + common for x in lexicons])
+def _marked(rows: DataFrame, n: dict[tuple[int, int], int], odds: float = 3.0) -> dict[tuple[int, int], set[bytes]]:
+    """For each part of the sample (a half or all) and lexicon, the n-grams of toxic texts that are rare in ordinary ones.
 
+    n has the rows of each (part, label).
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: Counter = Counter()
+            for half, label, text in zip(*(b.column(c).to_pylist() for c in ("half", "label", "text")), strict=True):
+                found.update({(half, label, g) for w in set(normalised(text)) for g in _grams(w)})
+            yield pa.RecordBatch.from_pydict({"half": pa.array([k[0] for k in found], pa.int32()), "label": pa.array([k[1] for k in found], pa.int32()), "gram": pa.array([k[2] for k in found], pa.binary()), "n": pa.array(found.values(), pa.int64())})
+
+    def total(part: int, label: int) -> Column:
+        here = F.col("label") == label if part == ALL else (F.col("label") == label) & (F.col("half") == part)
+        return F.sum(F.when(here, F.col("n")).otherwise(0)).alias(f"n{part}{label}")
+
+    grams = rows.mapInArrow(count, "half int, label int, gram binary, n long").groupBy("gram").agg(*[total(p, k) for p in (*HALVES, ALL) for k in (0, 1)])
+    marks = {}
+    for p in (*HALVES, ALL):
+        rare = F.log((F.col(f"n{p}1") + 0.5) / (n[p, 1] + 1)) - F.log((F.col(f"n{p}0") + 0.5) / (n[p, 0] + 1)) > odds
+        for lexicon, least in enumerate((max(3, COMMON_SHARE * n[p, 1]), RARE_COUNT)):
+            marks[p, lexicon] = rare & (F.col(f"n{p}1") >= least)
+    named = [m.alias(f"m{p}{lexicon}") for (p, lexicon), m in marks.items()]
+    got = grams.select("gram", *named).where(" or ".join(f"m{p}{x}" for p, x in marks)).toArrow().to_pydict()
+    return {(p, x): {g for g, m in zip(got["gram"], got[f"m{p}{x}"], strict=True) if m} for p, x in marks}
+
+
+def _lexicons(rows: DataFrame, marked: dict[tuple[int, int], set[bytes]]) -> dict[tuple[int, int], bytes]:
+    """For each part and lexicon, the commonest contrast passages of toxic texts, the commonest last."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: Counter = Counter()
+            for half, text in zip(b.column("half").to_pylist(), b.column("text").to_pylist(), strict=True):
+                words = normalised(text)
+                for (p, x), grams in marked.items():
+                    if p in (half, ALL):
+                        found.update((p, x, passage) for passage in passages(words, grams))
+            yield pa.RecordBatch.from_pydict({"part": pa.array([k[0] for k in found], pa.int32()), "lexicon": pa.array([k[1] for k in found], pa.int32()), "passage": pa.array([k[2] for k in found], pa.binary()), "n": pa.array(found.values(), pa.int64())})
+
+    found = rows.where("label = 1").mapInArrow(find, "part int, lexicon int, passage binary, n long").groupBy("part", "lexicon", "passage").agg(F.sum("n").alias("n"))
+    order = F.row_number().over(W.partitionBy("part", "lexicon").orderBy(F.desc("n"), "passage"))
+    by: dict[tuple[int, int], list[bytes]] = {k: [] for k in marked}
+    for r in found.withColumn("k", order).where(F.col("k") <= DICTIONARY_BYTES).orderBy("part", "lexicon", "k").collect():  # no more passages than bytes fit
+        by[r["part"], r["lexicon"]].append(bytes(r["passage"]))
+    return {k: b" ".join(reversed(v))[-DICTIONARY_BYTES:] for k, v in by.items()}
+
+
+def _trained(rows: DataFrame) -> dict[tuple[int, int], bytes]:
+    """For each part and label, a dictionary trained on all windows of its texts, in the order of doc_id."""
+    parts = rows.withColumn("part", F.explode(F.array(F.col("half"), F.lit(ALL))))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, samples, size, made = None, [], 0, []
+
+        def close() -> pa.RecordBatch:
+            if samples or not made:
+                made.append(_train(samples))
+            whole = made[0] if len(made) == 1 else _train([d[i : i + 64] for d in made for i in range(0, len(d), 64)])
+            return pa.RecordBatch.from_pydict({"part": pa.array([key[0]], pa.int32()), "label": pa.array([key[1]], pa.int32()), "content": pa.array([whole], pa.binary())})
 
-def train(texts: list[str | None], toxic: np.ndarray, toxic_share: float | None = None) -> Model:
-    """Dictionaries from all the labelled texts. Each half is calibrated with dictionaries from the other half, so that
-    calibration sees texts as new as later ones are.
+        for b in batches:
+            for part, label, text in zip(*(b.column(c).to_pylist() for c in ("part", "label", "text")), strict=True):
+                if key != (part, label):
+                    if key is not None:
+                        yield close()
+                    key, samples, size, made = (part, label), [], 0, []
+                for w in windows(normalised(text), 24):
+                    samples.append(w)
+                    size += len(w)
+                    if size >= TRAIN_BYTES:
+                        made.append(_train(samples))
+                        samples, size = [], 0
+        if key is not None:
+            yield close()
+
+    ordered = parts.select("part", "label", "doc_id", "text").repartition("part", "label").sortWithinPartitions("part", "label", "doc_id", "text")
+    return {(r["part"], r["label"]): bytes(r["content"]) for r in ordered.mapInArrow(learn, "part int, label int, content binary").collect()}
 
-    toxic_share is that of all labelled rows, where the texts given are a sample with another share. Without labelled
-    texts of both classes the score is the smoothed share of toxic rows.
-    """
-    words, y = [normalised(t) for t in texts], np.asarray(toxic, dtype=np.float64)
-    share = (y.sum() + 0.5) / (len(y) + 1.0) if toxic_share is None else min(max(toxic_share, 1e-4), 1 - 1e-4)
-    constant = np.array([np.log(share / (1 - share)), *[0] * FEATURES])
-    half = np.arange(len(y)) % 2 == 0
 
-    def learned(use: np.ndarray) -> Model:
-        bad, ordinary = ([w for w, t, u in zip(words, y, use, strict=True) if u and t == k] for k in (1, 0))
-        return Model(*_dictionaries(bad, ordinary), constant, np.zeros(FEATURES), np.ones(FEATURES))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, fold: int = HELD_OUT, sample_per_class: int = SAMPLE_PER_CLASS) -> Model:
+    """A model from the whole texts of at most 2 * sample_per_class labelled rows that are not held out.
 
-    if min(len(set(y[half])), len(set(y[~half]))) < 2:
+    Dictionaries come from all of them. Each half is calibrated with dictionaries from the other half, so that
+    calibration sees texts as new as later ones are. Texts stay in tasks: counts, n-grams, passages, dictionaries and
+    distances reach the driver. Without labelled texts of both classes the score is the smoothed share of toxic rows.
+    """
+    ids = F.broadcast(sampled_ids(labels, label, folds, fold, sample_per_class))
+    toxic_share = labels.where(~held_out(folds, fold) & F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
+    rows = written(docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id").withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")))
+    n = {(p, k): 0 for p in (*HALVES, ALL) for k in (0, 1)}
+    for r in rows.groupBy("half", "label").count().collect():
+        n[r["half"], r["label"]] += r["count"]
+        n[ALL, r["label"]] += r["count"]
+    share = (n[ALL, 1] + 0.5) / (n[ALL, 0] + n[ALL, 1] + 1.0) if toxic_share is None else min(max(toxic_share, 1e-4), 1 - 1e-4)
+    constant = np.array([np.log(share / (1 - share)), *[0] * FEATURES])
+    if not all(n.values()):
         return Model(b"", (b"",) * 3, constant, np.zeros(FEATURES), np.ones(FEATURES))
-    x = np.zeros((len(y), FEATURES))
-    for use in (half, ~half):
-        x[~use] = learned(use).distances([t for t, u in zip(texts, use, strict=True) if not u])
-    model = learned(np.ones(len(y), bool))
+    trained, lexicons = _trained(rows), _lexicons(rows, _marked(rows, n))
+    models = {p: Model(trained[p, 0], (trained[p, 1], *[lexicons[p, x] + trained[p, 0] for x in (0, 1)]), constant, np.zeros(FEATURES), np.ones(FEATURES)) for p in (*HALVES, ALL)}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            half, texts, x = np.array(b.column("half").to_pylist(), int), b.column("text").to_pylist(), np.zeros((b.num_rows, FEATURES))
+            for p in HALVES:
+                own = np.flatnonzero(half == p)
+                x[own] = models[1 - p].distances([texts[i] for i in own])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array([*x], pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
+
+    got = rows.mapInArrow(measure, "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id")
+    x, y = np.array(got.column("x").to_pylist(), dtype=np.float64).reshape(-1, FEATURES), got.column("label").to_numpy().astype(np.float64)
+    model = models[ALL]
     model.mean, model.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     model.weights = _logistic((x - model.mean) / model.scale, y, weight)
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, fold: int = HELD_OUT, sample_per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """A model from at most 2 * sample_per_class labelled texts that are not held out, each of at most SAMPLE_BYTES."""
-    ids = F.broadcast(sampled_ids(labels, label, folds, fold, sample_per_class))
-    share = labels.where(~held_out(folds, fold) & F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
-    rows = docs.select(F.col("doc_id").cast("long"), F.substring("text", 1, SAMPLE_BYTES).alias("text")).join(ids, "doc_id").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")]).to_pylist()
-    by_class = [[r for r in rows if r["label"] == k] for k in (1, 0)]
-    rows = by_class[0] + by_class[1]
-    return train([r["text"] for r in rows], np.array([r["label"] for r in rows], dtype=np.float64), share)
-
-
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs with score (0 to 1) and predicted, whatever other columns it has; columns of those two names are replaced.
 
