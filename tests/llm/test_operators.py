@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +205,16 @@ def test_toxicity_learns_from_whole_texts(spark):
     assert model.score([text(["blockhead"] * 4, 4500)])[0] > 0.5 > model.score([text([], 4500)])[0]
 
 
+@pytest.mark.parametrize("n", range(1, 8))
+def test_a_few_words_alone_in_a_chunk(n):
+    alone = pa.array([" ".join("abcdefg"[:n])])
+    beside = pa.concat_arrays([alone, pa.array(["some more words that stand beside it"])])
+    assert np.array_equal(quality.statistics(alone)[0], quality.statistics(beside)[0])
+    for gram in (3, 5):
+        (own,), both = (ngram_join.shingle_sets(next(iter(textbatch.chunks(x))), gram) for x in (alone, beside))
+        assert np.array_equal(own, both[0]) and len(own) == max(1, n - gram + 1)
+
+
 # lines
 
 

@@ -40,7 +40,7 @@ def shingle_sets(t: tb.Texts, gram: int) -> list[np.ndarray]:
     starts, ends, first = tb.words(t)
     word = tb.span_hashes(data, starts, ends)
     joined = word.copy()
-    for k in range(1, gram):
+    for k in range(1, min(gram, len(word))):
         joined[: len(word) - k] = tb.mix(joined[: len(word) - k] * np.uint64(0x9E3779B97F4A7C15) + word[k:])
     out = []
     for a, b in zip(first[:-1], first[1:], strict=True):

@@ -55,7 +55,7 @@ def statistics(column: pa.Array) -> np.ndarray:
         hashes = tb.span_hashes(t.data, starts, ends)
         again, most = _repeats(hashes, first)
         windows = hashes.copy()
-        for k in range(1, 5):
+        for k in range(1, min(5, len(hashes))):
             windows[: len(hashes) - k] = tb.mix(windows[: len(hashes) - k] * np.uint64(3) + hashes[k:])
         texts = np.repeat(np.arange(len(n)), n)
         whole = np.arange(len(hashes)) + 5 <= first[texts + 1]
