@@ -139,6 +139,33 @@ def test_salvage_reads_on_after_damage():
     assert list(warc.salvage(b"")) == [] and [k for k, *_ in warc.salvage(b"nothing here")] == ["gap"]
 
 
+def test_salvage_inside_members_and_of_any_archive(spark, tmp_path):
+    import hashlib
+
+    rng = np.random.default_rng(8)
+    record = lambda i, p: warc.record_bytes(i, "u", p, hashlib.sha1(p).hexdigest(), "response", None)
+    named = lambda found: [w["record_id"] for kind, _, _, w in found if kind == "record"]
+    urns = lambda *ids: [f"<urn:page:{i}>" for i in ids]
+    blocks = [record(i, rng.bytes(20_000)) for i in range(4)]
+    inner = bytearray(b"".join(blocks))
+    inner[len(blocks[0]) + 5_000] ^= 0xFF
+    packed = gzip.compress(bytes(inner))
+    found = list(warc.salvage(packed + gzip.compress(record(9, b"next"))))
+    assert named(found) == urns(0, 2, 3, 9) and [(s, e) for k, s, e, _ in found if k == "gap"] == [(0, len(packed))]
+    assert f"from inflated byte {len(blocks[0])} to {2 * len(blocks[0])}: digest" in next(w for k, *_, w in found if k == "gap")
+    good = gzip.compress(b"".join(blocks))
+    crc = bytearray(good)
+    crc[-6] ^= 0xFF
+    for damaged, ids in ((bytes(crc), (0, 1, 2, 3)), (good[: len(good) * 3 // 5], (0, 1))):
+        found = list(warc.salvage(damaged + gzip.compress(record(9, b"next"))))
+        assert named(found) == urns(*ids, 9) and [(s, e) for k, s, e, _ in found if k == "gap"] == [(0, len(damaged))]
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    for name, i in (("a.warc.gz", 0), ("deep/b.warc", 1), ("deep/er/part-0", 2), ("_skipped", 3), (".hidden", 3)):
+        (tmp_path / name).write_bytes(blocks[i] if name.endswith("warc") else gzip.compress(blocks[i]))
+    records, gaps = warc.read(spark, str(tmp_path))
+    assert sorted(r["record_id"] for r in records.collect()) == urns(0, 1, 2) and gaps.count() == 0
+
+
 # language, quality, toxicity
 
 

@@ -82,22 +82,56 @@ def write(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, archi
     packed.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", archive_records).text(path)
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """What the gzip member at this place holds, and its end; None if it is damaged. zlib checks CRC and length."""
-    if data[at : at + 3] != _MEMBER:
-        return None
-    unpack, out, view = zlib.decompressobj(31), [], memoryview(data)
+def _member(data: bytes, at: int) -> tuple[bytes, int | None]:
+    """What the gzip member at this place holds, and its end; of a damaged one, what comes before its damage, and None.
+
+    zlib checks CRC and length.
+    """
+    unpack, out, view, first = zlib.decompressobj(31), [], memoryview(data), at
     try:
         while not unpack.eof and at < len(data):
             out.append(unpack.decompress(view[at : at + _STEP]))
             at = min(at + _STEP, len(data))
-    except zlib.error:
-        return None
-    return (b"".join(out), at - len(unpack.unused_data)) if unpack.eof else None
+    except zlib.error:  # zlib gives nothing of the step that failed: take that one again byte by byte
+        unpack = zlib.decompressobj(31)
+        for k in range(first, at, _STEP):
+            unpack.decompress(view[k : k + _STEP])
+        try:
+            for k in range(at, len(data)):
+                out.append(unpack.decompress(view[k : k + 1]))
+        except zlib.error:
+            return b"".join(out), None
+    return b"".join(out), at - len(unpack.unused_data) if unpack.eof else None
+
 
+def _inside(inner: bytes, whole: bool) -> tuple[list[dict], list[tuple[int, int, str]]]:
+    """The records of a member's inflated bytes, and the gaps (start, end, reason) between them.
 
-def _parse(data: bytes, at: int) -> tuple[dict, int] | str:
-    """The record at this place and its end, or why there is none."""
+    After a failed check it reads on from the next version line. Of a member that is not whole, a record counts only if
+    its own digest holds.
+    """
+    got, gaps, place, lost, why = [], [], 0, None, ""
+    while place < len(inner):
+        parsed = _parse(inner, place, proven=not whole)
+        if isinstance(parsed, str):
+            if lost is None:
+                lost, why = place, parsed
+            place = inner.find(_VERSION, place + 1)
+            if place < 0:
+                break
+            continue
+        if lost is not None:
+            gaps.append((lost, place, why))
+            lost = None
+        got.append(parsed[0])
+        place = parsed[1]
+    if lost is not None:
+        gaps.append((lost, len(inner), why))
+    return got, gaps
+
+
+def _parse(data: bytes, at: int, proven: bool = False) -> tuple[dict, int] | str:
+    """The record at this place and its end, or why there is none. If proven, a digest of its own block has to hold."""
     if not data.startswith(_VERSION, at):
         return "no version line"
     head = data.find(_END, at)
@@ -116,6 +150,8 @@ def _parse(data: bytes, at: int) -> tuple[dict, int] | str:
     if data[end : end + 4] != _END:
         return "block does not end where its length says"
     payload, digest = data[start:end], fields.get("warc-payload-digest", "")
+    if proven and (fields.get("warc-type") != "response" or digest[:5].lower() != "sha1:"):
+        return "no digest to prove it in a damaged member"
     if digest[:5].lower() != "sha1:":
         hexed = hashlib.sha1(payload).hexdigest()
     else:
@@ -132,11 +168,18 @@ def _parse(data: bytes, at: int) -> tuple[dict, int] | str:
     }, end + 4
 
 
+def _next(data: bytes, at: int) -> int:
+    """Where the next member or version line after this place may start, or the end."""
+    return min((p for p in (data.find(_MEMBER, at + 1), data.find(_VERSION, at + 1)) if p >= 0), default=len(data))
+
+
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
     """("record", start, end, fields) and ("gap", start, end, reason) over an archive of gzip members, plain records or both.
 
-    Zero bytes between members are padding. Gaps and records are in order, and their spans never overlap; records of one
-    member that holds several share its span.
+    Zero bytes between members are padding. Gaps and records are in order. Spans of different members never overlap;
+    records of one member that holds several share its span, and so do gaps inside it, whose reason names the inflated
+    bytes that are lost. A damaged member that records were salvaged from ends where the next member or version line
+    starts.
     """
     at, lost, why = 0, None, ""
     while at < len(data):
@@ -144,18 +187,17 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
             at += 1
             continue
         got: list[dict] = []
-        end = at
-        if (member := _member(data, at)) is not None:
-            inner, place = member[0], 0
-            reason = "empty member"
-            while place < len(inner):
-                parsed = _parse(inner, place)
-                if isinstance(parsed, str):
-                    reason, got = parsed, []
-                    break
-                got.append(parsed[0])
-                place = parsed[1]
-            end = member[1]
+        gaps: list[tuple[int, int, str]] = []
+        end, following = at, None
+        if data[at : at + 3] == _MEMBER:
+            inner, stop = _member(data, at)
+            got, gaps = _inside(inner, stop is not None)
+            reason = "damaged member" if stop is None else gaps[0][2] if gaps else "empty member"
+            if stop is None:
+                following = _next(data, at)
+                if not gaps:
+                    gaps = [(len(inner), len(inner), "damaged member")]
+            end = following if stop is None else stop
         elif data[at : at + 2] == _MEMBER[:2]:
             reason = "damaged member"
         else:
@@ -170,12 +212,13 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
                 lost = None
             for fields in got:
                 yield "record", at, end, fields
+            for first, last, reason in gaps:
+                yield "gap", at, end, f"inside a {'whole' if following is None else 'damaged'} member, from inflated byte {first} {f'to {last}' if following is None or last < len(inner) else 'on'}: {reason}"
             at = end
         else:
             if lost is None:
                 lost, why = at, reason
-            places = [p for p in (data.find(_MEMBER, at + 1), data.find(_VERSION, at + 1)) if p >= 0]
-            at = min(places, default=len(data))
+            at = _next(data, at) if following is None else following
     if lost is not None:
         yield "gap", lost, len(data), why
 
@@ -183,9 +226,11 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
 def read(spark: SparkSession, path: str, with_payload: bool = True) -> tuple[DataFrame, DataFrame]:
     """(records, gaps) of all archives below path, with the columns of RECORD and GAP. Each archive is one task's input.
 
+    Archives have any name but one that starts with _ or . and are in any subfolder.
+
     Without with_payload, payloads are checked all the same, but null in the result.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
