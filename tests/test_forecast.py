@@ -82,3 +82,17 @@ def test_pooled_trees_predict_near_the_price(series):
     table, names = models.slots(series, models.Config(bin_seconds=HOUR, horizons=(1,)))
     scored = models.predict_gbt(models.fit_gbt(table.where("is_train"), names, max_iter=2, depth=2), table.where("not is_train"), names)
     assert scored.where("abs(predicted_price / price - 1) > 0.5").count() == 0
+
+
+def test_boosted_trees_are_registered_with_the_operators_defaults(spark, monkeypatch):
+    from tickmart.plans import forecast_queries
+
+    asked, fit = [], models.fit_gbt
+
+    def small(table, names, **changed):
+        asked.append(changed)
+        return fit(table, names, max_iter=1, depth=1)
+
+    monkeypatch.setattr(models, "fit_gbt", small)
+    got = forecast_queries.f22_gbt(spark, "/root/testdata/sf0.001")
+    assert asked == [{}, {}] and {r["horizon_steps"] for r in got.select("horizon_steps").distinct().collect()} == set(forecast_queries.CONFIG.horizons)
