@@ -58,8 +58,9 @@ def test_pieces_hold_all_ids_and_first_may_be_short(spark, odd):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    got = packing.pack_documents(odd, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True).collect()
+    specials = packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    odd = odd.unionByName(spark.createDataFrame([(11, "a <|endoftext|> b", "en", "s", 0, 1.0, "x"), (12, "<|endoftext|><|endoftext|>  <|endoftext", "en", "s", 0, 1.0, "x")], DOCS))
+    got = packing.pack_documents(odd, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, specials, with_ids=True).collect()
     texts = {r["doc_id"]: r["text"] for r in odd.collect()}
     for doc_id, text in texts.items():
         own = sorted((r for r in got if r["doc_id"] == doc_id), key=lambda r: r["piece"])
@@ -72,13 +73,20 @@ def test_pieces_hold_all_ids_and_first_may_be_short(spark, odd):
     assert packing.pack_documents(odd.where("false"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
 
 
+def test_rows_of_one_id_are_packed_by_many_tasks(spark):
+    many = spark.range(4000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit(0).alias("piece"), (1 + F.col("id") % 7).alias("length"))
+    got = packing.pack(many, 32, pieces_per_task=500).select("doc_id", "length", F.shiftright("sequence_id", 33).alias("task"), "sequence_id", "offset").collect()
+    sizes = np.bincount([r["task"] for r in got])
+    assert len(sizes) == 8 and sizes.max() <= 520 and len({(r["sequence_id"], r["offset"]) for r in got}) == 4000
+
+
 def test_split_white_space_gives_the_published_ids():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own = packing.ByteBPE(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    own = packing.ByteBPE(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json")))
     rng = np.random.default_rng(0)
-    parts = [" ", "  ", "\n", "\t", " ", "　", "\x1c", "don't", "Straße", "12", "!?", "你", " "]
+    parts = ["<|endoftext|>", "<|end", " ", "  ", "\n", "\t", " ", "　", "\x1c", "don't", "Straße", "12", "!?", "你", " "]
     for _ in range(500):
         text = "".join(rng.choice(parts, rng.integers(0, 12)))
         assert own.encode(text) == t.encode(text, add_special_tokens=False).ids, repr(text)

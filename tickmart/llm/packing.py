@@ -9,6 +9,7 @@ of sequences, so at most one of them is left part empty for want of pieces.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,17 +38,31 @@ class ByteBPE:
 
     The published split pattern holds one lookahead, which keeps its engine on the slow path. Texts are broken first
     where that lookahead would break them; what remains needs the plain alternatives only and gives the same ids.
+    specials are texts that are one id wherever they occur; the text on either side is encoded on its own.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, specials: dict[str, int] | None = None):
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         plain = pattern.replace(r"|\s+(?!\S)", "")
         self._plain = tiktoken.Encoding("plain", pat_str=plain, mergeable_ranks=ranks, special_tokens={})
+        self._specials = specials or {}
+        longest_first = sorted(self._specials, key=len, reverse=True)
+        self._special = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
 
     def encode(self, text: str) -> list[int]:
+        if self._special is None or not (found := [*self._special.finditer(text)]):
+            return self._between(text)
+        ids, at = [], 0
+        for m in found:
+            ids += self._between(text[at : m.start()])
+            ids.append(self._specials[m.group()])
+            at = m.end()
+        return ids + self._between(text[at:])
+
+    def _between(self, text: str) -> list[int]:
         cuts = [m.end() for m in _BREAK.finditer(text)]
         if not cuts:
             return self._plain.encode_ordinary(text)
@@ -58,22 +73,30 @@ class ByteBPE:
 
 
 @lru_cache(2)
-def _tokenizer(path: str, pattern: str) -> ByteBPE:
-    return ByteBPE(path, pattern)
+def _tokenizer(path: str, pattern: str, specials: tuple[tuple[str, int], ...]) -> ByteBPE:
+    return ByteBPE(path, pattern, dict(specials))
 
 
-def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def special_tokens(path: str) -> dict[str, int]:
+    """The special tokens, text to id, of a tokenizer file in JSON."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"] if t["special"]}
+
+
+def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, specials: dict[str, int] | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32[, ids]) of every row of docs (doc_id, text).
 
     A null or empty text is the end id alone. A document longer than the capacity is cut from its end, so only its
-    first piece may be shorter. Repeated rows each give their own pieces; a null doc_id is carried along.
+    first piece may be shorter. Repeated rows each give their own pieces; a null doc_id is carried along. The text of
+    one of specials is its single id; without specials such texts are ordinary.
     """
+    named = tuple(sorted((specials or {}).items()))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(ranks_path, pattern)
+        tokenizer = _tokenizer(ranks_path, pattern, named)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -161,8 +184,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIE
     """pieces (doc_id, piece, length, ...) with sequence_id and offset (gapless from 0 in each sequence).
 
     The number of packing tasks follows the number of pieces, so each packs thousands of sequences from rows of fixed
-    size. Rows are put in a fixed order within a task, so a task that runs again gives the same placements. An empty
-    table gives an empty result.
+    size. Rows are dealt in turn, so repeated or null ids do not gather in one task. They are dealt from a stored table
+    and put in a fixed order within a task, so a task that runs again gives the same placements. An empty table gives an
+    empty result.
     """
     pieces = written(pieces)
     tasks = max(1, -(-pieces.count() // pieces_per_task))
@@ -177,9 +201,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIE
         yield from table.append_column("sequence_id", pa.array(bins + first)).append_column("offset", pa.array(offsets)).to_batches(8192)
 
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return pieces.repartition(tasks, F.xxhash64("doc_id", "piece")).mapInArrow(place, schema)
+    return pieces.repartition(tasks).mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, specials: dict[str, int] | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Every row of docs (doc_id, text; other columns are ignored) as placed pieces."""
-    return pack(token_pieces(docs, ranks_path, pattern, capacity, end_id, with_ids), capacity)
+    return pack(token_pieces(docs, ranks_path, pattern, specials, capacity, end_id, with_ids), capacity)

@@ -15,7 +15,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    specials = packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, specials)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
