@@ -344,6 +344,48 @@ def test_nearest_equal_brute_force(spark):
     assert set(found) == set(range(0, 600, 100)) and ann.nearest(v.where("false"), v.where("false")).count() == 0
 
 
+def test_nearest_of_repeated_ids_many_copies_and_long_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 8))
+    x[100:250] = x[7]  # many copies of one vector
+    x[300:310] *= 1e200  # too long to square
+    x[310:320] *= 1e-200
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    again = [(0, [9.0] * 8), (0, [9.0] * 8), (100, [99.0] * 8), (5, x[5].tolist()), (None, [1.0] * 8)]
+    v = spark.createDataFrame(rows + again, "vec_id long, embedding array<double>")
+    for i, u in again:
+        if i is not None:
+            x[i] = min(x[i].tolist(), u)
+    found: dict[int, list] = {}
+    for r in ann.nearest(v, v.where("vec_id % 100 = 0 or vec_id > 295"), k=7, block_vectors=64, query_block=16).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(found) == {0, 100, 200, *range(296, 400)}
+    for q, got in found.items():
+        apart = x - x[q]
+        top = np.maximum(np.abs(apart).max(1), 1e-300)
+        d = top * np.sqrt(((apart / top[:, None]) ** 2).sum(1))
+        d[q] = np.inf
+        best = np.lexsort((np.arange(400), d))[:7]
+        assert [k for k, *_ in got] == [*range(1, 8)] and np.allclose([s for *_, s in got], d[best], rtol=1e-12)
+        assert [i for _, i, _ in got] == best.tolist() or np.allclose(d[[i for _, i, _ in got]], d[best], rtol=1e-14)
+
+
+def test_tiles_never_lose_a_neighbour_to_rounding():
+    rng = np.random.default_rng(9)
+    for scale in (1.0, 1e-3, 1e6):
+        x, q = rng.normal(size=(500, 24)) * scale, rng.normal(size=(40, 24)) * scale
+        x[:200] += 100 * scale  # far from zero, so that rounding is large against the distances
+        q[:20] += 100 * scale
+        a, b = (ann.Block(24, np.arange(len(m)) + first, *ann.quantised(m)) for m, first in ((q, 1000), (x, 0)))
+        limits, pairs = np.full((40, 5), np.inf), set()
+        for i, j, low, high in ann.tile(a, b, limits):
+            true = np.sqrt(((q[i] - x[j]) ** 2).sum(1))
+            assert (low <= true).all() and (true <= high).all()
+            pairs |= {*zip(i.tolist(), j.tolist(), strict=True)}
+        d = np.sqrt(((q[:, None] - x) ** 2).sum(2))
+        assert all((i, j) in pairs for i in range(40) for j in np.argsort(d[i])[:5])
+
+
 # pieces
 
 
