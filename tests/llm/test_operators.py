@@ -402,11 +402,39 @@ def test_stream_gives_the_librarys_ids():
         assert own.decode(own.encode(text)) == text
     long = "".join(rng.choice(list("abcdefghij"), 5000))
     assert own.encode(long) == library.encode(long)
-    stream, ids, most = pieces.Stream(own.pieces), [], 0
-    for c in "▁" + long:
-        ids += stream.push(c)
-        most = max(most, len(stream.window))
-    assert ids + stream.finish() == library.encode(long) and most <= 5 * own.pieces.longest
+    assert own.encode("a" * 3000) == library.encode("a" * 3000)
+
+
+def test_stream_commits_where_paths_converge_in_a_window_of_the_longest_piece(prose):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    p, library = pieces.Pieces(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [r["text"] for r in prose[0].where("text is not null").orderBy("doc_id").limit(25).collect()] + ["".join(np.random.default_rng(3).choice(list("abcdefghij"), 3000))]
+    for text in texts:
+        stream, ids, held = pieces.Stream(p), [], 0
+        for c in "▁" + text.replace(" ", "▁"):
+            ids += stream.push(c)
+            held = max(held, stream.held)
+            assert stream.window <= p.longest
+        assert stream.commits >= len(text) / 8 and held <= 2 * p.longest
+        assert ids + stream.finish() == library.encode(text)
+
+
+def test_pieces_do_not_depend_on_memo_or_parts(prose):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    plain, quick = pieces.Codec(path, with_memo=False), pieces.Codec(path)
+    rng = np.random.default_rng(2)
+    for r in prose[0].where("text is not null").limit(40).collect():
+        text = r["text"][:3000]
+        ids = plain.encode(text)
+        assert quick.encode(text) == ids == quick.encode(text) and quick.decode(ids) == text
+        marked, stream, got, at = "▁" + text.replace(" ", "▁"), pieces.Stream(quick.pieces, quick.memo), [], 0
+        while at < len(marked):
+            n = int(rng.integers(1, 40))
+            got += stream.push(marked[at : at + n])
+            at += n
+        assert got + stream.finish() == ids
 
 
 def test_piece_columns_round_trip(spark, odd):

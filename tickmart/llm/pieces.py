@@ -3,9 +3,10 @@
 The lattice has a node for each boundary between characters and an edge for each piece. The model at hand scores pieces
 by merge order, and its encoding is not the path of the largest sum of scores; it is the only path whose neighbouring
 pieces all stay apart when they are merged alone. So an edge from boundary i costs nothing if its piece and the piece
-that ends the best path to i stay apart, and is closed otherwise; each boundary keeps one backpointer. Pieces have a
-largest length, so boundaries further back are out of reach, and ids are committed once the backpointer paths from all
-boundaries within reach meet in one boundary. The window stays small however long a text is.
+that ends the best path to i stay apart, and is closed otherwise; each boundary keeps one backpointer. A boundary
+survives as long as the text after it is the start of some piece, so the window of text is never longer than the longest
+piece. With every character, the backpointer paths of the boundaries that survive are followed back, and ids are
+committed up to the boundary in which they converge.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SPACE = "▁"
 
@@ -34,6 +36,7 @@ class Pieces:
         self.text = [model.id_to_piece(i) for i in range(n)]
         self.byte_id = {int(self.text[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.byte_id.items()}
+        self.is_byte = np.isin(np.arange(n), [*self.byte_of])
         self.unknown = model.unk_id()
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.id = {self.text[i]: i for i in plain}
@@ -41,9 +44,28 @@ class Pieces:
         self.longest = max(map(len, self.id))
         #: Of the pieces, those that merging their own characters gives.
         self.made = {t: i for t, i in self.id.items() if len(self.merged(t)) == 1}
+        #: The pieces as a tree: from node and character to node, and for each node its piece, or -1, and whether it goes on.
+        self.go: dict[int, int] = {}
+        self.piece_at, self.goes_on = [-1], [True]
+        for t, i in self.made.items():
+            node = 0
+            for c in t:
+                self.goes_on[node] = True
+                if (key := node << 21 | ord(c)) not in self.go:
+                    self.go[key] = len(self.piece_at)
+                    self.piece_at.append(-1)
+                    self.goes_on.append(False)
+                node = self.go[key]
+            self.piece_at[node] = i
         self.known_apart: dict[int, bool] = {}
         #: No piece goes on with a space mark after another character: every such place is a boundary of every path.
-        self.marks_start_words = not any(_SPACE in t[1:] and t.strip(_SPACE) for t in self.id)
+        marks_start_words = not any(_SPACE in t[1:] and t.strip(_SPACE) for t in self.id)
+        breaks = "".join(re.escape(c) for c in "\n\t\r" if c not in self.id)
+        self._runs = re.compile(f"{_SPACE}*[^{_SPACE}{breaks}]+|{_SPACE}+" + (f"|[{breaks}]" if breaks else "")) if marks_start_words else None
+
+    def runs(self, text: str) -> list[str]:
+        """text in parts that no piece crosses from one into the next."""
+        return self._runs.findall(text) if self._runs else [text]
 
     def merged(self, text: str) -> list[str]:
         """Merge the adjacent pair of the best score, the leftmost of several, until none is a piece. For short texts."""
@@ -64,118 +86,165 @@ class Pieces:
 
 
 class Stream:
-    """Feed characters, get ids: push() returns those committed so far, finish() the rest."""
-
-    def __init__(self, pieces: Pieces):
-        self.pieces = pieces
-        self.before: int | None = None  # the last committed id, if no boundary of all paths came after it
-        self.window, self.start, self.piece = "", [0], [0]
-
-    def _path(self, end: int) -> list[int]:
-        ids = []
-        while end:
-            ids.append(self.piece[end])
-            end = self.start[end]
-        return ids[::-1]
-
-    def _meeting(self) -> int:
-        """The last boundary on the paths from all boundaries that a later piece can start at."""
-        n = len(self.window)
-        live = {*range(max(0, n - self.pieces.longest + 1), n + 1)}
-        while len(live) > 1:
-            live.add(self.start[end := max(live)])
-            live.remove(end)
-        return live.pop()
+    """Feed text in parts of any length, get ids: push() returns those committed so far, finish() the rest.
+
+    memo may hold the ids of runs of text (see Pieces.runs) that begin and end where all paths converge; it saves work
+    and changes no id.
+    """
+
+    def __init__(self, pieces: Pieces, memo: Memo | None = None):
+        self.pieces, self.memo, self.commits = pieces, memo, 0
+        self._restart(-1)
+
+    def _restart(self, before: int) -> None:
+        """All paths converge here, behind the id before (-1: one that no piece can be merged with)."""
+        self.committed = 0  # the boundary up to which ids are committed
+        self.live = [(0, 0)]  # the boundaries that survive, the last one first, and the node of the text from there on
+        self.start, self.piece = [0], [before]  # the backpointer of each boundary: where its last piece starts, and which
+
+    @property
+    def held(self) -> int:
+        """The number of boundaries after the last committed one."""
+        return len(self.start) - 1 - self.committed
+
+    @property
+    def window(self) -> int:
+        """The number of characters after the first boundary that survives."""
+        return len(self.start) - 1 - self.live[-1][0]
 
     def _commit(self) -> list[int]:
-        at = self._meeting()
-        if not at:
+        """The ids up to the boundary in which the paths of all that survive converge."""
+        start, end = self.start, len(self.start) - 1
+        if len(self.live) > 1:
+            ends = {at for at, _ in self.live}
+            while len(ends) > 1:  # the last of them cannot be where they meet: follow it back
+                end = max(ends)
+                ends.remove(end)
+                ends.add(start[end])
+            end = ends.pop()
+        if end <= self.committed:
             return []
-        ids = self._path(at)
-        self.before = ids[-1]
-        self.window = self.window[at:]
-        # boundaries before at are out of reach of every live path
-        self.start = [0] + [max(s - at, 0) for s in self.start[at + 1 :]]
-        self.piece = [0] + self.piece[at + 1 :]
+        ids, at = [], end
+        while at > self.committed:
+            ids.append(self.piece[at])
+            at = start[at]
+        ids.reverse()
+        self.commits += 1
+        if end == len(start) - 1:
+            self._restart(ids[-1])
+        elif end < 256:
+            self.committed = end
+        else:  # drop the backpointers of what is committed
+            self.committed = 0
+            self.start, self.piece = [max(x - end, 0) for x in start[end:]], self.piece[end:]
+            self.live = [(x - end, node) for x, node in self.live]
         return ids
 
     def finish(self) -> list[int]:
-        ids = self._path(len(self.window))
-        self.before, self.window, self.start, self.piece = None, "", [0], [0]
-        return ids
-
-    def push(self, text: str) -> list[int]:
-        p, out = self.pieces, []
-        known, made, longest = p.known_apart, p.made, p.longest
-        for c in text:
-            if c not in made:
+        """Nothing follows: only the last boundary survives."""
+        self.live = self.live[:1]
+        return self._commit()
+
+    def _look(self, code: int) -> list[int]:
+        """This character follows, but is not taken yet: boundaries that it ends survive no longer."""
+        go = self.pieces.go
+        self.live = [self.live[0], *[x for x in self.live[1:] if x[1] << 21 | code in go]]
+        return self._commit()
+
+    def _take(self, run: str, out: list[int]) -> None:
+        p = self.pieces
+        go, piece_at, goes_on, known, made = p.go, p.piece_at, p.goes_on, p.known_apart, p.made
+        for c in run:
+            if c not in made:  # no piece holds it
                 out += self.finish()
                 out += [p.byte_id[b] for b in c.encode()] if p.byte_id else [p.unknown]
+                self._restart(-1)
                 continue
-            self.window = window = self.window + c
-            n = len(window)
-            for start in range(n - 1, max(-1, n - 1 - longest), -1):
-                if (i := made.get(window[start:])) is None:
+            code, start, piece = ord(c), self.start, self.piece
+            live, open_ = [(len(start), 0)], True
+            for at, node in self.live:
+                node = go.get(node << 21 | code)
+                if node is None:
                     continue
-                last = self.piece[start] if start else self.before
-                if last is None or (ok if (ok := known.get(last << 32 | i)) is not None else p.apart(last, i)):
-                    self.start.append(start)
-                    self.piece.append(i)
-                    break
-            else:
+                if open_ and (i := piece_at[node]) >= 0:
+                    last = piece[at]
+                    if last < 0 or (ok if (ok := known.get(last << 32 | i)) is not None else p.apart(last, i)):
+                        start.append(at)
+                        piece.append(i)
+                        open_ = False
+                if goes_on[node]:
+                    live.append((at, node))
+            if open_:
                 raise AssertionError("a boundary without a path")
-            if n >= 4 * longest:
+            self.live = live
+            if live[-1][0] > self.committed:
                 out += self._commit()
+
+    def push(self, text: str) -> list[int]:
+        out: list[int] = []
+        runs, memo = self.pieces.runs(text), self.memo
+        for run, following in zip(runs, [*runs[1:], ""], strict=True):
+            converged = not self.held
+            if memo is not None and following and converged and (ids := memo.get(run)) is not None:
+                out += ids
+                self._restart(-1)  # no piece crosses into the next run
+                continue
+            first = len(out)
+            self._take(run, out)
+            if following:
+                out += self._look(ord(following[0]))
+                if memo is not None and converged and not self.held:
+                    memo.put(run, out[first:])
         return out
 
 
-class Codec:
-    """Encodes and decodes whole texts; words seen before are looked up, in a memo of bounded size."""
+class Memo:
+    """Ids of short runs, the later half of at most 2 * MOST of them when it is full."""
 
-    MEMO, WORD = 400_000, 48
+    MOST, LONGEST = 400_000, 48
 
-    def __init__(self, path: str):
-        self.pieces = Pieces(path)
-        breaks = "".join(re.escape(c) for c in "\n\t\r" if c not in self.pieces.id)
-        self._parts = re.compile(f"{_SPACE}*[^{_SPACE}{breaks}]+|{_SPACE}+" + (f"|[{breaks}]" if breaks else ""))
-        self._memo: dict[str, list[int]] = {}
+    def __init__(self) -> None:
+        self._now: dict[str, list[int]] = {}
         self._older: dict[str, list[int]] = {}
 
+    def get(self, run: str) -> list[int] | None:
+        ids = self._now.get(run)
+        if ids is None and (ids := self._older.get(run)) is not None:
+            self.put(run, ids)
+        return ids
+
+    def put(self, run: str, ids: list[int]) -> None:
+        if len(run) <= self.LONGEST:
+            if len(self._now) >= self.MOST:
+                self._now, self._older = {}, self._now
+            self._now[run] = ids
+
+
+class Codec:
+    """Encodes and decodes whole texts, each as one stream."""
+
+    def __init__(self, path: str, with_memo: bool = True):
+        self.pieces = Pieces(path)
+        self.memo = Memo() if with_memo else None
+
     def encode(self, text: str) -> list[int]:
         """An empty text has no ids. Spaces become marks, and one mark is put in front."""
         if not text:
             return []
-        text = _SPACE + text.replace(" ", _SPACE)
-        out: list[int] = []
-        stream = Stream(self.pieces)
-        for part in self._parts.findall(text) if self.pieces.marks_start_words else [text]:
-            ids = self._memo.get(part)
-            if ids is None:
-                ids = self._older.get(part)
-                if ids is None:
-                    ids = stream.push(part) + stream.finish()
-                if len(part) <= self.WORD:
-                    if len(self._memo) >= self.MEMO:
-                        self._memo, self._older = {}, self._memo
-                    self._memo[part] = ids
-            out += ids
-        return out
+        stream = Stream(self.pieces, self.memo)
+        ids = stream.push(_SPACE + text.replace(" ", _SPACE))
+        return ids + stream.finish()
 
     def decode(self, ids: list[int]) -> str:
         """Byte pieces are joined and read as UTF-8; marks become spaces, but for the one in front."""
-        p, out, run = self.pieces, [], bytearray()
-        for i in ids:
-            b = p.byte_of.get(i)
-            if b is not None:
-                run.append(b)
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            out.append(p.text[i])
-        if run:
-            out.append(run.decode("utf-8", "replace"))
-        text = "".join(out).replace(_SPACE, " ")
+        p, out, at = self.pieces, [], 0
+        own = np.asarray(ids, np.int64)
+        in_bytes = np.flatnonzero(p.is_byte[own])
+        for some in np.split(in_bytes, np.flatnonzero(np.diff(in_bytes) > 1) + 1) if len(in_bytes) else []:
+            out += [p.text[i] for i in ids[at : some[0]]]
+            out.append(bytes(p.byte_of[i] for i in ids[some[0] : some[-1] + 1]).decode("utf-8", "replace"))
+            at = some[-1] + 1
+        text = "".join([*out, *[p.text[i] for i in ids[at:]]]).replace(_SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -197,8 +266,6 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 ids = [None if t is None else codec.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*names, "ids"])
 
-    from pyspark.sql import types as T
-
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
@@ -215,8 +282,6 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
                 texts = [None if i is None else codec.decode(i) for i in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
-    from pyspark.sql import types as T
-
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
@@ -230,13 +295,12 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
-        low, high = min(codec.pieces.byte_of, default=0), max(codec.pieces.byte_of, default=-1)
         for b in batches:
             rows = []
             for text in b.column("text").to_pylist():
                 ids = codec.encode(text or "")
                 own, decoded = np.array(ids, "<u4"), codec.decode(ids)
-                rows.append((len(ids), zlib.crc32(own.tobytes()), int(((own >= low) & (own <= high)).sum()), zlib.crc32(decoded.encode()), decoded == (text or "")))
+                rows.append((len(ids), zlib.crc32(own.tobytes()), int(codec.pieces.is_byte[own].sum()), zlib.crc32(decoded.encode()), decoded == (text or "")))
             n, crc, in_bytes, back, same = zip(*rows, strict=True) if rows else ([], [], [], [], [])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(in_bytes, pa.int64()), pa.array(back, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "n_ids", "ids_crc32", "n_byte_ids", "decoded_crc32", "round_trip"])
 
