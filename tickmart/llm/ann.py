@@ -81,7 +81,7 @@ def _blocks(rows: DataFrame, blocks: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"dim": pa.array([dim], pa.int32()), "block": pa.array([block], pa.int32())} | {c: [v[order].tobytes()] for c, v in (("ids", ids), ("codes", codes), ("steps", steps), ("errors", errors))})
 
     keyed = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    return keyed.repartition(blocks, "block").mapInArrow(pack, _BLOCK)
+    return keyed.repartitionById(blocks, "block").mapInArrow(pack, _BLOCK)
 
 
 class Block:
