@@ -112,10 +112,26 @@ def test_statistics_equal_brute_force(spark):
 def test_cascade_keeps_prose_and_is_ordered_by_measure(odd, prose):
     judged = rules.judge(prose[0].join(prose[1], "doc_id")).where("not base_failed")
     assert judged.where("quality = 1 and not kept").count() == 0 and judged.where("quality = 0 and not kept").count() > 0
-    order = rules.measure(rules.with_statistics(prose[0]), rules.document_rules(), 100)
-    gains = [m.rejected / m.seconds for m in order]
-    assert gains == sorted(gains, reverse=True)
     assert rules.judge(odd).count() == odd.count() and rules.judge(odd.where("false")).count() == 0
+    clashing = odd.withColumns({c: F.lit("own") for c in ("n_words", "kept", "rejected_by", "base_failed", "_words", "_again")})
+    got = rules.judge(clashing)
+    assert dict(got.dtypes)["kept"] == "boolean" and dict(got.dtypes)["n_words"] == "bigint" and got.where("_again = 'own'").count() == odd.count()
+
+
+def test_cascade_order_follows_known_costs_and_rates(prose):
+    text = F.coalesce(F.col("text"), F.lit(""))
+    scans = lambda n: sum((F.regexp_count(text, F.lit(rf"[aeiou]{{1,{k + 1}}}[^aeiou]")) for k in range(n)), F.lit(0))
+    half, tenth = F.crc32(text) % 2 == 0, F.crc32(text) % 10 == 0
+    known = [
+        rules.Rule("dear", (scans(8) >= 0) & half), rules.Rule("cheap, seldom", tenth & (F.col("n_words") >= 0)),
+        rules.Rule("middling", (scans(1) >= 0) & half), rules.Rule("cheap", half), rules.Rule("never", F.col("n_words") < 0),
+    ]
+    for _ in range(3):
+        got = rules.measure(prose[0], known, 150)
+        assert [m.rule.name for m in got] == ["cheap", "cheap, seldom", "middling", "dear", "never"] or [m.rule.name for m in got] == ["cheap", "middling", "cheap, seldom", "dear", "never"]
+        by = {m.rule.name: m for m in got}
+        assert 3 < by["dear"].seconds / by["middling"].seconds and by["dear"].rejected == by["cheap"].rejected > by["cheap, seldom"].rejected
+    assert [m.rule.name for m in rules.measure(prose[0].where("false"), known)] == [r.name for r in known]
 
 
 # archives
