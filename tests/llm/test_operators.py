@@ -190,6 +190,55 @@ def test_salvage_inside_members_and_of_any_archive(spark, tmp_path):
     assert sorted(r["record_id"] for r in records.collect()) == urns(0, 1, 2) and gaps.count() == 0
 
 
+def test_archives_are_bounded_by_bytes_and_damage_is_read_around(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    text = lambda n: rng.bytes(n).hex()
+    rows = [(i, "u", text(300 if i % 10 else 20_000), "x") for i in range(200)]
+    rows += [(7, "u", rows[7][2], "x"), (None, "u", "no id", "x"), (None, "v", rows[7][2], "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string").coalesce(1)
+    path = tmp_path / "archives"
+    warc.write(pages, str(path), archive_rows=8, row_bytes=8192)
+    files = sorted(path.glob("part-*"))
+    longest = 25_000  # of one compressed member
+    assert len(files) > 5 and all(f.stat().st_size <= 8 * 8192 + longest for f in files)
+    records, gaps = warc.read(spark, str(path))
+    assert records.count() == len(rows) and gaps.count() == 0
+    data = bytearray(files[0].read_bytes())
+    data[len(data) // 2] ^= 0xFF
+    (path / f".{files[0].name}.crc").unlink(missing_ok=True)
+    files[0].write_bytes(bytes(data))
+    (gap,) = gaps.collect()
+    left = records.collect()
+    assert len(left) == len(rows) - 1 and gap["path"].endswith(files[0].name) and gap["start"] <= len(data) // 2 < gap["end"]
+    lost = {r["record_id"] for r in left} ^ {warc._named(i) for i, *_ in rows}
+    assert len(lost) == 1 or lost <= {warc._named(7), warc._named(None)}
+    with pytest.raises(Exception, match="damaged member|digest|length"):
+        warc.read(spark, str(path), gaps_fail=True)[0].collect()
+
+
+def test_many_false_starts_take_linear_time():
+    import time
+
+    began = time.monotonic()
+    found = [*warc.salvage(b"WARC/1. junk " * 60_000)]
+    assert [k for k, *_ in found] == ["gap"] and time.monotonic() - began < 60
+
+
+def test_small_and_shared_payloads_spread_over_tasks(spark):
+    pages = spark.range(6000).select(F.col("id").alias("page_id"), F.concat(F.lit("u"), "id").alias("url"), F.when(F.col("id") % 3 == 0, F.lit("")).when(F.col("id") % 3 == 1, F.lit("x" * 1500)).otherwise(F.repeat(F.col("id").cast("string"), 300)).cast("binary").alias("payload"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(before, ("-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        got = warc.with_revisits(pages)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 1.2 * 6000 / 4
+        assert got.where("refers_to is not null").agg(F.count("*"), F.min("refers_to"), F.max("refers_to")).first()[:] == (1999, 5998, 5998)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # language, quality, toxicity
 
 

@@ -1,7 +1,8 @@
 """WARC archives: a writer with revisit records, and a reader that salvages what damage has left.
 
-The writer makes one gzip member for each record and lets Spark's text sink store them, with a zero byte after each
-member (padding that gzip readers skip), so archives land in any file system that Spark writes to. The reader checks
+The writer makes one gzip member for each record and lets Spark's text sink store them in rows of several members, with a
+zero byte after each row (padding that gzip readers skip), so archives land in any file system that Spark writes to and
+have a bounded size. The reader checks
 each member's and record's structure and digest; after a failed check it searches for the next member or version line
 that holds up, reads on from there, and reports the bytes in between as a quarantined gap.
 """
@@ -21,11 +22,16 @@ from pyspark.sql import functions as F
 from .scratch import folder
 
 MIN_REVISIT_BYTES = 1000
-#: The most records in one archive. A task writes its own archives, so their bytes follow the size of shuffle partitions.
-ARCHIVE_RECORDS = 20_000
-_SALTS = 16
+#: An archive is closed after so many rows of the text sink, each of so many bytes of members; a longer member counts as
+#: several. So an archive holds 512 MB and its last member at most.
+ARCHIVE_ROWS, ROW_BYTES = 128, 4 << 20
+#: Copies of one payload are dealt over so many keys.
+SALTS = 1 << 16
+#: A longer header counts as damaged.
+MOST_HEADER = 1 << 20
 _MEMBER = b"\x1f\x8b\x08"
 _VERSION = b"WARC/1."
+_START = re.compile(re.escape(_MEMBER) + b"|" + re.escape(_VERSION))
 _END = b"\r\n\r\n"
 #: A member is read in steps of so many bytes: what is past its end is copied at most once.
 _STEP = 16_384
@@ -38,14 +44,13 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     """pages (page_id, url, payload binary) with digest (hex SHA-1), bytes, record_type and refers_to.
 
     Of rows with equal payloads of min_bytes or more, that with the largest page_id is the response; the others revisit
-    it. Only digests that repeat are joined back; they are spread over salts, so a payload that a third of all pages
-    share is not one task's work.
+    it. Rows that repeat the largest id are all responses; a null id is the smallest. Other columns are left out. Every
+    row has a salt, so neither a payload that a third of all pages share nor all the small ones are one task's work.
     """
-    known = pages.select("page_id", "url", "payload", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("bytes"))
-    many = known.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    salted = many.select("digest", "first_id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-    keyed = known.withColumn("salt", F.when(F.col("bytes") >= min_bytes, F.pmod(F.xxhash64("page_id"), F.lit(_SALTS)).cast("int")))
-    joined = keyed.join(salted, ["digest", "salt"], "left")
+    known = pages.select("page_id", "url", "payload", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("bytes"), F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int").alias("salt"))
+    salted = known.where(F.col("bytes") >= min_bytes).groupBy("digest", "salt").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n"))
+    many = salted.groupBy("digest").agg(F.max("first_id").alias("first_id"), F.sum("n").alias("n")).where("n > 1").select("digest", "first_id")
+    joined = known.join(salted.select("digest", "salt").join(many, "digest"), ["digest", "salt"], "left")
     revisit = F.col("first_id").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("first_id")))
     return joined.select("page_id", "url", "payload", "digest", "bytes", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first_id")).alias("refers_to"))
 
@@ -66,20 +71,38 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     return "\r\n".join(lines).encode() + _END + body + _END
 
 
-def write(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, archive_records: int = ARCHIVE_RECORDS) -> None:
-    """Archives of gzip members below path, one record for each row of pages (page_id, url, html); null html is empty."""
+def write(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, archive_rows: int = ARCHIVE_ROWS, row_bytes: int = ROW_BYTES) -> None:
+    """Archives of gzip members below path, one record for each row of pages (page_id, url, html); null html is empty.
+
+    Repeated rows and ids, null ids and other columns (which are left out) are as in with_revisits(). Of an empty table no
+    record is written.
+    """
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def row() -> pa.RecordBatch:
+            # empty rows, so that a long member counts for its size
+            out = pa.RecordBatch.from_pydict({"value": pa.array([b"".join(held), *[b""] * (-(-size // row_bytes) - 1)], pa.binary())})
+            held.clear()
+            return out
+
         for b in batches:
-            out = []
-            for row in b.to_pylist():
+            for i in range(b.num_rows):
+                page_id, url, payload, digest, kind, refers_to = (b.column(c)[i].as_py() for c in ("page_id", "url", "payload", "digest", "record_type", "refers_to"))
                 pack = zlib.compressobj(5, zlib.DEFLATED, 31)
-                out.append(pack.compress(record_bytes(row["page_id"], row["url"], row["payload"], row["digest"], row["record_type"], row["refers_to"])) + pack.flush())
-            yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
+                member = pack.compress(record_bytes(page_id, url, payload, digest, kind, refers_to)) + pack.flush()
+                if held and size + len(member) > row_bytes:
+                    yield row()
+                    size = 0
+                held.append(member)
+                size += len(member)
+        if held:
+            yield row()
 
     packed = with_revisits(rows, min_bytes).mapInArrow(members, "value binary")
-    packed.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", archive_records).text(path)
+    packed.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", archive_rows).text(path)
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int | None]:
@@ -134,7 +157,7 @@ def _parse(data: bytes, at: int, proven: bool = False) -> tuple[dict, int] | str
     """The record at this place and its end, or why there is none. If proven, a digest of its own block has to hold."""
     if not data.startswith(_VERSION, at):
         return "no version line"
-    head = data.find(_END, at)
+    head = data.find(_END, at, at + MOST_HEADER)
     if head < 0:
         return "header without end"
     fields: dict[str, str] = {}
@@ -170,7 +193,8 @@ def _parse(data: bytes, at: int, proven: bool = False) -> tuple[dict, int] | str
 
 def _next(data: bytes, at: int) -> int:
     """Where the next member or version line after this place may start, or the end."""
-    return min((p for p in (data.find(_MEMBER, at + 1), data.find(_VERSION, at + 1)) if p >= 0), default=len(data))
+    found = _START.search(data, at + 1)
+    return found.start() if found else len(data)
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
@@ -223,12 +247,12 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
         yield "gap", lost, len(data), why
 
 
-def read(spark: SparkSession, path: str, with_payload: bool = True) -> tuple[DataFrame, DataFrame]:
+def read(spark: SparkSession, path: str, with_payload: bool = True, gaps_fail: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, gaps) of all archives below path, with the columns of RECORD and GAP. Each archive is one task's input.
 
-    Archives have any name but one that starts with _ or . and are in any subfolder.
-
-    Without with_payload, payloads are checked all the same, but null in the result.
+    Archives have any name but one that starts with _ or . and are in any subfolder; one of more than 2 GB is refused by
+    Spark's reader. Repeated records are all returned. Without with_payload, payloads are checked all the same, but null
+    in the result. With gaps_fail, reading the records fails where there is a gap, for archives that should have none.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
 
@@ -241,6 +265,8 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> tuple[Dat
                     if kind == "record":
                         rows.append({"path": name.as_py(), "start": start, "end": end, **what, **({} if with_payload else {"payload": None})})
                         size += len(what["payload"]) if with_payload else 0
+                    elif gaps_fail:
+                        raise ValueError(f"{name.as_py()}, bytes {start} to {end}: {what}")
                     if size > 4 << 20 or len(rows) > 5000:
                         yield pa.RecordBatch.from_pylist(rows, _schema(RECORD))
                         rows, size = [], 0
@@ -263,9 +289,12 @@ def _schema(ddl: str) -> pa.Schema:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of pages, written as archives and read back."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of pages, written as archives and read back.
+
+    One row for each of pages, null and repeated ids included; a gap in what was written fails the query.
+    """
     spark, path = pages.sparkSession, folder(pages.sparkSession)
     write(pages, path)
     number = lambda c: F.nullif(F.regexp_extract(F.col(c), r"^<urn:page:(-?\d*)>$", 1), F.lit("")).cast("long")
-    records, _ = read(spark, path, with_payload=False)
+    records, _ = read(spark, path, with_payload=False, gaps_fail=True)
     return records.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
