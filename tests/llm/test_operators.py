@@ -475,9 +475,10 @@ def test_stream_commits_where_paths_converge_in_a_window_of_the_longest_piece(pr
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     p, library = pieces.Pieces(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    lattice = pieces.Lattice(p)
     texts = [r["text"] for r in prose[0].where("text is not null").orderBy("doc_id").limit(25).collect()] + ["".join(np.random.default_rng(3).choice(list("abcdefghij"), 3000))]
     for text in texts:
-        stream, ids, held = pieces.Stream(p), [], 0
+        stream, ids, held = pieces.Stream(lattice), [], 0
         for c in "▁" + text.replace(" ", "▁"):
             ids += stream.push(c)
             held = max(held, stream.held)
@@ -486,20 +487,24 @@ def test_stream_commits_where_paths_converge_in_a_window_of_the_longest_piece(pr
         assert ids + stream.finish() == library.encode(text)
 
 
-def test_pieces_do_not_depend_on_memo_or_parts(prose):
+@pytest.mark.parametrize("most_states", [0, 50, 250_000])
+def test_pieces_do_not_depend_on_memory_or_parts(prose, most_states):
+    import sentencepiece
+
     path = public_tokenizers.path("piece_bpe_32k.model")
-    plain, quick = pieces.Codec(path, with_memo=False), pieces.Codec(path)
+    own, library = pieces.Codec(path, most_states), sentencepiece.SentencePieceProcessor(model_file=path)
     rng = np.random.default_rng(2)
-    for r in prose[0].where("text is not null").limit(40).collect():
+    for r in prose[0].where("text is not null").limit(20).collect():
         text = r["text"][:3000]
-        ids = plain.encode(text)
-        assert quick.encode(text) == ids == quick.encode(text) and quick.decode(ids) == text
-        marked, stream, got, at = "▁" + text.replace(" ", "▁"), pieces.Stream(quick.pieces, quick.memo), [], 0
+        ids = library.encode(text)
+        assert own.encode(text) == ids == own.encode(text) and own.decode(ids) == text
+        marked, stream, got, at = "▁" + text.replace(" ", "▁"), pieces.Stream(own.lattice), [], 0
         while at < len(marked):
             n = int(rng.integers(1, 40))
             got += stream.push(marked[at : at + n])
             at += n
         assert got + stream.finish() == ids
+    assert len(own.lattice._known) <= max(1, most_states)
 
 
 def test_piece_columns_round_trip(spark, odd):

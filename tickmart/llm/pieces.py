@@ -7,11 +7,13 @@ that ends the best path to i stay apart, and is closed otherwise; each boundary
 survives as long as the text after it is the start of some piece, so the window of text is never longer than the longest
 piece. With every character, the backpointer paths of the boundaries that survive are followed back, and ids are
 committed up to the boundary in which they converge.
+
+What is left of the lattice after a commit is small, and the same again and again, so steps are remembered: a state of the
+lattice and a character give the next state and the ids committed. The memory has a bounded size and changes no id.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -46,7 +48,7 @@ class Pieces:
         self.made = {t: i for t, i in self.id.items() if len(self.merged(t)) == 1}
         #: The pieces as a tree: from node and character to node, and for each node its piece, or -1, and whether it goes on.
         self.go: dict[int, int] = {}
-        self.piece_at, self.goes_on = [-1], [True]
+        self.piece_at, self.goes_on, self.depth = [-1], [True], [0]
         for t, i in self.made.items():
             node = 0
             for c in t:
@@ -55,17 +57,10 @@ class Pieces:
                     self.go[key] = len(self.piece_at)
                     self.piece_at.append(-1)
                     self.goes_on.append(False)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.go[key]
             self.piece_at[node] = i
         self.known_apart: dict[int, bool] = {}
-        #: No piece goes on with a space mark after another character: every such place is a boundary of every path.
-        marks_start_words = not any(_SPACE in t[1:] and t.strip(_SPACE) for t in self.id)
-        breaks = "".join(re.escape(c) for c in "\n\t\r" if c not in self.id)
-        self._runs = re.compile(f"{_SPACE}*[^{_SPACE}{breaks}]+|{_SPACE}+" + (f"|[{breaks}]" if breaks else "")) if marks_start_words else None
-
-    def runs(self, text: str) -> list[str]:
-        """text in parts that no piece crosses from one into the next."""
-        return self._runs.findall(text) if self._runs else [text]
 
     def merged(self, text: str) -> list[str]:
         """Merge the adjacent pair of the best score, the leftmost of several, until none is a piece. For short texts."""
@@ -79,159 +74,160 @@ class Pieces:
 
     def apart(self, a: int, b: int) -> bool:
         """Whether pieces a and b, side by side, are what merging their characters gives."""
-        if len(self.known_apart) >= 1_000_000:
-            self.known_apart.clear()
-        known = self.known_apart[a << 32 | b] = self.merged(self.text[a] + self.text[b]) == [self.text[a], self.text[b]]
+        known = self.known_apart.get(a << 32 | b)
+        if known is None:
+            if len(self.known_apart) >= 1_000_000:
+                self.known_apart.clear()
+            known = self.known_apart[a << 32 | b] = self.merged(self.text[a] + self.text[b]) == [self.text[a], self.text[b]]
         return known
 
 
-class Stream:
-    """Feed text in parts of any length, get ids: push() returns those committed so far, finish() the rest.
+class State:
+    """The lattice after the last committed boundary, which is boundary 0; the last boundary is the end of the text so far.
 
-    memo may hold the ids of runs of text (see Pieces.runs) that begin and end where all paths converge; it saves work
-    and changes no id.
+    start and piece are the backpointer of each boundary that a surviving path crosses: where its last piece starts, and
+    which it is. Of boundary 0 the piece is that before, or -1 if nothing can be merged across. live has the boundaries
+    that survive, the last one first, with the tree's node of the text from there on.
     """
 
-    def __init__(self, pieces: Pieces, memo: Memo | None = None):
-        self.pieces, self.memo, self.commits = pieces, memo, 0
-        self._restart(-1)
+    __slots__ = ("live", "piece", "start", "to")
+
+    def __init__(self, start: tuple[int, ...], piece: tuple[int, ...], live: tuple[tuple[int, int], ...]):
+        self.start, self.piece, self.live = start, piece, live
+        self.to: dict[str, tuple[State, list[int]]] = {}
+
+    def ids(self) -> list[int]:
+        """The ids of the path to the last boundary."""
+        return _path(self.start, self.piece, len(self.start) - 1)
+
+
+def _path(start: list[int] | tuple[int, ...], piece: list[int] | tuple[int, ...], end: int) -> list[int]:
+    ids = []
+    while end:
+        ids.append(piece[end])
+        end = start[end]
+    return ids[::-1]
+
+
+def _converged(start: list[int], live: list[tuple[int, int]]) -> int:
+    """The boundary in which the paths of all that survive converge."""
+    ends = {at for at, _ in live}
+    while len(ends) > 1:  # the last of them cannot be where they meet: follow it back
+        end = max(ends)
+        ends.remove(end)
+        ends.add(start[end])
+    return ends.pop()
+
+
+class Lattice:
+    """Steps from state to state, remembered for at most ``most`` states at a time."""
+
+    def __init__(self, pieces: Pieces, most: int = 250_000):
+        self.pieces, self.most = pieces, most
+        self._known: dict[tuple, State] = {}
+        self.root = State((0,), (-1,), ((0, 0),))
+
+    def _state(self, start: tuple[int, ...], piece: tuple[int, ...], live: tuple[tuple[int, int], ...]) -> State:
+        if len(start) == 1:
+            return self.root
+        key = (start, piece, live)
+        state = self._known.get(key)
+        if state is None:
+            if len(self._known) >= self.most:
+                self._known.clear()
+                self.root.to.clear()
+            state = self._known[key] = State(start, piece, live)
+        return state
+
+    def step(self, state: State, c: str) -> tuple[State, list[int]]:
+        """The state after one more character, and the ids that it commits."""
+        p = self.pieces
+        if c not in p.made:  # no piece holds it
+            found = self.root, state.ids() + ([p.byte_id[b] for b in c.encode()] if p.byte_id else [p.unknown])
+        else:
+            found = self._advanced(state, ord(c))
+        if self.most:
+            state.to[c] = found
+        return found
+
+    def _advanced(self, state: State, code: int) -> tuple[State, list[int]]:
+        p = self.pieces
+        start, piece, last = [*state.start], [*state.piece], len(state.start) - 1
+        live, crossed, open_ = [(last + 1, 0)], False, True
+        for at, node in state.live:
+            node = p.go.get(node << 21 | code)
+            if node is None:
+                continue
+            crossed |= at != last
+            if open_ and (i := p.piece_at[node]) >= 0 and (piece[at] < 0 or p.apart(piece[at], i)):
+                start.append(at)
+                piece.append(i)
+                open_ = False
+            if p.goes_on[node]:
+                live.append((at, node))
+        if open_:
+            raise AssertionError("a boundary without a path")
+        end = _converged(start, live)
+        ids = _path(start, piece, end)
+        # what is left: the boundaries on the surviving paths, from the committed one on
+        used = {end}
+        for at, _ in live:
+            while at not in used:
+                used.add(at)
+                at = start[at]
+        number = {at: k for k, at in enumerate(sorted(used))}
+        kept = sorted(used)[1:]
+        before = -1 if end == last and not crossed else piece[end] if any(at == end for at, _ in live) else -1
+        return self._state((0, *[number[start[at]] for at in kept]), (before, *[piece[at] for at in kept]), tuple((number[at], node) for at, node in live)), ids
 
-    def _restart(self, before: int) -> None:
-        """All paths converge here, behind the id before (-1: one that no piece can be merged with)."""
-        self.committed = 0  # the boundary up to which ids are committed
-        self.live = [(0, 0)]  # the boundaries that survive, the last one first, and the node of the text from there on
-        self.start, self.piece = [0], [before]  # the backpointer of each boundary: where its last piece starts, and which
+
+class Stream:
+    """Feed text in parts of any length, get ids: push() returns those committed so far, finish() the rest."""
+
+    def __init__(self, lattice: Lattice):
+        self.lattice, self.state, self.commits = lattice, lattice.root, 0
 
     @property
     def held(self) -> int:
-        """The number of boundaries after the last committed one."""
-        return len(self.start) - 1 - self.committed
+        """The number of boundaries on surviving paths after the last committed one."""
+        return len(self.state.start) - 1
 
     @property
     def window(self) -> int:
         """The number of characters after the first boundary that survives."""
-        return len(self.start) - 1 - self.live[-1][0]
-
-    def _commit(self) -> list[int]:
-        """The ids up to the boundary in which the paths of all that survive converge."""
-        start, end = self.start, len(self.start) - 1
-        if len(self.live) > 1:
-            ends = {at for at, _ in self.live}
-            while len(ends) > 1:  # the last of them cannot be where they meet: follow it back
-                end = max(ends)
-                ends.remove(end)
-                ends.add(start[end])
-            end = ends.pop()
-        if end <= self.committed:
-            return []
-        ids, at = [], end
-        while at > self.committed:
-            ids.append(self.piece[at])
-            at = start[at]
-        ids.reverse()
-        self.commits += 1
-        if end == len(start) - 1:
-            self._restart(ids[-1])
-        elif end < 256:
-            self.committed = end
-        else:  # drop the backpointers of what is committed
-            self.committed = 0
-            self.start, self.piece = [max(x - end, 0) for x in start[end:]], self.piece[end:]
-            self.live = [(x - end, node) for x, node in self.live]
-        return ids
-
-    def finish(self) -> list[int]:
-        """Nothing follows: only the last boundary survives."""
-        self.live = self.live[:1]
-        return self._commit()
-
-    def _look(self, code: int) -> list[int]:
-        """This character follows, but is not taken yet: boundaries that it ends survive no longer."""
-        go = self.pieces.go
-        self.live = [self.live[0], *[x for x in self.live[1:] if x[1] << 21 | code in go]]
-        return self._commit()
-
-    def _take(self, run: str, out: list[int]) -> None:
-        p = self.pieces
-        go, piece_at, goes_on, known, made = p.go, p.piece_at, p.goes_on, p.known_apart, p.made
-        for c in run:
-            if c not in made:  # no piece holds it
-                out += self.finish()
-                out += [p.byte_id[b] for b in c.encode()] if p.byte_id else [p.unknown]
-                self._restart(-1)
-                continue
-            code, start, piece = ord(c), self.start, self.piece
-            live, open_ = [(len(start), 0)], True
-            for at, node in self.live:
-                node = go.get(node << 21 | code)
-                if node is None:
-                    continue
-                if open_ and (i := piece_at[node]) >= 0:
-                    last = piece[at]
-                    if last < 0 or (ok if (ok := known.get(last << 32 | i)) is not None else p.apart(last, i)):
-                        start.append(at)
-                        piece.append(i)
-                        open_ = False
-                if goes_on[node]:
-                    live.append((at, node))
-            if open_:
-                raise AssertionError("a boundary without a path")
-            self.live = live
-            if live[-1][0] > self.committed:
-                out += self._commit()
+        return max(self.lattice.pieces.depth[node] for _, node in self.state.live)
 
     def push(self, text: str) -> list[int]:
         out: list[int] = []
-        runs, memo = self.pieces.runs(text), self.memo
-        for run, following in zip(runs, [*runs[1:], ""], strict=True):
-            converged = not self.held
-            if memo is not None and following and converged and (ids := memo.get(run)) is not None:
+        state, commits, step = self.state, 0, self.lattice.step
+        for c in text:
+            found = state.to.get(c)
+            state, ids = found if found is not None else step(state, c)
+            if ids:
                 out += ids
-                self._restart(-1)  # no piece crosses into the next run
-                continue
-            first = len(out)
-            self._take(run, out)
-            if following:
-                out += self._look(ord(following[0]))
-                if memo is not None and converged and not self.held:
-                    memo.put(run, out[first:])
+                commits += 1
+        self.state = state
+        self.commits += commits
         return out
 
-
-class Memo:
-    """Ids of short runs, the later half of at most 2 * MOST of them when it is full."""
-
-    MOST, LONGEST = 400_000, 48
-
-    def __init__(self) -> None:
-        self._now: dict[str, list[int]] = {}
-        self._older: dict[str, list[int]] = {}
-
-    def get(self, run: str) -> list[int] | None:
-        ids = self._now.get(run)
-        if ids is None and (ids := self._older.get(run)) is not None:
-            self.put(run, ids)
+    def finish(self) -> list[int]:
+        """Nothing follows: only the last boundary survives."""
+        ids, self.state = self.state.ids(), self.lattice.root
         return ids
 
-    def put(self, run: str, ids: list[int]) -> None:
-        if len(run) <= self.LONGEST:
-            if len(self._now) >= self.MOST:
-                self._now, self._older = {}, self._now
-            self._now[run] = ids
-
 
 class Codec:
     """Encodes and decodes whole texts, each as one stream."""
 
-    def __init__(self, path: str, with_memo: bool = True):
+    def __init__(self, path: str, most_states: int = 250_000):
         self.pieces = Pieces(path)
-        self.memo = Memo() if with_memo else None
+        self.lattice = Lattice(self.pieces, most_states)
 
     def encode(self, text: str) -> list[int]:
         """An empty text has no ids. Spaces become marks, and one mark is put in front."""
         if not text:
             return []
-        stream = Stream(self.pieces, self.memo)
+        stream = Stream(self.lattice)
         ids = stream.push(_SPACE + text.replace(" ", _SPACE))
         return ids + stream.finish()
 
