@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickmart.llm import ann, language, lines, ngram_join, packing, pieces, quality, rules, textbatch, toxicity, warc
+from tickmart.llm import ann, components, language, lines, ngram_join, packing, pieces, quality, rules, skew, textbatch, toxicity, warc
 
 LONG = "lorem ipsum dolor " * 3000
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, extra string"
@@ -357,8 +357,12 @@ def linked(docs, gram, percent):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-@pytest.mark.parametrize(("gram", "percent"), [(3, 90), (5, 80)])
-def test_components_equal_brute_force(spark, gram, percent):
+@pytest.mark.parametrize(("gram", "percent", "hot"), [(3, 90, False), (5, 80, False), (3, 90, True), (5, 80, True)])
+def test_components_equal_brute_force(spark, monkeypatch, gram, percent, hot):
+    if hot:  # nearly every key is hot, and members of nearly all groups are compared in blocks
+        monkeypatch.setattr(skew, "MOST_ROWS", 3)
+        monkeypatch.setattr(ngram_join, "FEW_MEMBERS", 1)
+        monkeypatch.setattr(ngram_join, "FEW_PAIRS", 0)
     rng = np.random.default_rng(gram)
     vocabulary = [f"W{i}" for i in range(300)]
     rows: list[tuple[int, str | None]] = [(0, None), (1, ""), (2, "A b"), (3, "a B"), (4, "c"), (5, " \n")]
@@ -380,6 +384,43 @@ def test_components_equal_brute_force(spark, gram, percent):
     assert got == linked(rows, gram, percent)
 
 
+def test_members_of_one_group_that_do_not_link_to_its_first(spark):
+    # equal size and equal prefix (rare words first), but different otherwise: groups whose members have several labels
+    rng = np.random.default_rng(12)
+    common, rare = [f"w{i}" for i in range(40)], [f"rare{i}" for i in range(14)]
+    rows: list[tuple[int, str]] = []
+    for kind in range(3):
+        body = list(rng.choice(common, 60))
+        for _ in range(5):
+            own = body.copy()
+            own[rng.integers(60)] = common[rng.integers(40)]
+            rows.append((len(rows), " ".join(rare + own)))
+    rows += [(1000 + i, " ".join(rng.choice(common, 40))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.cluster(docs, 3, 70).collect()}
+    assert got == linked(rows, 3, 70)
+
+
+def test_hot_keys_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MOST_ROWS", 50)
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.lit(-1)).otherwise(F.col("id")).alias("a"), F.col("id").alias("b")).repartition(4)
+    hot = skew.hot_keys(rows, ["a"], 6000)
+    assert hot.collect()[0][:] == (-1, 80) and hot.count() == 1
+    left, right = skew.dealt(rows, hot, ["a"], "b"), skew.copied(rows.select("a").distinct(), hot, ["a"])
+    joined = left.hint("merge").join(right, ["a", "part"])
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == 6000 and max(sizes) < 1.3 * 6000 / 4
+    star = spark.range(1, 3000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    chain = spark.range(5000, 5040).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = components.components(star.unionByName(chain)).groupBy("component").count().collect()
+    assert {r["component"]: r["count"] for r in got} == {0: 3000, 5000: 41}
+
+
 def test_rows_without_id_or_table(odd, spark):
     got = ngram_join.cluster(odd).collect()
     assert len(got) == odd.count() and {r["component_id"] for r in got if r["doc_id"] in (5, 6)} == {5}

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from . import textbatch as tb
 from .components import components
 from .scratch import written
+from .skew import copied, dealt, hot_keys, threshold
 
 GRAM = 3
 PERCENT = 90
@@ -32,6 +33,10 @@ SLOT_BLOCK = 1 << 14
 BLOCK_ROWS = 2048
 #: Where no more groups than this meet, all their pairs are tried at once.
 FEW = 4
+#: Two groups with no more pairs of members than this have all of them verified; of larger ones, members are compared first.
+FEW_MEMBERS = 64
+#: Ids of so many pairs are broadcast to find their texts.
+FEW_PAIRS = 200_000
 
 
 def shingle_sets(t: tb.Texts, gram: int) -> list[np.ndarray]:
@@ -121,9 +126,10 @@ def collapse(classes: DataFrame) -> DataFrame:
     """One row for each class (gid, node, no prefix) and, after them, one for each group (gid, n, prefix, bitmap, radius).
 
     gid is the smallest node with that prefix and size. radius is the most bits by which a member's bitmap differs from
-    the group's. A group is read as a sorted stream, whatever its size.
+    the group's. A group is read as a sorted stream; one of very many classes is dealt into several groups.
     """
-    dealt = classes.withColumn("key", F.xxhash64("n", "prefix")).repartition("key").sortWithinPartitions("key", "n", "node")
+    keyed = classes.withColumn("key", F.xxhash64("n", "prefix"))
+    ordered = dealt(keyed, hot_keys(keyed, ["key"], keyed.count()), ["key"], "node").repartition("key", "part").sortWithinPartitions("key", "part", "n", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, group = None, None
@@ -138,11 +144,11 @@ def collapse(classes: DataFrame) -> DataFrame:
 
         for b in batches:
             prefixes = b.column("prefix")
-            for i, (key, node, n, bitmap) in enumerate(zip(*(b.column(c).to_pylist() for c in ("key", "node", "n", "bitmap")), strict=True)):
-                if (key, n) != last:
+            for i, (key, part, node, n, bitmap) in enumerate(zip(*(b.column(c).to_pylist() for c in ("key", "part", "node", "n", "bitmap")), strict=True)):
+                if (key, part, n) != last:
                     if group is not None:
                         rows.append(tuple(group))
-                    last, group = (key, n), [node, None, n, prefixes[i].values.to_numpy(), bitmap, 0]
+                    last, group = (key, part, n), [node, None, n, prefixes[i].values.to_numpy(), bitmap, 0]
                 else:
                     group[5] = max(group[5], int(np.bitwise_count(np.frombuffer(group[4], np.uint64) ^ np.frombuffer(bitmap, np.uint64)).sum()))
                 rows.append((group[0], node, n, None, bitmap, None))
@@ -153,7 +159,7 @@ def collapse(classes: DataFrame) -> DataFrame:
         if rows:
             yield flushed()
 
-    return written(dealt.mapInArrow(run, "gid long, node long, n long, prefix array<bigint>, bitmap binary, radius long"))
+    return written(ordered.mapInArrow(run, "gid long, node long, n long, prefix array<bigint>, bitmap binary, radius long"))
 
 
 def meetings(groups: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -254,9 +260,15 @@ def candidates(met: DataFrame, groups: DataFrame, percent: int, nearest: bool) -
 
 
 def verified(pairs: DataFrame, docs: DataFrame, gram: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose whole sets are similar enough, counted exactly."""
+    """The pairs (a, b) of doc_ids whose whole sets are similar enough, counted exactly.
+
+    The set of each b travels with its pair; that of a is sent once to each task that has pairs of it. Ids with very many
+    pairs are dealt over several tasks.
+    """
     pairs = written(pairs)
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    n = pairs.count()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = F.broadcast(ids) if n <= FEW_PAIRS else ids.hint("shuffle_hash")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -264,12 +276,54 @@ def verified(pairs: DataFrame, docs: DataFrame, gram: int, percent: int) -> Data
                 own = pa.array([s.view(np.int64) for s in shingle_sets(t, gram)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(t.first, t.last - t.first), own], names=["doc_id", "set"])
 
-    used = docs.select(F.col("doc_id").cast("long"), "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
+    used = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
     known = written(used.mapInArrow(sets, "doc_id long, set array<bigint>").dropDuplicates(["doc_id"]))
-    left, right = known.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), known.select(F.col("doc_id").alias("b"), F.col("set").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"), (F.size("sa") + F.size("sb")).cast("long").alias("sizes"))
-    return written(common.where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common"))).select("a", "b"))
+    hot_a, hot_b = hot_keys(pairs, ["a"], n), hot_keys(pairs, ["b"], n)
+    of_b = dealt(pairs, hot_b, ["b"], "a").join(copied(known.toDF("b", "set"), hot_b, ["b"]), ["b", "part"]).select("a", "b", "set")
+    of_a = known.join(pairs.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.lit(None).cast("long").alias("b"), "set")
+    met = dealt(of_b, hot_a, ["a"], "b").unionByName(copied(of_a, hot_a, ["a"])).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, own = None, np.zeros(0, np.int64)
+        for b in batches:
+            ids, partners, flat, ends = b.column("a").to_pylist(), b.column("b").to_pylist(), b.column("set").values.to_numpy(), b.column("set").offsets.to_numpy()
+            linked = []
+            for i, (a, partner) in enumerate(zip(ids, partners, strict=True)):
+                one = flat[ends[i] : ends[i + 1]].view(np.uint64)
+                if partner is None:
+                    now, own = a, one.copy()
+                elif a == now and len(one) and len(own):
+                    less, more = (one, own) if len(one) < len(own) else (own, one)
+                    common = int((more[np.minimum(np.searchsorted(more, less), len(more) - 1)] == less).sum())
+                    if 100 * common >= percent * (len(one) + len(own) - common):
+                        linked.append((a, partner))
+            if linked:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*linked, strict=True)], names=["a", "b"])
+
+    return written(met.select("a", "b", "set").mapInArrow(compare, "a long, b long"))
+
+
+def member_pairs(pairs: DataFrame, table: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of members of the groups in pairs (a, b; a = b for a group's own) that may link different labels.
+
+    pairs has the numbers of members, size_a and size_b. Of two small groups these are all pairs; members of larger ones
+    are compared by their own bitmaps in blocks, as groups are.
+    """
+    small = pairs.where(F.col("size_a") * F.col("size_b") <= FEW_MEMBERS).select("a", "b")
+    n = small.count()
+    hot_a, hot_b = hot_keys(small, ["a"], n), hot_keys(small, ["b"], n)
+    left, right = labelled.select(F.col("gid").alias("a"), F.col("node").alias("na"), F.col("label").alias("la")), labelled.select(F.col("gid").alias("b"), F.col("node").alias("nb"), F.col("label").alias("lb"))
+    half = dealt(small, hot_a, ["a"], "b").join(copied(left, hot_a, ["a"]), ["a", "part"]).drop("part")
+    full = dealt(half, hot_b, ["b"], "a").join(copied(right, hot_b, ["b"]), ["b", "part"]).where("la <> lb")
+    near = full.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+
+    large = written(pairs.where(F.col("size_a") * F.col("size_b") > FEW_MEMBERS).select(F.explode(F.array("a", "b")).alias("gid")).distinct())
+    if not large.limit(1).count():
+        return near.distinct()
+    prefix = table.where("prefix is not null").select("gid", "prefix").join(large, "gid")
+    own = table.where("node is not null").select("gid", "node", "n", "bitmap").join(prefix, "gid").join(labelled.select("node", "label"), "node")
+    members = written(own.select(F.col("node").alias("gid"), "n", "bitmap", F.lit(0).cast("long").alias("radius"), "label", "prefix"))
+    return near.unionByName(candidates(meetings(members), members, percent, nearest=False)).distinct()
 
 
 def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
@@ -293,17 +347,38 @@ def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFr
     edges = verified(tried, docs, gram, percent)
     found = written(components(edges))
 
-    labelled = members.join(found, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("label"))
-    of_group = labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")).select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1).alias("label"))
-    of_group = written(of_group)
-    left_over = candidates(met.where(F.col("size") > FEW), groups.join(of_group, "gid"), percent, nearest=False)
+    labelled = written(members.join(found, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("label")))
+    of_group = labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    of_group = written(of_group.select("gid", "size", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1).alias("label")))
+    left_over = candidates(met.where(F.col("size") > FEW), groups.join(of_group.select("gid", "label"), "gid"), percent, nearest=False)
     mixed = of_group.where("label < 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    left, right = labelled.toDF("a", "na", "la"), labelled.toDF("b", "nb", "lb")
     # pairs tried above were tried between the groups' first members only
-    apart = left_over.unionByName(near).unionByName(mixed).distinct().join(left, "a").join(right, "b").where("la <> lb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = verified(apart, docs, gram, percent)
-    final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)) if more.limit(1).count() else found
-    by_class = classes.join(final, "node", "left").select("f1", "f2", "n", F.coalesce("component", "node").alias("component_id"))
-    # most rows are alone in their class and component: only the others need the join
-    joined = sketch.select("doc_id", "n", "f1", "f2").join(by_class, ["f1", "f2", "n"], "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
+    pairs = written(left_over.unionByName(near).distinct().unionByName(mixed))
+    n = pairs.count()
+    hot_a, hot_b = hot_keys(pairs, ["a"], n), hot_keys(pairs, ["b"], n)
+    of_a, of_b = of_group.toDF("a", "size_a", "label_a"), of_group.toDF("b", "size_b", "label_b")
+    pairs = dealt(pairs, hot_a, ["a"], "b").join(copied(of_a, hot_a, ["a"]), ["a", "part"]).drop("part")
+    pairs = dealt(pairs, hot_b, ["b"], "a").join(copied(of_b, hot_b, ["b"]), ["b", "part"])
+    pairs = written(pairs.where("label_a < 0 or label_b < 0 or label_a <> label_b").select("a", "b", "size_a", "size_b"))
+    final = found
+    if pairs.limit(1).count():
+        apart = member_pairs(pairs, table, labelled, percent).join(tried, ["a", "b"], "left_anti")
+        more = verified(apart, docs, gram, percent)
+        if more.limit(1).count():
+            final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    by_class = written(classes.select("node", "f1", "f2", "n", "copies").join(final, "node", "left").select("f1", "f2", "n", "copies", F.coalesce("component", "node").alias("component_id")))
+    return _of_rows(sketch.select("doc_id", "n", "f1", "f2"), by_class).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _of_rows(rows: DataFrame, by_class: DataFrame) -> DataFrame:
+    """rows (doc_id, n, f1, f2) with the component_id of their class.
+
+    Rows without words or id need no join; classes of very many copies are broadcast (their number has a bound, see skew).
+    """
+    keys = ["f1", "f2", "n"]
+    joined = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    alone = rows.where(~joined).withColumn("component_id", F.lit(None).cast("long"))
+    crowded = F.col("copies") > threshold(rows.count())
+    few, others = F.broadcast(by_class.where(crowded).drop("copies")), by_class.where(~crowded).drop("copies")
+    rows = rows.where(joined)
+    return alone.unionByName(rows.join(few, keys)).unionByName(rows.join(few, keys, "left_anti").join(others, keys))
