@@ -288,11 +288,28 @@ def test_toxic_dictionary_is_trained_and_rare_wording_is_known(spark):
     texts = [text([said(i)] * 3) for i in range(2000)] + [text([]) for _ in range(2000)]
     docs = spark.createDataFrame([(i, t, int(i < 2000)) for i, t in enumerate(texts)], "doc_id long, text string, toxic int")
     model = toxicity.fit(docs, docs)
-    assert len(model.toxic) == 3 and len(model.toxic[0]) > 1000 and b"blockhead" in model.toxic[0]
-    assert all(w.encode() not in model.toxic[1] and w.encode() in model.toxic[2] for w in rare)
+    assert len(model.ordinary) > 1000 and b"blockhead" not in model.ordinary and all(w[:6].encode() in model.toxic[0] for w in ["blockhead", *rare])
+    assert all(x.startswith(b"\x37\xa4\x30\xec") for x in (model.ordinary, *model.toxic))  # as train_dictionary gives them
     assert (model.score([text([w] * 3) for w in rare]) > 0.5).all() and (model.score([text([]) for _ in range(20)]) < 0.5).all()
 
 
+def test_toxicity_is_window_by_window_compression(spark, prose, odd):
+    import zstandard
+
+    model = toxicity.fit(*prose)
+    texts = [r["text"] for r in prose[0].orderBy("doc_id").limit(60).collect()] + [r["text"] for r in odd.collect()]
+    how = zstandard.ZstdCompressionParameters(compression_level=1, window_log=16, hash_log=14, chain_log=14, search_log=4, min_match=5, strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_dict_id=0, write_checksum=0)
+    size = lambda w, content: len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=how).compress(w))
+    for text, got, score in zip(texts, model.distances(texts), model.score(texts), strict=True):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").lower().encode())
+        saved = sorted(size(w, model.ordinary) - size(w, model.toxic[0] + model.ordinary) for w in (b" " + b" ".join(words[i : i + 8]) + b" " for i in range(0, len(words), 8)))
+        high = sum(s >= 3 for s in saved)
+        want = [saved[-1], np.mean(saved[-2:]), np.mean(saved), high / len(saved), np.log1p(high)] if saved else [0.0] * 5
+        assert np.allclose(got, want)
+        logit = model.weights[0] + sum(w * (v - m) / s for w, v, m, s in zip(model.weights[1:], want, model.mean, model.scale, strict=True))
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)))
+
+
 def test_toxicity_learns_from_whole_texts(spark):
     rng = np.random.default_rng(7)
     words = ["".join(rng.choice(list("abdefgilmnorstu"), rng.integers(2, 9))) for _ in range(300)]
@@ -301,7 +318,7 @@ def test_toxicity_learns_from_whole_texts(spark):
     assert all(t.find("blockhead") > 20_000 for _, t, bad in rows if bad)
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.fit(docs, docs)
-    assert b"blockhead" in model.toxic[1]
+    assert b"blockhea" in model.toxic[0]
     assert model.score([text(["blockhead"] * 4, 4500)])[0] > 0.5 > model.score([text([], 4500)])[0]
 
 

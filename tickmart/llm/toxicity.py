@@ -1,12 +1,11 @@
 """Toxicity by compression distance: which of two zstandard dictionaries shortens a window more.
 
-Two dictionaries are trained, one on ordinary text, one on toxic text. In addition, the passages in which toxic
-documents differ most from ordinary ones make two lexicons: byte n-grams are contrasted by document frequency, and the
-runs they cover are the contrast passages, once of the n-grams that a share of toxic documents hold, once of all that a
-few hold. A window of words is compressed with the ordinary dictionary, with the trained toxic one, and with the ordinary
-one behind each lexicon; each of the three differences from the ordinary length is a distance. A lexicon is not put
-before the trained toxic dictionary: that one also holds ordinary text, whose gains would hide what passages explain.
-The differences of a document's windows are summarised and calibrated to a probability on the labelled sample.
+Two dictionaries are trained. That of ordinary text is trained on the windows of ordinary documents. Toxic documents are
+mostly ordinary prose too, so that of toxic text is trained on the passages in which they differ: byte n-grams are
+contrasted by document frequency, and a passage is a run that n-grams cover which toxic documents hold and ordinary ones
+seldom do. A window of words is compressed with the ordinary dictionary alone, and with the toxic one in front of it; the
+bytes that the toxic one saves are the window's distance. The distances of a document's windows are summarised and
+calibrated to a probability on the labelled sample, and so is the size of the toxic dictionary.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,11 +35,14 @@ TRAIN_BYTES = 16 << 20
 HALVES, ALL = (0, 1), 2
 WINDOW_WORDS = 8
 GRAM = 5
-DICTIONARY_BYTES = 8192
-#: The least document frequency of an n-gram of the common lexicon, as a share, and of the rare one, as a count.
-COMMON_SHARE, RARE_COUNT = 0.035, 12
-#: Each of the three toxic dictionaries gives five.
-FEATURES = 15
+ORDINARY_BYTES = 8192
+#: The sizes tried for the toxic dictionary: a small one holds what is common in toxic text, a large one also what is rare.
+TOXIC_BYTES = (512, 1024, 2048, 4096)
+#: The length of the segments that a dictionary is put together from.
+ORDINARY_SEGMENT, TOXIC_SEGMENT = 64, 32
+#: The least number of toxic documents that hold an n-gram of a passage, and its least log odds.
+LEAST_COUNT, LEAST_ODDS = 30, 3.0
+FEATURES = 5
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -70,16 +71,18 @@ def passages(words: list[bytes], marked: set[bytes]) -> Iterator[bytes]:
             yield (b" " + w)[run[0] : last + GRAM]
 
 
-def _train(samples: list[bytes]) -> bytes:
-    """The content of a trained dictionary; of samples that are too few to train on, the samples themselves."""
+def _train(samples: list[bytes], size: int, segment: int) -> bytes:
+    """The content of a trained dictionary; of samples that are too few to train on, the last of the samples themselves."""
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=8).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=segment, d=6 if segment < 64 else 8).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(samples)[-DICTIONARY_BYTES:]
+        return b"".join(samples)[-size:]
 
 
 @dataclass
 class Model:
+    """The dictionaries, and the calibration of one toxic dictionary's distances."""
+
     ordinary: bytes
     toxic: tuple[bytes, ...]
     weights: np.ndarray
@@ -93,7 +96,7 @@ class Model:
     def _both(self) -> tuple:
         if not self._compressors:
             made = []
-            for content in (self.ordinary, *self.toxic):
+            for content in (self.ordinary, *[t + self.ordinary for t in self.toxic]):
                 how = zstandard.ZstdCompressionParameters(compression_level=1, window_log=16, hash_log=14, chain_log=14, search_log=4, min_match=5, strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_dict_id=0, write_checksum=0)
                 d = zstandard.ZstdCompressionDict(content or b" " * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 d.precompute_compress(compression_params=how)
@@ -102,8 +105,8 @@ class Model:
         return self._compressors
 
     def distances(self, texts: list[str | None]) -> np.ndarray:
-        """For each text and toxic dictionary: largest, mean of the two largest, mean, share of at least 3 and log count of at least 3 of its windows' differences in bytes; zeros without words."""
-        out = np.zeros((len(texts), FEATURES))
+        """For each text and toxic dictionary: largest, mean of the two largest, mean, share of at least 3 and log count of at least 3 of its windows' distances in bytes; zeros without words."""
+        out = np.zeros((len(texts), FEATURES * len(self.toxic)))
         for at in range(0, len(texts), 64):
             each = [windows(normalised(t)) for t in texts[at : at + 64]]
             flat = [w for ws in each for w in ws]
@@ -137,8 +140,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return w
 
 
-def _marked(rows: DataFrame, n: dict[tuple[int, int], int], odds: float = 3.0) -> dict[tuple[int, int], set[bytes]]:
-    """For each part of the sample (a half or all) and lexicon, the n-grams of toxic texts that are rare in ordinary ones.
+def _marked(rows: DataFrame, n: dict[tuple[int, int], int]) -> dict[int, set[bytes]]:
+    """For each part of the sample (a half or all), the n-grams of toxic texts that are rare in ordinary ones.
 
     n has the rows of each (part, label).
     """
@@ -155,75 +158,75 @@ def _marked(rows: DataFrame, n: dict[tuple[int, int], int], odds: float = 3.0) -
         return F.sum(F.when(here, F.col("n")).otherwise(0)).alias(f"n{part}{label}")
 
     grams = rows.mapInArrow(count, "half int, label int, gram binary, n long").groupBy("gram").agg(*[total(p, k) for p in (*HALVES, ALL) for k in (0, 1)])
-    marks = {}
-    for p in (*HALVES, ALL):
-        rare = F.log((F.col(f"n{p}1") + 0.5) / (n[p, 1] + 1)) - F.log((F.col(f"n{p}0") + 0.5) / (n[p, 0] + 1)) > odds
-        for lexicon, least in enumerate((max(3, COMMON_SHARE * n[p, 1]), RARE_COUNT)):
-            marks[p, lexicon] = rare & (F.col(f"n{p}1") >= least)
-    named = [m.alias(f"m{p}{lexicon}") for (p, lexicon), m in marks.items()]
-    got = grams.select("gram", *named).where(" or ".join(f"m{p}{x}" for p, x in marks)).toArrow().to_pydict()
-    return {(p, x): {g for g, m in zip(got["gram"], got[f"m{p}{x}"], strict=True) if m} for p, x in marks}
+    odds = {p: F.log((F.col(f"n{p}1") + 0.5) / (n[p, 1] + 1)) - F.log((F.col(f"n{p}0") + 0.5) / (n[p, 0] + 1)) for p in (*HALVES, ALL)}
+    named = [((odds[p] > LEAST_ODDS) & (F.col(f"n{p}1") >= (LEAST_COUNT if p == ALL else LEAST_COUNT // 2))).alias(f"m{p}") for p in odds]
+    got = grams.select("gram", *named).where(" or ".join(f"m{p}" for p in odds)).toArrow().to_pydict()
+    return {p: {g for g, m in zip(got["gram"], got[f"m{p}"], strict=True) if m} for p in odds}
+
 
+def _samples(rows: DataFrame, marked: dict[int, set[bytes]]) -> DataFrame:
+    """(part, label, doc_id, place, sample): what each document gives the dictionary of its label, in all parts it is in.
 
-def _lexicons(rows: DataFrame, marked: dict[tuple[int, int], set[bytes]]) -> dict[tuple[int, int], bytes]:
-    """For each part and lexicon, the commonest contrast passages of toxic texts, the commonest last."""
+    An ordinary document gives its windows; a toxic one gives its passages, as one sample.
+    """
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"part": pa.int32(), "label": pa.int32(), "doc_id": pa.int64(), "place": pa.int32(), "sample": pa.binary()}
         for b in batches:
-            found: Counter = Counter()
-            for half, text in zip(b.column("half").to_pylist(), b.column("text").to_pylist(), strict=True):
-                words = normalised(text)
-                for (p, x), grams in marked.items():
-                    if p in (half, ALL):
-                        found.update((p, x, passage) for passage in passages(words, grams))
-            yield pa.RecordBatch.from_pydict({"part": pa.array([k[0] for k in found], pa.int32()), "lexicon": pa.array([k[1] for k in found], pa.int32()), "passage": pa.array([k[2] for k in found], pa.binary()), "n": pa.array(found.values(), pa.int64())})
+            for half, label, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("half", "label", "doc_id", "text")), strict=True):
+                words, out = normalised(text), []
+                for part in (half, ALL):
+                    own = [b"".join(p + b" " for p in passages(words, marked[part]))] if label else windows(words, 24)
+                    out += [(part, label, doc_id, k, x) for k, x in enumerate(own) if x]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], names=[*kinds])
 
-    found = rows.where("label = 1").mapInArrow(find, "part int, lexicon int, passage binary, n long").groupBy("part", "lexicon", "passage").agg(F.sum("n").alias("n"))
-    order = F.row_number().over(W.partitionBy("part", "lexicon").orderBy(F.desc("n"), "passage"))
-    by: dict[tuple[int, int], list[bytes]] = {k: [] for k in marked}
-    for r in found.withColumn("k", order).where(F.col("k") <= DICTIONARY_BYTES).orderBy("part", "lexicon", "k").collect():  # no more passages than bytes fit
-        by[r["part"], r["lexicon"]].append(bytes(r["passage"]))
-    return {k: b" ".join(reversed(v))[-DICTIONARY_BYTES:] for k, v in by.items()}
+    return rows.mapInArrow(give, "part int, label int, doc_id long, place int, sample binary")
 
 
-def _trained(rows: DataFrame) -> dict[tuple[int, int], bytes]:
-    """For each part and label, a dictionary trained on all windows of its texts, in the order of doc_id."""
-    parts = rows.withColumn("part", F.explode(F.array(F.col("half"), F.lit(ALL))))
+def _trained(samples: DataFrame) -> dict[tuple[int, int, int], bytes]:
+    """For each part, label and size, a dictionary trained on all samples, in the order of doc_id."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, samples, size, made = None, [], 0, []
+        key, held, size, made = None, [], 0, []
+
+        def train(label: int) -> dict[int, bytes]:
+            return {n: _train(held, n, TOXIC_SEGMENT if label else ORDINARY_SEGMENT) for n in (TOXIC_BYTES if label else (ORDINARY_BYTES,))}
 
         def close() -> pa.RecordBatch:
-            if samples or not made:
-                made.append(_train(samples))
-            whole = made[0] if len(made) == 1 else _train([d[i : i + 64] for d in made for i in range(0, len(d), 64)])
-            return pa.RecordBatch.from_pydict({"part": pa.array([key[0]], pa.int32()), "label": pa.array([key[1]], pa.int32()), "content": pa.array([whole], pa.binary())})
+            if held or not made:
+                made.append(train(key[1]))
+            whole = {n: made[0][n] if len(made) == 1 else _train([m[n][i : i + 64] for m in made for i in range(0, len(m[n]), 64)], n, TOXIC_SEGMENT if key[1] else ORDINARY_SEGMENT) for n in made[0]}
+            return pa.RecordBatch.from_pydict({"part": pa.array([key[0]] * len(whole), pa.int32()), "label": pa.array([key[1]] * len(whole), pa.int32()), "size": pa.array(whole, pa.int32()), "content": pa.array(whole.values(), pa.binary())})
 
         for b in batches:
-            for part, label, text in zip(*(b.column(c).to_pylist() for c in ("part", "label", "text")), strict=True):
+            for part, label, sample in zip(*(b.column(c).to_pylist() for c in ("part", "label", "sample")), strict=True):
                 if key != (part, label):
                     if key is not None:
                         yield close()
-                    key, samples, size, made = (part, label), [], 0, []
-                for w in windows(normalised(text), 24):
-                    samples.append(w)
-                    size += len(w)
-                    if size >= TRAIN_BYTES:
-                        made.append(_train(samples))
-                        samples, size = [], 0
+                    key, size = (part, label), 0
+                    held, made = [], []
+                held.append(sample)
+                size += len(sample)
+                if size >= TRAIN_BYTES:
+                    made.append(train(label))
+                    held, size = [], 0
         if key is not None:
             yield close()
 
-    ordered = parts.select("part", "label", "doc_id", "text").repartition("part", "label").sortWithinPartitions("part", "label", "doc_id", "text")
-    return {(r["part"], r["label"]): bytes(r["content"]) for r in ordered.mapInArrow(learn, "part int, label int, content binary").collect()}
+    ordered = samples.repartition("part", "label").sortWithinPartitions("part", "label", "doc_id", "place")
+    got = ordered.select("part", "label", "sample").mapInArrow(learn, "part int, label int, size int, content binary").collect()
+    return {(r["part"], r["label"], r["size"]): bytes(r["content"]) for r in got}
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, fold: int = HELD_OUT, sample_per_class: int = SAMPLE_PER_CLASS) -> Model:
     """A model from the whole texts of at most 2 * sample_per_class labelled rows that are not held out.
 
     Dictionaries come from all of them. Each half is calibrated with dictionaries from the other half, so that
-    calibration sees texts as new as later ones are. Texts stay in tasks: counts, n-grams, passages, dictionaries and
-    distances reach the driver. Without labelled texts of both classes the score is the smoothed share of toxic rows.
+    calibration sees texts as new as later ones are; of TOXIC_BYTES, the largest size is taken whose
+    loss there is within a hundredth of the least. Texts
+    stay in tasks: counts, n-grams, dictionaries and distances reach the driver. Without labelled texts of both classes in
+    both halves the score is the smoothed share of toxic rows.
     """
     ids = F.broadcast(sampled_ids(labels, label, folds, fold, sample_per_class))
     toxic_share = labels.where(~held_out(folds, fold) & F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
@@ -235,31 +238,38 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
     share = (n[ALL, 1] + 0.5) / (n[ALL, 0] + n[ALL, 1] + 1.0) if toxic_share is None else min(max(toxic_share, 1e-4), 1 - 1e-4)
     constant = np.array([np.log(share / (1 - share)), *[0] * FEATURES])
     if not all(n.values()):
-        return Model(b"", (b"",) * 3, constant, np.zeros(FEATURES), np.ones(FEATURES))
-    trained, lexicons = _trained(rows), _lexicons(rows, _marked(rows, n))
-    models = {p: Model(trained[p, 0], (trained[p, 1], *[lexicons[p, x] + trained[p, 0] for x in (0, 1)]), constant, np.zeros(FEATURES), np.ones(FEATURES)) for p in (*HALVES, ALL)}
+        return Model(b"", (b"",), constant, np.zeros(FEATURES), np.ones(FEATURES))
+    trained = _trained(_samples(rows, _marked(rows, n)))
+    models = {p: Model(trained.get((p, 0, ORDINARY_BYTES), b""), tuple(trained.get((p, 1, size), b"") for size in TOXIC_BYTES), constant, np.zeros(FEATURES), np.ones(FEATURES)) for p in (*HALVES, ALL)}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            half, texts, x = np.array(b.column("half").to_pylist(), int), b.column("text").to_pylist(), np.zeros((b.num_rows, FEATURES))
+            half, texts, x = np.array(b.column("half").to_pylist(), int), b.column("text").to_pylist(), np.zeros((b.num_rows, FEATURES * len(TOXIC_BYTES)))
             for p in HALVES:
                 own = np.flatnonzero(half == p)
                 x[own] = models[1 - p].distances([texts[i] for i in own])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array([*x], pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
 
     got = rows.mapInArrow(measure, "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id")
-    x, y = np.array(got.column("x").to_pylist(), dtype=np.float64).reshape(-1, FEATURES), got.column("label").to_numpy().astype(np.float64)
-    model = models[ALL]
-    model.mean, model.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+    every, y = np.array(got.column("x").to_pylist(), dtype=np.float64).reshape(len(got), -1), got.column("label").to_numpy().astype(np.float64)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    model.weights = _logistic((x - model.mean) / model.scale, y, weight)
-    return model
+    tried: list[tuple[float, Model]] = []
+    for k in range(len(TOXIC_BYTES)):
+        x = every[:, FEATURES * k : FEATURES * (k + 1)]
+        mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+        weights = _logistic((x - mean) / scale, y, weight)
+        p = 1 / (1 + np.exp(-np.clip(weights[0] + (x - mean) / scale @ weights[1:], -30, 30)))
+        loss = float(-(weight * np.log(np.where(y == 1, p, 1 - p))).sum())
+        tried.append((loss, Model(models[ALL].ordinary, models[ALL].toxic[k : k + 1], weights, mean, scale)))
+    least = min(loss for loss, _ in tried)
+    return next(m for loss, m in reversed(tried) if loss <= 1.01 * least)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs with score (0 to 1) and predicted, whatever other columns it has; columns of those two names are replaced.
 
-    Whole texts are scored; a null, empty or blank text gets the score of a document without toxic windows.
+    Whole texts are scored; a null, empty or blank text gets the score of a document without toxic windows. Repeated rows
+    are scored alike.
     """
     docs = docs.drop("score", "predicted")
     names = docs.columns
