@@ -256,6 +256,131 @@ def test_language_of_held_out_and_mixed_texts(spark, prose, odd):
     assert {r["lang_pred"] for r in language.identify(odd, empty).collect()} == {"und"}
 
 
+def brute_mixture(model, text, penalty=3.0, steps=12):
+    """The mixture of one text, word by word in plain Python."""
+    data = (text or "").encode()
+    code = lambda b: b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else b - 101 if b >= 128 else 0
+    words, word = [], []
+    for i, b in enumerate(data):
+        if code(b):
+            x, y = (code(data[j]) if 0 <= j < len(data) else 0 for j in (i - 1, i + 1))
+            slot = (((x * 155 + code(b)) * 155 + y) * 0x9E3779B97F4A7C15 % 2**64) >> 48
+            word.append(model.log_share[slot].astype(float))
+        if word and (not code(b) or i + 1 == len(data)):
+            words.append(np.sum(word, axis=0))
+            word = []
+    k = len(model.languages)
+    if not words or not any(map(str.isalpha, text)):
+        return np.zeros(k)
+    alone = np.sum(words, axis=0)
+    share, most = np.eye(k)[alone.argmax()], alone.max()
+    gain, allowed = penalty * np.log(len(words) + 1), list(range(k))
+    if sum(w.max() for w in words) - most <= gain:
+        return share
+    while len(allowed) > 1:
+        now = np.full(len(allowed), 1 / len(allowed))
+        p = [np.exp(w[allowed] - w[allowed].max()) for w in words]
+        for _ in range(steps):
+            now = np.mean([x * now / (x * now).sum() for x in p], axis=0)
+        value = sum(np.log((x * now).sum()) + w[allowed].max() for x, w in zip(p, words, strict=True)) - gain * (len(allowed) - 1)
+        if value > most:
+            most, share = value, np.zeros(k)
+            share[allowed] = now
+        least = now.argmin()
+        allowed = [a for i, a in enumerate(allowed) if i != least and (now[i] > 0.01 or now[i] == now.max())]
+    return share
+
+
+def test_mixtures_equal_a_loop_over_words(prose, odd, monkeypatch):
+    model = language.fit(prose[0])
+    texts = [r["text"] for r in prose[0].where("text is not null and n_chars < 3000").orderBy("doc_id").limit(25).collect()]
+    texts += [a[:600] + " " + b[:600] for a, b in zip(texts[::2], texts[1::2], strict=False)] + [r["text"] for r in odd.collect() if r["text"] is None or len(r["text"]) < 5000]
+    want = np.array([brute_mixture(model, t) for t in texts])
+    got, sure = model.mixtures(pa.array(texts))
+    assert np.abs(got - want).max() < 2e-3 and ((sure > 0) == (want.sum(1) > 0)).all()
+    monkeypatch.setattr(language, "STEP", 50)  # texts in steps: as distinct words with counts
+    for text, share in zip(texts, want, strict=True):
+        (own,), _ = model.mixtures(pa.array([text]))
+        assert np.abs(own - share).max() < 2e-3
+
+
+def test_counts_do_not_depend_on_steps(prose, monkeypatch):
+    model = language.fit(prose[0].where("doc_id < 60").repartition(60))
+    import tickmart.llm.language as module
+
+    texts = prose[0].where("doc_id < 60 and text is not null and lang is not null and crc32(string(doc_id)) % 4 <> 2").select("text", "lang").collect()
+    counts = np.zeros((module.SLOTS, len(model.languages)))
+    for r in texts:
+        slot, _, (_, _, code) = module._trigrams(next(iter(textbatch.chunks(pa.array([r["text"]])))))
+        steps = [*module._steps(np.frombuffer(r["text"].encode(), np.uint8))]
+        assert np.array_equal(np.concatenate([s[0] for s in steps]), slot)
+        counts[:, model.languages.index(r["lang"])] += np.bincount(slot[code > 0], minlength=module.SLOTS)
+    pooled = (counts.sum(1, keepdims=True) + 0.1) / (counts.sum() + 0.1 * module.SLOTS)
+    assert np.allclose(model.log_share, np.log((counts + 500 * pooled) / (counts.sum(0, keepdims=True) + 500)), atol=1e-5)
+
+
+def test_trees_equal_a_walk_row_by_row(prose):
+    forest = quality.fit(*prose)
+    texts = [r["text"] for r in prose[0].orderBy("doc_id").limit(80).collect()]
+    x = quality.statistics(pa.array(texts))
+    for row, score in zip(x, forest.score(x), strict=True):
+        total = forest.base
+        for feature, threshold, leaf in zip(forest.feature, forest.threshold, forest.leaf, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+            total += leaf[node - len(feature)]
+        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+    for text, row in zip(texts, x, strict=True):  # and statistics equal plain counting
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+        rows = [r for r in (text or "").encode().split(b"\n") if r]
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        n = max(1, len(words))
+        want = {"log_words": np.log1p(len(words)), "word_bytes": sum(map(len, words)) / n, "repeated_words": (len(words) - len(set(words))) / n, "repeated_windows": (len(windows) - len(set(windows))) / max(1, len(windows)),
+                "repeated_lines": (len(rows) - len(set(rows))) / max(1, len(rows)), "words_with_symbol": sum(bool(re.search(rb"[#*$%&|<>]", w)) for w in words) / n, "commonest_word": max((words.count(w) for w in set(words)), default=0) / n}
+        assert all(row[quality.STATISTICS.index(k)] == pytest.approx(v) for k, v in want.items())
+
+
+def test_texts_of_50_megabytes_take_bounded_memory(prose, tmp_path):
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from tickmart.llm import language, ngram_join, quality, textbatch as tb
+rng = np.random.default_rng(0)
+words = np.array(["w%d" % i for i in range(20000)] + ["Größe", "l'été", "#x", "."])
+text = " ".join(rng.choice(words, 9_000_000))
+assert len(text) > 50 << 20
+column = pa.array([text, None, "short text"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+model = language.Model(["a", "b", "c", "d"], np.log(rng.dirichlet(np.ones(language.SLOTS), 4).T).astype(np.float32))
+if sys.argv[1] == "language":
+    share, sure = model.mixtures(column)
+    assert share.shape == (3, 4) and share[1].sum() == 0
+elif sys.argv[1] == "quality":
+    assert quality.statistics(column).shape == (3, 17)
+else:
+    sizes = [len(s) for t in tb.chunks(column) for s in ngram_join.shingle_sets(t, 3)]
+    assert sizes[1:] == [0, 1] and sizes[0] > 8_000_000
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+    for what, most in (("language", 600), ("quality", 1400), ("shingles", 900)):
+        out = subprocess.run([sys.executable, "-c", code, what], capture_output=True, text=True, timeout=240)
+        assert out.returncode == 0, out.stderr[-2000:]
+        assert int(out.stdout) < most, (what, out.stdout)
+
+
+def test_long_spans_hash_alike(monkeypatch):
+    rng = np.random.default_rng(1)
+    data = np.frombuffer(b" ".join(rng.bytes(int(n)).replace(b" ", b"x") for n in rng.integers(1, 200, 300)), np.uint8)
+    starts, ends, _ = textbatch.spans(data != 32, np.array([0, len(data)]))
+    want = textbatch.span_hashes(data, starts, ends)
+    monkeypatch.setattr(textbatch, "SEGMENT", 64)
+    assert np.array_equal(textbatch.span_hashes(data, starts, ends), want)
+
+
 def test_quality_separates_held_out_rows(prose, odd):
     docs, labels = prose
     got = quality.classify(docs, labels).join(labels, "doc_id").where("held_out").collect()

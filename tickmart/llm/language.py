@@ -33,6 +33,20 @@ _CODE[65:91] = np.arange(1, 27)
 _CODE[128:] = np.arange(27, 155)
 
 
+#: A longer text is read in steps of so many bytes.
+STEP = 1 << 20
+_FOLD = np.where(_CODE > 0, tb.LOWER, 0).astype(np.uint8)
+
+
+def _steps(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(slots, codes, place) of one text, a step at a time; trigrams at a step's ends are those of the whole text."""
+    for at in range(0, len(data), STEP):
+        low, high = max(0, at - 1), min(len(data), at + STEP + 1)
+        slot, _, (_, _, code) = _trigrams(tb.Texts(0, 1, data[low:high], np.array([0, high - low])))
+        own = slice(at - low, min(at + STEP, len(data)) - low)
+        yield slot[own], code[own], at
+
+
 def _trigrams(t: tb.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The slot of the trigram around each byte, and the spans of words: starts, ends and first word of each text."""
     code = _CODE[t.data]
@@ -59,13 +73,17 @@ class Model:
         """
         shares, sure = [], []
         for t in tb.chunks(column):
+            if len(t.data) > 2 * STEP and len(t.at) == 2:
+                share, certainty = self._long(t.data, penalty, steps)
+                shares.append(share), sure.append(certainty)
+                continue
             slot, starts, (ends, first, code) = _trigrams(t)
             n, k = np.diff(first), len(self.languages)
             w = np.zeros((len(starts), k), np.float32)
             if len(starts) and k:
                 by_byte = np.where((code > 0)[:, None], self.log_share[slot], np.float32(0))
                 w = np.add.reduceat(by_byte, starts, axis=0)
-            share, certainty = _mixture(w, n, first, penalty, steps)
+            share, certainty = _mixture(w, np.ones(len(w), np.float32), n, first, penalty, steps)
             silent = n == 0
             ascii_letter = tb.per_text((code > 0) & (code < 27), t.at) > 0
             for i in np.flatnonzero(~silent & ~ascii_letter):  # bytes of longer characters need not be letters
@@ -74,40 +92,85 @@ class Model:
             shares.append(share), sure.append(certainty)
         return (np.concatenate(shares), np.concatenate(sure)) if shares else (np.zeros((0, len(self.languages))), np.zeros(0))
 
+    def _long(self, data: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+        """mixtures() of one long text: its distinct words, each with its count, are what is held of it."""
+        k = len(self.languages)
+        key, count, likely = np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros((0, k), np.float32)
+        opened: np.ndarray | None = None  # what is known of a word that goes on in the next step
+        across: list[np.ndarray] = []
+        heard = False
+        for slot, code, at in _steps(data):
+            inside = code > 0
+            heard = heard or bool((inside & (code < 27)).any())
+            starts, ends, _ = tb.spans(inside, np.array([0, len(code)]))
+            if not len(starts):
+                if opened is not None:
+                    across.append(opened)
+                    opened = None
+                continue
+            w = np.add.reduceat(np.where(inside[:, None], self.log_share[slot], np.float32(0)), starts, axis=0)
+            first, last = 0, len(starts)
+            if opened is not None:
+                if starts[0] == 0:
+                    opened, first = opened + w[0], 1
+                if first == 0 or ends[0] < len(code):
+                    across.append(opened)
+                    opened = None
+            if last > first and ends[-1] == len(code) and at + len(code) < len(data):
+                opened, last = w[-1], last - 1
+            if last > first:
+                word = tb.span_hashes(_FOLD[data[at : at + len(code)]], starts[first:last], ends[first:last])
+                key, count, likely = np.concatenate([key, word]), np.concatenate([count, np.ones(len(word), np.float32)]), np.concatenate([likely, w[first:last]])
+                key, place, where = np.unique(key, return_index=True, return_inverse=True)
+                count, likely = np.bincount(where, count, len(key)).astype(np.float32), likely[place]
+        if opened is not None:
+            across.append(opened)
+        if across:
+            count, likely = np.concatenate([count, np.ones(len(across), np.float32)]), np.concatenate([likely, np.array(across, np.float32)])
+        if not heard and not any(map(str.isalpha, data.tobytes().decode("utf-8", "replace"))):
+            return np.zeros((1, k)), np.zeros(1)
+        return _mixture(likely, count, np.array([len(likely)]), np.array([0, len(likely)]), penalty, steps)
 
-def _fit(w: np.ndarray, text: np.ndarray, n: np.ndarray, first: np.ndarray, allowed: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shares and log likelihoods of texts (all with words) whose languages are restricted to allowed."""
+
+def _fit(w: np.ndarray, weight: np.ndarray, text: np.ndarray, first: np.ndarray, allowed: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and log likelihoods of texts (all with words) whose languages are restricted to allowed.
+
+    A row of w is a word's log likelihood in each language, and weight how often the text has it.
+    """
     top = np.where(allowed[text], w, -np.inf).max(1, keepdims=True)
     p = np.exp(w - top, where=allowed[text], out=np.zeros_like(w))
     share = allowed / allowed.sum(1, keepdims=True)
+    total = np.add.reduceat(weight, first, dtype=np.float64)[:, None]
     for _ in range(steps):
         r = p * share[text].astype(np.float32)
-        r /= r.sum(1, keepdims=True)
-        share = np.add.reduceat(r, first, axis=0, dtype=np.float64) / n[:, None]
-    likely = np.log(np.maximum((p * share[text]).sum(1), 1e-30)) + top[:, 0]
+        r *= (weight / r.sum(1))[:, None]
+        share = np.add.reduceat(r, first, axis=0, dtype=np.float64) / total
+    likely = weight * (np.log(np.maximum((p * share[text]).sum(1), 1e-30)) + top[:, 0])
     return share, np.add.reduceat(likely, first, dtype=np.float64)
 
 
-def _mixture(w: np.ndarray, n: np.ndarray, first: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+def _mixture(w: np.ndarray, weight: np.ndarray, n: np.ndarray, first: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and certainty of texts; text i has the n[i] rows of w and weight from first[i] on."""
     share, certainty = np.zeros((len(n), w.shape[1])), np.zeros(len(n))
     if not w.shape[1] or not len(w):
         return share, certainty
     rows = np.flatnonzero(n > 0)
-    single = np.add.reduceat(w, first[:-1][rows], axis=0, dtype=np.float64)
+    at = first[:-1][rows]
+    single = np.add.reduceat(w * weight[:, None], at, axis=0, dtype=np.float64)
     best = single.argmax(1)
     odds = np.exp(single - single.max(1, keepdims=True))
     certainty[rows] = 1 / odds.sum(1)
     share[rows, best] = 1
-    gain = penalty * np.log(n[rows] + 1)
+    gain = penalty * np.log(np.add.reduceat(weight, at, dtype=np.float64) + 1)
     # no mixture is likelier than each word in its own best language
-    open_ = np.add.reduceat(w.max(1), first[:-1][rows], dtype=np.float64) - single[np.arange(len(rows)), best] > gain
+    open_ = np.add.reduceat(w.max(1) * weight, at, dtype=np.float64) - single[np.arange(len(rows)), best] > gain
     rows, most, gain = rows[open_], single[open_].max(1), gain[open_]
     allowed = np.ones((len(rows), w.shape[1]), bool)
     while len(rows):
         words = np.concatenate([np.arange(first[i], first[i + 1]) for i in rows])
         own = n[rows]
         at = np.concatenate(([0], np.cumsum(own)[:-1]))
-        now, likely = _fit(w[words], np.repeat(np.arange(len(rows)), own), own, at, allowed, steps)
+        now, likely = _fit(w[words], weight[words], np.repeat(np.arange(len(rows)), own), at, allowed, steps)
         value = likely - gain * (allowed.sum(1) - 1)
         better = value > most
         share[rows[better]], most = now[better], np.maximum(value, most)
@@ -131,6 +194,11 @@ def fit(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT) -> Model:
         for b in batches:
             langs = np.array(b.column("lang").to_pylist(), dtype=object)
             for t in tb.chunks(b.column("text")):
+                if len(t.at) == 2:
+                    sums = total.setdefault(langs[t.first], np.zeros(SLOTS, np.int64))
+                    for slot, code, _ in _steps(t.data):
+                        sums += np.bincount(slot[code > 0], minlength=SLOTS)
+                    continue
                 slot, _, (_, _, code) = _trigrams(t)
                 text = np.repeat(np.arange(len(t.at) - 1), np.diff(t.at))
                 own = langs[t.first : t.last]

@@ -64,12 +64,12 @@ def statistics(column: pa.Array) -> np.ndarray:
         line_starts, line_ends, line_first = tb.spans(t.data != 10, t.at)
         lines = np.diff(line_first)
         again_lines, _ = _repeats(tb.span_hashes(t.data, line_starts, line_ends), line_first)
-        symbol_before = np.concatenate(([0], np.cumsum(_CLASS["symbols"][t.data])))
+        symbols = np.flatnonzero(_CLASS["symbols"][t.data])
         mean = by_word(lengths)
         out.append(np.column_stack([
             np.log1p(n), mean, np.sqrt(np.maximum(by_word(lengths**2) - mean**2, 0)), count["symbols"] / size, count["upper"] / np.maximum(count["upper"] + count["lower"], 1), count["digits"] / size,
             count["punctuation"] / size, count["exclaims"] / size, count["non_ascii"] / size, again / np.maximum(n, 1), rewound / np.maximum(np.diff(window_first), 1), again_lines / np.maximum(lines, 1),
-            n / np.maximum(lines, 1), by_word((symbol_before[ends] > symbol_before[starts]).astype(float)), by_word((lengths == 1).astype(float)), most / np.maximum(n, 1),
+            n / np.maximum(lines, 1), by_word((np.searchsorted(symbols, ends) > np.searchsorted(symbols, starts)).astype(float)), by_word((lengths == 1).astype(float)), most / np.maximum(n, 1),
             tb.per_text(line_ends - line_starts < 20, line_first) / np.maximum(lines, 1),
         ]))
     return np.concatenate(out) if out else np.zeros((0, len(STATISTICS)))

@@ -17,6 +17,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 CHUNK_BYTES = 512 << 10
+#: Of a longer text, at most so many bytes at a time are widened to numbers.
+SEGMENT = 2 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 _RANDOM = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -89,16 +91,46 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each span, by one running polynomial over all the bytes."""
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = _power(len(data) + 1)
     running = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_RANDOM[data] * up[: len(data)], out=running[1:])
     return mix((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def _long_hash(data: np.ndarray) -> np.uint64:
+    """The hash of all of data, a segment at a time."""
+    up, total = _power(SEGMENT)[0], 0
+    for at in range(0, len(data), SEGMENT):
+        part = _RANDOM[data[at : at + SEGMENT]] * up[: min(SEGMENT, len(data) - at)]
+        total += int(part.sum(dtype=np.uint64)) * pow(int(_MULTIPLIER), at, 2**64)
+    return mix(np.array([(total + len(data)) % 2**64], np.uint64))[0]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for each span, by one running polynomial over the bytes.
+
+    Spans of more than a segment of data must be in order and apart.
+    """
+    if len(data) <= SEGMENT:
+        return _hashes(data, starts, ends)
+    out, first = np.empty(len(starts), np.uint64), 0
+    while first < len(starts):
+        base = starts[first]
+        last = int(np.searchsorted(ends, base + SEGMENT, "right"))
+        if last <= first:
+            out[first] = _long_hash(data[base : ends[first]])
+            first += 1
+        else:
+            out[first:last] = _hashes(data[base : ends[last - 1]], starts[first:last] - base, ends[first:last] - base)
+            first = last
+    return out
+
+
 def per_text(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Sums of values over [at[i], at[i + 1])."""
+    if len(at) == 2:
+        return values[at[0] : at[1]].sum(dtype=np.float64 if values.dtype.kind == "f" else np.int64, keepdims=True)
     total = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=total[1:])
     return total[at[1:]] - total[at[:-1]]
