@@ -2,33 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from ..sources.scratch import clear, written
+from ..sources.scratch import scratch_path as folder
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def folder(spark: SparkSession) -> str:
-    """A new path below the shared folder. Only a local master may run without one: it then gets a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tickmart-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The same rows from a table in the shared folder: cuts lineage, and survives the loss of executors."""
-    path = folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def clear(spark: SparkSession) -> None:
-    """Delete what this application has written there. Call it once its results are stored elsewhere."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is not None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/tickmart-{spark.sparkContext.applicationId}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["clear", "folder", "written"]

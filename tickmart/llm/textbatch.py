@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
+from ..sources.session import prepare
+
 #: The bytes between words: [\x20\x09-\x0D].
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -24,7 +26,11 @@ _RANDOM = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python in batches of a few MB, whatever their lengths: several are in flight in each task."""
+    """Hand texts to Python in batches of a few MB, whatever their lengths: several are in flight in each task.
+
+    These are settings of the session, and stay for later queries.
+    """
+    prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
