@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from tickmart.operators import backtest, features, models
+from tickmart.operators import backtest, features, models, trees
 
 HOUR = 3600
 
@@ -62,8 +62,56 @@ def test_ridge_equals_direct_solution(spark, series):
 
 
 def test_registry_marks_short_series(series):
-    fits, registry = models.train_series(series, models.Config(bin_seconds=HOUR, horizons=(1, 6), min_train_rows=10_000))
-    assert fits.count() == 0 and {r["status"] for r in registry.collect()} == {"skipped"} and registry.count() == 4
+    fits, grown, registry = models.train_series(series, models.Config(bin_seconds=HOUR, horizons=(1, 6), min_train_rows=10_000))
+    assert fits.count() == grown.count() == 0 and registry.count() == 8
+    assert {(r["status"], r["model_name"]) for r in registry.collect()} == {("skipped", "ridge"), ("skipped", "gbt")}
+
+
+def test_both_models_of_every_slot_are_trained_and_measured(series):
+    config = models.Config(bin_seconds=HOUR, horizons=(1, 6), min_train_rows=50, trees=trees.Params(rounds=20, depth=3))
+    fits, grown, registry = models.train_series(series, config)
+    rows = registry.collect()
+    assert len(rows) == 8 and {(r["status"], r["cv_fold_count"]) for r in rows} == {("trained", 5)} and all(r["holdout_mae"] > 0 and r["test_rows"] > 40 for r in rows)
+    assert models.model_artifacts(registry).count() == 8
+    table, names = models.slots(series, config)
+    frame = models.inference_frame(features.feature_table(series), HOUR)
+    scored = models.score_tree_forecasts(frame, grown, series, names, config)
+    known = {(r["exchange_id"], r["generated_bucket_epoch_s"]): r for r in scored.collect()}
+    assert len(known) == frame.count() and all((r["abs_error"] is None) == (r["actual_price"] is None) for r in known.values())
+    tested = table.where("not is_train and horizon_steps = 1").collect()
+    mae = {x: np.mean([abs(known[x, r["bucket_epoch_s"]]["predicted_price"] - r["target"]) for r in tested if r["exchange_id"] == x]) for x in ("u", "v")}
+    assert all(r["holdout_mae"] == pytest.approx(mae[r["exchange_id"]]) for r in rows if r["model_name"] == "gbt" and r["horizon_steps"] == 1)
+
+
+def test_trees_fit_what_a_search_over_all_cuts_finds():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 12, (80, 3)).astype(float)
+    y = np.where(x[:, 1] > 5, 3.0, 0.0) + np.where(x[:, 2] > 7, 1.0, 0.0) + rng.normal(size=80) * 0.01
+    params = trees.Params(rounds=1, rate=1.0, depth=1, min_leaf=5)
+    base, feature, threshold, leaf = trees.grow(x, y, params)
+    best = min(((((y[x[:, j] <= c] - y[x[:, j] <= c].mean()) ** 2).sum() + ((y[x[:, j] > c] - y[x[:, j] > c].mean()) ** 2).sum(), j, c) for j in range(3) for c in np.unique(x[:, j])[:-1] if min((x[:, j] <= c).sum(), (x[:, j] > c).sum()) >= 5))
+    assert (feature[0, 0], threshold[0, 0]) == best[1:]
+    got = trees.predict(x, base, feature, threshold, leaf)
+    right = x[:, best[1]] > best[2]
+    assert got[right] == pytest.approx(y[right].mean()) and got[~right] == pytest.approx(y[~right].mean())
+    model = trees.grow(x, y, trees.Params(rounds=60, rate=0.3, depth=3, min_leaf=5))
+    assert np.abs(trees.predict(x, *model) - y).max() < 0.1
+    for row, want in zip(x[:10], trees.predict(x[:10], *model), strict=True):  # a walk row by row
+        total = model[0]
+        for f, c, v in zip(*model[1:], strict=True):
+            node = 0
+            while node < len(f):
+                node = 2 * node + (2 if row[f[node]] > c[node] else 1)
+            total += v[node - len(f)]
+        assert total == pytest.approx(want)
+
+
+def test_a_slot_that_fails_is_recorded(spark, series):
+    bad = series.where("exchange_id = 'u'").selectExpr("'bad' as exchange_id", "symbol", "bucket_epoch_s", "case when bucket_epoch_s = 3600 * 100 then 1e-320 else price end as price")
+    config = models.Config(bin_seconds=HOUR, horizons=(1,), min_train_rows=50, trees=trees.Params(rounds=3, depth=2))
+    registry = {(r["exchange_id"], r["model_name"]): r for r in models.train_series(series.unionByName(bad), config)[2].collect()}
+    assert registry["bad", "gbt"]["status"] == "failed" and registry["bad", "gbt"]["error_message"].startswith("ValueError")
+    assert registry["u", "gbt"]["status"] == registry["v", "ridge"]["status"] == "trained"
 
 
 def test_backtest_of_last_value(series):
@@ -84,15 +132,14 @@ def test_pooled_trees_predict_near_the_price(series):
     assert scored.where("abs(predicted_price / price - 1) > 0.5").count() == 0
 
 
-def test_boosted_trees_are_registered_with_the_operators_defaults(spark, monkeypatch):
+def test_boosted_trees_are_registered_in_full_size():
     from tickmart.plans import forecast_queries
 
-    asked, fit = [], models.fit_gbt
+    p = forecast_queries.CONFIG.trees
+    assert (p.rounds, p.rate, p.depth, p.min_leaf) == (300, 0.05, 6, 20)
 
-    def small(table, names, **changed):
-        asked.append(changed)
-        return fit(table, names, max_iter=1, depth=1)
 
-    monkeypatch.setattr(models, "fit_gbt", small)
-    got = forecast_queries.f22_gbt(spark, "/root/testdata/sf0.001")
-    assert asked == [{}, {}] and {r["horizon_steps"] for r in got.select("horizon_steps").distinct().collect()} == set(forecast_queries.CONFIG.horizons)
+def test_pairs_of_two_horizons_have_one_level(series):
+    table, _ = models.slots(series, models.Config(bin_seconds=HOUR, horizons=(1, 6)))
+    assert table.groupBy("exchange_id", "symbol", "horizon_steps", "bucket_epoch_s").count().where("count > 1").count() == 0
+    assert table.select("exchange_id", "level").distinct().count() == 2

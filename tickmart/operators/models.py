@@ -1,7 +1,8 @@
 """Training and scoring of price models over all pairs at once.
 
 Ridge: one pass adds up the moments of each pair, horizon and fold, and one small system is solved for each of them.
-Trees: one pooled model for all pairs on prices relative to the current one, because fits of single pairs do not spread.
+Trees: one model for each pair and horizon (see trees), or one pooled over pairs with Spark ML (fit_gbt), both on prices
+relative to the current one.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.filters import filter_exchanges, filter_symbols
 from ..sources.scratch import written
+from . import trees
 from .features import LAGS, PAIR, WINDOWS, cv_folds, feature_names, feature_table, holdout_split, merge_series, resample_last, training_frame
 
 METRICS = ("mae", "rmse", "mape", "r2")
@@ -34,6 +36,7 @@ class Config:
     folds: int = 5
     alpha: float = 1.0
     min_train_rows: int = 500
+    trees: trees.Params = trees.Params()
 
 
 def with_level(frame: DataFrame) -> DataFrame:
@@ -51,11 +54,12 @@ def design(frame: DataFrame, names: list[str]) -> DataFrame:
 
 
 def fit_ridge(rows: DataFrame, names: list[str], alpha: float = 1.0) -> DataFrame:
-    """A fit of each slot and fold: (pair, horizon_steps, fold, coefficients, intercept, train_rows).
+    """A fit of each slot and fold: (pair, horizon_steps, fold, coefficients, intercept, train_rows, error).
 
     rows are training rows of cv_folds() with x of design(), level, target and horizon_steps. Fold 0 is fitted on all of
     them, fold k on the rows before those that it validates. Features are scaled to unit deviation, as the penalty
-    expects; coefficients are for x as given, and predict target - level.
+    expects; coefficients are for x as given, and predict target - level. A system that cannot be solved gives a row with
+    its error and no coefficients.
     """
     size = len(names) + 2  # one, features, target
 
@@ -84,12 +88,18 @@ def fit_ridge(rows: DataFrame, names: list[str], alpha: float = 1.0) -> DataFram
             use = scale > 1e-9 * (1 + np.abs(mean[:-1]))
             z = cov[:-1, :-1][np.ix_(use, use)] / np.outer(scale[use], scale[use])
             w = np.zeros(size - 2)
-            w[use] = np.linalg.solve(z + alpha / n * np.eye(use.sum()), cov[:-1, -1][use] / scale[use]) / scale[use]
-            out.append((*(pdf[c].iloc[0] for c in SLOT), fold, w.tolist(), float(mean[-1] - w @ mean[:-1]), int(n)))
-        return pd.DataFrame(out, columns=[*SLOT, "fold", "coefficients", "intercept", "train_rows"])
+            slot = (*(pdf[c].iloc[0] for c in SLOT), fold)
+            try:
+                w[use] = np.linalg.solve(z + alpha / n * np.eye(use.sum()), cov[:-1, -1][use] / scale[use]) / scale[use]
+                if not np.isfinite(w).all():
+                    raise ValueError("coefficients that are not finite")
+                out.append((*slot, w.tolist(), float(mean[-1] - w @ mean[:-1]), int(n), None))
+            except (ValueError, np.linalg.LinAlgError) as e:
+                out.append((*slot, None, None, int(n), f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(out, columns=[*SLOT, "fold", "coefficients", "intercept", "train_rows", "error"])
 
     sums = rows.select(*SLOT, "fold", "x", "target", "level").mapInArrow(add_up, "exchange_id string, symbol string, horizon_steps int, fold int, moments binary")
-    return sums.groupBy(*SLOT).applyInPandas(solve, "exchange_id string, symbol string, horizon_steps int, fold int, coefficients array<double>, intercept double, train_rows bigint")
+    return sums.groupBy(*SLOT).applyInPandas(solve, "exchange_id string, symbol string, horizon_steps int, fold int, coefficients array<double>, intercept double, train_rows bigint, error string")
 
 
 def predicted(fits: str = "coefficients") -> Column:
@@ -114,33 +124,56 @@ def slots(series: DataFrame, config: Config) -> tuple[DataFrame, list[str]]:
     return written(design(with_level(reduce(DataFrame.unionByName, frames)), names)), names
 
 
-def train_series(series: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
-    """(fits, registry): ridge fits of every slot with enough rows, and a registry row of every slot.
+def _measured(checked: DataFrame, of_slot: DataFrame) -> DataFrame:
+    """of_slot (slot, ...) with hold-out metrics and means of fold metrics, of checked rows (slot, fold, actual, predicted_price).
 
-    A slot with under min_train_rows is recorded as skipped.
+    Fold 0 is the hold-out.
     """
-    table, names = slots(series, config)
-    enough = F.col("rows") >= config.min_train_rows
-    parts = [cv_folds(table.where(enough & (F.col("horizon_steps") == h)), config.folds) for h in config.horizons]
-    train = reduce(DataFrame.unionByName, parts)
-    fits = written(fit_ridge(train, names, config.alpha))
-    final = fits.where("fold = 0")
-    tested = table.where(enough & ~F.col("is_train")).join(final.drop("fold"), list(SLOT)).select(*SLOT, F.col("target").alias("actual"), predicted().alias("predicted_price"))
-    holdout = regression_metrics(tested, list(SLOT)).withColumnsRenamed({m: f"holdout_{m}" for m in METRICS} | {"rows": "test_rows"})
-    checked = train.where("fold > 0").join(fits, [*SLOT, "fold"]).select(*SLOT, "fold", F.col("target").alias("actual"), predicted().alias("predicted_price"))
     per_fold = regression_metrics(checked, [*SLOT, "fold"])
-    cv = per_fold.groupBy(*SLOT).agg(F.count("*").alias("cv_fold_count"), *[F.avg(m).alias(f"cv_mean_{m}") for m in METRICS])
+    holdout = per_fold.where("fold = 0").drop("fold").withColumnsRenamed({m: f"holdout_{m}" for m in METRICS} | {"rows": "test_rows"})
+    cv = per_fold.where("fold > 0").groupBy(*SLOT).agg(F.count("*").alias("cv_fold_count"), *[F.avg(m).alias(f"cv_mean_{m}") for m in METRICS])
+    return of_slot.join(holdout, list(SLOT), "left").join(cv, list(SLOT), "left")
+
+
+def folded(table: DataFrame, config: Config) -> DataFrame:
+    """Rows of slots() whose slot has enough rows, with fold (0 for held-out rows) and rows_after, the slot's later rows."""
+    rows = table.where(F.col("rows") >= config.min_train_rows).withColumn("rows_after", F.col("rows") - F.col("row"))
+    parts = [cv_folds(rows.where(F.col("horizon_steps") == h), config.folds) for h in config.horizons]
+    return reduce(DataFrame.unionByName, parts).unionByName(rows.where("not is_train").withColumn("fold", F.lit(0)))
+
+
+def train_trees(table: DataFrame, names: list[str], config: Config) -> DataFrame:
+    """trees.fit_slots() of every slot in table (of folded())."""
+    return written(trees.fit_slots(relative_design(table, names), config.trees))
+
+
+def train_series(series: DataFrame, config: Config) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(ridge fits, tree fits, registry): both models of every slot with enough rows, and a registry row of every slot and model.
+
+    A slot with under min_train_rows is recorded as skipped, one whose fit fails as failed with the error.
+    """
+    table, names = slots(series, config)
+    rows = written(folded(table, config))
     sizes = table.groupBy(*SLOT).agg(F.max("rows").alias("rows"))
-    registry = sizes.join(final.select(*SLOT, "train_rows"), list(SLOT), "left").join(holdout, list(SLOT), "left").join(cv, list(SLOT), "left")
-    return fits, registry_rows(registry, config)
+    train = rows.where("is_train")
+
+    fits = written(fit_ridge(train, names, config.alpha))
+    final = fits.where("fold = 0").select(*SLOT, F.when(F.col("error").isNull(), F.col("train_rows")).alias("train_rows"), "error")
+    checked = rows.where("not is_train or fold > 0").join(fits.where("error is null"), [*SLOT, "fold"]).select(*SLOT, "fold", F.col("target").alias("actual"), predicted().alias("predicted_price"))
+    ridge = registry_rows(_measured(checked, sizes.join(final, list(SLOT), "left")), config)
+
+    grown = train_trees(rows, names, config)
+    one = grown.where(~trees.is_check()).select(*SLOT, "train_rows", "error")
+    boosted = registry_rows(_measured(grown.where(trees.is_check()), sizes.join(one, list(SLOT), "left")), config, model_name="gbt")
+    return fits, grown.where(~trees.is_check()), ridge.unionByName(boosted)
 
 
 def registry_rows(results: DataFrame, config: Config, training_run_id: str = "train1", model_name: str = "ridge") -> DataFrame:
-    """Registry rows of slots: trained where there is a fit, skipped with the reason otherwise."""
-    trained = F.col("train_rows").isNotNull()
+    """Registry rows of slots: trained where there is a fit, failed where there is an error, skipped with the reason otherwise."""
+    trained, failed = F.col("train_rows").isNotNull(), F.col("error").isNotNull()
     return results.select(
         F.lit(training_run_id).alias("training_run_id"), *PAIR, F.lit(model_name).alias("model_name"), "horizon_steps", (F.col("horizon_steps") * config.bin_seconds).alias("horizon_seconds"), F.coalesce("train_rows", F.lit(0)).alias("train_rows"), F.coalesce("test_rows", F.lit(0)).alias("test_rows"),
-        F.coalesce("cv_fold_count", F.lit(0)).alias("cv_fold_count"), *[f"{p}_{m}" for p in ("holdout", "cv_mean") for m in METRICS], F.when(trained, "trained").otherwise("skipped").alias("status"), F.when(~trained, F.concat(F.lit("insufficient_rows:"), F.col("rows"))).alias("error_message"))
+        F.coalesce("cv_fold_count", F.lit(0)).alias("cv_fold_count"), *[f"{p}_{m}" for p in ("holdout", "cv_mean") for m in METRICS], F.when(failed, "failed").when(trained, "trained").otherwise("skipped").alias("status"), F.when(failed, F.col("error")).when(~trained, F.concat(F.lit("insufficient_rows:"), F.col("rows"))).alias("error_message"))
 
 
 def model_artifacts(registry: DataFrame) -> DataFrame:
@@ -148,7 +181,8 @@ def model_artifacts(registry: DataFrame) -> DataFrame:
     return registry.where("status = 'trained'").select("training_run_id", *PAIR, "model_name", "horizon_steps", "horizon_seconds", "holdout_mae", "cv_mean_mae")
 
 
-def train_all(ticks: DataFrame, config: Config, cutoff_s: int | None = None) -> tuple[DataFrame, DataFrame]:
+def train_all(ticks: DataFrame, config: Config, cutoff_s: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """train_series() of every pair in ticks before the cutoff."""
     return train_series(resample_last(merge_series(ticks, cutoff_s), config.bin_seconds), config)
 
 
@@ -181,13 +215,23 @@ def inference_frame(features: DataFrame, horizon_seconds: int) -> DataFrame:
 
 def score_forecasts(frame: DataFrame, fits: DataFrame, series: DataFrame, names: list[str], levels: DataFrame, config: Config) -> DataFrame:
     """Forecasts of every row whose slot has a fit, with the actual price at the target and the absolute error, if known."""
-    final = fits.where("fold = 0").withColumn("horizon_seconds", F.col("horizon_steps") * config.bin_seconds).drop("fold", "train_rows", "horizon_steps")
+    final = fits.where("fold = 0 and error is null").withColumn("horizon_seconds", F.col("horizon_steps") * config.bin_seconds).drop("fold", "train_rows", "horizon_steps", "error")
     rows = design(frame.join(levels, list(PAIR)), names).join(final, [*PAIR, "horizon_seconds"])
     actual = series.select(*PAIR, F.col("bucket_epoch_s").alias("target_bucket_epoch_s"), F.col("price").alias("actual_price"))
     scored = rows.withColumn("predicted_price", predicted()).join(actual, [*PAIR, "target_bucket_epoch_s"], "left")
     return scored.select(*PAIR, "horizon_seconds", F.col("bucket_epoch_s").alias("generated_bucket_epoch_s"), "target_bucket_epoch_s", "predicted_price", "actual_price", F.abs(F.col("actual_price") - F.col("predicted_price")).alias("abs_error"))
 
 
+def score_tree_forecasts(frame: DataFrame, grown: DataFrame, series: DataFrame, names: list[str], config: Config) -> DataFrame:
+    """score_forecasts() for the trees of train_series()."""
+    rows = relative_design(frame, names).withColumn("horizon_steps", (F.col("horizon_seconds") / config.bin_seconds).cast("int"))
+    scored = trees.score(rows, grown, config.trees.depth, bin_seconds=config.bin_seconds)
+    scored = scored.withColumn("horizon_seconds", F.col("horizon_steps") * config.bin_seconds).withColumn("target_bucket_epoch_s", F.col("bucket_epoch_s") + F.col("horizon_seconds")).drop("price")
+    actual = series.select(*PAIR, F.col("bucket_epoch_s").alias("target_bucket_epoch_s"), F.col("price").alias("actual_price"))
+    found = scored.join(actual, [*PAIR, "target_bucket_epoch_s"], "left")
+    return found.select(*PAIR, "horizon_seconds", F.col("bucket_epoch_s").alias("generated_bucket_epoch_s"), "target_bucket_epoch_s", "predicted_price", "actual_price", F.abs(F.col("actual_price") - F.col("predicted_price")).alias("abs_error"))
+
+
 def latest_training_run(runs: DataFrame, requested: str | None = None) -> DataFrame:
     """(training_run_id): the run asked for, or the last one completed."""
     if requested is not None:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import filters, keys
-from ..operators import backtest, features, ingest, manifest, models, serving, staging
+from ..operators import backtest, features, ingest, manifest, models, serving, staging, trees
 from ..sources import adapters as src
-from ..sources.scratch import scratch_path
+from ..sources.scratch import scratch_path, written
 from ..sources.staging import read_staging
 from . import twins
 from .market_queries import RUN, cleansed, conn, ticks
@@ -213,21 +213,22 @@ query("f17_training_frame", f"select {_KEY}, lag_30, target from {_FRAME}")(lamb
 query("f18_max_training_rows", "select *, greatest(0, max_resampled_rows - 30 - 6) as max_trainable_rows from (select max(epoch_s) + 1 - min(epoch_s) as available_seconds, (max(epoch_s) + 1 - min(epoch_s)) // 3600 as max_resampled_rows, 30 as indicator_warmup_rows, 6 as max_horizon_steps from ticks)")(lambda s, d: features.max_training_rows(ticks(s, d), 3600, horizons=(1, 6)))
 query("f19_holdout_split", f"select {_KEY}, is_train from {_SPLIT}")(lambda s, d: features.holdout_split(_framed(s, d)).select("exchange_id", "symbol", "bucket_epoch_s", "is_train"))
 query("f20_cv_folds", f"select {_KEY}, cast(case when k <= n - 5 * (n // 6) then 0 else (k - (n - 5 * (n // 6)) - 1) // (n // 6) + 1 end as int) as fold from (select *, count(*) over (partition by exchange_id, symbol) as n from {_SPLIT} where is_train)")(lambda s, d: features.cv_folds(features.holdout_split(_framed(s, d))).select("exchange_id", "symbol", "bucket_epoch_s", "fold"))
-query("f21_ridge")(lambda s, d: models.train_series(_series(s, d), CONFIG)[0])
 
 
-@query("f22_gbt")
-def f22_gbt(s: SparkSession, d: str) -> DataFrame:
-    """The pooled trees of each horizon, with fit_gbt's defaults, on the rows held out."""
+@query("f21_ridge")
+def f21_ridge(s: SparkSession, d: str) -> DataFrame:
+    """Ridge fits of each pair, horizon and fold."""
     table, names = models.slots(_series(s, d), CONFIG)
+    return models.fit_ridge(models.folded(table, CONFIG).where("is_train"), names, CONFIG.alpha)
+
 
-    def predicted(h: int) -> DataFrame:
-        rows = table.where(F.col("horizon_steps") == h)
-        model = models.fit_gbt(rows.where("is_train"), names)
-        return models.predict_gbt(model, rows.where("not is_train"), names)
 
-    both = reduce(DataFrame.unionByName, [predicted(h) for h in CONFIG.horizons])
-    return both.select("exchange_id", "symbol", "horizon_steps", "bucket_epoch_s", "predicted_price", F.col("target").alias("actual"))
+@query("f22_gbt")
+def f22_gbt(s: SparkSession, d: str) -> DataFrame:
+    """The boosted trees of each pair and horizon, in full size, on the rows held out."""
+    table, names = models.slots(_series(s, d), CONFIG)
+    grown = models.train_trees(models.folded(table, CONFIG).withColumn("fold", F.lit(0)), names, CONFIG)
+    return grown.where(trees.is_check()).select("exchange_id", "symbol", "horizon_steps", "bucket_epoch_s", "predicted_price", "actual")
 
 
 def _naive(s: SparkSession, d: str) -> DataFrame:
@@ -236,19 +237,24 @@ def _naive(s: SparkSession, d: str) -> DataFrame:
 
 query("f23_regression_metrics", f"select exchange_id, symbol, round(avg(abs(target - price)), 6) as mae, round(sqrt(avg((target - price) * (target - price))), 6) as rmse, round(100.0 * avg(abs((target - price) / target)), 6) as mape, round(1.0 - sum((target - price) * (target - price)) / (var_pop(target) * count(*)), 6) as r2, count(*) as rows from {_FRAME} group by all")(
     lambda s, d: models.regression_metrics(_naive(s, d), ["exchange_id", "symbol"]).select("exchange_id", "symbol", *[F.round(m, 6).alias(m) for m in models.METRICS], "rows"))
-query("f24_model_artifacts")(lambda s, d: models.model_artifacts(models.train_series(_series(s, d), CONFIG)[1]))
-query("f25_train_all")(lambda s, d: models.train_all(ticks(s, d), CONFIG)[1])
+query("f24_model_artifacts")(lambda s, d: models.model_artifacts(models.train_series(_series(s, d), CONFIG)[2]))
+query("f25_train_all")(lambda s, d: models.train_all(ticks(s, d), CONFIG)[2])
 query("f26_inference_frame", f"select {_KEY}, lag_30, 21600 as horizon_seconds, bucket_epoch_s + 21600 as target_bucket_epoch_s from (select {_KEY}, {_lag(30)} as lag_30 from {_SERIES}) where lag_30 is not null")(
     lambda s, d: models.inference_frame(features.add_lags(_series(s, d)), 6 * 3600).select("exchange_id", "symbol", "bucket_epoch_s", "lag_30", "horizon_seconds", "target_bucket_epoch_s"))
 
 
 @query("f27_score_forecasts")
 def f27_score_forecasts(s: SparkSession, d: str) -> DataFrame:
-    """Fits on ticks, scored on the cleansed series of the same pairs."""
-    trained, known = _series(s, d), features.cleansed_series(cleansed(s, d), RUN)
-    table = features.feature_table(known)
-    levels = models.with_level(models.slots(trained, CONFIG)[0].drop("level")).select(*features.PAIR, "level").distinct()
-    return models.score_forecasts(models.inference_frame(table, 6 * 3600), models.train_series(trained, CONFIG)[0], known, features.feature_names(table), levels, CONFIG)
+    """Both models of each pair at six hours, fitted on ticks and scored on the cleansed series of the same pairs."""
+    known = features.cleansed_series(cleansed(s, d), RUN)
+    table, config = written(features.feature_table(known)), replace(CONFIG, horizons=(6,))
+    trained, names = models.slots(_series(s, d), config)
+    rows = written(models.folded(trained, config))
+    frame, levels = models.inference_frame(table, 6 * 3600), trained.select(*features.PAIR, "level").distinct()
+    ridge = models.score_forecasts(frame, models.fit_ridge(rows.where("is_train"), names, config.alpha), known, features.feature_names(table), levels, config)
+    grown = models.train_trees(rows.withColumn("fold", F.lit(0)), names, config).where(~trees.is_check())
+    boosted = models.score_tree_forecasts(frame, grown, known, features.feature_names(table), config)
+    return ridge.withColumn("model_name", F.lit("ridge")).unionByName(boosted.withColumn("model_name", F.lit("gbt")))
 
 
 _REGISTERED = "(select *, 'train' || (id % 3) as training_run_id, case when id % 4 = 0 then 'failed' else 'trained' end as status, 'ridge' as model_name, 3600 * (id % 2 + 1) as horizon_seconds, ts_us as created_utc from ticks)"

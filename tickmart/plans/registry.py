@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.session import prepare
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -20,7 +23,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
         if name in QUERIES:
             raise ValueError(f"two queries named {name}")
-        QUERIES[name] = f
+
+        @wraps(f)
+        def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[name] = prepared
         if sql is not None:
             ORACLES[name] = with_tables(sql)
         return f

@@ -7,8 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .session import prepare
+
 
 def scratch_path(spark: SparkSession) -> str:
+    """A new path below the shared folder."""
+    prepare(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.sparkContext.master.startswith("local["):
@@ -23,3 +27,11 @@ def written(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has written there. Call it once its results are stored elsewhere."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/tickmart-{spark.sparkContext.applicationId}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
