@@ -23,9 +23,13 @@ def _text(c: Column | str) -> Column:
 
 
 def parse_envelopes(messages: DataFrame) -> DataFrame:
-    """messages (event_json, ...) with event, the parsed fields, and keys, the names present; both null for non-objects."""
-    keys = F.json_object_keys("event_json")
-    return messages.withColumn("keys", keys).withColumn("event", F.when(keys.isNotNull(), F.from_json("event_json", _EVENT)))
+    """messages (event_json, ...) with event, the parsed fields, and keys, the names present; both null for non-objects.
+
+    Both come out of a generator, so that filters on them do not move below and parse again for each use.
+    """
+    once = F.explode(F.array(F.struct(F.json_object_keys("event_json").alias("keys"), F.from_json("event_json", _EVENT).alias("event"))))
+    own = messages.drop("keys", "event")
+    return own.select("*", once.alias("_parsed")).select(*own.columns, "_parsed.keys", F.when(F.col("_parsed.keys").isNotNull(), F.col("_parsed.event")).alias("event"))
 
 
 def with_errors(parsed: DataFrame) -> DataFrame:
@@ -48,7 +52,8 @@ def validate_envelopes(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, failed): valid messages with their fields as columns and payload parsed, and the others with error_message."""
     marked = with_errors(parsed)
     kept = [c for c in parsed.columns if c not in ("event", "keys", "event_json")]
-    events = marked.where("error_message is null").select(*kept, "event.*").withColumn("details", F.from_json("payload", _PAYLOAD))
+    events = marked.where("error_message is null").select(*kept, "event.*")
+    events = events.select("*", F.explode(F.array(F.from_json("payload", _PAYLOAD))).alias("details"))  # once, as above
     return events, marked.where("error_message is not null").drop("event", "keys")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,18 +40,22 @@ def update_intervals(ticks: DataFrame) -> DataFrame:
     return lagged.where("ts_us > prev_us").select(day_key(F.col("ts_us")).alias("kpi_date_utc"), *PAIR, "ts_us", "prev_us", ((F.col("ts_us") - F.col("prev_us")) / float(SECOND_US)).alias("update_interval_s"))
 
 
-def update_intervals_by_day(ticks: DataFrame) -> DataFrame:
-    """As update_intervals(), without one task for all ticks of a pair: a task sorts the ticks of one pair and day, and
-    each day's first tick gets the last tick before it from a window over days.
+def _with_previous(ticks: DataFrame) -> DataFrame:
+    """ticks with a time, with prev_us, the time of the pair's tick before it (null for its first).
 
-    For pairs whose ticks outgrow a task. Ties of equal times give no interval either way.
+    No task has all ticks of a pair: one sorts the ticks of a pair and day, and each day's first tick gets the last tick
+    before it from a window over days. Ticks of equal times have the same intervals in any order.
     """
-    days = ticks.where("ts_us is not null").withColumn("day", F.floor(F.col("ts_us") / (86_400 * SECOND_US)))
-    ends = days.groupBy(*PAIR, "day").agg(F.max("ts_us").alias("last_us"))
-    ends = ends.withColumn("carried_us", F.lag("last_us").over(W.partitionBy(*PAIR).orderBy("day"))).drop("last_us")
-    inner = days.withColumn("lag_us", F.lag("ts_us").over(W.partitionBy(*PAIR, "day").orderBy("ts_us", "id"))).join(ends, [*PAIR, "day"])
-    prev = F.coalesce("lag_us", "carried_us")
-    return inner.where(F.col("ts_us") > prev).select(day_key(F.col("ts_us")).alias("kpi_date_utc"), *PAIR, "ts_us", prev.alias("prev_us"), ((F.col("ts_us") - prev) / float(SECOND_US)).alias("update_interval_s"))
+    days = ticks.where("ts_us is not null").withColumn("_day", F.floor(F.col("ts_us") / (86_400 * SECOND_US)))
+    ends = days.groupBy(*PAIR, "_day").agg(F.max("ts_us").alias("_last"))
+    ends = ends.withColumn("_carried", F.lag("_last").over(W.partitionBy(*PAIR).orderBy("_day"))).drop("_last")
+    inner = days.withColumn("_lag", F.lag("ts_us").over(W.partitionBy(*PAIR, "_day").orderBy("ts_us", "id"))).join(ends, [*PAIR, "_day"])
+    return inner.withColumn("prev_us", F.coalesce("_lag", "_carried")).drop("_day", "_lag", "_carried")
+
+
+def update_intervals_by_day(ticks: DataFrame) -> DataFrame:
+    """As update_intervals(), without one task for all ticks of a pair."""
+    return _with_previous(ticks).where("ts_us > prev_us").select(day_key(F.col("ts_us")).alias("kpi_date_utc"), *PAIR, "ts_us", "prev_us", ((F.col("ts_us") - F.col("prev_us")) / float(SECOND_US)).alias("update_interval_s"))
 
 
 def _frequency(keys: list[Column | str], intervals: DataFrame) -> DataFrame:
@@ -128,16 +134,19 @@ def require_columns(df: DataFrame, needed: list[str], name: str = "input") -> Da
     return df
 
 
-def core_kpis(ticks: DataFrame, events: DataFrame, cleansed: DataFrame) -> dict[str, DataFrame]:
-    """All fifteen KPI tables by name."""
-    samples, intervals, aligned = latency_samples(ticks), update_intervals(ticks), price_deviation_aligned(cleansed)
-    out = {"latency_samples": samples, "update_intervals": intervals, "price_deviation_aligned": aligned}
-    for grain, name in (("day", "daily"), ("hour", "hourly")):
-        latency, frequency, drops = latency_kpi(samples, grain), update_frequency_kpi(intervals, grain), connection_drops(events, grain)
-        out |= {
-            f"latency_{name}": latency, f"update_frequency_{name}": frequency, f"connection_drops_{name}": drops, f"price_deviation_{name}": price_deviation_kpi(aligned, grain),
-            f"{name}_exchange_symbol": exchange_symbol_kpi(latency, frequency, drops, grain), f"{name}_exchange": exchange_kpi(samples, intervals, events, grain)}
-    return out
+def core_kpis(ticks: DataFrame, events: DataFrame, cleansed: DataFrame, store: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] = dict) -> dict[str, DataFrame]:
+    """All fifteen KPI tables by name. store may write tables, so that those made of them do not start from the sources."""
+    out = store({"latency_samples": latency_samples(ticks), "update_intervals": update_intervals_by_day(ticks), "price_deviation_aligned": price_deviation_aligned(cleansed)})
+    samples, intervals, aligned = out.values()
+    grains = {"day": "daily", "hour": "hourly"}
+    first: dict[str, DataFrame] = {}
+    for grain, name in grains.items():
+        first |= {f"latency_{name}": latency_kpi(samples, grain), f"update_frequency_{name}": update_frequency_kpi(intervals, grain), f"connection_drops_{name}": connection_drops(events, grain), f"price_deviation_{name}": price_deviation_kpi(aligned, grain)}
+    out |= store(first)
+    wide: dict[str, DataFrame] = {}
+    for grain, name in grains.items():
+        wide |= {f"{name}_exchange_symbol": exchange_symbol_kpi(out[f"latency_{name}"], out[f"update_frequency_{name}"], out[f"connection_drops_{name}"], grain), f"{name}_exchange": exchange_kpi(samples, intervals, events, grain)}
+    return out | store(wide)
 
 
 def core_build_metadata(ticks: DataFrame, events: DataFrame, cleansed: DataFrame, kpi_date: str | None = None, run_id: str | None = None) -> DataFrame:
@@ -154,8 +163,7 @@ def disconnects_by_exchange(events: DataFrame) -> DataFrame:
 def update_interval_stats(ticks: DataFrame, exchange: str | None = None) -> DataFrame:
     """Shortest, mean and longest gap of each pair in seconds; gaps of zero count here."""
     rows = ticks if exchange is None else ticks.where(F.col("exchange_id") == exchange)
-    us = F.col("ts_us") - F.lag("ts_us").over(W.partitionBy(*PAIR).orderBy("ts_us", "id"))
-    gaps = rows.select(*PAIR, us.alias("us")).where("us is not null")
+    gaps = _with_previous(rows).select(*PAIR, (F.col("ts_us") - F.col("prev_us")).alias("us")).where("us is not null")
     return gaps.groupBy(*PAIR).agg(
         F.count("*").alias("interval_count"), F.round(F.min("us") / float(SECOND_US), 3).alias("min_interval_s"), F.round(F.sum("us") / F.count("*") / float(SECOND_US), 3).alias("avg_interval_s"), F.round(F.max("us") / float(SECOND_US), 3).alias("max_interval_s")).orderBy(*PAIR)
 

@@ -2,34 +2,49 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 
 from ..operators.checks import Limits, assertion_summary, gate, kpi_row_counts, run_assertions
 from ..operators.kpi import core_build_metadata, core_kpis, require_columns, scope_core
+from ..sources.scratch import written
 
 NEEDED = {"ticks": ["ts_us", "exch_us", "exchange_id", "symbol", "id"], "events": ["ts_us", "exchange_id", "event_type"], "cleansed": ["bucket_start_utc", "bucket_epoch_s", "exchange_id", "symbol", "price", "is_missing", "is_stale"]}
 
 
-def run_core(ticks: DataFrame, events: DataFrame, cleansed: DataFrame, phase: str = "full", kpi_date: str | None = None, run_id: str | None = None, limits: Limits = Limits()) -> dict[str, dict[str, DataFrame]]:
+def stored(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables, written; several at a time, since most are small."""
+    with ThreadPoolExecutor(4) as pool:
+        return dict(zip(tables, pool.map(written, tables.values()), strict=True))
+
+
+def run_core(ticks: DataFrame, events: DataFrame, cleansed: DataFrame, phase: str = "full", kpi_date: str | None = None, run_id: str | None = None, limits: Limits = Limits(), on_failure: str = "raise") -> dict[str, dict[str, DataFrame]]:
     """For each phase its KPI tables, with metadata, assertions, summary and (but in fast) row_counts.
 
-    fast looks at one day and run and skips row counts; full looks at everything; both runs fast, then full. A phase whose
-    assertions fail with severity error ends the run with an error.
+    fast looks at one day and run and skips row counts; full looks at everything; both runs fast, then full. KPI tables
+    are written once for each phase, and checks read them. After a phase whose assertions fail with severity error, no
+    other phase runs: on_failure "raise" ends the run with an error, "stop" returns what there is, that phase included.
     """
     if phase not in ("fast", "full", "both"):
         raise ValueError(f"no such phase: {phase}")
+    if on_failure not in ("raise", "stop"):
+        raise ValueError(f"no such way to fail: {on_failure}")
     for name, df in (("ticks", ticks), ("events", events), ("cleansed", cleansed)):
         require_columns(df, NEEDED[name], name)
+    inputs = tuple(stored({"ticks": ticks, "events": events, "cleansed": cleansed}).values())
     out: dict[str, dict[str, DataFrame]] = {}
     for now in ("fast", "full") if phase == "both" else (phase,):
         filters = (kpi_date, run_id) if now == "fast" else (None, None)
-        inputs = scope_core(ticks, events, cleansed, *filters)
-        kpis = core_kpis(*inputs)
-        results = run_assertions(kpis, limits)
+        scoped = scope_core(*inputs, *filters)
+        kpis = core_kpis(*scoped, store=stored)
+        results = written(run_assertions(kpis, limits))
+        out[now] = kpis | {"metadata": core_build_metadata(*scoped, *filters), "assertions": results, "summary": assertion_summary(results)}
+        if now == "full":
+            out[now]["row_counts"] = kpi_row_counts(kpis)
         if not gate(results):
+            if on_failure == "stop":
+                break
             failed = [r["assertion_name"] for r in results.where("severity = 'error' and is_failed = 1").collect()]
             raise RuntimeError(f"phase {now}: {', '.join(failed)}")
-        out[now] = kpis | {"metadata": core_build_metadata(*inputs, *filters), "assertions": results, "summary": assertion_summary(results)}
-        if now == "full":
-            out[now]["row_counts"] = kpi_row_counts(kpis)
     return out

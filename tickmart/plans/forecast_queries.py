@@ -35,10 +35,15 @@ query("a01_parse_envelopes", f"select stream_id, case when i % 50 not in (4, 5)
 query("a02_validate_envelopes", f"select stream_id, {_BAD} as error_message from {_MESSAGES}")(lambda s, d: ingest.with_errors(_parsed(s, d)).select("stream_id", "error_message"))
 query("a03_dead_letters", f"select 'ticks' as source_stream, cast(stream_id as varchar) as source_message_id, {_BAD} as error_message from {_MESSAGES} where {_BAD} is not null")(
     lambda s, d: ingest.dead_letters(ingest.validate_envelopes(_parsed(s, d))[1], "ticks").select("source_stream", "source_message_id", "error_message"))
-query("a04_tick_dedup_key", "select id, sha256(concat_ws('|', exchange_id, symbol_norm, cast(ts_us // 1000 as varchar), coalesce(cast(base_volume as varchar), 'None'), 'None', 'None', coalesce(cast(last is null as varchar), 'None'))) as dedup_key from ticks")(
-    lambda s, d: ticks(s, d).select("id", "exchange_id", "symbol", F.floor(F.col("ts_us") / 1000).alias("event_ts_ms"), F.col("base_volume").alias("price"), F.lit(None).alias("bid"), F.lit(None).alias("ask"), F.col("last").isNull().alias("last")).select("id", keys.tick_dedup_key().alias("dedup_key")))
-query("a05_event_dedup_key", "select id, sha256(concat_ws('|', exchange_id, 'btc/usdt', event_type, 'warn', cast(epoch_s as varchar), '')) as dedup_key from conn")(
-    lambda s, d: conn(s, d).select("id", "exchange_id", F.lit("BTC/USDT").alias("symbol"), F.col("event_type").alias("event_name"), F.lit("warn").alias("severity"), F.floor(F.col("ts_us") / 1000).alias("event_ts_ms"), F.lit(None).alias("message")).select("id", keys.event_dedup_key().alias("dedup_key")))
+#: Prices of all sizes, from about 1e-7 to 1e14, by factors that both engines read as the same doubles.
+_PRICES = ("price", "bid", "ask", "last")
+_FACTOR = "cast(case id % 6 when 0 then '1' when 1 then '1e-7' when 2 then '1e-3' when 3 then '1e5' when 4 then '1e9' else '1e12' end as double)"
+_PRICE_TEXT = ", ".join(f"coalesce(cast({c} * {_FACTOR} as varchar), 'None')" for c in _PRICES)
+query("a04_tick_dedup_key", f"select id, sha256(concat_ws('|', exchange_id, symbol_norm, cast(ts_us // 1000 as varchar), {_PRICE_TEXT})) as dedup_key from ticks")(
+    lambda s, d: ticks(s, d).select("id", F.concat(F.lit(" "), F.upper("exchange_id")).alias("exchange_id"), "symbol", F.floor(F.col("ts_us") / 1000).alias("event_ts_ms"), *[F.expr(f"{c} * {_FACTOR}").alias(c) for c in _PRICES]).select("id", keys.tick_dedup_key().alias("dedup_key")))
+_SAID = {"symbol": "case id % 4 when 0 then ' BTC/USDT' when 1 then 'eth/Usdt ' when 2 then '' end", "severity": "case id % 3 when 0 then 'warn' when 1 then 'error' else 'info' end", "message": "case when id % 5 > 0 then details_json end"}
+query("a05_event_dedup_key", f"select id, sha256(concat_ws('|', exchange_id, coalesce(lower(trim({_SAID['symbol']})), ''), event_type, {_SAID['severity']}, cast(epoch_s as varchar), coalesce({_SAID['message']}, ''))) as dedup_key from conn")(
+    lambda s, d: conn(s, d).select("id", "exchange_id", F.col("event_type").alias("event_name"), F.floor(F.col("ts_us") / 1000).alias("event_ts_ms"), *[F.expr(x).alias(c) for c, x in _SAID.items()]).select("id", keys.event_dedup_key().alias("dedup_key")))
 query("a06_dedup_events", f"select min(stream_id) as stream_id from {_MESSAGES} where {_BAD} is null group by i")(lambda s, d: _events(s, d).select("stream_id"))
 _ONCE = f"(select distinct on (i) * from {_MESSAGES} where {_BAD} is null order by i, stream_id)"
 query("a07_market_ticks", f"select (ms + 20) * 1000 as ts_us, trim(exchange_id) as exchange_id, lower(trim(exchange_id)) as exchange_id_norm, symbol, lower(symbol) as symbol_norm, lower(split_part(symbol, '/', 1)) as asset_norm, value as price, value as last, (ms - 5) * 1000 as exch_us, props as raw_json from {_ONCE} where tick")(

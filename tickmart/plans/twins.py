@@ -157,6 +157,40 @@ TABLES |= {
 }
 
 
+#: The core tables once more, of one day and run, named *_fast.
+FAST_DATE, FAST_RUN = "2024-01-05", "run1"
+_CORE = [
+    "samples", "intervals", "valid", "aligned", "drops_daily", "drops_hourly", *[f"{kind}_{grain}" for kind in ("latency", "frequency", "latency_ex", "frequency_ex", "deviation") for grain in ("daily", "hourly")],
+    "daily_exchange_symbol", "hourly_exchange_symbol", "daily_exchange", "hourly_exchange",
+]
+TABLES |= {
+    "ticks_fast": f"select * from ticks where {day('ts_us')} = '{FAST_DATE}'",
+    "conn_fast": f"select * from conn where {day('ts_us')} = '{FAST_DATE}'",
+    "cleansed_fast": f"select * from cleansed where run_id = '{FAST_RUN}' and bucket_start_utc[:10] = '{FAST_DATE}'",
+} | {f"{name}_fast": re.sub(rf"\b({'|'.join(['ticks', 'conn', 'cleansed', *_CORE])})\b", r"\1_fast", TABLES[name]) for name in _CORE}
+
+
+def assertions(suffix: str = "", most_hz: str = "100", most_pct: str = "200") -> str:
+    """(assertion_name, severity, is_failed, failed_rows, details) over the KPI tables whose names end in suffix."""
+    out = []
+    for grain, tail in (("daily", ""), ("hourly", "_hourly")):
+        of = " of hourly" if tail else ""
+        latency, frequency, drops, deviated = (f"{k}_{grain}{suffix}" for k in ("latency", "frequency", "drops", "deviation"))
+        out += [
+            f"select 'latency_non_negative{tail}' as assertion_name, 'error' as severity, count(*) filter (where min_latency_ms < 0) as failed_rows, 'min_latency_ms must be >= 0{of}' as details from {latency}",
+            f"select 'latency_upper_bound{tail}', 'error', count(*) filter (where max_latency_ms > 600000), 'max_latency_ms must be <= 600000{of}' from {latency}",
+            f"select 'update_interval_positive{tail}', 'error', count(*) filter (where min_update_interval_s <= 0), 'min_update_interval_s must be > 0{of}' from {frequency}",
+            f"select 'update_frequency_bounds{tail}', 'error', count(*) filter (where update_frequency_hz < 0 or update_frequency_hz > {most_hz}), 'update_frequency_hz must be in 0..100{of}' from {frequency}",
+            f"select 'disconnect_count_non_negative{tail}', 'error', count(*) filter (where disconnect_count < 0), 'disconnect_count must be >= 0{of}' from {drops}",
+            f"select 'price_diff_abs_non_negative{tail}', 'error', count(*) filter (where max_price_diff_abs < 0), 'max_price_diff_abs must be >= 0{of}' from {deviated}",
+            f"select 'price_diff_pct_bounds{tail}', 'error', count(*) filter (where max_price_diff_pct < 0 or max_price_diff_pct > {most_pct}), 'max_price_diff_pct must be in 0..200{of}' from {deviated}",
+            f"select 'coverage_latency_{grain}', 'warn', cast(count(*) = 0 as bigint), 'no rows in latency_{grain}' from {latency}",
+            f"select 'coverage_update_frequency_{grain}', 'warn', cast(count(*) = 0 as bigint), 'no rows in update_frequency_{grain}' from {frequency}",
+            f"select 'coverage_price_deviation_{grain}', 'warn', cast(count(*) = 0 as bigint), 'no rows in price_deviation_{grain}' from {deviated}",
+        ]
+    return "select assertion_name, severity, cast(failed_rows > 0 as int) as is_failed, failed_rows, details from (" + " union all ".join(out) + ")"
+
+
 def with_tables(sql: str) -> str:
     """sql behind the tables that it names, directly or through others."""
     needed: list[str] = []
