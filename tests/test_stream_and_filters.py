@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import json
+import shutil
 
 from pyspark.sql import functions as F
 
 from tickmart.functions import filters
-from tickmart.streaming.vault import ingest_batch, manifest, start_ingest
+from tickmart.operators import manifest as partitions
+from tickmart.operators import staging
+from tickmart.sources.staging import read_vault, write_vault
+from tickmart.streaming.vault import committed, ingest_batch, manifest, start_ingest
 
 
 def message(i, kind="tick", **over):
@@ -26,6 +30,10 @@ def test_batches_are_idempotent_and_keys_last(spark, tmp_path):
     read = lambda name: spark.read.parquet(f"{path}/{name}")
     assert read("market_ticks").count() == 2 and read("connection_events").count() == 1
     assert {r["error_message"] for r in read("dead_letters").collect()} == {"dedup_key is empty", "missing required keys: schema_version", "event_json is not an object", "no event_json field"}
+    assert committed(spark, path, "market_ticks", "symbol string").count() == 2
+    ingest_batch(frame(spark, [message(7)]), 2, path)
+    shutil.rmtree(f"{path}/commits/batch_id=2")  # as if the batch had stopped before its mark
+    assert committed(spark, path, "market_ticks", "symbol string").count() == 2 and read("market_ticks").count() == 3
     (row,) = manifest(spark, path).collect()
     assert (row["partition_id"], row["row_count"]) == ("raw:binance:20231114_22", 3)
 
@@ -68,3 +76,33 @@ def test_no_query_collects_into_spark_time_zone(spark):
         assert spark.range(1).select(hour_key(F.lit(3_600_000_000))).first()[0] == "1970-01-01T01:00:00Z"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_extract_reads_only_the_folders_of_its_window(spark, tmp_path):
+    hours = [(i, 1_704_067_200 + 1800 * i, x, "BTC/USDT" if i % 3 else "ETH/USDT") for i in range(200) for x in ("okx", "kraken")]
+    rows = spark.createDataFrame(hours, "id long, epoch_s long, exchange_id string, symbol string").withColumn("ts_us", F.col("epoch_s") * 1_000_000)
+    placed = partitions.with_partition(rows)
+    write_vault(placed, str(tmp_path / "vault"))
+    vault = read_vault(spark, str(tmp_path / "vault"), placed.schema)
+    start = 1_704_067_200 + 86_400 - 5400  # over midnight
+    window = spark.createDataFrame([(start, start + 4 * 3600)], "start_s long, end_s long")
+    got = staging.extract_ticks(vault, window, exchanges="OKX", symbols="btc/usdt")
+    want = rows.where(f"exchange_id = 'okx' and symbol = 'BTC/USDT' and epoch_s between {start} and {start + 4 * 3600}")
+    assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in want.collect()) and want.count() > 4
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = staging.extract_ticks(vault, window, exchanges="OKX", symbols="btc/usdt")._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters:") : plan.index("PushedFilters:")]
+    assert all(c in filters for c in ("layer", "exchange", "date", "hour")) and "epoch_s" in plan[plan.index("PushedFilters:") :] and "NestedLoop" not in plan
+    assert all(f"/layer=raw/exchange=okx/date={r['date']}/hour={r['hour']}/" in r["source_path"] for r in got.select("source_path", F.substring("source_partition_id", -11, 4).alias("y"), F.to_date(F.timestamp_seconds("epoch_s")).cast("string").alias("date"), F.date_format(F.timestamp_seconds("epoch_s"), "HH").alias("hour")).collect())
+    files = vault.where("exchange = 'okx'").select("_metadata.file_path").distinct().count()
+    assert got.select("source_path").distinct().count() <= 6 < files
+    empty = spark.createDataFrame([(None, None)], "start_s long, end_s long")
+    assert staging.extract_ticks(vault, empty).count() == 0 and staging.extract_events(vault, window, include=False).count() == 0
+
+
+def test_floats_are_written_as_producers_do(spark):
+    from tickmart.functions.keys import float_text
+
+    values = [0.0, -0.0, 1e-7, 1.5e-5, 1e-4, 0.001, 0.1, 2e-3, 1.0, 123.45, 1e7, 12345678.9, 1e15, 1e16, 1.234e22, -2.5, 0.30000000000000004, 9007199254740991.0, float("nan"), float("inf"), float("-inf"), None]
+    got = [r["t"] for r in spark.createDataFrame([(v,) for v in values], "v double").select(float_text(F.col("v")).alias("t")).collect()]
+    assert got == [None if v is None else repr(v) for v in values]

@@ -12,6 +12,10 @@ REGISTRY_KEYS = ("partition_id", "layer", "exchange_id")
 PAIR_KEYS = ("partition_id", "exchange_id", "symbol", "asset_norm")
 
 
+#: The folders of the vault, outermost first.
+FOLDERS = ("layer", "exchange", "date", "hour")
+
+
 def hour_of_day(us: Column) -> Column:
     return F.lpad(F.pmod(F.floor(us / (HOUR_S * SECOND_US)), F.lit(24)).cast("string"), 2, "0")
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import filters, keys
 from ..operators import backtest, features, ingest, manifest, models, serving, staging, trees
 from ..sources import adapters as src
-from ..sources.scratch import scratch_path, written
-from ..sources.staging import read_staging
+from ..sources.scratch import exists, scratch_path, written
+from ..sources.staging import read_staging, read_vault, write_vault
 from . import twins
 from .market_queries import RUN, cleansed, conn, ticks
 from .registry import query
@@ -112,30 +112,57 @@ _PICKED = f"select r.* from ({_REGISTRY}) r, {_WINDOW} w where r.exchange_id in
 _SCOPE = {"exchanges": "binance,okx", "symbols": "BTC/USDT"}
 
 
+_VAULTS: dict[tuple[str, str], str] = {}
+
+
+def vault(s: SparkSession, d: str) -> str:
+    """The folder of the vault and manifest of all ticks and events in d: written once for each application."""
+    key = (s.sparkContext.applicationId, d)
+    if key not in _VAULTS or not exists(s, _VAULTS[key]):
+        path = scratch_path(s)
+        for name, rows in (("ticks", ticks(s, d)), ("events", conn(s, d))):
+            write_vault(manifest.with_partition(rows), f"{path}/{name}")
+        for name, rows in (("registry", _registry(s, d)), ("pairs", _pairs(s, d))):
+            rows.write.parquet(f"{path}/{name}")
+        _VAULTS[key] = path
+    return _VAULTS[key]
+
+
+def _manifest(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(registry, pairs) as stored."""
+    return s.read.parquet(f"{vault(s, d)}/registry"), s.read.parquet(f"{vault(s, d)}/pairs")
+
+
 def _window(s: SparkSession, d: str) -> DataFrame:
-    return manifest.relative_window(manifest.source_max_epoch(_registry(s, d), _pairs(s, d), **_SCOPE), 6, 2)
+    return manifest.relative_window(manifest.source_max_epoch(*_manifest(s, d), **_SCOPE), 6, 2)
 
 
 def _picked(s: SparkSession, d: str) -> DataFrame:
-    return manifest.prune_partitions(_registry(s, d), _pairs(s, d), _window(s, d), **_SCOPE)
+    return manifest.prune_partitions(*_manifest(s, d), _window(s, d), **_SCOPE)
 
 
 def _staged(s: SparkSession, d: str) -> DataFrame:
-    return staging.extract_ticks(ticks(s, d), _window(s, d), _picked(s, d), **_SCOPE)
+    stored = read_vault(s, f"{vault(s, d)}/ticks", manifest.with_partition(ticks(s, d)).schema)
+    return staging.extract_ticks(stored, _window(s, d), _picked(s, d), **_SCOPE)
+
+
+def _staged_events(s: SparkSession, d: str) -> DataFrame:
+    stored = read_vault(s, f"{vault(s, d)}/events", manifest.with_partition(conn(s, d)).schema)
+    return staging.extract_events(stored, _window(s, d), exchanges="binance,okx")
 
 
 _TICKS = f"select t.*, {_ID} as source_partition_id from ticks t, {_WINDOW} where exchange_id in ('binance', 'okx') and symbol = 'BTC/USDT' and epoch_s between start_s and end_s and {_ID} in (select partition_id from ({_PICKED}))"
-query("b01_source_max_epoch", _MAX)(lambda s, d: manifest.source_max_epoch(_registry(s, d), _pairs(s, d), **_SCOPE))
+query("b01_source_max_epoch", _MAX)(lambda s, d: manifest.source_max_epoch(*_manifest(s, d), **_SCOPE))
 query("b02_relative_window", f"select * from {_WINDOW}")(_window)
 query("b03_prune_partitions", _PICKED)(_picked)
 query("b04_extract_ticks", f"select id, exchange_id, symbol, ts_us, source_partition_id from ({_TICKS})")(lambda s, d: _staged(s, d).select("id", "exchange_id", "symbol", "ts_us", "source_partition_id"))
 query("b05_extract_events", f"select id, exchange_id, event_type, ts_us from conn, {_WINDOW} where exchange_id in ('binance', 'okx') and epoch_s between start_s and end_s")(
-    lambda s, d: staging.extract_events(conn(s, d), _window(s, d), exchanges="binance,okx").select("id", "exchange_id", "event_type", "ts_us"))
-query("b06_provenance", f"select source_partition_id, 'raw/exchange=' || exchange_id || '/date=' || {twins.day('ts_us')} || '/hour=' || strftime(make_timestamp(ts_us), '%H') as source_path, id as source_row_id from ({_TICKS})")(
-    lambda s, d: _staged(s, d).select("source_partition_id", "source_path", "source_row_id"))
-query("b07_list_scope", f"select w.*, (select count(*) from ({_PICKED})) as partitions, (select cast(coalesce(sum(row_count), 0) as bigint) from ({_PICKED})) as rows from {_WINDOW} w")(lambda s, d: manifest.list_scope(_registry(s, d), _pairs(s, d), _window(s, d), **_SCOPE))
+    lambda s, d: _staged_events(s, d).select("id", "exchange_id", "event_type", "ts_us"))
+query("b06_provenance", f"select source_partition_id, 'layer=raw/exchange=' || exchange_id || '/date=' || {twins.day('ts_us')} || '/hour=' || strftime(make_timestamp(ts_us), '%H') as source_folder, id as source_row_id from ({_TICKS})")(
+    lambda s, d: _staged(s, d).select("source_partition_id", F.regexp_extract("source_path", "/([^/]+/[^/]+/[^/]+/[^/]+)/[^/]+$", 1).alias("source_folder"), "source_row_id"))
+query("b07_list_scope", f"select w.*, (select count(*) from ({_PICKED})) as partitions, (select cast(coalesce(sum(row_count), 0) as bigint) from ({_PICKED})) as rows from {_WINDOW} w")(lambda s, d: manifest.list_scope(*_manifest(s, d), _window(s, d), **_SCOPE))
 query("b08_run_metadata", f"select 'stage1' as run_id, w.*, (select count(*) from ({_TICKS})) as tick_rows, (select count(*) from conn, {_WINDOW} v where exchange_id in ('binance', 'okx') and epoch_s between v.start_s and v.end_s) as event_rows, (select count(*) from ({_PICKED})) as partitions from {_WINDOW} w")(
-    lambda s, d: staging.staging_run_metadata(_staged(s, d), staging.extract_events(conn(s, d), _window(s, d), exchanges="binance,okx"), _picked(s, d), _window(s, d), "stage1"))
+    lambda s, d: staging.staging_run_metadata(_staged(s, d), _staged_events(s, d), _picked(s, d), _window(s, d), "stage1"))
 
 
 @query("b09_read_staging", "select id from ticks where id % 3 <> 2")

@@ -29,6 +29,11 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete what this application has written there. Call it once its results are stored elsewhere."""
     root = spark.conf.get("spark.checkpoint.dir", None)

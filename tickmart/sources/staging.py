@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from ..operators.manifest import FOLDERS
 
 
 def read_staging(spark: SparkSession, paths: list[str], exclude: list[str] = ()) -> DataFrame:
@@ -14,9 +17,13 @@ def read_staging(spark: SparkSession, paths: list[str], exclude: list[str] = ())
 
 
 def write_vault(rows: DataFrame, path: str) -> None:
-    """Append rows (with layer, exchange, date and hour) in hourly partitions; a partition's rows meet before writing, but a large one is split."""
-    keys = ("layer", "exchange", "date", "hour")
-    rows.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
+    """Append rows of manifest.with_partition() in hourly partitions; a partition's rows meet before writing, but a large one is split."""
+    rows.hint("rebalance", *FOLDERS).write.mode("append").partitionBy(*FOLDERS).parquet(path)
+
+
+def read_vault(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+    """What write_vault() has written, with the columns it was given; folders stay texts, as 05 is not 5."""
+    return spark.read.schema(columns).parquet(path)
 
 
 def append_run(rows: DataFrame, path: str) -> None:

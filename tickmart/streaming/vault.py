@@ -1,17 +1,20 @@
 """Streaming ingest into the vault with Structured Streaming.
 
 A batch's data, keys, dead letters and manifest go to folders named by its number and overwrite what an earlier try of
-the same batch left, so a retried batch neither loses nor repeats events.
+the same batch left, so a retried batch neither loses nor repeats events. A batch's mark is written last; readers of
+committed() see whole batches only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import dead_letters, dedup_events, parse_envelopes, to_connection_events, to_market_ticks, validate_envelopes
-from ..operators.manifest import REGISTRY_KEYS, partition_registry, with_partition
+from ..operators.manifest import FOLDERS, REGISTRY_KEYS, partition_registry, with_partition
+from ..sources.scratch import exists
+from ..sources.session import prepare
 
 
 def recent_events(messages: DataFrame, time_column: str, watermark: str = "1 hour") -> DataFrame:
@@ -20,31 +23,58 @@ def recent_events(messages: DataFrame, time_column: str, watermark: str = "1 hou
     return events.withWatermark(time_column, watermark).dropDuplicatesWithinWatermark(["dedup_key"])
 
 
+#: Stored keys lie in so many buckets by their hash; a batch reads the buckets of its own keys.
+KEY_BUCKETS = 1024
+#: A batch of no more events than this broadcasts its keys, so that the keys of earlier batches are not shuffled.
+FEW_EVENTS = 200_000
+
+
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """What earlier batches have stored below path; empty before the first."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not exists(spark, path):
         return spark.createDataFrame([], f"{schema}, batch_id bigint")
     return spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
 
 
+def committed(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """The rows of a table of the vault (schema names its columns and folders), of batches that are complete."""
+    return _stored(spark, f"{path}/{name}", schema).join(_stored(spark, f"{path}/commits", "layer string").select("batch_id"), "batch_id", "left_semi")
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("dedup_key"), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _unseen(events: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Events whose key no earlier batch has stored."""
+    spark = events.sparkSession
+    keys = events.select(F.trim("dedup_key").alias("dedup_key")).withColumn("bucket", _bucket())
+    touched = [r["bucket"] for r in keys.select("bucket").distinct().collect()]  # at most KEY_BUCKETS numbers
+    stored = _stored(spark, f"{path}/keys", "dedup_key string, bucket int").where(F.col("bucket").isin(touched) & (F.col("batch_id") < batch_id))
+    own = F.broadcast(keys) if keys.count() <= FEW_EVENTS else keys
+    again = stored.join(own.select("dedup_key"), "dedup_key", "left_semi").distinct()
+    return events.join(again.withColumnRenamed("dedup_key", "_seen"), F.trim("dedup_key") == F.col("_seen"), "left_anti")
+
+
 def ingest_batch(messages: DataFrame, batch_id: int, path: str, layer: str = "raw", source_stream: str = "stream") -> None:
     """One batch of messages (stream_id, event_json): keys that any earlier batch has stored are skipped, for ever."""
-    spark = messages.sparkSession
+    prepare(messages.sparkSession)
     messages = messages.persist()
     events, failed = validate_envelopes(parse_envelopes(messages))
-    known = _stored(spark, f"{path}/keys", "dedup_key string").where(F.col("batch_id") < batch_id)
-    fresh = dedup_events(events, known).persist()
+    once = dedup_events(events).persist()
+    fresh = _unseen(once, path, batch_id).persist()
     ticks, conn = to_market_ticks(fresh), to_connection_events(fresh)
-    keys = ("layer", "exchange", "date", "hour")
     try:
         for name, rows in (("market_ticks", ticks), ("connection_events", conn)):
-            with_partition(rows, layer).hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(f"{path}/{name}/batch_id={batch_id}")
-        for name, rows in (("dead_letters", dead_letters(failed, source_stream)), ("manifest", partition_registry(ticks, conn, layer)), ("keys", fresh.select(F.trim("dedup_key").alias("dedup_key")))):
+            with_partition(rows, layer).hint("rebalance", *FOLDERS).write.mode("overwrite").partitionBy(*FOLDERS).parquet(f"{path}/{name}/batch_id={batch_id}")
+        for name, rows in (("dead_letters", dead_letters(failed, source_stream)), ("manifest", partition_registry(ticks, conn, layer))):
             rows.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+        keys = fresh.select(F.trim("dedup_key").alias("dedup_key")).withColumn("bucket", _bucket())
+        keys.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/keys/batch_id={batch_id}")
+        messages.sparkSession.createDataFrame([(layer,)], "layer string").coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
     finally:
-        fresh.unpersist()
-        messages.unpersist()
+        for df in (fresh, once, messages):
+            df.unpersist()
 
 
 def start_ingest(messages: DataFrame, path: str, layer: str = "raw") -> StreamingQuery:
@@ -53,6 +83,6 @@ def start_ingest(messages: DataFrame, path: str, layer: str = "raw") -> Streamin
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The registry over all batches."""
-    parts = _stored(spark, f"{path}/manifest", "partition_id string, layer string, exchange_id string, ts_min_epoch_s bigint, ts_max_epoch_s bigint, row_count bigint").drop("batch_id")
+    """The registry over all complete batches."""
+    parts = committed(spark, path, "manifest", "partition_id string, layer string, exchange_id string, ts_min_epoch_s bigint, ts_max_epoch_s bigint, row_count bigint").drop("batch_id")
     return parts.groupBy(*REGISTRY_KEYS).agg(F.min("ts_min_epoch_s").alias("ts_min_epoch_s"), F.max("ts_max_epoch_s").alias("ts_max_epoch_s"), F.sum("row_count").alias("row_count"))
