@@ -7,8 +7,9 @@
 3. Groups meet where they share a prefix shingle. Size, and bitmaps in which each shingle flips one bit, bound the
    similarity of all members of two groups from above; pairs that cannot pass are dropped in numpy blocks.
 4. Where few groups meet, all their pairs are tried; elsewhere first each group with its nearest one only. What these
-   pairs verify is merged into components, and then every pair that is left between different components is tried. So
-   a large group of near copies costs few pairs, and no link is lost.
+   pairs verify is merged into components. Between different components that are left, members of groups are tried in
+   the same way: of large groups first each member with its nearest one, and then every pair that is left. So a large
+   group of near copies costs few pairs, and no link is lost.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ SLOT_BLOCK = 1 << 14
 BLOCK_ROWS = 2048
 #: Where no more groups than this meet, all their pairs are tried at once.
 FEW = 4
-#: Two groups with no more pairs of members than this have all of them verified; of larger ones, members are compared first.
+#: Two groups with no more pairs of members than this have all of them verified; of larger ones, members are compared in blocks.
 FEW_MEMBERS = 64
 #: Ids of so many pairs are broadcast to find their texts.
 FEW_PAIRS = 200_000
@@ -303,27 +304,40 @@ def verified(pairs: DataFrame, docs: DataFrame, gram: int, percent: int) -> Data
     return written(met.select("a", "b", "set").mapInArrow(compare, "a long, b long"))
 
 
-def member_pairs(pairs: DataFrame, table: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of members of the groups in pairs (a, b; a = b for a group's own) that may link different labels.
+def differing(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Of pairs of groups (a, b; a = b for a group's own), those with members (gid, node, label) of different labels.
 
-    pairs has the numbers of members, size_a and size_b. Of two small groups these are all pairs; members of larger ones
-    are compared by their own bitmaps in blocks, as groups are.
+    With the numbers of their members, size_a and size_b.
     """
-    small = pairs.where(F.col("size_a") * F.col("size_b") <= FEW_MEMBERS).select("a", "b")
-    n = small.count()
-    hot_a, hot_b = hot_keys(small, ["a"], n), hot_keys(small, ["b"], n)
+    of_group = labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    label = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1)
+    n = pairs.count()
+    for side in ("a", "b"):
+        own, hot = of_group.select(F.col("gid").alias(side), F.col("size").alias(f"size_{side}"), label.alias(f"label_{side}")), hot_keys(pairs, [side], n)
+        pairs = dealt(pairs, hot, [side], "b" if side == "a" else "a").join(copied(own, hot, [side]), [side, "part"]).drop("part")
+    return written(pairs.where("label_a < 0 or label_b < 0 or label_a <> label_b").select("a", "b", "size_a", "size_b"))
+
+
+def member_pairs(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(a, b), a < b: all pairs of members of different labels of the groups in pairs (a, b)."""
+    n = pairs.count()
+    hot_a, hot_b = hot_keys(pairs, ["a"], n), hot_keys(pairs, ["b"], n)
     left, right = labelled.select(F.col("gid").alias("a"), F.col("node").alias("na"), F.col("label").alias("la")), labelled.select(F.col("gid").alias("b"), F.col("node").alias("nb"), F.col("label").alias("lb"))
-    half = dealt(small, hot_a, ["a"], "b").join(copied(left, hot_a, ["a"]), ["a", "part"]).drop("part")
+    half = dealt(pairs.select("a", "b"), hot_a, ["a"], "b").join(copied(left, hot_a, ["a"]), ["a", "part"]).drop("part")
     full = dealt(half, hot_b, ["b"], "a").join(copied(right, hot_b, ["b"]), ["b", "part"]).where("la <> lb")
-    near = full.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+    return full.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
+
 
-    large = written(pairs.where(F.col("size_a") * F.col("size_b") > FEW_MEMBERS).select(F.explode(F.array("a", "b")).alias("gid")).distinct())
-    if not large.limit(1).count():
-        return near.distinct()
-    prefix = table.where("prefix is not null").select("gid", "prefix").join(large, "gid")
+def near_members(pairs: DataFrame, table: DataFrame, labelled: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """(a, b), a < b: pairs of members of the groups in pairs (a, b) that may link different labels, by their own bitmaps.
+
+    Members are compared in blocks, as groups are; see candidates() for nearest.
+    """
+    involved = written(pairs.select(F.explode(F.array("a", "b")).alias("gid")).distinct())
+    prefix = table.where("prefix is not null").select("gid", "prefix").join(involved, "gid")
     own = table.where("node is not null").select("gid", "node", "n", "bitmap").join(prefix, "gid").join(labelled.select("node", "label"), "node")
     members = written(own.select(F.col("node").alias("gid"), "n", "bitmap", F.lit(0).cast("long").alias("radius"), "label", "prefix"))
-    return near.unionByName(candidates(meetings(members), members, percent, nearest=False)).distinct()
+    return candidates(meetings(members), members, percent, nearest)
 
 
 def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
@@ -347,26 +361,36 @@ def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFr
     edges = verified(tried, docs, gram, percent)
     found = written(components(edges))
 
-    labelled = written(members.join(found, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("label")))
-    of_group = labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-    of_group = written(of_group.select("gid", "size", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1).alias("label")))
-    left_over = candidates(met.where(F.col("size") > FEW), groups.join(of_group.select("gid", "label"), "gid"), percent, nearest=False)
+    def labelled_by(found: DataFrame) -> DataFrame:
+        return written(members.join(found, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("label")))
+
+    def merged(found: DataFrame, more: DataFrame) -> DataFrame:
+        return written(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
+
+    labelled = labelled_by(found)
+    of_group = written(labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")).select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1).alias("label")))
+    left_over = candidates(met.where(F.col("size") > FEW), groups.join(of_group, "gid"), percent, nearest=False)
     mixed = of_group.where("label < 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
     # pairs tried above were tried between the groups' first members only
-    pairs = written(left_over.unionByName(near).distinct().unionByName(mixed))
-    n = pairs.count()
-    hot_a, hot_b = hot_keys(pairs, ["a"], n), hot_keys(pairs, ["b"], n)
-    of_a, of_b = of_group.toDF("a", "size_a", "label_a"), of_group.toDF("b", "size_b", "label_b")
-    pairs = dealt(pairs, hot_a, ["a"], "b").join(copied(of_a, hot_a, ["a"]), ["a", "part"]).drop("part")
-    pairs = dealt(pairs, hot_b, ["b"], "a").join(copied(of_b, hot_b, ["b"]), ["b", "part"])
-    pairs = written(pairs.where("label_a < 0 or label_b < 0 or label_a <> label_b").select("a", "b", "size_a", "size_b"))
-    final = found
+    pairs = differing(written(left_over.unionByName(near).distinct().unionByName(mixed)), labelled)
+    many = F.col("size_a") * F.col("size_b") > FEW_MEMBERS
     if pairs.limit(1).count():
-        apart = member_pairs(pairs, table, labelled, percent).join(tried, ["a", "b"], "left_anti")
+        large = written(pairs.where(many).select("a", "b"))
+        apart = member_pairs(pairs.where(~many), labelled)
+        if large.limit(1).count():
+            apart = apart.unionByName(near_members(large, table, labelled, percent, nearest=True)).distinct()
+        apart = written(apart.join(tried, ["a", "b"], "left_anti"))
         more = verified(apart, docs, gram, percent)
         if more.limit(1).count():
-            final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    by_class = written(classes.select("node", "f1", "f2", "n", "copies").join(final, "node", "left").select("f1", "f2", "n", "copies", F.coalesce("component", "node").alias("component_id")))
+            found = merged(found, more)
+        labelled = labelled_by(found)
+        large = differing(large, labelled)
+        if large.limit(1).count():
+            rest = near_members(large, table, labelled, percent, nearest=False).join(tried.unionByName(apart), ["a", "b"], "left_anti")
+            more = verified(rest, docs, gram, percent)
+            if more.limit(1).count():
+                found = merged(found, more)
+    by_class = written(classes.select("node", "f1", "f2", "n", "copies").join(found, "node", "left").select("f1", "f2", "n", "copies", F.coalesce("component", "node").alias("component_id")))
     return _of_rows(sketch.select("doc_id", "n", "f1", "f2"), by_class).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
 
 
