@@ -700,25 +700,95 @@ def test_piece_columns_round_trip(spark, odd):
 # pipeline
 
 
-def test_pipeline_stages_take_effect(spark, tmp_path):
+def without_common_lines(rows):
+    """Line deduplication in a loop: {(doc_id, text): (text left, lines removed)}."""
+    sites: dict[str, set] = {}
+    places: dict[str, list] = {}
+    blank = " \t\n\x0b\x0c\r"
+    for d, text, source in rows:
+        for pos, line in enumerate((text or "").split("\n") if text is not None else []):
+            bare = line.strip(blank)
+            if len(bare) >= lines.MIN_CHARS:
+                sites.setdefault(bare, set()).add(source or "")
+                places.setdefault(bare, []).append((d, pos))
+    common = {bare: min(places[bare]) for bare, found in sites.items() if len(found) >= lines.MIN_SITES}
+    out = {}
+    for d, text, _ in rows:
+        left = [line for pos, line in enumerate((text or "").split("\n")) if (bare := line.strip(blank)) not in common or common[bare] == (d, pos)]
+        out[d] = (None if text is None else "\n".join(left), 0 if text is None else len(text.split("\n")) - len(left))
+    return out
+
+
+def test_pipeline_stages_equal_loops_over_their_input(spark, tmp_path):
     import corpus_pipeline
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    sizes = [docs.count()]
-    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        out = stage(spark, docs, sf)
-        out.write.parquet(str(tmp_path / str(i)))
-        out = spark.read.parquet(str(tmp_path / str(i)))
-        if i < 4:
-            assert out.columns == docs.columns
-            sizes.append(out.count())
-            docs = out
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    kept, sizes = docs, [docs.count()]
+    stages = iter(corpus_pipeline.STAGES)
+
+    def through() -> tuple[list, list]:
+        nonlocal kept
+        before = kept.collect()
+        name, stage = next(stages)
+        stage(spark, kept, sf).write.parquet(str(tmp_path / name))
+        kept = spark.read.parquet(str(tmp_path / name))
+        after = kept.collect()
+        sizes.append(len(after))
+        return before, after
+
+    forest = quality.fit(docs, labels)
+    before, after = through()
+    want = [r["doc_id"] for r in before if forest.score(quality.statistics(pa.array([r["text"]])))[0] >= 0.3]
+    assert sorted(r["doc_id"] for r in after) == sorted(want) and kept.columns == docs.columns
+
+    model = language.fit(kept)
+    before, after = through()
+    shares = {r["doc_id"]: brute_mixture(model, r["text"]) for r in before}
+    certain = {d for d, s in shares.items() if s.sum() and s.max() >= 0.41}
+    assert certain <= {r["doc_id"] for r in after} <= {d for d, s in shares.items() if s.sum() and s.max() >= 0.39}
+
+    before, after = through()
+    loop = without_common_lines([(r["doc_id"], r["text"], r["source"]) for r in before])
+    assert {r["doc_id"]: r["text"] for r in after} == {d: text for d, (text, n) in loop.items() if not n or text.strip(" \t\n\x0b\x0c\r")}
+    assert all(r["n_chars"] == len(r["text"]) for r in after if loop[r["doc_id"]][1])
+
+    before, after = through()
+    groups = linked([(r["doc_id"], r["text"]) for r in before], 5, 80)
+    assert sorted(r["doc_id"] for r in after) == sorted(d for d, (_, c) in groups.items() if c == d)
     assert sizes == sorted(sizes, reverse=True) and sizes[1] < sizes[0] and sizes[4] < sizes[3]
-    want = linked([(r["doc_id"], r["text"]) for r in docs.collect()], 5, 80)
-    assert all(c == d for d, (_, c) in want.items())
-    assert out.select("doc_id").distinct().count() == docs.count()
-    assert out.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 1024
+
+    _, pieces_ = through()
+    assert {r["doc_id"] for r in pieces_} == {r["doc_id"] for r in after}
+    ends: dict[int, int] = {}
+    for r in sorted(pieces_, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 1024 and len(ends) <= 1.02 * sum(ends.values()) / 1024 + 1
+
+
+def test_pipeline_stages_take_awkward_rows(spark, odd, tmp_path):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    prose = spark.read.parquet(f"{sf}/documents.parquet").limit(150)
+    extra = {"extra": "x", "score": "own", "predicted": "own", "shares": "own", "lang_pred": "own", "n_lines": "own", "n_removed": "own"}
+    docs = prose.unionByName(odd.select(*prose.columns).withColumn("doc_id", F.col("doc_id") + 10_000_000))
+    docs = docs.unionByName(odd.select(*prose.columns).where("doc_id is null")).withColumns({k: F.lit(v) for k, v in extra.items()})
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns and got.where("score <> 'own' or n_lines <> 'own' or lang_pred <> 'own'").count() == 0, name
+        ids = {r["doc_id"] for r in got.collect()}
+        if name in ("line dedup", "n-gram Jaccard join"):
+            assert {10_000_000, 10_000_001, 10_000_002, None} <= ids  # null, empty and blank texts, and no id
+        if name == "language ID":
+            assert not {10_000_000, 10_000_001, 10_000_002} & ids
+        assert stage(spark, docs.where("false"), sf).count() == 0, name
+    assert corpus_pipeline.packed(spark, docs, sf).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    assert corpus_pipeline.packed(spark, docs.where("false"), sf).count() == 0
 
 
 def test_span_hashes_do_not_depend_on_place():
