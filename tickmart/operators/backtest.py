@@ -49,9 +49,8 @@ def ema(n: int = 10) -> Forecaster:
 
 
 def _contexts(series: DataFrame, config: Config) -> DataFrame:
-    """series with row (from 1), rows, context (the prices up to and with the row) and ahead (those after it)."""
-    return series.select(
-        "*", F.row_number().over(_by_time()).alias("row"), F.count("*").over(W.partitionBy(*PAIR)).alias("rows"), F.collect_list("price").over(_by_time().rowsBetween(1 - config.max_context, 0)).alias("context"), F.collect_list("price").over(_by_time().rowsBetween(1, config.horizon_steps)).alias("ahead"))
+    """series with row (from 1) and context, the prices up to and with the row."""
+    return series.select("*", F.row_number().over(_by_time()).alias("row"), F.collect_list("price").over(_by_time().rowsBetween(1 - config.max_context, 0)).alias("context"))
 
 
 def rolling_origin_backtest(series: DataFrame, forecaster: Forecaster, config: Config) -> DataFrame:
@@ -61,13 +60,17 @@ def rolling_origin_backtest(series: DataFrame, forecaster: Forecaster, config: C
     a horizon, as long as they leave min_context rows, cv_windows at most. Pairs with too few rows are marked skipped.
     """
     h = config.horizon_steps
+    numbered = series.select(*PAIR, "price", F.row_number().over(_by_time()).alias("row"))
     held = F.least(F.greatest(F.lit(h), F.floor(F.col("rows") * config.test_size + 1e-9)), F.col("rows") - config.min_context)
-    wide = _contexts(series, config).withColumn("start", F.col("rows") - held)
-    # a row is an origin if it is the last before a forecast
-    back = (F.col("start") - F.col("row")) / h
-    origin = (back >= 0) & (back == F.floor(back)) & (back <= config.cv_windows) & ((back == 0) | (F.col("row") >= config.min_context)) & (F.size("ahead") == h)
-    usable = wide.where((F.col("rows") >= config.min_context + h) & (held >= h) & origin)
-    points = usable.select(*PAIR, back.cast("int").alias("back"), "start", F.explode(F.arrays_zip(F.col("ahead").alias("actual"), forecaster(F.col("context"), h).alias("predicted"))).alias("p")).select(*PAIR, "back", "start", F.col("p.actual").alias("actual"), F.col("p.predicted").alias("predicted_price"))
+    sizes = series.groupBy(*PAIR).agg(F.count("*").alias("rows")).withColumn("start", F.col("rows") - held)
+    # an origin is the last row before a forecast; only rows near an origin are gathered
+    back, origin = F.col("back"), F.col("origin")
+    usable = sizes.where((F.col("rows") >= config.min_context + h) & (held >= h)).withColumn("back", F.explode(F.sequence(F.lit(0), F.lit(config.cv_windows))))
+    origins = usable.withColumn("origin", F.col("start") - back * h).where(((back == 0) | (origin >= config.min_context)) & (origin >= 1) & (origin + h <= F.col("rows"))).drop("rows")
+    near = numbered.join(origins, list(PAIR)).where((F.col("row") > origin - config.max_context) & (F.col("row") <= origin + h))
+    side = lambda when: F.transform(F.sort_array(F.collect_list(F.when(when, F.struct("row", "price")))), lambda x: x["price"])
+    grouped = near.groupBy(*PAIR, "back", "start").agg(side(F.col("row") <= origin).alias("context"), side(F.col("row") > origin).alias("ahead"))
+    points = grouped.select(*PAIR, "back", "start", F.explode(F.arrays_zip(F.col("ahead").alias("actual"), forecaster(F.col("context"), h).alias("predicted"))).alias("p")).select(*PAIR, "back", "start", F.col("p.actual").alias("actual"), F.col("p.predicted").alias("predicted_price"))
     metrics = regression_metrics(points, [*PAIR, "back", "start"])
     hold = metrics.where("back = 0").select(*PAIR, F.col("start").alias("train_rows"), F.col("rows").alias("test_rows"), *[F.col(m).alias(f"holdout_{m}") for m in METRICS])
     cv = metrics.where("back > 0").groupBy(*PAIR).agg(F.count("*").alias("cv_fold_count"), *[F.avg(m).alias(f"cv_mean_{m}") for m in METRICS])

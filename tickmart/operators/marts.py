@@ -93,16 +93,27 @@ def cache_metadata(caches: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+#: Quality bands: name, least score, and the score below which it ends (the highest holds 1 as well).
+BANDS = (("high", 0.75, 1.0), ("medium", 0.5, 0.75), ("low", 0.0, 0.5))
+
+
+def with_quality_band(quality: DataFrame) -> DataFrame:
+    """quality with quality_band_key, the band of its default_quality_score; null for no score."""
+    score, key = F.col("default_quality_score"), F.lit(None).cast("string")
+    for name, low, _ in reversed(BANDS):
+        key = F.when(score >= low, name).otherwise(key)
+    return quality.withColumn("quality_band_key", key)
+
+
 def dimensions(quality: DataFrame, ranked: DataFrame) -> dict[str, DataFrame]:
     """Date, exchange, symbol and quality-band dimensions of the daily quality and deviation facts."""
     days = quality.select("kpi_date_utc").union(ranked.select("kpi_date_utc")).distinct()
     part = lambda i: F.split_part("kpi_date_utc", F.lit("-"), F.lit(i)).cast("int")
     side = lambda i: F.split_part("symbol", F.lit("/"), F.lit(i))
-    bands = [("high", 0.75, 1.0), ("medium", 0.5, 0.75), ("low", 0.0, 0.5)]
     spark = quality.sparkSession
     return {
         "date": days.select(F.col("kpi_date_utc").alias("date_key"), part(1).alias("year_num"), part(2).alias("month_num"), part(3).alias("day_num")),
         "exchange": quality.select(F.col("exchange_id").alias("exchange_key"), "exchange_id", F.lit("exchange").alias("platform_type")).distinct(),
         "symbol": ranked.select(F.col("symbol").alias("symbol_key"), "symbol", side(1).alias("base_asset"), side(2).alias("quote_asset")).distinct(),
-        "quality_band": spark.createDataFrame([(name, name, f"{low:g}-{high:g}") for name, low, high in bands], "quality_band_key string, quality_band_name string, score_interval string"),
+        "quality_band": spark.createDataFrame([(name, name, f"{low:g}-{high:g}") for name, low, high in BANDS], "quality_band_key string, quality_band_name string, score_interval string"),
     }

@@ -303,7 +303,20 @@ query("f28b_latest_training_run", f"select training_run_id from (select training
     lambda s, d: models.latest_training_run(_registered(s, d).where("id % 4 <> 0").groupBy("training_run_id").agg(F.max("ts_us").alias("started_utc")).withColumn("status", F.lit("completed"))))
 query("f29_replace_predictions", "select id, exchange_id, symbol, case when exchange_id = 'okx' then 2 else 1 end as version from ticks where exchange_id <> 'okx' or id % 2 = 0")(
     lambda s, d: models.replace_predictions(ticks(s, d).select("id", "exchange_id", "symbol", F.lit(1).alias("version")), ticks(s, d).where("exchange_id = 'okx' and id % 2 = 0").select("id", "exchange_id", "symbol", F.lit(2).alias("version")), ("exchange_id", "symbol")))
-query("f30_rolling_origin_backtest")(lambda s, d: backtest.rolling_origin_backtest(_series(s, d), backtest.drift, BACKTEST))
+_METRICS = "avg(abs(y - p)) as mae, sqrt(avg((y - p) * (y - p))) as rmse, 100.0 * avg(case when abs(y) > 1e-9 then abs((y - p) / y) end) as mape, case when count(*) >= 2 and stddev_pop(y) > 1e-12 then 1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) end as r2"
+_BACKTEST = f"""
+with s as (select exchange_id, symbol, price, row_number() {_OVER.format('')} as r from {_SERIES}),
+n as (select exchange_id, symbol, count(*) as rows, count(*) - least(greatest(6, cast(floor(count(*) * 0.2 + 1e-9) as bigint)), count(*) - 60) as start from s group by all),
+o as (select exchange_id, symbol, rows, start, back, start - 6 * back as origin from n, (select unnest(range(0, 4)) as back) where rows >= 66 and rows - start >= 6 and (back = 0 or start - 6 * back >= 60)),
+e as (select o.*, last.price as high, first.price as low, origin - greatest(1, origin - 511) as steps from o join s last on last.exchange_id = o.exchange_id and last.symbol = o.symbol and last.r = origin join s first on first.exchange_id = o.exchange_id and first.symbol = o.symbol and first.r = greatest(1, origin - 511)),
+q as (select e.exchange_id, e.symbol, back, start, s.price as y, high + (high - low) / greatest(steps, 1) * (s.r - origin) as p from e join s on s.exchange_id = e.exchange_id and s.symbol = e.symbol and s.r between origin + 1 and origin + 6),
+m as (select exchange_id, symbol, back, start, {_METRICS}, count(*) as rows from q group by all)
+select n.exchange_id, n.symbol, n.rows as series_rows, coalesce(h.start, 0) as train_rows, coalesce(h.rows, 0) as test_rows, coalesce(c.k, 0) as cv_fold_count, case when h.rows > 0 then 'trained' else 'skipped' end as status,
+  {', '.join(f'round(h.{x}, 6) as holdout_{x}, round(c.{x}, 6) as cv_mean_{x}' for x in models.METRICS)}
+from n left join m h on h.exchange_id = n.exchange_id and h.symbol = n.symbol and h.back = 0
+left join (select exchange_id, symbol, count(*) as k, {', '.join(f'avg({x}) as {x}' for x in models.METRICS)} from m where back > 0 group by all) c on c.exchange_id = n.exchange_id and c.symbol = n.symbol"""
+query("f30_rolling_origin_backtest", _BACKTEST)(
+    lambda s, d: (lambda df: df.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]))(backtest.rolling_origin_backtest(_series(s, d), backtest.drift, BACKTEST)))
 _FORECAST = f"""select k.exchange_id, k.symbol, k.bucket_epoch_s as generated_bucket_epoch_s, k.bucket_epoch_s + 21600 as target_bucket_epoch_s, k.price as predicted_price, a.price as actual_price, abs(a.price - k.price) as abs_error
   from (select *, row_number() {_OVER.format('')} as k from {_SERIES}) k left join {_SERIES} a on a.exchange_id = k.exchange_id and a.symbol = k.symbol and a.bucket_epoch_s = k.bucket_epoch_s + 21600 where k >= 60"""
 query("f31_rolling_forecast", _FORECAST)(lambda s, d: backtest.rolling_forecast(_series(s, d), backtest.last_value, BACKTEST))

@@ -294,6 +294,10 @@ _LATEST = "(select max(kpi_date_utc) from deviation_daily)"
 _LATEST_DEVIATION = f"select * from ({_RANKED.format('deviation_daily', 'kpi_date_utc')}) where kpi_date_utc = {_LATEST}"
 _SYMBOLS = f"select symbol from ({_CURVE24}) union select symbol from deviation_daily where kpi_date_utc = {_LATEST} union select symbol from buckets"
 query("e30_caches", _LATEST_DEVIATION)(lambda s, d: _caches(s, d)["price_deviation_daily_latest"])
+query("e30b_cached_quality", "select * exclude (latency_sample_count, interval_count, avg_update_interval_s, min_update_interval_s, max_update_interval_s) from quality_daily where kpi_date_utc = (select max(kpi_date_utc) from quality_daily)")(lambda s, d: _caches(s, d)["platform_quality_daily_latest"])
+query("e30c_cached_curve", f"select * exclude (bucket_epoch_s) from ({_CURVE24})")(lambda s, d: _caches(s, d)["price_curve_24h_latest"])
+query("e30d_cached_buckets", twins.tidy("select * from buckets", _BUCKET))(lambda s, d: plain(_caches(s, d)["symbol_deviation_bucket"]))
+query("e30e_cached_symbols", _SYMBOLS)(lambda s, d: _caches(s, d)["symbols"])
 query(
     "e31_cache_metadata",
     f"""select 'platform_quality_daily_latest' as cache, count(*) as row_count from quality_daily where kpi_date_utc = (select max(kpi_date_utc) from quality_daily) union all select 'price_deviation_daily_latest', count(*) from deviation_daily where kpi_date_utc = {_LATEST}
@@ -308,3 +312,6 @@ def _dimension(name: str):
 query("e35_dim_date", "select distinct kpi_date_utc as date_key, cast(kpi_date_utc[:4] as int) as year_num, cast(kpi_date_utc[6:7] as int) as month_num, cast(kpi_date_utc[9:10] as int) as day_num from (select kpi_date_utc from quality_daily union select kpi_date_utc from deviation_daily)")(_dimension("date"))
 query("e35b_dim_exchange", "select distinct exchange_id as exchange_key, exchange_id, 'exchange' as platform_type from quality_daily")(_dimension("exchange"))
 query("e35c_dim_symbol", "select distinct symbol as symbol_key, symbol, split_part(symbol, '/', 1) as base_asset, split_part(symbol, '/', 2) as quote_asset from deviation_daily")(_dimension("symbol"))
+_BANDED = "case when default_quality_score >= 0.75 then 'high' when default_quality_score >= 0.5 then 'medium' when default_quality_score >= 0 then 'low' end"
+query("e35d_dim_quality_band", f"select quality_band_key, quality_band_key as quality_band_name, case quality_band_key when 'high' then '0.75-1' when 'medium' then '0.5-0.75' when 'low' then '0-0.5' end as score_interval, count(*) as facts from (select {_BANDED} as quality_band_key from quality_daily) group by all")(
+    lambda s, d: marts.with_quality_band(_quality(s, d, "day")).join(_dimension("quality_band")(s, d), "quality_band_key").groupBy("quality_band_key", "quality_band_name", "score_interval").agg(F.count("*").alias("facts")))

@@ -24,7 +24,7 @@ def recent_events(messages: DataFrame, time_column: str, watermark: str = "1 hou
 
 
 #: Stored keys lie in so many buckets by their hash; a batch reads the buckets of its own keys.
-KEY_BUCKETS = 1024
+KEY_BUCKETS = 64
 #: A batch of no more events than this broadcasts its keys, so that the keys of earlier batches are not shuffled.
 FEW_EVENTS = 200_000
 
