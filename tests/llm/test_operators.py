@@ -503,6 +503,7 @@ def linked(docs, gram, percent):
 def test_components_equal_brute_force(spark, monkeypatch, gram, percent, hot):
     if hot:  # nearly every key is hot, and members of nearly all groups are compared in blocks
         monkeypatch.setattr(skew, "MOST_ROWS", 3)
+        monkeypatch.setattr(skew, "MOST_THIN_ROWS", 3)
         monkeypatch.setattr(ngram_join, "FEW_MEMBERS", 1)
         monkeypatch.setattr(ngram_join, "FEW_PAIRS", 0)
     rng = np.random.default_rng(gram)
@@ -545,6 +546,7 @@ def test_members_of_one_group_that_do_not_link_to_its_first(spark):
 
 def test_hot_keys_are_dealt_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(skew, "MOST_ROWS", 50)
+    monkeypatch.setattr(skew, "MOST_THIN_ROWS", 50)
     rows = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.lit(-1)).otherwise(F.col("id")).alias("a"), F.col("id").alias("b")).repartition(4)
     hot = skew.hot_keys(rows, ["a"], 6000)
     assert hot.collect()[0][:] == (-1, 80) and hot.count() == 1

@@ -20,9 +20,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     def with_least(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
         """edges (u, v) with m of their u."""
-        if n <= threshold(n):
+        if n <= threshold(n, thin=True):
             return edges.join(least.drop("degree"), "u")
-        hub = F.col("degree") > threshold(n)
+        hub = F.col("degree") > threshold(n, thin=True)
         hubs, others = F.broadcast(least.where(hub).drop("degree")), least.where(~hub).drop("degree")
         return edges.join(hubs, "u").unionByName(edges.join(hubs, "u", "left_anti").join(others, "u"))
 

@@ -313,7 +313,7 @@ def differing(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
     label = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1)
     n = pairs.count()
     for side in ("a", "b"):
-        own, hot = of_group.select(F.col("gid").alias(side), F.col("size").alias(f"size_{side}"), label.alias(f"label_{side}")), hot_keys(pairs, [side], n)
+        own, hot = of_group.select(F.col("gid").alias(side), F.col("size").alias(f"size_{side}"), label.alias(f"label_{side}")), hot_keys(pairs, [side], n, thin=True)
         pairs = dealt(pairs, hot, [side], "b" if side == "a" else "a").join(copied(own, hot, [side]), [side, "part"]).drop("part")
     return written(pairs.where("label_a < 0 or label_b < 0 or label_a <> label_b").select("a", "b", "size_a", "size_b"))
 
@@ -321,7 +321,7 @@ def differing(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
 def member_pairs(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
     """(a, b), a < b: all pairs of members of different labels of the groups in pairs (a, b)."""
     n = pairs.count()
-    hot_a, hot_b = hot_keys(pairs, ["a"], n), hot_keys(pairs, ["b"], n)
+    hot_a, hot_b = hot_keys(pairs, ["a"], n, thin=True), hot_keys(pairs, ["b"], n, thin=True)
     left, right = labelled.select(F.col("gid").alias("a"), F.col("node").alias("na"), F.col("label").alias("la")), labelled.select(F.col("gid").alias("b"), F.col("node").alias("nb"), F.col("label").alias("lb"))
     half = dealt(pairs.select("a", "b"), hot_a, ["a"], "b").join(copied(left, hot_a, ["a"]), ["a", "part"]).drop("part")
     full = dealt(half, hot_b, ["b"], "a").join(copied(right, hot_b, ["b"]), ["b", "part"]).where("la <> lb")
@@ -399,10 +399,11 @@ def _of_rows(rows: DataFrame, by_class: DataFrame) -> DataFrame:
 
     Rows without words or id need no join; classes of very many copies are broadcast (their number has a bound, see skew).
     """
-    keys = ["f1", "f2", "n"]
+    keys, n = ["f1", "f2", "n"], rows.count()
     joined = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    alone = rows.where(~joined).withColumn("component_id", F.lit(None).cast("long"))
-    crowded = F.col("copies") > threshold(rows.count())
-    few, others = F.broadcast(by_class.where(crowded).drop("copies")), by_class.where(~crowded).drop("copies")
-    rows = rows.where(joined)
+    alone, rows = rows.where(~joined).withColumn("component_id", F.lit(None).cast("long")), rows.where(joined)
+    most = threshold(n, thin=True)
+    if n <= most:
+        return alone.unionByName(rows.join(by_class.drop("copies"), keys))
+    few, others = F.broadcast(by_class.where(F.col("copies") > most).drop("copies")), by_class.where(F.col("copies") <= most).drop("copies")
     return alone.unionByName(rows.join(few, keys)).unionByName(rows.join(few, keys, "left_anti").join(others, keys))

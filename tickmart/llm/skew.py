@@ -10,17 +10,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST_HOT = 100_000
+#: The rows of one key that a task may have: of rows with sets or bitmaps, and of thin ones, a few numbers each.
 MOST_ROWS = 4096
+MOST_THIN_ROWS = 1 << 18
 
 
-def threshold(n: int) -> int:
+def threshold(n: int, thin: bool = False) -> int:
     """The most rows of one key that n rows may have before it is hot."""
-    return max(MOST_ROWS, -(-n // MOST_HOT))
+    return max(MOST_THIN_ROWS if thin else MOST_ROWS, -(-n // MOST_HOT))
 
 
-def hot_keys(rows: DataFrame, keys: list[str], n: int) -> DataFrame | None:
+def hot_keys(rows: DataFrame, keys: list[str], n: int, thin: bool = False) -> DataFrame | None:
     """(keys, parts) of the hot keys of rows, of which there are n; None if they are too few for one."""
-    most = threshold(n)
+    most = threshold(n, thin)
     if n <= most:
         return None
     many = rows.groupBy(*keys).agg(F.count("*").alias("parts")).where(F.col("parts") > most)
