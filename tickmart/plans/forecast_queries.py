@@ -112,25 +112,35 @@ _PICKED = f"select r.* from ({_REGISTRY}) r, {_WINDOW} w where r.exchange_id in
 _SCOPE = {"exchanges": "binance,okx", "symbols": "BTC/USDT"}
 
 
-_VAULTS: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str, str], str] = {}
 
 
-def vault(s: SparkSession, d: str) -> str:
-    """The folder of the vault and manifest of all ticks and events in d: written once for each application."""
-    key = (s.sparkContext.applicationId, d)
-    if key not in _VAULTS or not exists(s, _VAULTS[key]):
+def _stored(s: SparkSession, d: str, name: str) -> str:
+    """The folder of a part of the vault (ticks, events) or of its manifest (registry, pairs), from all rows in d.
+
+    Written once for each application.
+    """
+    key = (s.sparkContext.applicationId, d, name)
+    if key not in _STORED or not exists(s, _STORED[key]):
         path = scratch_path(s)
-        for name, rows in (("ticks", ticks(s, d)), ("events", conn(s, d))):
-            write_vault(manifest.with_partition(rows), f"{path}/{name}")
-        for name, rows in (("registry", _registry(s, d)), ("pairs", _pairs(s, d))):
-            rows.write.parquet(f"{path}/{name}")
-        _VAULTS[key] = path
-    return _VAULTS[key]
+        if name in _SOURCES:
+            write_vault(manifest.with_partition(_SOURCES[name](s, d)), path)
+        else:
+            {"registry": _registry, "pairs": _pairs}[name](s, d).write.parquet(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+_SOURCES = {"ticks": ticks, "events": conn}
 
 
 def _manifest(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(registry, pairs) as stored."""
-    return s.read.parquet(f"{vault(s, d)}/registry"), s.read.parquet(f"{vault(s, d)}/pairs")
+    return s.read.parquet(_stored(s, d, "registry")), s.read.parquet(_stored(s, d, "pairs"))
+
+
+def _vault(s: SparkSession, d: str, name: str) -> DataFrame:
+    return read_vault(s, _stored(s, d, name), manifest.with_partition(_SOURCES[name](s, d)).schema)
 
 
 def _window(s: SparkSession, d: str) -> DataFrame:
@@ -142,13 +152,11 @@ def _picked(s: SparkSession, d: str) -> DataFrame:
 
 
 def _staged(s: SparkSession, d: str) -> DataFrame:
-    stored = read_vault(s, f"{vault(s, d)}/ticks", manifest.with_partition(ticks(s, d)).schema)
-    return staging.extract_ticks(stored, _window(s, d), _picked(s, d), **_SCOPE)
+    return staging.extract_ticks(_vault(s, d, "ticks"), _window(s, d), _picked(s, d), **_SCOPE)
 
 
 def _staged_events(s: SparkSession, d: str) -> DataFrame:
-    stored = read_vault(s, f"{vault(s, d)}/events", manifest.with_partition(conn(s, d)).schema)
-    return staging.extract_events(stored, _window(s, d), exchanges="binance,okx")
+    return staging.extract_events(_vault(s, d, "events"), _window(s, d), exchanges="binance,okx")
 
 
 _TICKS = f"select t.*, {_ID} as source_partition_id from ticks t, {_WINDOW} where exchange_id in ('binance', 'okx') and symbol = 'BTC/USDT' and epoch_s between start_s and end_s and {_ID} in (select partition_id from ({_PICKED}))"

@@ -16,9 +16,18 @@ def read_staging(spark: SparkSession, paths: list[str], exclude: list[str] = ())
     return spark.read.parquet(*wanted)
 
 
+#: So few rows are written by as many tasks as there are cores: most of the work is in opening files.
+FEW_ROWS = 1_000_000
+
+
+def by_folder(rows: DataFrame, n: int) -> DataFrame:
+    """The n rows, dealt so that a folder's rows meet in a task; of many rows, those of a large folder in several."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *FOLDERS) if n <= FEW_ROWS else rows.hint("rebalance", *FOLDERS)
+
+
 def write_vault(rows: DataFrame, path: str) -> None:
-    """Append rows of manifest.with_partition() in hourly partitions; a partition's rows meet before writing, but a large one is split."""
-    rows.hint("rebalance", *FOLDERS).write.mode("append").partitionBy(*FOLDERS).parquet(path)
+    """Append rows of manifest.with_partition() in hourly partitions."""
+    by_folder(rows, rows.count()).write.mode("append").partitionBy(*FOLDERS).parquet(path)
 
 
 def read_vault(spark: SparkSession, path: str, columns: StructType) -> DataFrame:

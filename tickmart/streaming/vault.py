@@ -15,6 +15,7 @@ from ..operators.ingest import dead_letters, dedup_events, parse_envelopes, to_c
 from ..operators.manifest import FOLDERS, REGISTRY_KEYS, partition_registry, with_partition
 from ..sources.scratch import exists
 from ..sources.session import prepare
+from ..sources.staging import by_folder
 
 
 def recent_events(messages: DataFrame, time_column: str, watermark: str = "1 hour") -> DataFrame:
@@ -58,20 +59,21 @@ def _unseen(events: DataFrame, path: str, batch_id: int) -> DataFrame:
 
 def ingest_batch(messages: DataFrame, batch_id: int, path: str, layer: str = "raw", source_stream: str = "stream") -> None:
     """One batch of messages (stream_id, event_json): keys that any earlier batch has stored are skipped, for ever."""
-    prepare(messages.sparkSession)
+    spark = messages.sparkSession
+    prepare(spark)
     messages = messages.persist()
     events, failed = validate_envelopes(parse_envelopes(messages))
     once = dedup_events(events).persist()
     fresh = _unseen(once, path, batch_id).persist()
-    ticks, conn = to_market_ticks(fresh), to_connection_events(fresh)
+    n, ticks, conn = fresh.count(), to_market_ticks(fresh), to_connection_events(fresh)
     try:
         for name, rows in (("market_ticks", ticks), ("connection_events", conn)):
-            with_partition(rows, layer).hint("rebalance", *FOLDERS).write.mode("overwrite").partitionBy(*FOLDERS).parquet(f"{path}/{name}/batch_id={batch_id}")
+            by_folder(with_partition(rows, layer), n).write.mode("overwrite").partitionBy(*FOLDERS).parquet(f"{path}/{name}/batch_id={batch_id}")
         for name, rows in (("dead_letters", dead_letters(failed, source_stream)), ("manifest", partition_registry(ticks, conn, layer))):
             rows.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
         keys = fresh.select(F.trim("dedup_key").alias("dedup_key")).withColumn("bucket", _bucket())
-        keys.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/keys/batch_id={batch_id}")
-        messages.sparkSession.createDataFrame([(layer,)], "layer string").coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
+        keys.repartition(min(KEY_BUCKETS, spark.sparkContext.defaultParallelism), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/keys/batch_id={batch_id}")
+        spark.createDataFrame([(layer,)], "layer string").coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
     finally:
         for df in (fresh, once, messages):
             df.unpersist()
