@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickmart.llm import ann, components, language, lines, ngram_join, packing, pieces, quality, rules, skew, textbatch, toxicity, warc
+from tickmart.llm import ann, components, language, learn, lines, ngram_join, packing, pieces, quality, rules, skew, textbatch, toxicity, warc
 
 LONG = "lorem ipsum dolor " * 3000
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, extra string"
@@ -390,6 +390,15 @@ def test_quality_separates_held_out_rows(prose, odd):
     assert quality.fit(docs, labels.where("false")).score(np.zeros((2, len(quality.STATISTICS)))).tolist() == [0.5, 0.5]
 
 
+def test_a_repeated_document_is_learned_from_once(spark, prose):
+    docs, labels = prose
+    often = docs.unionByName(docs.where("doc_id % 7 = 1").crossJoin(spark.range(20)).drop("id"))
+    a, b = quality.fit(docs, labels), quality.fit(often, labels)
+    assert np.array_equal(a.feature, b.feature) and np.array_equal(a.leaf, b.leaf)
+    ids = learn.sampled_ids(labels, "toxic", 5, 0, 30)
+    assert ids.count() <= 60 and learn.labelled_texts(often, ids).count() == ids.count()
+
+
 def test_toxicity_learns_planted_words(spark, odd):
     rng = np.random.default_rng(5)
     words = ["".join(rng.choice(list("abdefgilmnorstu"), rng.integers(2, 9))) for _ in range(800)]

@@ -23,3 +23,12 @@ def sampled_ids(labels: DataFrame, label: str, folds: int, fold: int, most_per_c
     rows = labels.where(~held_out(folds, fold) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label"))
     picked = [rows.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_per_class) for k in (0, 1)]
     return picked[0].unionByName(picked[1])
+
+
+def labelled_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, label, text): one row for each of ids (doc_id, label) that docs has, however often.
+
+    Of several texts of one doc_id the first in order counts, null last.
+    """
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbatch as tb
-from .learn import held_out, sampled_ids
+from .learn import held_out, labelled_texts, sampled_ids
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -136,9 +136,11 @@ def grow(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, trees:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS, fold: int = HELD_OUT, sample_per_class: int = SAMPLE_PER_CLASS) -> Forest:
-    """Trees from at most 2 * sample_per_class labelled rows that are not held out; only their statistics reach the driver."""
-    ids = F.broadcast(sampled_ids(labels, label, folds, fold, sample_per_class))
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id")
+    """Trees from at most 2 * sample_per_class labelled rows that are not held out; only their statistics reach the driver.
+
+    A doc_id counts once, see labelled_texts().
+    """
+    rows = labelled_texts(docs, sampled_ids(labels, label, folds, fold, sample_per_class))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .learn import held_out, sampled_ids
+from .learn import held_out, labelled_texts, sampled_ids
 from .scratch import written
 
 FOLDS, HELD_OUT = 5, 0
@@ -226,11 +226,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
     calibration sees texts as new as later ones are; of TOXIC_BYTES, the largest size is taken whose
     loss there is within a hundredth of the least. Texts
     stay in tasks: counts, n-grams, dictionaries and distances reach the driver. Without labelled texts of both classes in
-    both halves the score is the smoothed share of toxic rows.
+    both halves the score is the smoothed share of toxic rows. A doc_id counts once, see labelled_texts().
     """
-    ids = F.broadcast(sampled_ids(labels, label, folds, fold, sample_per_class))
+    ids = sampled_ids(labels, label, folds, fold, sample_per_class)
     toxic_share = labels.where(~held_out(folds, fold) & F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
-    rows = written(docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id").withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")))
+    rows = written(labelled_texts(docs, ids).withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")))
     n = {(p, k): 0 for p in (*HALVES, ALL) for k in (0, 1)}
     for r in rows.groupBy("half", "label").count().collect():
         n[r["half"], r["label"]] += r["count"]
