@@ -23,6 +23,8 @@ LAGS = (1, 2, 3, 5, 10, 15, 30)
 WINDOWS = (3, 5, 10, 30)
 #: Rows of a series that one window task of a recurrence sees at a time.
 CHUNK = 64
+#: A stretch of a recurrence, in seconds: rows of a pair are numbered within one.
+STRETCH = 30 * 86_400
 
 
 def _by_time() -> W:
@@ -126,30 +128,35 @@ def add_bbands(series: DataFrame, n: int = 20, width: float = 2.0) -> DataFrame:
 def affine_scan(rows: DataFrame, keys: tuple[str, ...], order: str, a: float, b: str, out: str, chunk: int = CHUNK) -> DataFrame:
     """rows with out, where out = a * (out of the row before) + b within each key, from 0 before the first row; 0 < a < 1.
 
-    A chunk of rows is summed by a window as if nothing came before it. The chunks' ends, one row for `chunk` rows, are
-    chained in order, and each row adds what its chunk's predecessor carries over.
+    Rows are cut into stretches of order, and these into chunks. A chunk is summed by a window as if nothing came before
+    it. The chunks' ends are chained in order, and each row adds what its chunk's predecessor carries over. No task numbers
+    all rows of a key.
     """
-    numbered = rows.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(order)) - 1).withColumn("_c", F.floor(F.col("_n") / chunk)).withColumn("_k", F.col("_n") % chunk)
+    numbered = rows.withColumn("_t", F.floor(F.col(order) / STRETCH)).withColumn("_n", F.row_number().over(W.partitionBy(*keys, "_t").orderBy(order)) - 1)
+    numbered = numbered.withColumn("_c", F.struct("_t", F.floor(F.col("_n") / chunk).alias("part"))).withColumn("_k", F.col("_n") % chunk).drop("_t")
     power = F.pow(F.lit(a), F.col("_k"))
     local = numbered.withColumn("_y", power * F.sum(F.col(b) / power).over(W.partitionBy(*keys, "_c").orderBy("_k").rowsBetween(W.unboundedPreceding, 0)))
     ends = local.groupBy(*keys, "_c").agg(F.max_by("_y", "_k").alias("_end"), F.count("*").alias("_size"))
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, carried, before = pdf.sort_values("_c"), [], 0.0
+        pdf, carried, before = pdf.sort_values(["_t", "_part"]), [], 0.0
         for end, size in zip(pdf["_end"], pdf["_size"], strict=True):
             carried.append(before)
             before = end + a**size * before
         return pdf.assign(_carry=carried).drop(columns=["_end", "_size"])
 
-    carry = ends.groupBy(*keys).applyInPandas(chain, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in ends.schema.fields if f.name in keys), "_c bigint, _carry double"]))
+    flat = ends.select(*keys, F.col("_c._t").alias("_t"), F.col("_c.part").alias("_part"), "_end", "_size")
+    carry = flat.groupBy(*keys).applyInPandas(chain, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema.fields if f.name in keys), "_t bigint, _part bigint, _carry double"]))
+    carry = carry.select(*keys, F.struct("_t", F.col("_part").alias("part")).alias("_c"), "_carry")
     return local.join(carry, [*keys, "_c"]).withColumn(out, F.col("_y") + power * a * F.col("_carry")).drop("_n", "_c", "_k", "_y", "_carry")
 
 
 def _smoothed(rows: DataFrame, value: str, n: int, alpha: float, out: str) -> DataFrame:
     """(pair, bucket_epoch_s, out) from the n-th value on: the first n values' mean, then alpha of each new one."""
-    placed = rows.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(_by_time()))
-    start = F.avg(value).over(_by_time().rowsBetween(-(n - 1), 0))
-    fed = placed.withColumn("_b", F.when(F.col("_r") == n, start).otherwise(alpha * F.col(value))).where(F.col("_r") >= n)
+    known = rows.where(F.col(value).isNotNull())
+    first = known.withColumn("_r", F.row_number().over(_by_time())).where(F.col("_r") <= n)
+    start = first.groupBy(*PAIR).agg(F.max("bucket_epoch_s").alias("_at"), F.avg(value).alias("_start"), F.count("*").alias("_rows")).where(F.col("_rows") == n)
+    fed = known.join(start, list(PAIR)).where("bucket_epoch_s >= _at").withColumn("_b", F.when(F.col("bucket_epoch_s") == F.col("_at"), F.col("_start")).otherwise(alpha * F.col(value)))
     return affine_scan(fed.select(*PAIR, "bucket_epoch_s", "_b"), PAIR, "bucket_epoch_s", 1.0 - alpha, "_b", out).drop("_b")
 
 
