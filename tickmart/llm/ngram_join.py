@@ -34,6 +34,8 @@ SLOT_BLOCK = 1 << 14
 BLOCK_ROWS = 2048
 #: Where no more groups than this meet, all their pairs are tried at once.
 FEW = 4
+#: In larger blocks a group looks for its nearest one only where the shingle is among so many of its prefix, picked by hash.
+LEADS = 4
 #: Two groups with no more pairs of members than this have all of them verified; of larger ones, members are compared in blocks.
 FEW_MEMBERS = 64
 #: Ids of so many pairs are broadcast to find their texts.
@@ -164,15 +166,18 @@ def collapse(classes: DataFrame) -> DataFrame:
 
 
 def meetings(groups: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(token, left, right, part, gid, size) for groups that meet at a prefix shingle, in blocks of about 2 * block_rows at most.
+    """(token, lead, left, right, part, gid, size) for groups that meet at a prefix shingle, in blocks of about 2 * block_rows at most.
 
-    A shingle of very many groups is cut into chunks, and each pair of chunks is a block of its own.
+    A shingle of very many groups is cut into chunks, and each pair of chunks is a block of its own. lead marks LEADS
+    shingles of each group, mostly the same ones in similar groups.
     """
-    tokens = groups.select("gid", F.explode("prefix").alias("token"))
+    picked = F.slice(F.array_sort(F.transform("prefix", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x")))), 1, LEADS)
+    known = groups.select("gid", "prefix", F.transform(picked, lambda y: y["x"]).alias("leads"))
+    tokens = known.select("gid", "leads", F.explode("prefix").alias("token")).select("gid", "token", F.array_contains("leads", F.col("token")).alias("lead"))
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"))
     rows = tokens.join(shared, "token").withColumn("parts", F.ceil(F.col("size") / block_rows).cast("int"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("gid"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return written(rows.select("token", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part", "gid", "size"))
+    return written(rows.select("token", "lead", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part", "gid", "size"))
 
 
 def _apart(i: np.ndarray, j: np.ndarray, lanes: np.ndarray, at: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -192,7 +197,7 @@ def block_pairs(x: pa.Table, percent: int, nearest: bool) -> np.ndarray:
     All pairs of all blocks at one distance between rows are compared in one step. A row whose partner at that distance
     is too small for it needs no farther one.
     """
-    n, gid, radius, label, part, size = (x.column(c).to_numpy() for c in ("n", "gid", "radius", "label", "part", "size"))
+    n, gid, radius, label, part, size, lead = (x.column(c).to_numpy() for c in ("n", "gid", "radius", "label", "part", "size", "lead"))
     key = np.column_stack([x.column(c).to_numpy() for c in ("token", "left", "right")])
     block = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]).any(1))))
     bitmaps = x.column("bitmap").combine_chunks()
@@ -203,7 +208,7 @@ def block_pairs(x: pa.Table, percent: int, nearest: bool) -> np.ndarray:
     one_nearest = nearest & (size > FEW)
     best, best_of = np.full(len(n), np.iinfo(np.int64).max), np.full(len(n), -1)
     found: list[np.ndarray] = []
-    rows, step = np.arange(len(n)), 0
+    rows, step = np.flatnonzero(~one_nearest | lead), 0
     while True:
         step += 1
         rows = rows[rows >= step]
@@ -230,9 +235,9 @@ def candidates(met: DataFrame, groups: DataFrame, percent: int, nearest: bool) -
     """(a, b), a < b: pairs of groups (gid, n, bitmap, radius, label) that may hold a link between different labels.
 
     A label under 0 stands for several. nearest keeps of the pairs in large blocks only that of each group with the one
-    before it whose bitmap differs least.
+    before it whose bitmap differs least, in the blocks of its lead shingles.
     """
-    columns = ["token", "left", "right", "part", "size", "gid", "n", "bitmap", "radius", "label"]
+    columns = ["token", "lead", "left", "right", "part", "size", "gid", "n", "bitmap", "radius", "label"]
     rows = met.join(groups.select("gid", "n", "bitmap", "radius", "label"), "gid").select(columns).repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "n", "gid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,12 +372,25 @@ def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFr
     def merged(found: DataFrame, more: DataFrame) -> DataFrame:
         return written(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
 
+    def of_groups(labelled: DataFrame) -> DataFrame:
+        spread = labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        return written(spread.select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1).alias("label")))
+
+    # in large blocks once more with the nearest group of another component, before all that are left are tried
+    large_blocks = met.where(F.col("size") > FEW)
+    of_group = of_groups(labelled_by(found))
+    again = written(candidates(large_blocks, groups.join(of_group.where("label >= 0"), "gid"), percent, nearest=True).join(tried, ["a", "b"], "left_anti"))
+    if again.limit(1).count():
+        more = verified(again, docs, gram, percent)
+        tried = written(tried.unionByName(again))
+        if more.limit(1).count():
+            found = merged(found, more)
+            of_group = of_groups(labelled_by(found))
     labelled = labelled_by(found)
-    of_group = written(labelled.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high")).select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1).alias("label")))
-    left_over = candidates(met.where(F.col("size") > FEW), groups.join(of_group, "gid"), percent, nearest=False)
+    left_over = candidates(large_blocks, groups.join(of_group, "gid"), percent, nearest=False)
     mixed = of_group.where("label < 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
     # pairs tried above were tried between the groups' first members only
-    pairs = differing(written(left_over.unionByName(near).distinct().unionByName(mixed)), labelled)
+    pairs = differing(written(left_over.unionByName(near).unionByName(again).distinct().unionByName(mixed)), labelled)
     many = F.col("size_a") * F.col("size_b") > FEW_MEMBERS
     if pairs.limit(1).count():
         large = written(pairs.where(many).select("a", "b"))
