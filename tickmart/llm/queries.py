@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, language, lines, ngram_join, packing, pieces, quality, rules, textbatch, toxicity, warc
+from . import ann, divergence, kneser_ney, language, lines, merkle, ngram_join, packing, pieces, quality, rules, textbatch, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -57,6 +57,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_documents(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents_manifest(_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -70,6 +82,9 @@ QUERIES = {
         op8_toxicity,
         op9_ngram_jaccard_join,
         op10_sentencepiece,
+        op11_source_divergence,
+        op12_kneser_ney,
+        op13_merkle_manifest,
     )
 }
 ORACLES: dict[str, str] = {
@@ -105,4 +120,55 @@ j as (
   select doc_id, string_agg(line, chr(10) order by pos) filter (where not hit or k = 1) as text, count(*) as n_lines, count(*) filter (where hit and k > 1) as n_removed from r group by doc_id)
 select d.doc_id, case when d.text is null then null else coalesce(j.text, '') end as text, d.source, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed
 from documents d left join j using (doc_id)""",
+    "op11_source_divergence": r"""
+with d as (select row_number() over () as row, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source from documents),
+w as (select row, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+t as (select lang, term, count(*) as n from w group by all having count(distinct row) >= 3),
+s as (select distinct lang, source from d),
+c as (select s.lang, s.source, t.term, coalesce(k.n, 0) as n, t.n as total from s join t on t.lang = s.lang left join (select lang, source, term, count(*) as n from w group by all) k on k.lang = s.lang and k.source = s.source and k.term = t.term),
+p as (
+  select *, 1 + (1000000000 * (n + 1)::hugeint) // (sum(n) over g + count(*) over g) as p, 1 + (1000000000 * (total + 1)::hugeint) // (sum(total) over g + count(*) over g) as q
+  from c window g as (partition by lang, source)),
+pair as (
+  select a.lang, a.source, b.source as item, coalesce(f.value, 0) as value
+  from s a join s b on a.lang = b.lang and a.source <> b.source
+  left join (select x.lang, x.source, y.source as item, sum((x.p - y.p) * (x.p - y.p) // y.p) as value from p x join p y on x.lang = y.lang and x.term = y.term group by all) f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+every as (
+  select lang, source, 'pair' as part, item, value from pair
+  union all select lang, source, 'term', term, (p - q) * (p - q) // q from p where n > 0 and p > q)
+select lang, source, part, item, cast(value as bigint) as value, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+from every qualify part = 'pair' or rank <= 200""",
+    "op13_merkle_manifest": r"""
+with recursive
+table_ as (select list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by n) as crc from (select unnest(range(256)) as n)),
+d as (
+  select doc_id, source, lang, n_chars, text,
+    case when xor(list_reduce(list_concat([4294967295], list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ord(x) as bigint))), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 3 = 0
+      then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end as claimed
+  from documents, table_),
+h as (
+  select doc_id, lang, sha256(four || case when text is null then '-' else strlen(text) || ':' || text end) as leaf, sha256(four || case when claimed is null then '-' else strlen(claimed) || ':' || claimed end) as claimed
+  from (select *, concat(case when doc_id is null then '-' else strlen(doc_id::varchar) || ':' || doc_id end, case when source is null then '-' else strlen(source) || ':' || source end, case when lang is null then '-' else strlen(lang) || ':' || lang end, case when n_chars is null then '-' else strlen(n_chars::varchar) || ':' || n_chars end) as four from d)),
+l as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf, claimed) - 1 as pos from h),
+tree as (
+  select lang, 0 as level, list(leaf order by pos) as nodes from l group by lang
+  union all select lang, level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1 : i + 8], ''))) from tree where len(nodes) > 1),
+sub as (select lang, nodes[1] as subroot, row_number() over (order by lang nulls first) - 1 as place from tree where len(nodes) = 1),
+top as (
+  select 0 as level, list(subroot order by place) as nodes from sub
+  union all select level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1 : i + 8], ''))) from top where len(nodes) > 1),
+height as (select lang, max(level) as levels from tree group by lang),
+step as (
+  select l.lang, l.pos, t.level, t.nodes, l.pos // (8 ** t.level)::bigint as spot from l join tree t on t.lang is not distinct from l.lang where len(t.nodes) > 1
+  union all
+  select l.lang, l.pos, h.levels + t.level, t.nodes, s.place // (8 ** t.level)::bigint from l join sub s on s.lang is not distinct from l.lang join height h on h.lang is not distinct from l.lang cross join top t where len(t.nodes) > 1),
+side as (select lang, pos, level, array_to_string(nodes[spot // 8 * 8 + 1 : spot], '') as before, array_to_string(nodes[spot + 2 : spot // 8 * 8 + 8], '') as after from step),
+proof as (select lang, pos, sha256(string_agg(before || after, '' order by level)) as proof_sha256 from side group by all),
+fold as (
+  select lang, pos, 0 as level, claimed as node from l
+  union all select f.lang, f.pos, f.level + 1, sha256(s.before || f.node || s.after) from fold f join side s on s.lang is not distinct from f.lang and s.pos = f.pos and s.level = f.level),
+done as (select lang, pos, arg_max(node, level) as folded_root from fold group by all),
+one as (select nodes[1] as root from top where len(nodes) = 1)
+select l.doc_id, l.leaf, sub.subroot, one.root, coalesce(proof.proof_sha256, sha256('')) as proof_sha256, done.folded_root, done.folded_root = one.root as verified
+from l join sub on sub.lang is not distinct from l.lang join done on done.lang is not distinct from l.lang and done.pos = l.pos left join proof on proof.lang is not distinct from l.lang and proof.pos = l.pos cross join one""",
 }
