@@ -40,8 +40,9 @@ ORDINARY_BYTES = 8192
 TOXIC_BYTES = (512, 1024, 2048, 4096)
 #: The length of the segments that a dictionary is put together from.
 ORDINARY_SEGMENT, TOXIC_SEGMENT = 64, 32
-#: The least number of toxic documents that hold an n-gram of a passage, and its least log odds.
-LEAST_COUNT, LEAST_ODDS = 30, 3.0
+#: An n-gram of a passage is in at least this share of a part's toxic documents, but in 2 of few and 30 of many; and its
+#: least log odds.
+LEAST_SHARE, LEAST_COUNTS, LEAST_ODDS = 2 / 15, (2, 30), 3.0
 FEATURES = 5
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -145,6 +146,7 @@ def _marked(rows: DataFrame, n: dict[tuple[int, int], int]) -> dict[int, set[byt
 
     n has the rows of each (part, label).
     """
+    least = {p: min(max(LEAST_COUNTS[0], int(LEAST_SHARE * n[p, 1])), LEAST_COUNTS[1] if p == ALL else LEAST_COUNTS[1] // 2) for p in (*HALVES, ALL)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -159,7 +161,7 @@ def _marked(rows: DataFrame, n: dict[tuple[int, int], int]) -> dict[int, set[byt
 
     grams = rows.mapInArrow(count, "half int, label int, gram binary, n long").groupBy("gram").agg(*[total(p, k) for p in (*HALVES, ALL) for k in (0, 1)])
     odds = {p: F.log((F.col(f"n{p}1") + 0.5) / (n[p, 1] + 1)) - F.log((F.col(f"n{p}0") + 0.5) / (n[p, 0] + 1)) for p in (*HALVES, ALL)}
-    named = [((odds[p] > LEAST_ODDS) & (F.col(f"n{p}1") >= (LEAST_COUNT if p == ALL else LEAST_COUNT // 2))).alias(f"m{p}") for p in odds]
+    named = [((odds[p] > LEAST_ODDS) & (F.col(f"n{p}1") >= least[p])).alias(f"m{p}") for p in odds]
     got = grams.select("gram", *named).where(" or ".join(f"m{p}" for p in odds)).toArrow().to_pydict()
     return {p: {g for g, m in zip(got["gram"], got[f"m{p}"], strict=True) if m} for p in odds}
 
@@ -167,7 +169,8 @@ def _marked(rows: DataFrame, n: dict[tuple[int, int], int]) -> dict[int, set[byt
 def _samples(rows: DataFrame, marked: dict[int, set[bytes]]) -> DataFrame:
     """(part, label, doc_id, place, sample): what each document gives the dictionary of its label, in all parts it is in.
 
-    An ordinary document gives its windows; a toxic one gives its passages, as one sample.
+    An ordinary document gives its windows; a toxic one gives its passages, as one sample, or its windows in a part in
+    which no passage is told.
     """
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +179,7 @@ def _samples(rows: DataFrame, marked: dict[int, set[bytes]]) -> DataFrame:
             for half, label, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("half", "label", "doc_id", "text")), strict=True):
                 words, out = normalised(text), []
                 for part in (half, ALL):
-                    own = [b"".join(p + b" " for p in passages(words, marked[part]))] if label else windows(words, 24)
+                    own = [b"".join(p + b" " for p in passages(words, marked[part]))] if label and marked[part] else windows(words, 24)
                     out += [(part, label, doc_id, k, x) for k, x in enumerate(own) if x]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], names=[*kinds])
@@ -225,8 +228,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
     Dictionaries come from all of them. Each half is calibrated with dictionaries from the other half, so that
     calibration sees texts as new as later ones are; of TOXIC_BYTES, the largest size is taken whose
     loss there is within a hundredth of the least. Texts
-    stay in tasks: counts, n-grams, dictionaries and distances reach the driver. Without labelled texts of both classes in
-    both halves the score is the smoothed share of toxic rows. A doc_id counts once, see labelled_texts().
+    stay in tasks: counts, n-grams, dictionaries and distances reach the driver. With few toxic rows a passage needs as few
+    as 2 of them, and may be chance; without labelled texts of both classes in both halves (so with 1 toxic row at most)
+    the score is the smoothed share of toxic rows. A doc_id counts once, see labelled_texts().
     """
     ids = sampled_ids(labels, label, folds, fold, sample_per_class)
     toxic_share = labels.where(~held_out(folds, fold) & F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
