@@ -22,8 +22,8 @@ from .learn import held_out, remainder
 FOLDS, HELD_OUT = 4, 2
 SLOTS = 1 << 16
 BLOCK = 1 << 12
-#: A model holds SLOTS numbers for each language: more languages than this are refused rather than dropped.
-MOST_LANGUAGES = 256
+#: Numbers that likelihoods take at a time: bytes of text times languages.
+CELLS = 8 << 20
 NO_LANGUAGE = "und"
 
 #: Letters and bytes of longer characters have a code; everything else is 0 and ends a word.
@@ -35,15 +35,18 @@ _CODE[128:] = np.arange(27, 155)
 
 #: A longer text is read in steps of so many bytes.
 STEP = 1 << 20
+#: Languages whose sums a task holds at a time, half a MB each.
+HELD_LANGUAGES = 256
 _FOLD = np.where(_CODE > 0, tb.LOWER, 0).astype(np.uint8)
 
 
-def _steps(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+def _steps(data: np.ndarray, step: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """(slots, codes, place) of one text, a step at a time; trigrams at a step's ends are those of the whole text."""
-    for at in range(0, len(data), STEP):
-        low, high = max(0, at - 1), min(len(data), at + STEP + 1)
+    step = step or STEP
+    for at in range(0, len(data), step):
+        low, high = max(0, at - 1), min(len(data), at + step + 1)
         slot, _, (_, _, code) = _trigrams(tb.Texts(0, 1, data[low:high], np.array([0, high - low])))
-        own = slice(at - low, min(at + STEP, len(data)) - low)
+        own = slice(at - low, min(at + step, len(data)) - low)
         yield slot[own], code[own], at
 
 
@@ -65,15 +68,19 @@ class Model:
     languages: list[str]
     log_share: np.ndarray  # SLOTS x languages
 
+    def _most(self) -> int:
+        """Bytes of text whose likelihoods in all languages are held at a time."""
+        return max(1, min(STEP, CELLS // max(1, len(self.languages))))
+
     def mixtures(self, column: pa.Array, penalty: float = 3.0, steps: int = 12) -> tuple[np.ndarray, np.ndarray]:
         """For each text: the shares of the languages (zeros where it has no letter), and the certainty of the first one.
 
         penalty times the log of the number of words is what each language beyond the first must gain in log
         likelihood.
         """
-        shares, sure = [], []
-        for t in tb.chunks(column):
-            if len(t.data) > 2 * STEP and len(t.at) == 2:
+        shares, sure, most = [], [], self._most()
+        for t in tb.chunks(column, min(tb.CHUNK_BYTES, most)):
+            if len(t.data) > 2 * most and len(t.at) == 2:
                 share, certainty = self._long(t.data, penalty, steps)
                 shares.append(share), sure.append(certainty)
                 continue
@@ -99,7 +106,7 @@ class Model:
         opened: np.ndarray | None = None  # what is known of a word that goes on in the next step
         across: list[np.ndarray] = []
         heard = False
-        for slot, code, at in _steps(data):
+        for slot, code, at in _steps(data, self._most()):
             inside = code > 0
             heard = heard or bool((inside & (code < 27)).any())
             starts, ends, _ = tb.spans(inside, np.array([0, len(code)]))
@@ -189,6 +196,10 @@ def fit(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT) -> Model:
     """
     rows = docs.where((remainder(folds) != fold) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
 
+    def out(lang: str, sums: np.ndarray) -> pa.RecordBatch:
+        cells = sums.reshape(-1, BLOCK)
+        return pa.RecordBatch.from_pydict({"lang": [lang] * len(cells), "block": pa.array(range(len(cells)), pa.int32()), "sums": [c.tobytes() for c in cells]})
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for b in batches:
@@ -206,11 +217,11 @@ def fit(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT) -> Model:
                     use = (own == lang)[text] & (code > 0)
                     total.setdefault(lang, np.zeros(SLOTS, np.int64))
                     total[lang] += np.bincount(slot[use], minlength=SLOTS)
-            if len(total) > MOST_LANGUAGES:
-                raise ValueError(f"more than {MOST_LANGUAGES} languages")
+            # many languages are handed on as they come, so that a task holds a bounded number of sums
+            while len(total) > HELD_LANGUAGES:
+                yield out(*total.popitem())
         for lang, sums in total.items():
-            cells = sums.reshape(-1, BLOCK).astype(np.int32) if sums.max() < 2**31 else sums.reshape(-1, BLOCK)
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(cells), "block": pa.array(range(len(cells)), pa.int32()), "sums": [c.astype(np.int64).tobytes() for c in cells]})
+            yield out(lang, sums)
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BLOCK, np.int64)
@@ -241,7 +252,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     docs = docs.drop("lang_pred", "score", "shares")
     names = docs.columns
-    share = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS numbers for each of at most MOST_LANGUAGES
+    share = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS numbers (256 KB) for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = share.value
