@@ -27,12 +27,13 @@ MIN_REVISIT_BYTES = 1000
 ARCHIVE_ROWS, ROW_BYTES = 128, 4 << 20
 #: Copies of one payload are dealt over so many keys.
 SALTS = 1 << 16
-#: A longer header counts as damaged.
+#: A header that has not ended after so many bytes counts as damaged, unless they are lines of names and values.
 MOST_HEADER = 1 << 20
 _MEMBER = b"\x1f\x8b\x08"
 _VERSION = b"WARC/1."
 _START = re.compile(re.escape(_MEMBER) + b"|" + re.escape(_VERSION))
 _END = b"\r\n\r\n"
+_NAME = re.compile(rb"[A-Za-z-]{1,64}:")
 #: A member is read in steps of so many bytes: what is past its end is copied at most once.
 _STEP = 16_384
 
@@ -158,6 +159,8 @@ def _parse(data: bytes, at: int, proven: bool = False) -> tuple[dict, int] | str
     if not data.startswith(_VERSION, at):
         return "no version line"
     head = data.find(_END, at, at + MOST_HEADER)
+    if head < 0 and 0 <= (line := data.rfind(b"\r\n", at, at + MOST_HEADER)) and _NAME.match(data, line + 2):
+        head = data.find(_END, at + MOST_HEADER - len(_END))
     if head < 0:
         return "header without end"
     fields: dict[str, str] = {}
