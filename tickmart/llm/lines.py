@@ -20,7 +20,9 @@ _BLANK = " \t\n\x0b\x0c\r"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.xxhash64(F.coalesce("source", F.lit(""))).alias("site"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    # hashes come first: beside the generator they would be computed again for each line, and each line carry its text
+    once = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.xxhash64(F.coalesce("source", F.lit(""))).alias("site"), F.split("text", "\n").alias("lines"))
+    return once.select("doc_id", "text_hash", "site", F.posexplode("lines").alias("pos", "line"))
 
 
 def _hashed(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -38,6 +40,18 @@ def boilerplate_hashes(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int =
     return spread.where(~near).select("line_hash").unionByName(exact.select("line_hash"))
 
 
+def _without(lines: Column, removed: Column) -> Column:
+    """The lines but those at the removed places (in order): what lies between them is copied run by run, each line once."""
+
+    def run(every: Column, k: Column) -> Column:
+        first = F.when(k == 0, 0).otherwise(F.get(removed, k - 1) + 1)
+        return F.slice(every, first + 1, F.coalesce(F.get(removed, k), F.size(every)) - first)
+
+    runs = lambda every: F.flatten(F.transform(F.sequence(F.lit(0), F.size(removed)), lambda k: run(every, k)))
+    # in an array of one, so that the text is split once
+    return F.array_join(F.get(F.transform(F.array(lines), runs), F.lit(0)), "\n")
+
+
 def deduplicate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs (doc_id, text, source, ...) with the text of each row without boilerplate, and n_lines and n_removed (long).
 
@@ -51,9 +65,9 @@ def deduplicate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MI
     place: Column = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "pos")
     first = hits.groupBy("line_hash").agg(F.min(place).alias("place"))
     gone = hits.withColumn("place", place).join(first, ["line_hash", "place"], "left_anti")
-    removed = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("_removed"))
+    removed = gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("_removed"))
     removed = removed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_removed")
     found = docs.join(removed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
     count = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
-    kept = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_removed", i)), "\n"))
+    kept = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(_without(F.split("text", "\n"), F.col("_removed")))
     return found.select(*[kept.alias(c) if c == "text" else F.col(c) for c in docs.columns], count.alias("n_lines"), F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"))
