@@ -155,7 +155,7 @@ def _compare(shard: pa.Table) -> pa.Table:
     heads, rows = shard.filter(is_source).sort_by("place"), shard.filter(pc.invert(is_source))
     places, whole, kept = heads["place"].to_numpy(), heads["whole"].to_numpy(), heads["kept"][0].as_py()
     first, other = shard["low"][0].as_py(), shard["high"][0].as_py()
-    block = places // BLOCK
+    block = heads["block"].to_numpy()
     value = np.zeros((len(places), len(places)), np.int64)
     if kept:
         rest = shares(np.zeros(1, np.int64), whole)
@@ -186,7 +186,7 @@ def pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
     of sources, of a bounded size; sources are copied to the blocks that they are compared with.
     """
     other = F.explode(F.sequence(F.lit(0), F.floor((F.col("sources") - 1) / BLOCK)))
-    placed = lambda rows: rows.withColumn("_b", F.floor(F.col("place") / BLOCK)).withColumn("_o", other).withColumn("low", F.least("_b", "_o")).withColumn("high", F.greatest("_b", "_o")).select("lang", "shard", "low", "high", "place", "source", "term", "n", "whole", "kept")
+    placed = lambda rows: rows.withColumn("_b", F.floor(F.col("place") / BLOCK)).withColumn("_o", other).withColumn("low", F.least("_b", "_o")).withColumn("high", F.greatest("_b", "_o")).select("lang", "shard", "low", "high", F.col("_b").alias("block"), "place", "source", "term", "n", "whole", "kept")
     heads = groups.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).withColumn("whole", F.col("n") + F.col("kept")).withColumn("term", F.lit(None).cast("string"))
     rows = _with_groups(kept, groups, "place", "sources", "shards").withColumn("shard", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int")).withColumn("whole", F.lit(None).cast("long")).withColumn("kept", F.lit(None).cast("long"))
     shards = placed(heads).unionByName(placed(rows)).groupBy("lang", "shard", "low", "high")

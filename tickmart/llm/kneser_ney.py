@@ -342,7 +342,7 @@ def _scores(t: Texts, model: Model) -> dict[str, np.ndarray]:
         word, back = np.unique(part, return_inverse=True)
         count, before, one, two, more = _look_up(word, _word_shard(word, model.word_shards), f"{model.path}/word", _WORD)
         base = np.log10((count + 1) / (model.tokens + model.distinct + 1))
-        p1 = (_discount(before, model.word_discounts) / model.pairs if model.pairs else 0.0) + spare / (model.distinct + 1)
+        p1 = _discount(before, model.word_discounts) / max(model.pairs, 1) + spare / (model.distinct + 1)
         total = np.where(word == START, model.ends, count)
         mass = d1 * one + d2 * two + d3 * more
         text = np.searchsorted(at, np.arange(first, first + len(part) - 1), "right") - 1
