@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickmart.llm import ann, components, language, learn, lines, ngram_join, packing, pieces, quality, rules, skew, textbatch, toxicity, warc
+from tickmart.llm import ann, components, divergence, kneser_ney, language, learn, lines, merkle, ngram_join, packing, pieces, quality, rules, skew, textbatch, toxicity, warc
 
 LONG = "lorem ipsum dolor " * 3000
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, extra string"
@@ -806,3 +806,277 @@ def test_span_hashes_do_not_depend_on_place():
     data = np.frombuffer(b"abc xabc abcabc", np.uint8)
     h = textbatch.span_hashes(data, np.array([0, 5, 9, 12, 9]), np.array([3, 8, 12, 15, 15]))
     assert len(set(h[:4].tolist())) == 1 and h[4] != h[0]
+
+
+# many languages, long headers, many removed lines, few toxic rows
+
+
+def test_many_languages_are_all_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i: letters[i % 26] + letters[i // 26 % 26] + letters[i // 7 % 26] * 2 + letters[i % 11]
+    rows = [(k * 300 + i, " ".join([word(i)] * 30), f"l{i:03d}") for i in range(300) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3, "lang")
+    model = language.fit(docs)
+    assert len(model.languages) == 300
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, model).collect()}
+    assert np.mean([got[i] == lang for i, _, lang in rows]) > 0.95
+
+
+def test_a_url_of_two_megabytes_is_read_back(spark):
+    pages = spark.createDataFrame([(1, "http://x/" + "u" * (2 << 20), "<p>one</p>"), (2, "http://y", "<p>two</p>")], "page_id long, url string, html string")
+    assert sorted(r["page_id"] for r in warc.round_trip(pages).collect()) == [1, 2]
+    noise = b"WARC/1.\r\nno names here " + b"x" * (3 << 20)
+    assert [k for k, *_ in warc.salvage(noise + warc.record_bytes(7, "u", b"p", "ab" * 20, "revisit", 1))] == ["gap", "record"]
+
+
+def test_removing_many_lines_of_a_text_takes_time_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        text = "\n".join(f"line {i} of the common part of all sites" for i in range(n))
+        docs = spark.createDataFrame([(i, text + f"\nown line {i}", f"s{i}") for i in range(12)], "doc_id long, text string, source string")
+        began = time.monotonic()
+        rows = sorted(lines.deduplicate(docs).collect())
+        assert [r["n_removed"] for r in rows] == [0, *[n] * 11] and rows[5]["text"] == "own line 5" and rows[0]["text"].count("\n") == n
+        return time.monotonic() - began
+
+    seconds(100)
+    few, many = min(seconds(4000) for _ in range(2)), seconds(64_000)
+    assert many < 16 * few  # a quadratic step takes 100 times as long and more
+
+
+@pytest.mark.parametrize("n", [4, 10])
+def test_toxicity_learns_from_few_toxic_rows(spark, prose, n):
+    clean = [r["text"] for r in prose[0].where("length(text) between 200 and 3000").limit(160).collect()]
+    toxic = [f"{t} you vile zorgblat go away you zorgblat" for t in clean[80 : 80 + 2 * n]]
+    rows = [(i, t, 0) for i, t in enumerate(clean[:80] + clean[120:])] + [(1000 + i, t, 1) for i, t in enumerate(toxic)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 1000 + n], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert len(set(got.values())) > 2
+    new, ordinary = [got[1000 + i] for i in range(n, 2 * n)], [got[i] for i, _, y in rows if not y]
+    assert np.mean([a > b for a in new for b in ordinary]) > 0.75
+
+
+# source divergence
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def divergences(docs, top=200):
+    docs = [tuple(x or "" for x in d) for d in docs]
+    out = []
+    for lang in {d[1] for d in docs}:
+        own = [(TERM.findall(t.translate(ASCII_LOWER)), s) for t, k, s in docs if k == lang]
+        held = {}
+        for words, _ in own:
+            for w in set(words):
+                held[w] = held.get(w, 0) + 1
+        kept = sorted(w for w, n in held.items() if n >= 3)
+        groups = {s: {w: 0 for w in kept} for _, s in own} | {None: {w: 0 for w in kept}}
+        for words, s in own:
+            for w in words:
+                if w in groups[s]:
+                    groups[s][w] += 1
+                    groups[None][w] += 1
+        p = {s: {w: 1 + 10**9 * (n + 1) // (sum(c.values()) + len(kept)) for w, n in c.items()} for s, c in groups.items()}
+        f = lambda a, b: (a - b) ** 2 // b
+        for s in groups:
+            if s is None:
+                continue
+            parts = {"pair": [(o, sum(f(p[s][w], p[o][w]) for w in kept)) for o in groups if o not in (None, s)], "term": [(w, f(p[s][w], p[None][w])) for w in kept if groups[s][w] and p[s][w] > p[None][w]]}
+            for part, rows in parts.items():
+                ranked = sorted(rows, key=lambda r: (-r[1], r[0].encode()))[: top if part == "term" else None]
+                out += [(lang, s, part, item, value, i) for i, (item, value) in enumerate(ranked, 1)]
+    return sorted(out)
+
+
+def audited(docs):
+    return sorted((r["lang"], r["source"], r["part"], r["item"], r["value"], r["rank"]) for r in divergence.audit(docs).collect())
+
+
+def test_divergence_equals_a_loop(spark, prose, odd, monkeypatch):
+    rows = [(r["text"], r["lang"], r["source"]) for r in prose[0].where("doc_id < 90").collect()]
+    rows += [("Äpfel ÄPFEL apfel\x00x", "xx", "a"), ("ÄPFEL äpfel", "xx", "b"), ("äpfel ÄPFEL q", "xx", "c"), ("ÄPFEL", "xx", None), (None, "empty", "e"), ("", "empty", "f"), ("1 2 3", None, None), ("word " * 50_000, "xx", "a")]
+    docs = spark.createDataFrame([(*r, 1.0, "x", 2) for r in rows], "text string, lang string, source string, value double, term string, rank int").repartition(5)
+    want = divergences(rows)
+    assert audited(docs) == want and len({r[2] for r in want}) == 2
+    # many shards, blocks and stripes, texts in segments, and tasks that hand on early
+    for name, value in (("SHARD_ROWS", 50), ("BLOCK", 3), ("STRIPE", 7), ("STEP", 100), ("HELD_ROWS", 40), ("FEW_GROUPS", 0)):
+        monkeypatch.setattr(divergence, name, value)
+    parts = list(divergence.partial_counts(iter(pa.table({"lang": ["xx"] * 2, "source": ["a", "b"], "text": ["word " * 500 + "Äpfel", None]}).to_batches())))
+    assert sorted((r["term"] or "", r["n"], r["docs"]) for b in parts for r in b.to_pylist() if r["n"]) == [("word", 500, 1), ("Äpfel".translate(ASCII_LOWER), 1, 1)]
+    assert audited(docs) == want
+    assert divergence.audit(odd.where("false")).count() == 0 and divergence.audit(odd).count() > 0
+
+
+def test_shares_are_exact_for_large_counts(spark):
+    rows = [(0, 7, 3), (5 * 10**11, 10**13, 10**10), (8 * 10**15, 8 * 10**15, 9), (10**9, 10**9, 1)]
+    want = [1 + 10**9 * (c + 1) // (n + v) for c, n, v in rows]
+    got = spark.createDataFrame(rows, "c long, n long, v long").select("c", divergence.share("c", "n", "v").alias("p")).collect()
+    assert [p for c, _, _ in rows for r in got if (p := r["p"]) and r["c"] == c] == want
+    assert divergence.shares(np.array([r[0] for r in rows]), np.array([n + v for _, n, v in rows])).tolist() == want
+
+
+# language model
+
+
+def scored_by_hand(texts, train):
+    split = lambda t: ["<s>", *[w.translate(ASCII_LOWER) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")], "</s>"]
+    pairs, count = {}, {}
+    for t in train:
+        s = split(t)
+        for v, w in zip(s, s[1:]):
+            pairs[v, w] = pairs.get((v, w), 0) + 1
+            count[w] = count.get(w, 0) + 1
+    n, types = sum(count.values()), len(count)
+    before, after = {}, {}
+    for (v, w), c in pairs.items():
+        before.setdefault(w, []).append(v)
+        after.setdefault(v, []).append(c)
+
+    def steps(values):
+        k = [sum(c == i for c in values) for i in (1, 2, 3, 4)]
+        if all(k):
+            y = k[0] / (k[0] + 2 * k[1])
+            d = [1 - 2 * y * k[1] / k[0], 2 - 3 * y * k[2] / k[1], 3 - 4 * y * k[3] / k[2]]
+            if all(0 < x <= i for i, x in enumerate(d, 1)):
+                return d
+        return [0.5, 1.0, 1.5]
+
+    wide, narrow = steps(pairs.values()), steps([len(x) for x in before.values()])
+    cut = lambda c, d: c - d[min(c, 3) - 1] if c else 0.0
+    spare = sum(narrow[min(len(x), 3) - 1] for x in before.values()) / len(pairs) if pairs else 1.0
+    one = lambda w: (cut(len(before.get(w, ())), narrow) / len(pairs) if pairs else 0.0) + spare / (types + 1)
+
+    def two(v, w):
+        if v not in after:
+            return one(w)
+        return (cut(pairs.get((v, w), 0), wide) + sum(wide[min(c, 3) - 1] for c in after[v]) * one(w)) / sum(after[v])
+
+    out = []
+    for t in texts:
+        s = split(t)
+        out.append((len(s) - 1, sum(w in count for w in s[1:]), n, sum(np.log10((count.get(w, 0) + 1) / (n + types + 1)) for w in s[1:]), sum(np.log10(two(v, w)) for v, w in zip(s, s[1:]))))
+    return out, one, two, count
+
+
+def test_language_model_equals_a_loop(spark, prose, odd, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in prose[0].where("doc_id < 120").collect()] + [(200, None), (201, ""), (202, " \t"), (203, "The THE the unseenword"), (204, "the " * 40_000), (204, "the " * 40_000), (None, "the end")]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    want, one, two, count = scored_by_hand([t for _, t in rows], [t for i, t in rows if not held(i)])
+    docs = spark.createDataFrame([(i, t, 5.0, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, score double, n_tokens long").repartition(4)
+    fields = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+    def check(**other):
+        for name, value in other.items():
+            monkeypatch.setattr(kneser_ney, name, value)
+        model = kneser_ney.fit(docs.where("doc_id is null or crc32(string(doc_id)) % 7 <> 2"), **({"shard_bytes": 20_000} if other else {}))
+        assert len(model.hot) > 3 and (model.pair_shards > 8) == bool(other)
+        named = docs.withColumnRenamed("n_tokens", "k")
+        got = {r["k"]: r for r in kneser_ney.score(named, model).collect()}
+        assert len(got) == len(rows)
+        for k, w in enumerate(want):
+            assert [got[k][c] for c in fields[:3]] == list(w[:3]) and [got[k][c] for c in fields[3:]] == pytest.approx(w[3:], rel=1e-9)
+            assert got[k]["perplexity"] == pytest.approx(10 ** (-w[4] / w[0]))
+
+    check()
+    check(SCORED_PAIRS=700, HELD_PAIRS=900, WORDS_PER_SHARD=2, SCORED_BYTES=5000)
+    # probabilities of all words and of one unknown after a word sum to one
+    for v in ("<s>", "the", "neverseen"):
+        assert sum(two(v, w) for w in count) + two(v, "another one") == pytest.approx(1)
+    made = kneser_ney.score_documents(odd)
+    assert made.columns == ["doc_id", "held_out", *fields, "perplexity"] and made.count() == odd.count()
+    empty = kneser_ney.score(odd, kneser_ney.fit(odd.where("false"))).collect()
+    assert {(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in empty} == {(0, 0, 0.0, 0.0)}
+    assert kneser_ney.score_documents(odd.where("false")).count() == 0
+
+
+def test_a_text_of_20_megabytes_is_scored_in_steps(spark):
+    text = " ".join(f"w{i % 5000}" for i in range(3_500_000))
+    docs = spark.createDataFrame([(0, text), (1, "w1 w2 w3")], "doc_id long, text string")  # the second one is held out
+    got = {r["doc_id"]: r for r in kneser_ney.score_documents(docs).collect()}
+    assert got[1]["held_out"] and got[1]["n_known"] == 4
+    assert got[0]["n_tokens"] == got[0]["n_known"] == got[0]["train_tokens"] == 3_500_001 and got[0]["score"] / got[0]["n_tokens"] > -0.1
+
+
+def test_stored_arrays_are_mapped_and_written_whole(tmp_path):
+    keys, n = np.array([3, 9, 2**63], np.uint64), np.array([1, 70_000, 2])
+    kneser_ney._store(f"{tmp_path}/pair-0", keys, [n])
+    kneser_ney._store(f"{tmp_path}/pair-0", keys, [n])  # as a task that is tried again
+    found = kneser_ney._mapped(f"{tmp_path}/pair-0", 1)
+    assert found[0].tolist() == keys.tolist() and found[1].tolist() == n.tolist() and found[1].itemsize == 4 and isinstance(found[0], np.memmap)
+    assert kneser_ney._look_up(np.array([9, 4, 2**63, 9], np.uint64), np.zeros(4, int), f"{tmp_path}/pair", ("count",))[0].tolist() == [70_000, 0, 2, 70_000]
+    assert [p.name for p in tmp_path.iterdir()] == ["pair-0"]
+
+
+# Merkle manifest
+
+
+def manifest_by_hand(rows):
+    import hashlib
+
+    h = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    piece = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda i, t, lang, source, n: h("".join(map(piece, (i, source, lang, n, t))))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([h("".join(out[-1][k : k + 8])) for k in range(0, len(out[-1]), 8)])
+        return out
+
+    def path(made, p):
+        steps = []
+        for nodes in made[:-1]:
+            first = p // 8 * 8
+            steps.append(("".join(nodes[first:p]), "".join(nodes[p + 1 : first + 8])))
+            p //= 8
+        return steps
+
+    trees = {}
+    for r in rows:
+        trees.setdefault(r[2], []).append(r)
+    order = sorted(trees, key=lambda k: (k is not None, (k or "").encode()))
+    made = {}
+    for k in order:
+        own = sorted((((r[0] is not None, r[0] or 0), leaf(*r), r) for r in trees[k]), key=lambda x: x[:2])
+        made[k] = (own, levels([x[1] for x in own]))
+    top = levels([made[k][1][-1][0] for k in order])
+    out = []
+    for place, k in enumerate(order):
+        own, nodes = made[k]
+        for p, (_, digest, r) in enumerate(own):
+            steps = path(nodes, p) + path(top, place)
+            hit = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0 and r[1] is not None
+            node = leaf(r[0], r[1].translate(ASCII_LOWER), *r[2:]) if hit else digest
+            for before, after in steps:
+                node = h(before + node + after)
+            out.append((str(r[0]), digest, nodes[-1][0], top[-1][0], h("".join(a + b for a, b in steps)), node, node == top[-1][0]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("n", [0, 1, 8, 9, 64, 65, 513, 4200])
+def test_proofs_equal_a_plain_tree(spark, n):
+    rows = [(i * 7 % 5000, f"Text {i} Ü" if i % 11 else None, "en" if i % 9 else None, f"s{i % 3}" if i % 5 else None, i if i % 4 else None) for i in range(n)]
+    rows += [(i, "B", f"l{i:02d}", "s", 1) for i in range(min(n, 12))] + ([(None, "no id", "en", "s", 2), (3, "twice", "en", "s", 2), (3, "twice", "en", "s", 2)] if n else [])
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, leaf string, pos int").repartition(5)
+    got = sorted((str(r["doc_id"]), r["leaf"], r["subroot"], r["root"], r["proof_sha256"], r["folded_root"], r["verified"]) for r in merkle.documents_manifest(docs).collect())
+    assert got == manifest_by_hand(rows)
+    assert n < 64 or {r[-1] for r in got} == {True, False}
+
+
+def test_only_every_third_level_is_stored(spark):
+    leaves = merkle.numbered(spark.range(70_000).select(F.lit("t").alias("tree"), "id", F.sha2(F.col("id").cast("string"), 256).alias("digest")), "tree", ["id"])
+    made = merkle.build(leaves, "tree")
+    assert [level.count() for level in made.levels] == [70_000, 137] and made.roots.count() == 1
+    assert leaves.where("pos <> id or size <> 70000").count() == 0
+    some = merkle.proofs(made, made.roots.select("tree", F.col("digest").alias("root"), F.array().cast(merkle._PATH).alias("path"))).where("pos % 7001 = 0")
+    assert {r[0] for r in some.select(merkle.folded(F.col("digest")) == F.col("root")).collect()} == {True} and some.count() == 10
+    assert some.select(F.size("path")).first()[0] == 6
+
+
+def test_manifest_takes_awkward_rows(spark, odd):
+    got = merkle.documents_manifest(odd).collect()
+    assert len(got) == odd.count() and len({r["root"] for r in got}) == 1 and all(r["leaf"] for r in got)
