@@ -33,11 +33,11 @@ START, END = mix(np.array([1, 2], np.uint64))
 #: A shard of pairs stands for about so many bytes of text, one of words for so many shards of pairs.
 SHARD_BYTES, WORDS_PER_SHARD = 16 << 20, 8
 #: A task hands on its pairs from so many on.
-HELD_PAIRS = 4 << 20
+HELD_PAIRS = 2 << 20
 #: Words with a larger share of all than this, in a sample, have their pairs dealt over all shards: under 1,024 words.
 HOT_SHARE, HOT_SAMPLE = 1 / 1024, 2000
 #: Bytes of text, and pairs, that are scored at a time.
-SCORED_BYTES, SCORED_PAIRS = 4 << 20, 1 << 20
+SCORED_BYTES, SCORED_PAIRS = 2 << 20, 1 << 19
 #: Files that a worker keeps mapped.
 MAPPED = 4096
 
