@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -126,17 +127,55 @@ def test_backtest_of_last_value(series):
     assert made.where("exchange_id = 'u'").count() == len(p) - 59 and made.where("abs_error is null and exchange_id = 'u'").count() == 5
 
 
-def test_pooled_trees_predict_near_the_price(series):
-    table, names = models.slots(series, models.Config(bin_seconds=HOUR, horizons=(1,)))
-    scored = models.predict_gbt(models.fit_gbt(table.where("is_train"), names, max_iter=2, depth=2), table.where("not is_train"), names)
-    assert scored.where("abs(predicted_price / price - 1) > 0.5").count() == 0
-
-
 def test_boosted_trees_are_registered_in_full_size():
     from tickmart.plans import forecast_queries
 
     p = forecast_queries.CONFIG.trees
-    assert (p.rounds, p.rate, p.depth, p.min_leaf) == (300, 0.05, 6, 20)
+    assert (p.rounds, p.rate, p.depth, p.leaves, p.min_leaf, p.bins) == (300, 0.05, 6, 31, 20, 255)
+
+
+def test_a_slot_in_blocks_gets_the_trees_of_one_in_a_task(series):
+    config = models.Config(bin_seconds=HOUR, horizons=(1,), min_train_rows=50, trees=trees.Params(rounds=11, depth=3, leaves=6, min_leaf=8, bins=31))
+    table, names = models.slots(series, config)
+    design = models.relative_design(models.folded(table, config), names)
+    whole = trees.fit_slots(design, config.trees).toPandas()
+    blocks = trees.fit_slots(design, replace(config.trees, task_rows=100, block_rows=40, wave=5)).toPandas()
+    by = ["exchange_id", "fold", "bucket_epoch_s"]
+    whole, blocks = (df.sort_values(by).reset_index(drop=True) for df in (whole, blocks))
+    assert len(whole) == len(blocks) and blocks["error"].isna().all() and (whole[["train_rows", *by]].fillna(-1) == blocks[["train_rows", *by]].fillna(-1)).all().all()
+    assert np.allclose(whole["predicted_price"], blocks["predicted_price"], rtol=1e-9, equal_nan=True)
+    for a, b in zip(whole[whole["base"].notna()].itertuples(), blocks[blocks["base"].notna()].itertuples(), strict=True):
+        assert list(a.feature) == list(b.feature) and np.allclose(a.threshold, b.threshold) and np.allclose(a.leaf, b.leaf)
+    # more rows than a task takes: the oldest count, too, and nothing fails
+    assert set(whole[whole["base"].notna()]["train_rows"]) == {215} and set(blocks["fold"]) == {0, 1, 2, 3, 4, 5}
+
+
+def test_best_first_leaves_are_those_of_a_search():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 4))
+    y = np.sin(3 * x[:, 0]) + (x[:, 1] > 0.4) * x[:, 2]
+    params = trees.Params(rounds=1, rate=1.0, depth=5, leaves=6, min_leaf=10, bins=63)
+    base, feature, threshold, leaf = trees.grow(x, y, params)
+    own = [np.arange(len(y))]  # the leaves of a plain search: always split where the loss falls most
+    loss = lambda at: ((y[at] - y[at].mean()) ** 2).sum()
+    cuts = trees.edges_of(x, 63)
+    while len(own) < 6:
+        tries = [(loss(at) - loss(at[x[at, j] <= c]) - loss(at[x[at, j] > c]), k, j, c) for k, at in enumerate(own) for j in range(4) for c in cuts[j] if min((x[at, j] <= c).sum(), (x[at, j] > c).sum()) >= 10]
+        _, k, j, c = max(tries)
+        at = own.pop(k)
+        own += [at[x[at, j] <= c], at[x[at, j] > c]]
+    want = np.zeros(len(y))
+    for at in own:
+        want[at] = y[at].mean()
+    assert trees.predict(x, base, feature, threshold, leaf) == pytest.approx(want)
+
+
+def test_an_odd_slot_in_blocks_is_recorded(series):
+    config = models.Config(bin_seconds=HOUR, horizons=(1,), min_train_rows=50, trees=trees.Params(rounds=2, depth=2, task_rows=100))
+    bad = series.where("exchange_id = 'u'").selectExpr("'bad' as exchange_id", "symbol", "bucket_epoch_s", "case when bucket_epoch_s = 3600 * 100 then 1e-320 else price end as price")
+    registry = {(r["exchange_id"], r["model_name"]): r for r in models.train_series(series.unionByName(bad), config)[2].collect()}
+    assert registry["bad", "gbt"]["status"] == "failed" and registry["bad", "gbt"]["error_message"].startswith("ValueError")
+    assert registry["u", "gbt"]["status"] == registry["v", "gbt"]["status"] == "trained"
 
 
 def test_pairs_of_two_horizons_have_one_level(series):

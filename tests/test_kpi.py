@@ -56,10 +56,12 @@ def test_disconnects_deviation_and_joins(inputs):
     assert (hour["latency_sample_count"], hour["interval_count"], hour["disconnect_count"]) == (3, 1, 1)
 
 
-def test_intervals_by_day_equal_intervals(inputs):
+def test_intervals_by_day_equal_a_loop_over_a_pairs_ticks(inputs):
     ticks = inputs[0].unionByName(inputs[0].withColumn("ts_us", F.col("ts_us") - 90_000_000_000).withColumn("id", F.col("id") + 10))
-    a, b = (sorted(map(tuple, f(ticks).collect())) for f in (kpi.update_intervals, kpi.update_intervals_by_day))
-    assert a == b and len(a) > 4
+    got = sorted((r["exchange_id"], r["symbol"], r["prev_us"], r["ts_us"], r["update_interval_s"]) for r in kpi.update_intervals(ticks).collect())
+    rows = sorted((r["exchange_id"], r["symbol"], r["ts_us"]) for r in ticks.where("ts_us is not null").collect())
+    want = [(*a, b[2], (b[2] - a[2]) / 1e6) for a, b in zip(rows, rows[1:]) if a[:2] == b[:2] and b[2] > a[2]]
+    assert got == want and len(got) > 4
 
 
 def test_pipeline_phases_and_gate(inputs):

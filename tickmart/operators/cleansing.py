@@ -8,12 +8,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.filters import filter_exchanges, filter_symbols
 from ..functions.pricing import effective_price
-from ..functions.timing import SECOND_US, bin_epoch, iso_seconds
+from ..functions.timing import DAY_S, SECOND_US, bin_epoch, iso_seconds
+from ..sources.scratch import written
+from .stretches import last_known, next_known
 
 PAIR = ("exchange_id", "symbol")
 
@@ -58,21 +59,27 @@ def observed_bins(ticks: DataFrame, bin_seconds: int) -> DataFrame:
 
 
 def bin_grid(profiles: DataFrame, bin_seconds: int) -> DataFrame:
-    """Every bin from a pair's first to its last tick."""
-    low, high = bin_epoch(F.col("min_epoch_s"), bin_seconds), bin_epoch(F.col("max_epoch_s"), bin_seconds)
-    return profiles.where("min_epoch_s is not null").select(*PAIR, F.explode(F.sequence(low, high, F.lit(bin_seconds).cast("long"))).alias("bucket_epoch_s"))
+    """Every bin from a pair's first to its last tick. Days come first, and then each day's bins: no row holds a pair's bins."""
+    low, high, step = bin_epoch(F.col("min_epoch_s"), bin_seconds), bin_epoch(F.col("max_epoch_s"), bin_seconds), F.lit(bin_seconds).cast("long")
+    days = profiles.where("min_epoch_s is not null").select(*PAIR, low.alias("_low"), high.alias("_high"), F.explode(F.sequence(F.floor(low / DAY_S), F.floor(high / DAY_S))).alias("_day"))
+    # a bin belongs to the day that it starts in
+    first = F.greatest(F.col("_low"), F.ceil(F.col("_day") * DAY_S / bin_seconds) * bin_seconds)
+    last = F.least(F.col("_high"), F.floor((F.col("_day") * DAY_S + DAY_S - 1) / bin_seconds) * bin_seconds)
+    return days.where(first <= last).select(*PAIR, F.explode(F.sequence(first, last, step)).alias("bucket_epoch_s"))
 
 
 def forward_fill(grid: DataFrame) -> DataFrame:
-    """grid (pair, bucket_epoch_s, last) with before, the last tick up to each bin, and its age at the bin's start."""
-    before = F.last("last", ignorenulls=True).over(W.partitionBy(*PAIR).orderBy("bucket_epoch_s").rowsBetween(W.unboundedPreceding, 0))
-    return grid.withColumn("before", before).withColumn("before_age", F.col("bucket_epoch_s") - F.col("before.epoch_s"))
+    """grid (pair, bucket_epoch_s, last) with before, the last tick up to each bin, and its age at the bin's start.
+
+    The grid is written once: a bin looks for its tick in its own stretch of time, and then in summaries of the ones before.
+    """
+    filled = last_known(written(grid), PAIR, "last").withColumnRenamed("known", "before")
+    return filled.withColumn("before_age", F.col("bucket_epoch_s") - F.col("before.epoch_s"))
 
 
 def interpolate(filled: DataFrame) -> DataFrame:
     """forward_fill() with after, the first tick of the next observed bin, its distance, and the straight line's price."""
-    after = F.first("first", ignorenulls=True).over(W.partitionBy(*PAIR).orderBy("bucket_epoch_s").rowsBetween(1, W.unboundedFollowing))
-    wide = filled.withColumn("after", after).withColumn("after_distance", F.col("after.epoch_s") - F.col("bucket_epoch_s"))
+    wide = next_known(written(filled), PAIR, "first").withColumnRenamed("known", "after").withColumn("after_distance", F.col("after.epoch_s") - F.col("bucket_epoch_s"))
     share = F.try_divide(F.col("before_age"), F.col("after.epoch_s") - F.col("before.epoch_s"))
     return wide.withColumn("line_price", F.col("before.price") + (F.col("after.price") - F.col("before.price")) * share)
 

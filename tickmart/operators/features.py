@@ -6,29 +6,21 @@ strength smooths with 1/14 from the plain mean of the first 14 moves; Bollinger
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import pi
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.filters import filter_exchanges, filter_symbols
 from ..functions.pricing import training_price
 from ..functions.timing import DAY_S, SECOND_US, bin_epoch
 from ..sources.scratch import written
+from .stretches import affine_scan, gaps, numbered, windowed
 
 PAIR = ("exchange_id", "symbol")
 LAGS = (1, 2, 3, 5, 10, 15, 30)
 WINDOWS = (3, 5, 10, 30)
-#: Rows of a series that one window task of a recurrence sees at a time.
-CHUNK = 64
-#: A stretch of a recurrence, in seconds: rows of a pair are numbered within one.
-STRETCH = 30 * 86_400
-
-
-def _by_time() -> W:
-    return W.partitionBy(*PAIR).orderBy("bucket_epoch_s")
 
 
 def scope_pairs(ticks: DataFrame, cutoff_s: int | None = None, limit: int | None = None, exchanges: str | None = None, symbols: str | None = None) -> DataFrame:
@@ -63,13 +55,9 @@ def cleansed_series(cleansed: DataFrame, run_id: str) -> DataFrame:
 
 
 def infer_bin(cleansed: DataFrame, run_id: str) -> DataFrame:
-    """(bin_seconds): the commonest gap between a run's distinct buckets, the shortest of several; no row for under two.
-
-    The window is over distinct bucket times, of which there are as many as bins in the run's span.
-    """
-    times = cleansed.where(F.col("run_id") == run_id).select("bucket_epoch_s").distinct()
-    gaps = times.select((F.col("bucket_epoch_s") - F.lag("bucket_epoch_s").over(W.orderBy("bucket_epoch_s"))).alias("bin_seconds")).where("bin_seconds > 0")
-    return gaps.groupBy("bin_seconds").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "bin_seconds").limit(1).select("bin_seconds")
+    """(bin_seconds): the commonest gap between a run's distinct buckets, the shortest of several; no row for under two."""
+    found = gaps(cleansed.where(F.col("run_id") == run_id)).where("gap > 0")
+    return found.groupBy(F.col("gap").alias("bin_seconds")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "bin_seconds").limit(1).select("bin_seconds")
 
 
 def resolve_run(cleansed: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -94,94 +82,130 @@ def add_calendar(series: DataFrame) -> DataFrame:
     return series.select("*", *[c.alias(n) for c, n in zip([*_turn(minute, 1440.0), *_turn(weekday, 7.0)], names, strict=True)])
 
 
+#: Adds columns to rows (pair, bucket_epoch_s, price, _row) of a block, by the block's window. _row is the row's number in its pair.
+_Adder = Callable[[DataFrame, WindowSpec], DataFrame]
+
+
+def _added(series: DataFrame, back: int, *adders: _Adder) -> DataFrame:
+    """series with what adders add from the `back` rows before a row: all of them share one window."""
+
+    def add(rows: DataFrame, over: WindowSpec) -> DataFrame:
+        for adder in adders:
+            rows = adder(rows, over)
+        return rows
+
+    return windowed(numbered(series, PAIR, name="_row"), PAIR, back, 0, add).drop("_row")
+
+
+def _lags(lags: tuple[int, ...]) -> _Adder:
+    def add(rows: DataFrame, over: WindowSpec) -> DataFrame:
+        wide = rows.select("*", *[F.lag("price", k).over(over).alias(f"lag_{k}") for k in lags])
+        return wide.select("*", *[(F.col("lag_1") - F.col(f"lag_{k}")).alias(f"momentum_lag1_lag{k}") for k in (5, 10) if {1, k} <= set(lags)])
+
+    return add
+
+
 def add_lags(series: DataFrame, lags: tuple[int, ...] = LAGS) -> DataFrame:
     """Prices k rows before, and momentum from the fifth and tenth to the last, where these lags are asked for."""
-    wide = series.select("*", *[F.lag("price", k).over(_by_time()).alias(f"lag_{k}") for k in lags])
-    return wide.select("*", *[(F.col("lag_1") - F.col(f"lag_{k}")).alias(f"momentum_lag1_lag{k}") for k in (5, 10) if {1, k} <= set(lags)])
+    return _added(series, max(lags), _lags(lags))
 
 
-def _before(what: Column, n: int) -> Column:
+def _before(what: Column, n: int, over: WindowSpec) -> Column:
     """what over the n rows before the row's own; null until there are so many."""
-    return F.when(F.row_number().over(_by_time()) > n, what.over(_by_time().rowsBetween(-n, -1)))
+    return F.when(F.col("_row") > n, what.over(over.rowsBetween(-n, -1)))
+
+
+def _rolling(windows: tuple[int, ...]) -> _Adder:
+    return lambda rows, over: rows.select("*", *[c for n in windows for c in (_before(F.avg("price"), n, over).alias(f"roll_mean_{n}"), _before(F.stddev_samp("price"), n, over).alias(f"roll_std_{n}"))])
 
 
 def add_rolling(series: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
-    return series.select("*", *[c for n in windows for c in (_before(F.avg("price"), n).alias(f"roll_mean_{n}"), _before(F.stddev_samp("price"), n).alias(f"roll_std_{n}"))])
+    return _added(series, max(windows), _rolling(windows))
+
+
+def _sma(windows: tuple[int, ...]) -> _Adder:
+    return lambda rows, over: rows.select("*", *[_before(F.avg("price"), n, over).alias(f"ta_sma_{n}") for n in windows])
 
 
 def add_sma(series: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
-    return series.select("*", *[_before(F.avg("price"), n).alias(f"ta_sma_{n}") for n in windows])
+    return _added(series, max(windows), _sma(windows))
+
+
+def _roc(n: int) -> _Adder:
+    def add(rows: DataFrame, over: WindowSpec) -> DataFrame:
+        old = F.lag("price", n + 1).over(over)
+        return rows.withColumn(f"ta_roc_{n}", 100.0 * F.try_divide(F.lag("price", 1).over(over) - old, old))
+
+    return add
 
 
 def add_roc(series: DataFrame, n: int = 10) -> DataFrame:
     """Percentage change over n rows."""
-    return series.withColumn(f"ta_roc_{n}", 100.0 * F.try_divide(F.lag("price", 1).over(_by_time()) - F.lag("price", n + 1).over(_by_time()), F.lag("price", n + 1).over(_by_time())))
+    return _added(series, n + 1, _roc(n))
+
+
+def _bbands(n: int, width: float) -> _Adder:
+    def add(rows: DataFrame, over: WindowSpec) -> DataFrame:
+        tag = f"{n}_{width:g}"
+        wide = rows.withColumn("_m", _before(F.avg("price"), n, over)).withColumn("_s", width * _before(F.stddev_pop("price"), n, over))
+        bands = {"lower": F.col("_m") - F.col("_s"), "middle": F.col("_m"), "upper": F.col("_m") + F.col("_s"), "bandwidth": 100.0 * F.try_divide(2.0 * F.col("_s"), F.col("_m"))}
+        return wide.select("*", *[c.alias(f"ta_bbands_{name}_{tag}") for name, c in bands.items()]).drop("_m", "_s")
+
+    return add
 
 
 def add_bbands(series: DataFrame, n: int = 20, width: float = 2.0) -> DataFrame:
-    tag = f"{n}_{width:g}"
-    wide = series.withColumn("_m", _before(F.avg("price"), n)).withColumn("_s", width * _before(F.stddev_pop("price"), n))
-    bands = {"lower": F.col("_m") - F.col("_s"), "middle": F.col("_m"), "upper": F.col("_m") + F.col("_s"), "bandwidth": 100.0 * F.try_divide(2.0 * F.col("_s"), F.col("_m"))}
-    return wide.select("*", *[c.alias(f"ta_bbands_{name}_{tag}") for name, c in bands.items()]).drop("_m", "_s")
+    return _added(series, n, _bbands(n, width))
 
 
-def affine_scan(rows: DataFrame, keys: tuple[str, ...], order: str, a: float, b: str, out: str, chunk: int = CHUNK) -> DataFrame:
-    """rows with out, where out = a * (out of the row before) + b within each key, from 0 before the first row; 0 < a < 1.
+def _smoothed(rows: DataFrame, value: str, skip: int, n: int, alpha: float, out: str) -> DataFrame:
+    """(pair, bucket_epoch_s, out) from the n-th value on: the first n values' mean, then alpha of each new one.
 
-    Rows are cut into stretches of order, and these into chunks. A chunk is summed by a window as if nothing came before
-    it. The chunks' ends are chained in order, and each row adds what its chunk's predecessor carries over. No task numbers
-    all rows of a key.
+    rows (pair, bucket_epoch_s, _row, value) have no value in their first `skip` rows, and one in every other.
     """
-    numbered = rows.withColumn("_t", F.floor(F.col(order) / STRETCH)).withColumn("_n", F.row_number().over(W.partitionBy(*keys, "_t").orderBy(order)) - 1)
-    numbered = numbered.withColumn("_c", F.struct("_t", F.floor(F.col("_n") / chunk).alias("part"))).withColumn("_k", F.col("_n") % chunk).drop("_t")
-    power = F.pow(F.lit(a), F.col("_k"))
-    local = numbered.withColumn("_y", power * F.sum(F.col(b) / power).over(W.partitionBy(*keys, "_c").orderBy("_k").rowsBetween(W.unboundedPreceding, 0)))
-    ends = local.groupBy(*keys, "_c").agg(F.max_by("_y", "_k").alias("_end"), F.count("*").alias("_size"))
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, carried, before = pdf.sort_values(["_t", "_part"]), [], 0.0
-        for end, size in zip(pdf["_end"], pdf["_size"], strict=True):
-            carried.append(before)
-            before = end + a**size * before
-        return pdf.assign(_carry=carried).drop(columns=["_end", "_size"])
-
-    flat = ends.select(*keys, F.col("_c._t").alias("_t"), F.col("_c.part").alias("_part"), "_end", "_size")
-    carry = flat.groupBy(*keys).applyInPandas(chain, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in flat.schema.fields if f.name in keys), "_t bigint, _part bigint, _carry double"]))
-    carry = carry.select(*keys, F.struct("_t", F.col("_part").alias("part")).alias("_c"), "_carry")
-    return local.join(carry, [*keys, "_c"]).withColumn(out, F.col("_y") + power * a * F.col("_carry")).drop("_n", "_c", "_k", "_y", "_carry")
-
-
-def _smoothed(rows: DataFrame, value: str, n: int, alpha: float, out: str) -> DataFrame:
-    """(pair, bucket_epoch_s, out) from the n-th value on: the first n values' mean, then alpha of each new one."""
-    known = rows.where(F.col(value).isNotNull())
-    first = known.withColumn("_r", F.row_number().over(_by_time())).where(F.col("_r") <= n)
-    start = first.groupBy(*PAIR).agg(F.max("bucket_epoch_s").alias("_at"), F.avg(value).alias("_start"), F.count("*").alias("_rows")).where(F.col("_rows") == n)
-    fed = known.join(start, list(PAIR)).where("bucket_epoch_s >= _at").withColumn("_b", F.when(F.col("bucket_epoch_s") == F.col("_at"), F.col("_start")).otherwise(alpha * F.col(value)))
-    return affine_scan(fed.select(*PAIR, "bucket_epoch_s", "_b"), PAIR, "bucket_epoch_s", 1.0 - alpha, "_b", out).drop("_b")
+    place = F.col("_row") - skip
+    start = rows.where(place.between(1, n)).groupBy(*PAIR).agg(F.avg(value).alias("_start"), F.count("*").alias("_rows")).where(F.col("_rows") == n).drop("_rows")
+    fed = rows.where(place >= n).join(start, list(PAIR)).select(*PAIR, "bucket_epoch_s", (place - n + 1).alias("_at"), F.when(place == n, F.col("_start")).otherwise(alpha * F.col(value)).alias("_b"))
+    return affine_scan(fed, PAIR, "_at", 1.0 - alpha, "_b", out).drop("_b", "_at")
+
+
+def _moved(series: DataFrame) -> DataFrame:
+    """(pair, bucket_epoch_s, _row, last, up, down): the price before each row, and how far it rose or fell to get there."""
+    move = F.col("last") - F.col("_second")
+    rows = windowed(numbered(series.select(*PAIR, "bucket_epoch_s", "price"), PAIR, name="_row"), PAIR, 2, 0, lambda r, over: r.select("*", F.lag("price", 1).over(over).alias("last"), F.lag("price", 2).over(over).alias("_second")))
+    return written(rows.select(*PAIR, "bucket_epoch_s", "_row", "last", F.when(move.isNotNull(), F.greatest(move, F.lit(0.0))).alias("up"), F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0))).alias("down")))
+
+
+_KEY = [*PAIR, "bucket_epoch_s"]
+
+
+def _ema(moved: DataFrame, n: int) -> DataFrame:
+    return _smoothed(moved.select(*_KEY, "_row", "last"), "last", 1, n, 2.0 / (n + 1), f"ta_ema_{n}").select(*_KEY, f"ta_ema_{n}")
 
 
 def add_ema(series: DataFrame, n: int) -> DataFrame:
     """Exponential mean, of weight 2 / (n + 1), of the prices before each row."""
-    lagged = series.select(*PAIR, "bucket_epoch_s", F.lag("price").over(_by_time()).alias("x"))
-    return series.join(_smoothed(lagged, "x", n, 2.0 / (n + 1), f"ta_ema_{n}"), [*PAIR, "bucket_epoch_s"], "left")
+    return series.join(_ema(_moved(series), n), _KEY, "left")
+
+
+def _rsi(moved: DataFrame, n: int) -> DataFrame:
+    both = [_smoothed(moved.select(*_KEY, "_row", c), c, 2, n, 1.0 / n, f"_{c}").select(*_KEY, f"_{c}") for c in ("up", "down")]
+    return both[0].join(both[1], _KEY).select(*_KEY, (100.0 * F.try_divide(F.col("_up"), F.col("_up") + F.col("_down"))).alias(f"ta_rsi_{n}"))
 
 
 def add_rsi(series: DataFrame, n: int = 14) -> DataFrame:
     """Relative strength of the prices before each row, 0 to 100."""
-    move = series.select(*PAIR, "bucket_epoch_s", (F.lag("price", 1).over(_by_time()) - F.lag("price", 2).over(_by_time())).alias("d")).select(*PAIR, "bucket_epoch_s", F.greatest("d", F.when(F.col("d").isNotNull(), 0.0)).alias("up"), F.when(F.col("d").isNotNull(), F.greatest(-F.col("d"), F.lit(0.0))).alias("down"))
-    key = [*PAIR, "bucket_epoch_s"]
-    both = _smoothed(move, "up", n, 1.0 / n, "_up").join(_smoothed(move, "down", n, 1.0 / n, "_down"), key)
-    strength = both.select(*key, (100.0 * F.try_divide(F.col("_up"), F.col("_up") + F.col("_down"))).alias(f"ta_rsi_{n}"))
-    return series.join(strength, key, "left")
+    return series.join(_rsi(_moved(series), n), _KEY, "left")
 
 
 def feature_table(series: DataFrame, lags: tuple[int, ...] = LAGS, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
-    """All features. Windows of one pair share one sort. The recurrences start from the series, written once, not from
-    each other, so the plan grows by one join for each."""
-    series = written(series.select(*PAIR, "bucket_epoch_s", "price"))
-    wide = add_bbands(add_roc(add_sma(add_rolling(add_lags(add_calendar(series), lags), windows), windows)))
-    for more in [*(add_ema(series, n) for n in windows), add_rsi(series)]:
-        wide = wide.join(more.drop("price"), [*PAIR, "bucket_epoch_s"])
+    """All features. The windows share one numbering and one sort of blocks, and so do the recurrences' inputs; the plan grows by
+    one join for each recurrence."""
+    series = written(series.select(*_KEY, "price"))
+    back, moved = max(*lags, *windows, 20, 11), _moved(series)
+    wide = _added(add_calendar(series), back, _lags(lags), _rolling(windows), _sma(windows), _roc(10), _bbands(20, 2.0))
+    for more in [*(_ema(moved, n) for n in windows), _rsi(moved, 14)]:
+        wide = wide.join(more, _KEY, "left")
     return written(wide)
 
 
@@ -191,7 +215,9 @@ def feature_names(features: DataFrame) -> list[str]:
 
 def training_frame(features: DataFrame, horizon: int) -> DataFrame:
     """features with target, the price `horizon` rows ahead; rows that lack a feature or the target are left out."""
-    return features.withColumn("target", F.lead("price", horizon).over(_by_time())).dropna()
+    narrow = numbered(features.select(*_KEY, "price"), PAIR, name="_row")
+    ahead = windowed(narrow, PAIR, 0, horizon, lambda rows, over: rows.withColumn("target", F.lead("price", horizon).over(over)))
+    return features.join(ahead.where("target is not null").select(*_KEY, "target"), _KEY).select(*features.columns, "target").dropna()
 
 
 def max_training_rows(ticks: DataFrame, bin_seconds: int, cutoff_s: int | None = None, lags: tuple[int, ...] = LAGS, windows: tuple[int, ...] = WINDOWS, horizons: tuple[int, ...] = (1, 30)) -> DataFrame:
@@ -204,8 +230,7 @@ def max_training_rows(ticks: DataFrame, bin_seconds: int, cutoff_s: int | None =
 
 def holdout_split(frame: DataFrame, test_size: float = 0.2) -> DataFrame:
     """frame with row, rows and is_train: the first rows of each pair train, at least one, and at least one is held out."""
-    rows = F.count("*").over(W.partitionBy(*PAIR))
-    wide = frame.withColumn("row", F.row_number().over(_by_time())).withColumn("rows", rows)
+    wide = numbered(frame, PAIR, total="rows")
     cut = F.greatest(F.lit(1), F.least(F.col("rows") - 1, F.floor(F.col("rows") * (1.0 - test_size) + 1e-9)))
     return wide.withColumn("is_train", F.col("row") <= cut)
 
@@ -213,12 +238,12 @@ def holdout_split(frame: DataFrame, test_size: float = 0.2) -> DataFrame:
 def cv_folds(split: DataFrame, folds: int = 5) -> DataFrame:
     """Training rows of holdout_split() with fold: 1 to `folds` where the row validates that fold, 0 where it only trains.
 
-    Folds expand: fold k trains on all rows before those it validates. With fewer than three training rows all are 0.
+    Folds expand: fold k trains on all rows before those it validates. With fewer than three training rows all are 0. rows is
+    the number of the pair's training rows, as these come first.
     """
-    train = split.where("is_train").withColumn("rows", F.count("*").over(W.partitionBy(*PAIR)))
+    train = split.where("is_train")
+    wide = train.drop("rows").join(train.groupBy(*PAIR).agg(F.count("*").alias("rows")), list(PAIR)).select(*split.columns)
     k = F.least(F.lit(folds), F.col("rows") - 1)
     size = F.floor(F.col("rows") / (k + 1))
     first = F.col("rows") - k * size
-    return train.withColumn("fold", F.when((k < 2) | (F.col("row") <= first), 0).otherwise(F.floor((F.col("row") - first - 1) / size) + 1).cast("int"))
-
-
+    return wide.withColumn("fold", F.when((k < 2) | (F.col("row") <= first), 0).otherwise(F.floor((F.col("row") - first - 1) / size) + 1).cast("int"))

@@ -34,12 +34,6 @@ def latency_kpi(samples: DataFrame, grain: str) -> DataFrame:
     return _latency([period_key(F.col("ts_us"), grain), *PAIR], samples)
 
 
-def update_intervals(ticks: DataFrame) -> DataFrame:
-    """Positive gaps between successive ticks of a pair; a gap belongs to the later tick's period, however long it is."""
-    lagged = ticks.where("ts_us is not null").withColumn("prev_us", F.lag("ts_us").over(W.partitionBy(*PAIR).orderBy("ts_us", "id")))
-    return lagged.where("ts_us > prev_us").select(day_key(F.col("ts_us")).alias("kpi_date_utc"), *PAIR, "ts_us", "prev_us", ((F.col("ts_us") - F.col("prev_us")) / float(SECOND_US)).alias("update_interval_s"))
-
-
 def _with_previous(ticks: DataFrame) -> DataFrame:
     """ticks with a time, with prev_us, the time of the pair's tick before it (null for its first).
 
@@ -53,8 +47,8 @@ def _with_previous(ticks: DataFrame) -> DataFrame:
     return inner.withColumn("prev_us", F.coalesce("_lag", "_carried")).drop("_day", "_lag", "_carried")
 
 
-def update_intervals_by_day(ticks: DataFrame) -> DataFrame:
-    """As update_intervals(), without one task for all ticks of a pair."""
+def update_intervals(ticks: DataFrame) -> DataFrame:
+    """Positive gaps between successive ticks of a pair; a gap belongs to the later tick's period, however long it is."""
     return _with_previous(ticks).where("ts_us > prev_us").select(day_key(F.col("ts_us")).alias("kpi_date_utc"), *PAIR, "ts_us", "prev_us", ((F.col("ts_us") - F.col("prev_us")) / float(SECOND_US)).alias("update_interval_s"))
 
 
@@ -136,7 +130,7 @@ def require_columns(df: DataFrame, needed: list[str], name: str = "input") -> Da
 
 def core_kpis(ticks: DataFrame, events: DataFrame, cleansed: DataFrame, store: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] = dict) -> dict[str, DataFrame]:
     """All fifteen KPI tables by name. store may write tables, so that those made of them do not start from the sources."""
-    out = store({"latency_samples": latency_samples(ticks), "update_intervals": update_intervals_by_day(ticks), "price_deviation_aligned": price_deviation_aligned(cleansed)})
+    out = store({"latency_samples": latency_samples(ticks), "update_intervals": update_intervals(ticks), "price_deviation_aligned": price_deviation_aligned(cleansed)})
     samples, intervals, aligned = out.values()
     grains = {"day": "daily", "hour": "hourly"}
     first: dict[str, DataFrame] = {}

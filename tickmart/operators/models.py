@@ -1,8 +1,7 @@
 """Training and scoring of price models over all pairs at once.
 
 Ridge: one pass adds up the moments of each pair, horizon and fold, and one small system is solved for each of them.
-Trees: one model for each pair and horizon (see trees), or one pooled over pairs with Spark ML (fit_gbt), both on prices
-relative to the current one.
+Trees: one model for each pair and horizon (see trees), on prices relative to the current one.
 """
 
 from __future__ import annotations
@@ -136,8 +135,8 @@ def _measured(checked: DataFrame, of_slot: DataFrame) -> DataFrame:
 
 
 def folded(table: DataFrame, config: Config) -> DataFrame:
-    """Rows of slots() whose slot has enough rows, with fold (0 for held-out rows) and rows_after, the slot's later rows."""
-    rows = table.where(F.col("rows") >= config.min_train_rows).withColumn("rows_after", F.col("rows") - F.col("row"))
+    """Rows of slots() whose slot has enough rows, with fold (0 for held-out rows) and slot_rows, the rows of the slot."""
+    rows = table.where(F.col("rows") >= config.min_train_rows).withColumn("slot_rows", F.col("rows"))
     parts = [cv_folds(rows.where(F.col("horizon_steps") == h), config.folds) for h in config.horizons]
     return reduce(DataFrame.unionByName, parts).unionByName(rows.where("not is_train").withColumn("fold", F.lit(0)))
 
@@ -186,28 +185,11 @@ def train_all(ticks: DataFrame, config: Config, cutoff_s: int | None = None) ->
     return train_series(resample_last(merge_series(ticks, cutoff_s), config.bin_seconds), config)
 
 
-def fit_gbt(table: DataFrame, names: list[str], max_iter: int = 300, rate: float = 0.05, depth: int = 6, min_leaf: int = 20, seed: int = 42):
-    """A pooled boosted-tree model of the relative change to the target. table has x, level, price and target."""
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.regression import GBTRegressor
-
-    relative = relative_design(table, names).withColumn("label", F.col("target") / F.col("price") - 1.0)
-    rows = relative.select(array_to_vector("x").alias("features"), "label")
-    return GBTRegressor(maxIter=max_iter, stepSize=rate, maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed).fit(rows)
-
-
 def relative_design(table: DataFrame, names: list[str]) -> DataFrame:
     """table with x in which price-like features are shares of the current price."""
     return table.withColumn("x", F.array(*[(F.col(n) / F.col("price") - 1.0).cast("double") if _is_price(n) else F.col(n).cast("double") for n in names]))
 
 
-def predict_gbt(model, table: DataFrame, names: list[str]) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-
-    scored = model.transform(relative_design(table, names).withColumn("features", array_to_vector("x")))
-    return scored.withColumn("predicted_price", F.col("price") * (1.0 + F.col("prediction"))).drop("features", "prediction")
-
-
 def inference_frame(features: DataFrame, horizon_seconds: int) -> DataFrame:
     """Complete feature rows with the second that they forecast: seconds ahead, whatever bins are missing."""
     return features.dropna().withColumn("horizon_seconds", F.lit(horizon_seconds)).withColumn("target_bucket_epoch_s", F.col("bucket_epoch_s") + horizon_seconds)

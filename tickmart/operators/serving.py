@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .kpi import deviation, valid_prices
 from .marts import symbol_deviation_bucket
+from .stretches import gaps
 
 BANDS = ("0-50%", "50-75%", "75-90%", "90-100%")
 
@@ -91,8 +92,9 @@ def symbol_spread_stats(points: DataFrame) -> DataFrame:
 
 def bucket_step(curve: DataFrame) -> DataFrame:
     """(start, end): the curve's first bucket, and its last one moved on by the median step, 60 seconds if there is none."""
-    steps = curve.select("bucket_epoch_s").distinct().withColumn("step", F.col("bucket_epoch_s") - F.lag("bucket_epoch_s").over(W.orderBy("bucket_epoch_s")))
-    return steps.agg(F.min("bucket_epoch_s").alias("start"), (F.max("bucket_epoch_s") + F.coalesce(F.median("step"), F.lit(60.0))).alias("end"))
+    step = gaps(curve).agg(F.median("gap").alias("step"))
+    ends = curve.agg(F.min("bucket_epoch_s").alias("start"), F.max("bucket_epoch_s").alias("last"))
+    return ends.crossJoin(step).select("start", (F.col("last") + F.coalesce("step", F.lit(60.0))).alias("end"))  # of one row each
 
 
 def raw_overlay(ticks: DataFrame, curve: DataFrame, symbol: str) -> DataFrame:

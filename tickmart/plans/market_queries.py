@@ -131,7 +131,7 @@ query("d01_latency_samples", "select * from samples")(lambda s, d: kpi.latency_s
 query("d02_latency_daily", "select * from latency_daily")(lambda s, d: kpi.latency_kpi(kpi.latency_samples(ticks(s, d)), "day"))
 query("d03_latency_hourly", "select * from latency_hourly")(lambda s, d: kpi.latency_kpi(kpi.latency_samples(ticks(s, d)), "hour"))
 query("d04_update_intervals", "select * from intervals")(lambda s, d: kpi.update_intervals(ticks(s, d)))
-query("d04b_update_intervals_by_day", "select * from intervals")(lambda s, d: kpi.update_intervals_by_day(ticks(s, d)))
+query("d04b_update_intervals_by_day", "select * from intervals")(lambda s, d: kpi.update_intervals(ticks(s, d)))
 query("d05_update_frequency_daily", "select * from frequency_daily")(lambda s, d: kpi.update_frequency_kpi(kpi.update_intervals(ticks(s, d)), "day"))
 query("d06_update_frequency_hourly", "select * from frequency_hourly")(lambda s, d: kpi.update_frequency_kpi(kpi.update_intervals(ticks(s, d)), "hour"))
 query("d07_connection_drops_daily", "select * from drops_daily")(lambda s, d: kpi.connection_drops(conn(s, d), "day"))
