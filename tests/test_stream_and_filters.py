@@ -9,7 +9,8 @@ from tickmart.functions import filters
 from tickmart.operators import manifest as partitions
 from tickmart.operators import staging
 from tickmart.sources.staging import read_vault, write_vault
-from tickmart.streaming.vault import committed, ingest_batch, manifest, start_ingest
+from tickmart.streaming import keyindex, vault
+from tickmart.streaming.vault import committed, compact, ingest_batch, manifest, start_ingest
 
 
 def message(i, kind="tick", **over):
@@ -46,6 +47,71 @@ def test_stream_reads_what_is_available(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "vault/market_ticks")).count() == 4
 
 
+def test_a_late_batch_opens_few_key_files(spark, tmp_path):
+    path = str(tmp_path / "vault")
+    for b in range(3):
+        ingest_batch(frame(spark, [message(1000 * b + i) for i in range(700)]), b, path)
+    files = spark.read.parquet(f"{path}/keys").select("_metadata.file_path").distinct().count()
+    assert files > 180
+    opened = lambda texts: vault.key_history(spark, path, vault._hashed(spark.createDataFrame([(t,) for t in texts], "dedup_key string")), 3).select("_metadata.file_path").distinct().count()
+    # keys of no batch touch all 64 buckets, and open next to nothing; two known ones open their two files
+    assert opened([f"new{i}" for i in range(500)]) <= 0.03 * files
+    assert 2 <= opened([f"new{i}" for i in range(100)] + ["k3", "k2003"]) <= 0.03 * files
+    ingest_batch(frame(spark, [message(2005), message(3), message(9999), message(1699)]), 3, path)
+    assert spark.read.parquet(f"{path}/market_ticks").where("batch_id = 3").count() == 1
+    assert vault.key_history(spark, path, vault._hashed(spark.createDataFrame([("k1",)], "dedup_key string")), 0).count() == 0
+
+
+def test_filters_never_miss_a_key():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 7, 5000):
+        keys = rng.integers(0, 2**64, n, dtype=np.uint64)
+        made = keyindex.bloom(keys)
+        assert keyindex.may_hold(made, keys).all() and keyindex.may_hold(made, rng.integers(0, 2**64, 20_000, dtype=np.uint64)).mean() < 0.004
+
+
+def test_hours_are_compacted_batch_by_batch(spark, tmp_path):
+    path = str(tmp_path / "vault")
+    schema = "symbol string, layer string, exchange string, date string, hour string"
+    read = lambda: committed(spark, path, "market_ticks", schema).count()
+    assert compact(spark, path) is None
+    ingest_batch(frame(spark, [message(i) for i in range(5)]), 0, path)
+    ingest_batch(frame(spark, [message(i) for i in range(3, 9)]), 1, path)
+    assert read() == 9 and compact(spark, path) == 1 and read() == 9
+    shutil.rmtree(f"{path}/market_ticks/batch_id=0")  # covered: what landed is not needed any more
+    ingest_batch(frame(spark, [message(i) for i in (8, 20)]), 2, path)
+    assert read() == 10
+    shutil.rmtree(f"{path}/generations/gen=1")  # as if the generation had stopped before its mark
+    assert read() == 5
+    assert compact(spark, path) == 1 and compact(spark, path) is None and read() == 5
+    assert {r["hour"] for r in spark.read.parquet(f"{path}/compacted/market_ticks").collect()} == {22}
+
+
+def test_keyed_state_is_bounded_by_the_watermark(spark, tmp_path):
+    hour = 3_600_000
+    batches = [[message(i, event_ts_ms=1_700_000_000_000 + i) for i in (1, 2, 2, 3)], [message(3, event_ts_ms=1_700_000_000_003), message(4, event_ts_ms=1_700_000_000_000 + hour // 2)], [message(5, event_ts_ms=1_700_000_000_000 + 5 * hour)], [message(1, event_ts_ms=1_700_000_000_001), message(5, event_ts_ms=1_700_000_000_000 + 5 * hour), message(6, event_ts_ms=1_700_000_000_000 + 5 * hour)], ["[]", message(7, event_ts_ms=1_700_000_000_000 + 6 * hour)]]
+    for i, b in enumerate(batches):
+        frame(spark, b).coalesce(1).write.parquet(str(tmp_path / "in" / f"{i}"))
+        for f in (tmp_path / "in" / f"{i}").glob("part-*"):
+            f.rename(tmp_path / f"{i}-{f.name}")
+    shutil.rmtree(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    for i, f in enumerate(sorted(tmp_path.glob("?-part-*"))):
+        f.rename(tmp_path / "in" / f.name)
+        import os
+
+        os.utime(tmp_path / "in" / f.name, (1_000_000 + i, 1_000_000 + i))
+    stream = spark.readStream.schema("stream_id long, event_json string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    run = vault.recent_events(stream).select("dedup_key").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    run.awaitTermination()
+    # copies inside the watermark go, and so does the one that comes after it; no key is kept for ever
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["k1", "k2", "k3", "k4", "k5", "k6", "k7"]
+    sizes = [p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress if p["stateOperators"]]
+    assert max(sizes) <= 5 and sizes[-1] <= 3 and "rocksdb" in str(run.recentProgress[-1]["stateOperators"][0]["customMetrics"]).lower()
+
+
 def test_symbol_patterns_escape_and_case(spark):
     df = spark.createDataFrame([("BTC/USDT",), ("a_b",), ("axb",), ("ETH/USD",)], "symbol string")
     names = lambda spec: sorted(r[0] for r in filters.filter_symbols(df, spec).collect())
