@@ -5,8 +5,9 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tickmart.operators import backtest, features, models, trees
+from tickmart.operators import backtest, features, ledger, models, stretches, trees
 
 HOUR = 3600
 
@@ -182,3 +183,79 @@ def test_pairs_of_two_horizons_have_one_level(series):
     table, _ = models.slots(series, models.Config(bin_seconds=HOUR, horizons=(1, 6)))
     assert table.groupBy("exchange_id", "symbol", "horizon_steps", "bucket_epoch_s").count().where("count > 1").count() == 0
     assert table.select("exchange_id", "level").distinct().count() == 2
+
+
+def test_runs_are_recorded_whatever_becomes_of_them(spark, series, tmp_path):
+    path = str(tmp_path)
+    assert ledger.training_runs(spark, path).count() == 0
+    ticks = series.selectExpr("exchange_id", "symbol", "bucket_epoch_s as epoch_s", "bucket_epoch_s * 1000000 as ts_us", "bucket_epoch_s as id", "price", "price as last", "price as bid", "price as ask")
+    config = models.Config(bin_seconds=HOUR, horizons=(1,), min_train_rows=50, trees=trees.Params(rounds=2, depth=2))
+    state = ledger.train_run(ticks, config, path, "7", 100, finished_us=900).first()
+    assert (state["status"], state["series_total"], state["series_trained"], state["models_trained"], state["started_us"], state["finished_us"]) == ("completed", 2, 2, 4, 100, 900)
+    with pytest.raises(Exception, match="price"):
+        ledger.train_run(ticks.drop("price"), config, path, "8", 200)
+    ledger.append_states(spark.createDataFrame([("9", "started", 300)], "training_run_id string, status string, recorded_us long"), path)
+    runs = {r["training_run_id"]: r for r in ledger.training_runs(spark, path).collect()}
+    assert {k: r["status"] for k, r in runs.items()} == {"7": "completed", "8": "failed", "9": "started"} and "price" in runs["8"]["error_message"] and runs["9"]["finished_us"] is None
+    assert models.latest_training_run(ledger.training_runs(spark, path)).first()[0] == "7" and models.latest_training_run(ledger.training_runs(spark, path), "9").count() == 1
+    assert ledger.artifacts(spark, path).count() == 4 and {r["training_run_id"] for r in ledger.artifacts(spark, path).collect()} == {"7"}
+    assert models.inference_tasks(ledger.registry(spark, path), "7", exchanges="U").count() == 2
+
+
+def test_replacing_predictions_touches_its_scope_only(spark, tmp_path):
+    path = str(tmp_path / "p")
+    schema = "value long, training_run_id string, cleansing_run_id string, exchange_id string, symbol string"
+    rows = lambda v, pairs, run="1": spark.createDataFrame([(v + i, run, "c", x, y) for x, y in pairs for i in range(3)], schema)
+    every = [(x, y) for x in ("okx", "kraken") for y in ("BTC/USDT", "ETH/USDT", "a=b c")]
+    models.replace_predictions(rows(0, every), path, "1", "c")
+    models.replace_predictions(rows(0, every, "2"), path, "2", "c")
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "p").rglob("part-*")}
+    before = files()
+    models.replace_predictions(rows(10, [("okx", "BTC/USDT"), ("kraken", "BTC/USDT")]), path, "1", "c", exchanges="OKX", symbols="btc%, a=b c")
+    got = sorted((r["training_run_id"], r["exchange_id"], r["symbol"], r["value"]) for r in models.read_predictions(spark, path, rows(0, every)).collect())
+    gone = {("1", "okx", "BTC/USDT"), ("1", "okx", "a=b c")}  # one is replaced, the other has no new rows; kraken is out of scope
+    assert got == sorted([(r, x, y, i) for r in "12" for x, y in every for i in range(3) if (r, x, y) not in gone] + [("1", "okx", "BTC/USDT", 10 + i) for i in range(3)])
+    assert len(before.keys() & files().keys()) == len(before) - 2 and all(before[f] == t for f, t in files().items() if f in before)
+
+
+def test_stretches_equal_plain_windows(spark):
+    rng = np.random.default_rng(8)
+    times = {k: sorted(rng.choice(400, 60, replace=False).tolist()) for k in "ab"} | {"c": [5], "d": [0, 399]}
+    rows = spark.createDataFrame([(k, int(t), float(t) if t % 3 else None) for k, ts in times.items() for t in ts], "k string, t long, v double").repartition(3)
+    numbered = stretches.numbered(rows, ["k"], "t", "row", "rows", stretch=37)
+    assert {(r["k"], r["t"]): (r["row"], r["rows"]) for r in numbered.collect()} == {(k, t): (i, len(ts)) for k, ts in times.items() for i, t in enumerate(ts, 1)}
+    near = stretches.windowed(numbered, ["k"], 3, 2, lambda df, over: df.select("*", F.lag("t", 3).over(over).alias("old"), F.lead("t", 2).over(over).alias("new")), row="row", block=7)
+    at = lambda ts, i: ts[i] if 0 <= i < len(ts) else None
+    assert {(r["k"], r["t"]): (r["old"], r["new"]) for r in near.collect()} == {(k, t): (at(ts, i - 3), at(ts, i + 2)) for k, ts in times.items() for i, t in enumerate(ts)}
+    known = lambda ts: [t for t in ts if t % 3]
+    got = {(r["k"], r["t"]): r["known"] for r in stretches.last_known(rows, ["k"], "v", "t", 37).collect()}
+    assert got == {(k, t): max((float(x) for x in known(ts) if x <= t), default=None) for k, ts in times.items() for t in ts}
+    got = {(r["k"], r["t"]): r["known"] for r in stretches.next_known(rows, ["k"], "v", "t", 37).collect()}
+    assert got == {(k, t): min((float(x) for x in known(ts) if x > t), default=None) for k, ts in times.items() for t in ts}
+    every = sorted({t for ts in times.values() for t in ts})
+    assert sorted(r["gap"] for r in stretches.gaps(rows, "t", 37).collect()) == sorted(b - a for a, b in zip(every, every[1:]))
+    scanned = {(r["k"], r["row"]): r["y"] for r in stretches.affine_scan(numbered.withColumn("b", F.col("t").cast("double")), ["k"], "row", 0.9, "b", "y", chunk=2).collect()}
+    for k, ts in times.items():
+        y = 0.0
+        for i, t in enumerate(ts, 1):
+            y = 0.9 * y + t
+            assert scanned[k, i] == pytest.approx(y)
+
+
+def test_scans_of_many_levels_equal_a_loop(spark, monkeypatch):
+    monkeypatch.setattr(stretches, "WIDTH", 3)
+    rows = spark.range(500).select(F.lit("k").alias("k"), (F.col("id") + 1).alias("row"), F.sin("id").alias("b"))
+    got = [r["y"] for r in stretches.affine_scan(rows, ["k"], "row", 0.97, "b", "y", chunk=4).orderBy("row").collect()]
+    want, y = [], 0.0
+    for i in range(500):
+        y = 0.97 * y + math.sin(i)
+        want.append(y)
+    assert got == pytest.approx(want)
+
+
+def test_no_window_sorts_a_whole_pair(series):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    table, windows = features.feature_table(series), []
+    for df in (features.add_lags(series), features.add_rolling(series), features.add_bbands(series), features.add_rsi(series), features.training_frame(table, 6), features.holdout_split(table)):
+        windows += [line for line in plan(df).splitlines() if "Window [" in line]
+    assert len(windows) > 5 and all("_b#" in line or "_t#" in line or "c#" in line or "_rows#" in line for line in windows)

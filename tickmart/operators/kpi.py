@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -128,14 +128,18 @@ def require_columns(df: DataFrame, needed: list[str], name: str = "input") -> Da
     return df
 
 
-def core_kpis(ticks: DataFrame, events: DataFrame, cleansed: DataFrame, store: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] = dict) -> dict[str, DataFrame]:
-    """All fifteen KPI tables by name. store may write tables, so that those made of them do not start from the sources."""
-    out = store({"latency_samples": latency_samples(ticks), "update_intervals": update_intervals(ticks), "price_deviation_aligned": price_deviation_aligned(cleansed)})
+def core_kpis(ticks: DataFrame, events: DataFrame, cleansed: DataFrame, store: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] = dict, counted: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All fifteen KPI tables by name. store may write tables, so that those made of them do not start from the sources.
+
+    counted may name tables that are made of another form of their input, with the same rows (as one that counts them).
+    """
+    own = counted or {}
+    out = store({"latency_samples": latency_samples(own.get("latency_samples", ticks)), "update_intervals": update_intervals(ticks), "price_deviation_aligned": price_deviation_aligned(own.get("price_deviation_aligned", cleansed))})
     samples, intervals, aligned = out.values()
     grains = {"day": "daily", "hour": "hourly"}
     first: dict[str, DataFrame] = {}
     for grain, name in grains.items():
-        first |= {f"latency_{name}": latency_kpi(samples, grain), f"update_frequency_{name}": update_frequency_kpi(intervals, grain), f"connection_drops_{name}": connection_drops(events, grain), f"price_deviation_{name}": price_deviation_kpi(aligned, grain)}
+        first |= {f"latency_{name}": latency_kpi(samples, grain), f"update_frequency_{name}": update_frequency_kpi(intervals, grain), f"connection_drops_{name}": connection_drops(own.get(f"connection_drops_{name}", events), grain), f"price_deviation_{name}": price_deviation_kpi(aligned, grain)}
     out |= store(first)
     wide: dict[str, DataFrame] = {}
     for grain, name in grains.items():
@@ -150,6 +154,11 @@ def core_build_metadata(ticks: DataFrame, events: DataFrame, cleansed: DataFrame
     return one.select(F.lit(kpi_date).cast("string").alias("kpi_date"), F.lit(run_id).cast("string").alias("run_id"), "*", F.lit(15).alias("view_count"))
 
 
+def metadata_row(spark: SparkSession, ticks: int, events: int, cleansed: int, kpi_date: str | None = None, run_id: str | None = None) -> DataFrame:
+    """core_build_metadata() of inputs that were counted otherwise."""
+    return spark.createDataFrame([(kpi_date, run_id, ticks, events, cleansed, 15)], "kpi_date string, run_id string, market_tick_rows bigint, connection_event_rows bigint, cleansed_rows bigint, view_count int")
+
+
 def disconnects_by_exchange(events: DataFrame) -> DataFrame:
     return events.where("event_type = 'disconnect'").groupBy("exchange_id").agg(F.count("*").alias("disconnect_count")).orderBy(F.desc("disconnect_count"), "exchange_id")
 

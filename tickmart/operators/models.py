@@ -9,15 +9,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.filters import filter_exchanges, filter_symbols
-from ..sources.scratch import written
+from ..sources.scratch import delete, written
+from ..sources.session import prepare
 from . import trees
 from .features import LAGS, PAIR, WINDOWS, cv_folds, feature_names, feature_table, holdout_split, merge_series, resample_last, training_frame
 
@@ -177,7 +179,7 @@ def registry_rows(results: DataFrame, config: Config, training_run_id: str = "tr
 
 def model_artifacts(registry: DataFrame) -> DataFrame:
     """What each trained slot offers to inference."""
-    return registry.where("status = 'trained'").select("training_run_id", *PAIR, "model_name", "horizon_steps", "horizon_seconds", "holdout_mae", "cv_mean_mae")
+    return registry.where("status = 'trained'").select("training_run_id", *PAIR, "model_name", "horizon_steps", "horizon_seconds", "train_rows", "test_rows", "cv_fold_count", "holdout_mae", "holdout_rmse", "holdout_mape", "holdout_r2", "cv_mean_mae", "cv_mean_rmse", "cv_mean_mape", "cv_mean_r2")
 
 
 def train_all(ticks: DataFrame, config: Config, cutoff_s: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -215,10 +217,10 @@ def score_tree_forecasts(frame: DataFrame, grown: DataFrame, series: DataFrame,
 
 
 def latest_training_run(runs: DataFrame, requested: str | None = None) -> DataFrame:
-    """(training_run_id): the run asked for, or the last one completed."""
+    """(training_run_id) of runs (see ledger.training_runs()): the run asked for, or the last one completed."""
     if requested is not None:
         return runs.where(F.col("training_run_id") == requested).select("training_run_id").limit(1)
-    return runs.where("status = 'completed'").orderBy(F.desc("started_utc"), F.desc("training_run_id")).select("training_run_id").limit(1)
+    return runs.where("status = 'completed'").orderBy(F.desc("started_us"), F.desc("training_run_id")).select("training_run_id").limit(1)
 
 
 def inference_tasks(registry: DataFrame, training_run_id: str, exchanges: str | None = None, symbols: str | None = None, limit_pairs: int | None = None) -> DataFrame:
@@ -229,6 +231,27 @@ def inference_tasks(registry: DataFrame, training_run_id: str, exchanges: str |
     return rows.orderBy(*PAIR, "model_name", "horizon_seconds")
 
 
-def replace_predictions(store: DataFrame, new: DataFrame, scope: tuple[str, ...] = ("training_run_id", "cleansing_run_id", *PAIR)) -> DataFrame:
-    """store without the scopes that new holds, and new."""
-    return store.join(new.select(*scope).distinct(), list(scope), "left_anti").unionByName(new)
+#: The folders of stored predictions, outermost first.
+SCOPE = ("training_run_id", "cleansing_run_id", *PAIR)
+
+
+def replace_predictions(new: DataFrame, path: str, training_run_id: str, cleansing_run_id: str, exchanges: str | None = None, symbols: str | None = None) -> None:
+    """Put new (SCOPE, ...) in place of all predictions below path that the runs and filters select, in folders of SCOPE.
+
+    Pairs in scope without a new row lose theirs. Folders out of scope are not touched, nor read. New folders come first, so
+    a run that is stopped may leave stale ones, which the next one removes. Only names of stale folders reach the driver.
+    """
+    spark = new.sparkSession
+    prepare(spark)
+    chosen = lambda df: filter_symbols(filter_exchanges(df, exchanges, defaults=()), symbols).where((F.col("training_run_id") == training_run_id) & (F.col("cleansing_run_id") == cleansing_run_id))
+    own = written(chosen(new))
+    own.repartition(*SCOPE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SCOPE).parquet(path)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    here = chosen(read_predictions(spark, path, own)).select(*SCOPE, folder.alias("_folder")).distinct()
+    for row in here.join(own.select(*SCOPE).distinct(), list(SCOPE), "left_anti").select("_folder").distinct().toLocalIterator():
+        delete(spark, unquote(row["_folder"]))  # files are named as URIs
+
+
+def read_predictions(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """What replace_predictions() has stored, with the columns of like; folders stay texts."""
+    return spark.read.schema(like.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import filters, keys
-from ..operators import backtest, features, ingest, manifest, models, serving, staging, trees
+from ..operators import backtest, features, ingest, ledger, manifest, models, serving, staging, trees
 from ..sources import adapters as src
 from ..sources.scratch import exists, scratch_path, written
 from ..sources.staging import read_staging, read_vault, write_vault
@@ -66,15 +66,49 @@ query("a10_connection_events", f"select ms * 1000 as ts_us, lower(trim(exchange_
     lambda s, d: ingest.to_connection_events(_events(s, d)).select("ts_us", "exchange_id_norm", "event_type"))
 
 
-@query("a11_vault_stream", f"select symbol, exchange_id_norm, count(*) as rows from (select symbol, lower(trim(exchange_id)) as exchange_id_norm from {_ONCE} where tick) group by all")
+_COUNTED = f"select symbol, exchange_id_norm, count(*) as rows from (select symbol, lower(trim(exchange_id)) as exchange_id_norm from {_ONCE} where tick) group by all"
+_TICK_SCHEMA = "symbol string, exchange_id_norm string, layer string, exchange string, date string, hour string"
+
+
+def _ingested(s: SparkSession, d: str, files: int = 1) -> str:
+    """The folder of a vault that all messages have streamed into, in so many batches."""
+    from ..streaming.vault import start_ingest
+
+    path = scratch_path(s)
+    src.envelopes(s, d).repartition(files, "stream_id").write.parquet(f"{path}/in")
+    stream = s.readStream.schema("stream_id bigint, event_json string").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    start_ingest(stream, f"{path}/vault").awaitTermination()
+    return f"{path}/vault"
+
+
+@query("a11_vault_stream", _COUNTED)
 def a11_vault_stream(s: SparkSession, d: str) -> DataFrame:
     """Messages through the streaming ingest into the vault, and counted there."""
-    from ..streaming.vault import start_ingest
+    from ..streaming.vault import committed
+
+    return committed(s, _ingested(s, d), "market_ticks", _TICK_SCHEMA).groupBy("symbol", "exchange_id_norm").agg(F.count("*").alias("rows"))
+
+
+@query("a11b_vault_hours", f"select lower(trim(exchange_id)) as exchange, strftime(make_timestamp((ms + 20) * 1000), '%Y-%m-%d') as date, strftime(make_timestamp((ms + 20) * 1000), '%H') as hour, count(*) as rows from {_ONCE} where tick group by all")
+def a11b_vault_hours(s: SparkSession, d: str) -> DataFrame:
+    """Messages in two batches, moved into hourly folders; copies of a message may come in another batch than it."""
+    from ..streaming.vault import committed, compact
+
+    path = _ingested(s, d, 2)
+    compact(s, path)
+    return committed(s, path, "market_ticks", _TICK_SCHEMA).groupBy("exchange", "date", "hour").agg(F.count("*").alias("rows"))
+
+
+@query("a06b_recent_events", f"select i as event_id from {_ONCE}")
+def a06b_recent_events(s: SparkSession, d: str) -> DataFrame:
+    """Events of a replayed stream, each once: keyed state holds the keys of the last hours."""
+    from ..streaming.vault import recent_events
 
     path = scratch_path(s)
-    src.envelopes(s, d).write.parquet(f"{path}/in")
-    start_ingest(s.readStream.schema("stream_id bigint, event_json string").parquet(f"{path}/in"), f"{path}/vault").awaitTermination()
-    return s.read.option("basePath", f"{path}/vault/market_ticks").parquet(f"{path}/vault/market_ticks").groupBy("symbol", "exchange_id_norm").agg(F.count("*").alias("rows"))
+    src.envelopes(s, d).coalesce(1).write.parquet(f"{path}/in")
+    stream = s.readStream.schema("stream_id bigint, event_json string").parquet(f"{path}/in")
+    recent_events(stream).select(F.col("event_id").cast("long").alias("event_id")).writeStream.format("parquet").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+    return s.read.schema("event_id bigint").parquet(f"{path}/out")
 
 
 _ID = "'raw:' || exchange_id || ':' || strftime(make_timestamp(ts_us), '%Y%m%d_%H')"
@@ -277,7 +311,36 @@ def _naive(s: SparkSession, d: str) -> DataFrame:
 
 query("f23_regression_metrics", f"select exchange_id, symbol, round(avg(abs(target - price)), 6) as mae, round(sqrt(avg((target - price) * (target - price))), 6) as rmse, round(100.0 * avg(abs((target - price) / target)), 6) as mape, round(1.0 - sum((target - price) * (target - price)) / (var_pop(target) * count(*)), 6) as r2, count(*) as rows from {_FRAME} group by all")(
     lambda s, d: models.regression_metrics(_naive(s, d), ["exchange_id", "symbol"]).select("exchange_id", "symbol", *[F.round(m, 6).alias(m) for m in models.METRICS], "rows"))
-query("f24_model_artifacts")(lambda s, d: models.model_artifacts(models.train_series(_series(s, d), CONFIG)[2]))
+_FRAMES = f"(select exchange_id, symbol, horizon_steps, count(*) - 30 - horizon_steps as rows from {_SERIES}, (select unnest([1, 6]) as horizon_steps) group by exchange_id, symbol, horizon_steps)"
+_ARTIFACTS = f"""select 'train1' as training_run_id, exchange_id, symbol, model_name, horizon_steps, horizon_steps * 3600 as horizon_seconds, train_rows, rows - train_rows as test_rows, 5 as cv_fold_count, 1000 as started_us
+  from (select *, cast(greatest(1, least(rows - 1, floor(rows * 0.8 + 1e-9))) as bigint) as train_rows from {_FRAMES} where rows >= 200), (select unnest(['ridge', 'gbt']) as model_name)"""
+
+
+@query("f24_model_artifacts", _ARTIFACTS)
+def f24_model_artifacts(s: SparkSession, d: str) -> DataFrame:
+    """What a recorded training run offers to inference. Few rounds: f25 trains in full size."""
+    path, small = scratch_path(s), replace(CONFIG, trees=replace(CONFIG.trees, rounds=10))
+    ledger.train_run(ticks(s, d), small, path, "train1", 1000, finished_us=2000)
+    return ledger.artifacts(s, path).select("training_run_id", "exchange_id", "symbol", "model_name", "horizon_steps", "horizon_seconds", "train_rows", "test_rows", "cv_fold_count", "started_us")
+
+
+_STATED = "(select 'train' || (id % 40) as training_run_id, case when id % 11 = 0 then 'completed' when id % 13 = 0 then 'failed' else 'started' end as status, ts_us as recorded_us, id as models_trained from ticks where id % 7 = 0 or id % 11 = 0)"
+
+
+@query("f24b_training_runs", f"select training_run_id, arg_max(status, (recorded_us, models_trained)) as status, arg_max(models_trained, (recorded_us, models_trained)) as models_trained, min(recorded_us) as started_us, case when arg_max(status, (recorded_us, models_trained)) <> 'started' then max(recorded_us) end as finished_us from {_STATED} group by all")
+def f24b_training_runs(s: SparkSession, d: str) -> DataFrame:
+    """The last state of each of many runs, appended in two parts."""
+    return ledger.training_runs(s, _states(s, d)).select("training_run_id", "status", "models_trained", "started_us", "finished_us")
+
+
+def _states(s: SparkSession, d: str) -> str:
+    i, path = F.col("id"), scratch_path(s)
+    rows = ticks(s, d).where("id % 7 = 0 or id % 11 = 0").select(F.concat(F.lit("train"), i % 40).alias("training_run_id"), F.when(i % 11 == 0, "completed").when(i % 13 == 0, "failed").otherwise("started").alias("status"), F.col("ts_us").alias("recorded_us"), i.alias("models_trained"))
+    for part in (0, 1):
+        ledger.append_states(rows.where(F.col("models_trained") % 2 == part), path)
+    return path
+
+
 query("f25_train_all")(lambda s, d: models.train_all(ticks(s, d), CONFIG)[2])
 query("f26_inference_frame", f"select {_KEY}, lag_30, 21600 as horizon_seconds, bucket_epoch_s + 21600 as target_bucket_epoch_s from (select {_KEY}, {_lag(30)} as lag_30 from {_SERIES}) where lag_30 is not null")(
     lambda s, d: models.inference_frame(features.add_lags(_series(s, d)), 6 * 3600).select("exchange_id", "symbol", "bucket_epoch_s", "lag_30", "horizon_seconds", "target_bucket_epoch_s"))
@@ -307,10 +370,20 @@ def _registered(s: SparkSession, d: str) -> DataFrame:
 
 query("f28_inference_tasks", f"select id, exchange_id, symbol from {_REGISTERED} where training_run_id = 'train1' and status = 'trained' and symbol like 'B%' and (exchange_id, symbol) in (select (exchange_id, symbol) from (select distinct exchange_id, symbol from {_REGISTERED} where training_run_id = 'train1' and status = 'trained' and symbol like 'B%' order by all limit 3))")(
     lambda s, d: models.inference_tasks(_registered(s, d), "train1", symbols="b%", limit_pairs=3).select("id", "exchange_id", "symbol"))
-query("f28b_latest_training_run", f"select training_run_id from (select training_run_id, max(ts_us) as started_utc from {_REGISTERED} where id % 4 <> 0 group by all order by started_utc desc limit 1)")(
-    lambda s, d: models.latest_training_run(_registered(s, d).where("id % 4 <> 0").groupBy("training_run_id").agg(F.max("ts_us").alias("started_utc")).withColumn("status", F.lit("completed"))))
-query("f29_replace_predictions", "select id, exchange_id, symbol, case when exchange_id = 'okx' then 2 else 1 end as version from ticks where exchange_id <> 'okx' or id % 2 = 0")(
-    lambda s, d: models.replace_predictions(ticks(s, d).select("id", "exchange_id", "symbol", F.lit(1).alias("version")), ticks(s, d).where("exchange_id = 'okx' and id % 2 = 0").select("id", "exchange_id", "symbol", F.lit(2).alias("version")), ("exchange_id", "symbol")))
+query("f28b_latest_training_run", f"select training_run_id from (select training_run_id, arg_max(status, (recorded_us, models_trained)) as status, min(recorded_us) as started_us from {_STATED} group by all) where status = 'completed' order by started_us desc, training_run_id desc limit 1")(
+    lambda s, d: models.latest_training_run(ledger.training_runs(s, _states(s, d))))
+
+
+@query("f29_replace_predictions", "select id, exchange_id, symbol, case when exchange_id = 'okx' then 2 else 1 end as version from ticks where exchange_id <> 'okx' or (id % 2 = 0 and symbol <> 'ADA/USDT')")
+def f29_replace_predictions(s: SparkSession, d: str) -> DataFrame:
+    """Predictions of all pairs, and then new ones of an exchange: of its pairs one has none, and loses those it had."""
+    path = scratch_path(s)
+    rows = lambda version: ticks(s, d).select("id", F.lit(version).alias("version"), F.lit("train1").alias("training_run_id"), F.lit(RUN).alias("cleansing_run_id"), "exchange_id", "symbol")
+    models.replace_predictions(rows(1), path, "train1", RUN)
+    models.replace_predictions(rows(2).where("id % 2 = 0 and symbol <> 'ADA/USDT'"), path, "train1", RUN, exchanges="OKX")
+    return models.read_predictions(s, path, rows(1)).select("id", "exchange_id", "symbol", "version")
+
+
 _METRICS = "avg(abs(y - p)) as mae, sqrt(avg((y - p) * (y - p))) as rmse, 100.0 * avg(case when abs(y) > 1e-9 then abs((y - p) / y) end) as mape, case when count(*) >= 2 and stddev_pop(y) > 1e-12 then 1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) end as r2"
 _BACKTEST = f"""
 with s as (select exchange_id, symbol, price, row_number() {_OVER.format('')} as r from {_SERIES}),

@@ -282,22 +282,23 @@ query("e28_contains_filter", "select id, symbol from ticks where contains(lower(
 query("e29_numeric_filter", "select id, last from ticks where last >= 400 or last between 10 and 20 or last < 1 - 1e-12")(lambda s, d: filters.numeric_filter(ticks(s, d), "last", ">=400, 20-10, <1, x, -5")[0].select("id", "last"))
 
 
-def _caches(s: SparkSession, d: str) -> dict[str, DataFrame]:
+def _caches(s: SparkSession, d: str, *names: str) -> dict[str, DataFrame]:
+    """The caches named, or all of them, written and read."""
     from ..sources.scratch import scratch_path
 
     prices = cleansed(s, d)
     tables = marts.cache_tables(prices, _quality(s, d, "day"), tidy(marts.rank_price_deviation(_kpis(s, d)["price_deviation_daily"], "day")))
-    return marts.build_caches(tables, scratch_path(s))
+    return marts.build_caches({name: tables[name] for name in names or tables}, scratch_path(s))
 
 
 _LATEST = "(select max(kpi_date_utc) from deviation_daily)"
 _LATEST_DEVIATION = f"select * from ({_RANKED.format('deviation_daily', 'kpi_date_utc')}) where kpi_date_utc = {_LATEST}"
 _SYMBOLS = f"select symbol from ({_CURVE24}) union select symbol from deviation_daily where kpi_date_utc = {_LATEST} union select symbol from buckets"
-query("e30_caches", _LATEST_DEVIATION)(lambda s, d: _caches(s, d)["price_deviation_daily_latest"])
-query("e30b_cached_quality", "select * exclude (latency_sample_count, interval_count, avg_update_interval_s, min_update_interval_s, max_update_interval_s) from quality_daily where kpi_date_utc = (select max(kpi_date_utc) from quality_daily)")(lambda s, d: _caches(s, d)["platform_quality_daily_latest"])
-query("e30c_cached_curve", f"select * exclude (bucket_epoch_s) from ({_CURVE24})")(lambda s, d: _caches(s, d)["price_curve_24h_latest"])
-query("e30d_cached_buckets", twins.tidy("select * from buckets", _BUCKET))(lambda s, d: plain(_caches(s, d)["symbol_deviation_bucket"]))
-query("e30e_cached_symbols", _SYMBOLS)(lambda s, d: _caches(s, d)["symbols"])
+query("e30_caches", _LATEST_DEVIATION)(lambda s, d: _caches(s, d, "price_deviation_daily_latest")["price_deviation_daily_latest"])
+query("e30b_cached_quality", "select * exclude (latency_sample_count, interval_count, avg_update_interval_s, min_update_interval_s, max_update_interval_s) from quality_daily where kpi_date_utc = (select max(kpi_date_utc) from quality_daily)")(lambda s, d: _caches(s, d, "platform_quality_daily_latest")["platform_quality_daily_latest"])
+query("e30c_cached_curve", f"select * exclude (bucket_epoch_s) from ({_CURVE24})")(lambda s, d: _caches(s, d, "price_curve_24h_latest")["price_curve_24h_latest"])
+query("e30d_cached_buckets", twins.tidy("select * from buckets", _BUCKET))(lambda s, d: plain(_caches(s, d, "symbol_deviation_bucket")["symbol_deviation_bucket"]))
+query("e30e_cached_symbols", _SYMBOLS)(lambda s, d: _caches(s, d, "symbols")["symbols"])
 query(
     "e31_cache_metadata",
     f"""select 'platform_quality_daily_latest' as cache, count(*) as row_count from quality_daily where kpi_date_utc = (select max(kpi_date_utc) from quality_daily) union all select 'price_deviation_daily_latest', count(*) from deviation_daily where kpi_date_utc = {_LATEST}

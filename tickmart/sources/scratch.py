@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .session import prepare
 
@@ -29,14 +31,24 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """df, and how many rows went through it, once an action has run over all of it: counted on the way, not by a scan."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get["rows"]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete what this application has written there. Call it once its results are stored elsewhere."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is not None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/tickmart-{spark.sparkContext.applicationId}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, f"{root.rstrip('/')}/tickmart-{spark.sparkContext.applicationId}")
