@@ -128,6 +128,41 @@ def test_backtest_of_last_value(series):
     assert made.where("exchange_id = 'u'").count() == len(p) - 59 and made.where("abs_error is null and exchange_id = 'u'").count() == 5
 
 
+def straight_line():
+    """A model in Python: the line through each context's ends."""
+    return lambda contexts, steps: contexts[:, -1:] + (contexts[:, -1:] - contexts[:, :1]) / max(contexts.shape[1] - 1, 1) * np.arange(1, steps + 1)
+
+
+def test_a_python_model_forecasts_as_columns_do(series, monkeypatch):
+    config = backtest.Config(horizon_steps=5, horizon_seconds=5 * HOUR, max_context=70)
+    model = backtest.Batched("line", straight_line, batch=16)
+    rows = lambda forecaster: sorted((r["exchange_id"], r["generated_bucket_epoch_s"], round(r["predicted_price"], 9), r["actual_price"]) for r in backtest.rolling_forecast(series, forecaster, config).collect())
+    want = rows(backtest.drift)
+    p = prices(series)
+    assert want[60][2] == pytest.approx(p[119] + (p[119] - p[50]) / 69 * 5) and rows(model) == want
+    monkeypatch.setattr(backtest, "BLOCK", 80)  # several blocks, of which each needs rows of the one before
+    assert rows(backtest.drift) == want
+    a, b = (backtest.rolling_origin_backtest(series, f, config).orderBy("exchange_id").toPandas() for f in (backtest.drift, model))
+    assert a.drop(columns=["holdout_r2", "cv_mean_r2"]).round(9).equals(b.drop(columns=["holdout_r2", "cv_mean_r2"]).round(9)) and (a["status"] == "trained").all()
+
+
+def test_contexts_are_views_and_models_are_loaded_once():
+    calls, made = [], []
+
+    def load():
+        made.append(1)
+
+        def model(contexts, steps):
+            calls.append((contexts.shape, contexts.base is not None))
+            return contexts[:, -1:] + np.zeros((len(contexts), steps))
+
+        return model
+
+    one = backtest.Batched("counted", load, batch=4)
+    got = one.forecast(np.arange(20.0), np.arange(1, 21), 6, 2)
+    assert got[:, 1].tolist() == list(range(20)) and made == [1] and max(n for (_, n), _ in calls) == 6 and max(k for (k, _), _ in calls) == 4
+
+
 def test_boosted_trees_are_registered_in_full_size():
     from tickmart.plans import forecast_queries
 
@@ -234,7 +269,7 @@ def test_stretches_equal_plain_windows(spark):
     assert got == {(k, t): min((float(x) for x in known(ts) if x > t), default=None) for k, ts in times.items() for t in ts}
     every = sorted({t for ts in times.values() for t in ts})
     assert sorted(r["gap"] for r in stretches.gaps(rows, "t", 37).collect()) == sorted(b - a for a, b in zip(every, every[1:]))
-    scanned = {(r["k"], r["row"]): r["y"] for r in stretches.affine_scan(numbered.withColumn("b", F.col("t").cast("double")), ["k"], "row", 0.9, "b", "y", chunk=2).collect()}
+    scanned = {(r["k"], r["row"]): r["y"] for r in stretches.affine_scan(numbered, ["k"], "row", {"y": (0.9, F.col("t").cast("double"))}, chunk=2).collect()}
     for k, ts in times.items():
         y = 0.0
         for i, t in enumerate(ts, 1):
@@ -245,12 +280,12 @@ def test_stretches_equal_plain_windows(spark):
 def test_scans_of_many_levels_equal_a_loop(spark, monkeypatch):
     monkeypatch.setattr(stretches, "WIDTH", 3)
     rows = spark.range(500).select(F.lit("k").alias("k"), (F.col("id") + 1).alias("row"), F.sin("id").alias("b"))
-    got = [r["y"] for r in stretches.affine_scan(rows, ["k"], "row", 0.97, "b", "y", chunk=4).orderBy("row").collect()]
+    got = stretches.affine_scan(rows, ["k"], "row", {"y": (0.97, F.col("b")), "z": (0.5, F.lit(1.0))}, chunk=4).orderBy("row").collect()
     want, y = [], 0.0
     for i in range(500):
         y = 0.97 * y + math.sin(i)
         want.append(y)
-    assert got == pytest.approx(want)
+    assert [r["y"] for r in got] == pytest.approx(want) and got[-1]["z"] == pytest.approx(2)
 
 
 def test_no_window_sorts_a_whole_pair(series):

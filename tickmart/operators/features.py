@@ -158,15 +158,18 @@ def add_bbands(series: DataFrame, n: int = 20, width: float = 2.0) -> DataFrame:
     return _added(series, n, _bbands(n, width))
 
 
-def _smoothed(rows: DataFrame, value: str, skip: int, n: int, alpha: float, out: str) -> DataFrame:
-    """(pair, bucket_epoch_s, out) from the n-th value on: the first n values' mean, then alpha of each new one.
+def _smoothed(rows: DataFrame, means: dict[str, tuple[str, int, int, float]]) -> DataFrame:
+    """(pair, bucket_epoch_s) with a column for each of means, name: (value, skip, n, alpha).
 
-    rows (pair, bucket_epoch_s, _row, value) have no value in their first `skip` rows, and one in every other.
+    It is null before the n-th value, the first n values' mean there, and takes alpha of each new one after. rows (pair,
+    bucket_epoch_s, _row, values) have no value in their first `skip` rows, and one in every other.
     """
-    place = F.col("_row") - skip
-    start = rows.where(place.between(1, n)).groupBy(*PAIR).agg(F.avg(value).alias("_start"), F.count("*").alias("_rows")).where(F.col("_rows") == n).drop("_rows")
-    fed = rows.where(place >= n).join(start, list(PAIR)).select(*PAIR, "bucket_epoch_s", (place - n + 1).alias("_at"), F.when(place == n, F.col("_start")).otherwise(alpha * F.col(value)).alias("_b"))
-    return affine_scan(fed, PAIR, "_at", 1.0 - alpha, "_b", out).drop("_b", "_at")
+    place = {name: F.col("_row") - skip for name, (_, skip, _, _) in means.items()}
+    early = rows.where(F.col("_row") <= max(skip + n for _, skip, n, _ in means.values()))
+    starts = early.groupBy(*PAIR).agg(*[F.avg(F.when(place[name].between(1, n), F.col(value))).alias(f"_start_{name}") for name, (value, _, n, _) in means.items()])
+    fed = {name: F.when(place[name] < n, 0.0).when(place[name] == n, F.col(f"_start_{name}")).otherwise(alpha * F.col(value)) for name, (value, _, n, alpha) in means.items()}
+    scanned = affine_scan(rows.join(starts, list(PAIR)), PAIR, "_row", {name: (1.0 - means[name][3], b) for name, b in fed.items()})
+    return scanned.select(*_KEY, *[F.when(place[name] >= n, F.col(name)).alias(name) for name, (_, _, n, _) in means.items()])
 
 
 def _moved(series: DataFrame) -> DataFrame:
@@ -179,45 +182,50 @@ def _moved(series: DataFrame) -> DataFrame:
 _KEY = [*PAIR, "bucket_epoch_s"]
 
 
-def _ema(moved: DataFrame, n: int) -> DataFrame:
-    return _smoothed(moved.select(*_KEY, "_row", "last"), "last", 1, n, 2.0 / (n + 1), f"ta_ema_{n}").select(*_KEY, f"ta_ema_{n}")
+def _emas(windows: tuple[int, ...]) -> dict[str, tuple[str, int, int, float]]:
+    return {f"ta_ema_{n}": ("last", 1, n, 2.0 / (n + 1)) for n in windows}
 
 
-def add_ema(series: DataFrame, n: int) -> DataFrame:
-    """Exponential mean, of weight 2 / (n + 1), of the prices before each row."""
-    return series.join(_ema(_moved(series), n), _KEY, "left")
+def _strength(n: int) -> dict[str, tuple[str, int, int, float]]:
+    return {"_up": ("up", 2, n, 1.0 / n), "_down": ("down", 2, n, 1.0 / n)}
+
 
+def _rsi(n: int) -> Column:
+    return (100.0 * F.try_divide(F.col("_up"), F.col("_up") + F.col("_down"))).alias(f"ta_rsi_{n}")
 
-def _rsi(moved: DataFrame, n: int) -> DataFrame:
-    both = [_smoothed(moved.select(*_KEY, "_row", c), c, 2, n, 1.0 / n, f"_{c}").select(*_KEY, f"_{c}") for c in ("up", "down")]
-    return both[0].join(both[1], _KEY).select(*_KEY, (100.0 * F.try_divide(F.col("_up"), F.col("_up") + F.col("_down"))).alias(f"ta_rsi_{n}"))
+
+def add_ema(series: DataFrame, n: int) -> DataFrame:
+    """Exponential mean, of weight 2 / (n + 1), of the prices before each row."""
+    return series.join(_smoothed(_moved(series), _emas((n,))), _KEY, "left")
 
 
 def add_rsi(series: DataFrame, n: int = 14) -> DataFrame:
     """Relative strength of the prices before each row, 0 to 100."""
-    return series.join(_rsi(_moved(series), n), _KEY, "left")
+    return series.join(_smoothed(_moved(series), _strength(n)).select(*_KEY, _rsi(n)), _KEY, "left")
 
 
 def feature_table(series: DataFrame, lags: tuple[int, ...] = LAGS, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
-    """All features. The windows share one numbering and one sort of blocks, and so do the recurrences' inputs; the plan grows by
-    one join for each recurrence."""
+    """All features. The windows share one numbering and one sort of blocks, and all recurrences are one scan."""
     series = written(series.select(*_KEY, "price"))
-    back, moved = max(*lags, *windows, 20, 11), _moved(series)
+    back = max(*lags, *windows, 20, 11)
     wide = _added(add_calendar(series), back, _lags(lags), _rolling(windows), _sma(windows), _roc(10), _bbands(20, 2.0))
-    for more in [*(_ema(moved, n) for n in windows), _rsi(moved, 14)]:
-        wide = wide.join(more, _KEY, "left")
-    return written(wide)
+    means = _smoothed(_moved(series), _emas(windows) | _strength(14))
+    return written(wide.join(means.select(*_KEY, *_emas(windows), _rsi(14)), _KEY, "left"))
 
 
 def feature_names(features: DataFrame) -> list[str]:
     return [c for c in features.columns if c not in (*PAIR, "bucket_epoch_s", "price", "target")]
 
 
-def training_frame(features: DataFrame, horizon: int) -> DataFrame:
-    """features with target, the price `horizon` rows ahead; rows that lack a feature or the target are left out."""
+def training_frames(features: DataFrame, horizons: tuple[int, ...]) -> list[DataFrame]:
+    """For each horizon, features with target, the price that many rows ahead; rows that lack a feature or the target are left out."""
     narrow = numbered(features.select(*_KEY, "price"), PAIR, name="_row")
-    ahead = windowed(narrow, PAIR, 0, horizon, lambda rows, over: rows.withColumn("target", F.lead("price", horizon).over(over)))
-    return features.join(ahead.where("target is not null").select(*_KEY, "target"), _KEY).select(*features.columns, "target").dropna()
+    ahead = lambda h: windowed(narrow, PAIR, 0, h, lambda rows, over: rows.withColumn("target", F.lead("price", h).over(over)))
+    return [features.join(ahead(h).where("target is not null").select(*_KEY, "target"), _KEY).select(*features.columns, "target").dropna() for h in horizons]
+
+
+def training_frame(features: DataFrame, horizon: int) -> DataFrame:
+    return training_frames(features, (horizon,))[0]
 
 
 def max_training_rows(ticks: DataFrame, bin_seconds: int, cutoff_s: int | None = None, lags: tuple[int, ...] = LAGS, windows: tuple[int, ...] = WINDOWS, horizons: tuple[int, ...] = (1, 30)) -> DataFrame:
@@ -228,21 +236,21 @@ def max_training_rows(ticks: DataFrame, bin_seconds: int, cutoff_s: int | None =
     return one.select("*", F.lit(warm_up).alias("indicator_warmup_rows"), F.lit(ahead).alias("max_horizon_steps"), F.greatest(F.lit(0), F.col("max_resampled_rows") - warm_up - ahead).alias("max_trainable_rows"))
 
 
-def holdout_split(frame: DataFrame, test_size: float = 0.2) -> DataFrame:
-    """frame with row, rows and is_train: the first rows of each pair train, at least one, and at least one is held out."""
-    wide = numbered(frame, PAIR, total="rows")
+def holdout_split(frame: DataFrame, test_size: float = 0.2, keys: tuple[str, ...] = PAIR) -> DataFrame:
+    """frame with row, rows and is_train: the first rows of each key train, at least one, and at least one is held out."""
+    wide = numbered(frame, keys, total="rows")
     cut = F.greatest(F.lit(1), F.least(F.col("rows") - 1, F.floor(F.col("rows") * (1.0 - test_size) + 1e-9)))
     return wide.withColumn("is_train", F.col("row") <= cut)
 
 
-def cv_folds(split: DataFrame, folds: int = 5) -> DataFrame:
+def cv_folds(split: DataFrame, folds: int = 5, keys: tuple[str, ...] = PAIR) -> DataFrame:
     """Training rows of holdout_split() with fold: 1 to `folds` where the row validates that fold, 0 where it only trains.
 
     Folds expand: fold k trains on all rows before those it validates. With fewer than three training rows all are 0. rows is
-    the number of the pair's training rows, as these come first.
+    the number of the key's training rows, as these come first.
     """
     train = split.where("is_train")
-    wide = train.drop("rows").join(train.groupBy(*PAIR).agg(F.count("*").alias("rows")), list(PAIR)).select(*split.columns)
+    wide = train.drop("rows").join(train.groupBy(*keys).agg(F.count("*").alias("rows")), list(keys)).select(*split.columns)
     k = F.least(F.lit(folds), F.col("rows") - 1)
     size = F.floor(F.col("rows") / (k + 1))
     first = F.col("rows") - k * size

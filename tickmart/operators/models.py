@@ -21,7 +21,7 @@ from ..functions.filters import filter_exchanges, filter_symbols
 from ..sources.scratch import delete, written
 from ..sources.session import prepare
 from . import trees
-from .features import LAGS, PAIR, WINDOWS, cv_folds, feature_names, feature_table, holdout_split, merge_series, resample_last, training_frame
+from .features import LAGS, PAIR, WINDOWS, cv_folds, feature_names, feature_table, holdout_split, merge_series, resample_last, training_frames
 
 METRICS = ("mae", "rmse", "mape", "r2")
 SLOT = (*PAIR, "horizon_steps")
@@ -121,8 +121,9 @@ def slots(series: DataFrame, config: Config) -> tuple[DataFrame, list[str]]:
     """Split training frames of every pair and horizon, with features as x, and the features' names."""
     features = feature_table(series, config.lags, config.windows)
     names = feature_names(features)
-    frames = [holdout_split(training_frame(features, h), config.test_size).withColumn("horizon_steps", F.lit(h)) for h in config.horizons]
-    return written(design(with_level(reduce(DataFrame.unionByName, frames)), names)), names
+    frames = [f.withColumn("horizon_steps", F.lit(h)) for h, f in zip(config.horizons, training_frames(features, config.horizons), strict=True)]
+    split = holdout_split(reduce(DataFrame.unionByName, frames), config.test_size, SLOT)
+    return written(design(with_level(split), names)), names
 
 
 def _measured(checked: DataFrame, of_slot: DataFrame) -> DataFrame:
@@ -139,8 +140,7 @@ def _measured(checked: DataFrame, of_slot: DataFrame) -> DataFrame:
 def folded(table: DataFrame, config: Config) -> DataFrame:
     """Rows of slots() whose slot has enough rows, with fold (0 for held-out rows) and slot_rows, the rows of the slot."""
     rows = table.where(F.col("rows") >= config.min_train_rows).withColumn("slot_rows", F.col("rows"))
-    parts = [cv_folds(rows.where(F.col("horizon_steps") == h), config.folds) for h in config.horizons]
-    return reduce(DataFrame.unionByName, parts).unionByName(rows.where("not is_train").withColumn("fold", F.lit(0)))
+    return cv_folds(rows, config.folds, SLOT).unionByName(rows.where("not is_train").withColumn("fold", F.lit(0)))
 
 
 def train_trees(table: DataFrame, names: list[str], config: Config) -> DataFrame:

@@ -97,34 +97,40 @@ def gaps(times: DataFrame, order: str = "bucket_epoch_s", stretch: int = STRETCH
 CHUNK, WIDTH = 64, 64
 
 
-def _carries(ends: DataFrame, keys: Sequence[str], a: float) -> DataFrame:
-    """ends (keys, c, size, end) with carry, what the chunks before c (from 0, without holes) leave to it.
+def _carries(ends: DataFrame, keys: Sequence[str], a: Column) -> DataFrame:
+    """ends (keys, c, size, end) with carry, what the chunks before c (from 0, without holes) leave to it; end and carry have a
+    number for each scan, and a is the array of their factors.
 
     A chunk turns y into a ** size * y + end, and so do several in a row: WIDTH of them are put together, level by level, until
     a key has no more than WIDTH, and carries come down again.
     """
     group = F.floor(F.col("c") / WIDTH)
     grouped = ends.groupBy(*keys, group.alias("g")).agg(F.array_sort(F.collect_list(F.struct("c", "size", "end"))).alias("chunks"))
-    over = lambda y, x: F.pow(F.lit(a), x["size"]) * y + x["end"]
+    zero = F.transform(a, lambda _: F.lit(0.0))
+    over = lambda y, x: F.transform(y, lambda v, i: F.pow(F.get(a, i), x["size"]) * v + F.get(x["end"], i))
     if (ends.agg(F.max("c")).first()[0] or 0) < WIDTH:
-        started = grouped.withColumn("y", F.lit(0.0))
+        started = grouped.withColumn("y", zero)
     else:
         grouped = written(grouped)
-        whole = grouped.select(*keys, F.col("g").alias("c"), F.aggregate("chunks", F.lit(0).cast("long"), lambda n, x: n + x["size"]).alias("size"), F.aggregate("chunks", F.lit(0.0), over).alias("end"))
+        whole = grouped.select(*keys, F.col("g").alias("c"), F.aggregate("chunks", F.lit(0).cast("long"), lambda n, x: n + x["size"]).alias("size"), F.aggregate("chunks", zero, over).alias("end"))
         started = grouped.join(_carries(whole, keys, a).select(*keys, F.col("c").alias("g"), F.col("carry").alias("y")), [*keys, "g"])
-    start = F.struct(F.col("y"), F.array().cast("array<double>").alias("seen"))
+    start = F.struct(F.col("y"), F.array().cast("array<array<double>>").alias("seen"))
     scanned = F.aggregate("chunks", start, lambda s, x: F.struct(over(s["y"], x).alias("y"), F.array_append(s["seen"], s["y"]).alias("seen")))["seen"]
     return started.select(*keys, F.explode(F.arrays_zip(F.col("chunks.c").alias("c"), scanned.alias("carry"))).alias("p")).select(*keys, F.col("p.c").alias("c"), F.col("p.carry").alias("carry"))
 
 
-def affine_scan(rows: DataFrame, keys: Sequence[str], row: str, a: float, b: str | Column, out: str, chunk: int = CHUNK) -> DataFrame:
-    """rows with out, where out = a * (out of the row before) + b within each key, from 0 before the first row; 0 < a < 1.
+def affine_scan(rows: DataFrame, keys: Sequence[str], row: str, scans: dict[str, tuple[float, Column]], chunk: int = CHUNK) -> DataFrame:
+    """rows with a column for each of scans, name: (a, b), where it is a * (that of the row before) + b within each key.
 
-    row numbers each key's rows from 1, without holes. Rows are cut into chunks. A chunk is summed by a window as if nothing
-    came before it, the chunks' ends are put together by levels, and each row adds what the chunks before its own carry over.
+    It is 0 before the first row, and 0 < a < 1. row numbers each key's rows from 1, without holes. Rows are cut into chunks. A
+    chunk is summed by a window as if nothing came before it, the chunks' ends are put together by levels, and each row adds
+    what the chunks before its own carry over. All scans go through the same steps together.
     """
+    factors = F.array(*[F.lit(a) for a, _ in scans.values()])
     placed = rows.withColumn("c", F.floor((F.col(row) - 1) / chunk)).withColumn("_k", F.pmod(F.col(row) - 1, F.lit(chunk)))
-    power = F.pow(F.lit(a), F.col("_k"))
-    local = written(placed.withColumn("_y", power * F.sum((F.col(b) if isinstance(b, str) else b) / power).over(W.partitionBy(*keys, "c").orderBy("_k").rowsBetween(W.unboundedPreceding, 0))))
+    power = [F.pow(F.lit(a), F.col("_k")) for a, _ in scans.values()]
+    over = W.partitionBy(*keys, "c").orderBy("_k").rowsBetween(W.unboundedPreceding, 0)
+    local = written(placed.withColumn("_y", F.array(*[p * F.sum(b / p).over(over) for p, (_, b) in zip(power, scans.values(), strict=True)])))
     ends = local.groupBy(*keys, "c").agg(F.count("*").alias("size"), F.max_by("_y", "_k").alias("end"))
-    return local.join(_carries(ends, keys, a), [*keys, "c"]).withColumn(out, F.col("_y") + power * a * F.col("carry")).drop("c", "_k", "_y", "carry")
+    carried = [(F.get("_y", F.lit(i)) + p * a * F.get("carry", F.lit(i))).alias(name) for i, (p, (name, (a, _))) in enumerate(zip(power, scans.items(), strict=True))]
+    return local.join(_carries(ends, keys, factors), [*keys, "c"]).select(*rows.columns, *carried)

@@ -401,6 +401,7 @@ query("f30_rolling_origin_backtest", _BACKTEST)(
 _FORECAST = f"""select k.exchange_id, k.symbol, k.bucket_epoch_s as generated_bucket_epoch_s, k.bucket_epoch_s + 21600 as target_bucket_epoch_s, k.price as predicted_price, a.price as actual_price, abs(a.price - k.price) as abs_error
   from (select *, row_number() {_OVER.format('')} as k from {_SERIES}) k left join {_SERIES} a on a.exchange_id = k.exchange_id and a.symbol = k.symbol and a.bucket_epoch_s = k.bucket_epoch_s + 21600 where k >= 60"""
 query("f31_rolling_forecast", _FORECAST)(lambda s, d: backtest.rolling_forecast(_series(s, d), backtest.last_value, BACKTEST))
+query("f31b_rolling_forecast_by_model", _FORECAST)(lambda s, d: backtest.rolling_forecast(_series(s, d), backtest.Batched("last", backtest.repeat_last), BACKTEST))
 
 
 def _predictions(s: SparkSession, d: str) -> DataFrame:
