@@ -40,9 +40,9 @@ ORDINARY_BYTES = 8192
 TOXIC_BYTES = (512, 1024, 2048, 4096)
 #: The length of the segments that a dictionary is put together from.
 ORDINARY_SEGMENT, TOXIC_SEGMENT = 64, 32
-#: An n-gram of a passage is in at least this share of a part's toxic documents, but in 2 of few and 30 of many; and its
+#: An n-gram of a passage is in at least this share of a part's toxic documents, but in 4 of few and 30 of many; and its
 #: least log odds.
-LEAST_SHARE, LEAST_COUNTS, LEAST_ODDS = 2 / 15, (2, 30), 3.0
+LEAST_SHARE, LEAST_COUNTS, LEAST_ODDS = 2 / 15, (4, 30), 3.0
 FEATURES = 5
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -228,8 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
     Dictionaries come from all of them. Each half is calibrated with dictionaries from the other half, so that
     calibration sees texts as new as later ones are; of TOXIC_BYTES, the largest size is taken whose
     loss there is within a hundredth of the least. Texts
-    stay in tasks: counts, n-grams, dictionaries and distances reach the driver. With few toxic rows a passage needs as few
-    as 2 of them, and may be chance; without labelled texts of both classes in both halves (so with 1 toxic row at most)
+    stay in tasks: counts, n-grams, dictionaries and distances reach the driver. With few toxic rows a passage needs only
+    4 of them, and of fewer whole windows are learned from; without labelled texts of both classes in both halves (so with 1 toxic row at most)
     the score is the smoothed share of toxic rows. A doc_id counts once, see labelled_texts().
     """
     ids = sampled_ids(labels, label, folds, fold, sample_per_class)
