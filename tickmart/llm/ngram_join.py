@@ -14,11 +14,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textbatch as tb
@@ -165,18 +167,31 @@ def collapse(classes: DataFrame) -> DataFrame:
     return written(ordered.mapInArrow(run, "gid long, node long, n long, prefix array<bigint>, bitmap binary, radius long"))
 
 
-def meetings(groups: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def meetings(groups: DataFrame, percent: int, block_rows: int | None = None) -> DataFrame:
     """(token, lead, left, right, part, gid, size) for groups that meet at a prefix shingle, in blocks of about 2 * block_rows at most.
 
-    A shingle of very many groups is cut into chunks, and each pair of chunks is a block of its own. lead marks LEADS
-    shingles of each group, mostly the same ones in similar groups.
+    The groups of a shingle that very many have are cut into bands of size: similar sets are in one band or in two that
+    are next to each other. Bands are cut into parts, and each pair of parts of such bands is a block of its own, so a group is
+    copied as often as its own and the next bands have parts. lead marks LEADS shingles of each group, mostly the same ones
+    in similar groups.
     """
     picked = F.slice(F.array_sort(F.transform("prefix", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x")))), 1, LEADS)
-    known = groups.select("gid", "prefix", F.transform(picked, lambda y: y["x"]).alias("leads"))
-    tokens = known.select("gid", "leads", F.explode("prefix").alias("token")).select("gid", "token", F.array_contains("leads", F.col("token")).alias("lead"))
+    block_rows = block_rows or BLOCK_ROWS
+    # a little wider than need be, so that rounding never puts a band between two similar sets
+    band = F.floor(F.log(F.col("n")) / (math.log(100 / percent) * (1 + 1e-9))) if percent < 100 else F.col("n")
+    known = groups.select("gid", band.cast("long").alias("band"), "prefix", F.transform(picked, lambda y: y["x"]).alias("leads"))
+    tokens = known.select("gid", "band", "leads", F.explode("prefix").alias("token")).select("gid", "band", "token", F.array_contains("leads", F.col("token")).alias("lead"))
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"))
-    rows = tokens.join(shared, "token").withColumn("parts", F.ceil(F.col("size") / block_rows).cast("int"))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("gid"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    large = F.col("size") > block_rows
+    # of each shingle of many groups, the bands and their parts, numbered through
+    bands = tokens.join(shared.where(large).select("token"), "token", "left_semi").groupBy("token", "band").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
+    order = W.partitionBy("token").orderBy("band")
+    bands = bands.withColumn("first", (F.sum("parts").over(order) - F.col("parts")).cast("int"))
+    near = lambda column, step, own: F.when(F.lag("band", step).over(order) == F.col("band") - step, F.lag(column, step).over(order)).otherwise(own)
+    bands = written(bands.select("token", "band", "parts", "first", near("first", 1, F.col("first")).alias("low"), (F.col("first") + F.col("parts") + near("parts", -1, F.lit(0)) - 1).alias("high")))
+    rows = tokens.join(shared, "token").join(bands, ["token", "band"], "left")
+    part = F.when(large, F.col("first") + F.pmod(F.xxhash64("gid"), F.col("parts"))).otherwise(0).cast("int")
+    rows = rows.withColumn("part", part).withColumn("other", F.explode(F.when(large, F.sequence("low", "high")).otherwise(F.array(F.lit(0)))))
     return written(rows.select("token", "lead", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part", "gid", "size"))
 
 
@@ -274,7 +289,7 @@ def verified(pairs: DataFrame, docs: DataFrame, gram: int, percent: int) -> Data
     pairs = written(pairs)
     n = pairs.count()
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    ids = F.broadcast(ids) if n <= FEW_PAIRS else ids.hint("shuffle_hash")
+    ids = F.broadcast(ids) if n <= FEW_PAIRS else ids
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -342,7 +357,7 @@ def near_members(pairs: DataFrame, table: DataFrame, labelled: DataFrame, percen
     prefix = table.where("prefix is not null").select("gid", "prefix").join(involved, "gid")
     own = table.where("node is not null").select("gid", "node", "n", "bitmap").join(prefix, "gid").join(labelled.select("node", "label"), "node")
     members = written(own.select(F.col("node").alias("gid"), "n", "bitmap", F.lit(0).cast("long").alias("radius"), "label", "prefix"))
-    return candidates(meetings(members), members, percent, nearest)
+    return candidates(meetings(members, percent), members, percent, nearest)
 
 
 def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
@@ -358,7 +373,7 @@ def cluster(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFr
     table = collapse(classes.select("node", "n", "prefix", "bitmap"))
     groups = table.where("prefix is not null").select("gid", "n", "prefix", "bitmap", "radius")
     members = table.where("node is not null").select("gid", "node", "n")
-    met = meetings(groups)
+    met = meetings(groups, percent)
 
     near = written(candidates(met, groups.withColumn("label", F.lit(-1).cast("long")), percent, nearest=True))
     star = members.where("gid <> node").select(F.col("gid").alias("a"), F.col("node").alias("b"))
