@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.llm import language, lines, ngram_join, packing, quality
-from tickmart.llm.scratch import written
 from tickmart.llm.textbatch import small_batches
+from tickmart.sources.scratch import delete, temporaries, written
 
 #: The least share that a document's first language must have.
 LEAST_LANGUAGE_SHARE = 0.4
@@ -98,9 +98,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows. What a stage has written goes once its result is a table, and so does the table it started from."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs)
+        if i == len(STAGES) - 1:
+            return stage(spark, docs, sf_dir)
+        with temporaries(spark) as made:
+            docs = written(stage(spark, docs, sf_dir))
+            kept = made.pop()
+        if before:
+            delete(spark, before)
+        before = kept
     return docs

@@ -172,3 +172,13 @@ def test_floats_are_written_as_producers_do(spark):
     values = [0.0, -0.0, 1e-7, 1.5e-5, 1e-4, 0.001, 0.1, 2e-3, 1.0, 123.45, 1e7, 12345678.9, 1e15, 1e16, 1.234e22, -2.5, 0.30000000000000004, 9007199254740991.0, float("nan"), float("inf"), float("-inf"), None]
     got = [r["t"] for r in spark.createDataFrame([(v,) for v in values], "v double").select(float_text(F.col("v")).alias("t")).collect()]
     assert got == [None if v is None else repr(v) for v in values]
+
+
+def test_temporary_tables_go_and_results_stay(spark):
+    from tickmart.sources import scratch
+
+    with scratch.temporaries(spark) as made:
+        first = scratch.written(spark.range(3))
+        second = scratch.written(first.withColumn("x", F.col("id") + 1))
+        gone, kept = made[0], made.pop()
+    assert not scratch.exists(spark, gone) and scratch.exists(spark, kept) and second.count() == 3

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,27 @@ def scratch_path(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tickmart-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tickmart-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
+
+
+#: The paths made in each temporaries() that is open.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def temporaries(spark: SparkSession) -> Iterator[list[str]]:
+    """The paths that are made meanwhile, deleted at the end; those that are to stay are taken out of the list."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield made
+    finally:
+        _OPEN.remove(made)
+        for path in made:
+            delete(spark, path)
 
 
 def written(df: DataFrame) -> DataFrame:
