@@ -1099,3 +1099,56 @@ def test_only_every_third_level_is_stored(spark):
 def test_manifest_takes_awkward_rows(spark, odd):
     got = merkle.documents_manifest(odd).collect()
     assert len(got) == odd.count() and len({r["root"] for r in got}) == 1 and all(r["leaf"] for r in got)
+
+
+# very long texts, and packing against a loop
+
+
+def test_long_texts_are_compressed_a_few_windows_at_a_time(monkeypatch):
+    words = [f"w{i * 7919 % 977}" for i in range(30_000)]
+    texts = [" ".join(words), "you vile zorgblat go away you zorgblat", None, " ", " ".join(words[:9])]
+    model = toxicity.Model(b"".join(f" w{i}".encode() for i in range(400)), (b" vile zorgblat go away you zorgblat ",), np.zeros(6), np.zeros(5), np.ones(5))
+    want = model.distances(texts)
+    assert (want[[2, 3]] == 0).all() and want[1, 0] > 3
+    held = []
+    plain = toxicity.windows
+    monkeypatch.setattr(toxicity, "AT_ONCE", 7)
+    monkeypatch.setattr(toxicity, "windows", lambda w, n=8: (held.append(type(w)), plain(w, n))[1])
+    assert (model.distances(texts) == want).all() and list not in held
+    assert [*toxicity.windows(iter([b"a"] * 17))] == [b" " + b" ".join([b"a"] * 8) + b" "] * 2 + [b" a "]
+
+
+def test_rules_and_lines_take_a_text_of_ten_megabytes(spark):
+    text = "\n".join(f"line {i} has words {i * 31 % 9973} and more of them {i % 13}" for i in range(230_000))
+    docs = spark.createDataFrame([(1, text, "a"), (2, "short", "b")], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in rules.with_statistics(docs).collect()}
+    assert got[1]["n_words"] == len(text.split()) and got[1]["n_dup_lines"] == 0 and got[2]["n_words"] == 1
+    cleaned = {r["doc_id"]: r for r in lines.deduplicate(docs).collect()}
+    assert cleaned[1]["text"] == text and cleaned[1]["n_lines"] == 230_000
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_best_two_fit_equals_a_loop_of_its_rule(seed):
+    rng = np.random.default_rng(seed)
+    capacity = int(rng.integers(8, 60))
+    lengths = rng.integers(1, capacity + 1, int(rng.integers(1, 250))).tolist()
+    left, want = sorted(lengths), []
+    while left:
+        own, gap = [], capacity
+        while fits := [n for n in left if n <= gap]:
+            left.remove(fits[-1])
+            own.append(fits[-1])
+            gap -= fits[-1]
+        # the smallest gives way to the two that fill its place and the gap best; of equal sums, those with the longest piece
+        pairs = [(a + b, max(a, b), min(a, b)) for i, a in enumerate(left) for b in left[i + 1 :] if own[-1] < a + b <= own[-1] + gap]
+        if pairs:
+            _, a, b = max(pairs)
+            smallest = own.pop()
+            for n in (a, b):
+                left.remove(n)
+            left = sorted([*left, smallest])
+            own += [a, b]
+        want.append(own)
+    bins, offsets = packing.best_two_fit(np.array(lengths), capacity)
+    got = [[lengths[i] for i in sorted(np.flatnonzero(bins == k), key=lambda i: offsets[i])] for k in range(bins.max() + 1)]
+    assert got == want

@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ TRAIN_BYTES = 16 << 20
 #: Calibration sees a text with dictionaries from the other half of the sample; later texts with those from all of it.
 HALVES, ALL = (0, 1), 2
 WINDOW_WORDS = 8
+#: Windows that are compressed at a time: a long text is never held as a list of words.
+AT_ONCE = 4096
 GRAM = 5
 ORDINARY_BYTES = 8192
 #: The sizes tried for the toxic dictionary: a small one holds what is common in toxic text, a large one also what is rare.
@@ -48,13 +51,19 @@ FEATURES = 5
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+def _words(text: str | None) -> Iterator[bytes]:
+    return (m.group() for m in _WORD.finditer((text or "").lower().encode()))
+
+
 def normalised(text: str | None) -> list[bytes]:
-    return _WORD.findall((text or "").lower().encode())
+    return [*_words(text)]
 
 
-def windows(words: list[bytes], n: int = WINDOW_WORDS) -> list[bytes]:
+def windows(words: Iterable[bytes], n: int = WINDOW_WORDS) -> Iterator[bytes]:
     """Every word is in exactly one window. A text without words has none."""
-    return [b" " + b" ".join(words[i : i + n]) + b" " for i in range(0, len(words), n)]
+    words = iter(words)
+    while some := [*islice(words, n)]:
+        yield b" " + b" ".join(some) + b" "
 
 
 def _grams(word: bytes) -> list[bytes]:
@@ -107,23 +116,34 @@ class Model:
 
     def distances(self, texts: list[str | None]) -> np.ndarray:
         """For each text and toxic dictionary: largest, mean of the two largest, mean, share of at least 3 and log count of at least 3 of its windows' distances in bytes; zeros without words."""
-        out = np.zeros((len(texts), FEATURES * len(self.toxic)))
-        for at in range(0, len(texts), 64):
-            each = [windows(normalised(t)) for t in texts[at : at + 64]]
-            flat = [w for ws in each for w in ws]
-            if not flat:
-                continue
+        out, saved, text_of = np.zeros((len(texts), FEATURES * len(self.toxic))), [], []
+
+        def compress(flat: list[bytes]) -> None:
             sizes = []
             for c in self._both():
                 done = c.multi_compress_to_buffer(flat)
-                sizes.append(np.array([len(done[i]) for i in range(len(flat))]))
-            saved, first = np.column_stack([sizes[0] - x for x in sizes[1:]]), 0
-            for i, ws in enumerate(each):
-                own = np.sort(saved[first : first + len(ws)], axis=0)
-                first += len(ws)
+                sizes.append(np.array([len(done[i]) for i in range(len(flat))], np.int32))
+            saved.append(np.column_stack([sizes[0] - x for x in sizes[1:]]))
+            flat.clear()
+
+        flat: list[bytes] = []
+        for i, text in enumerate(texts):
+            n = 0
+            for w in windows(_words(text)):
+                flat.append(w)
+                n += 1
+                if len(flat) == AT_ONCE:
+                    compress(flat)
+            text_of.append(np.full(n, i))
+        if flat:
+            compress(flat)
+        if saved:
+            every, ends = np.concatenate(saved), np.searchsorted(np.concatenate(text_of), np.arange(len(texts) + 1))
+            for i, (first, last) in enumerate(zip(ends, ends[1:], strict=False)):
+                own = np.sort(every[first:last], axis=0)
                 if len(own):
                     high = (own >= 3).sum(0)
-                    out[at + i] = np.column_stack([own[-1], own[-2:].mean(0), own.mean(0), high / len(own), np.log1p(high)]).ravel()
+                    out[i] = np.column_stack([own[-1], own[-2:].mean(0), own.mean(0), high / len(own), np.log1p(high)]).ravel()
         return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
