@@ -281,7 +281,7 @@ def _framed(s: SparkSession, d: str) -> DataFrame:
     return features.training_frame(features.add_lags(_series(s, d)), 6)
 
 
-_FRAME = f"(select * from (select {_KEY}, price, {_lag(30)} as lag_30, lead(price, 6) {_OVER.format('')} as target from {_SERIES}) where lag_30 is not null and target is not null)"
+_FRAME = f"(select * from (select {_KEY}, price, {_lag(1)} as lag_1, {_lag(30)} as lag_30, lead(price, 6) {_OVER.format('')} as target from {_SERIES}) where lag_30 is not null and target is not null)"
 _SPLIT = f"(select *, k <= greatest(1, least(rows - 1, floor(rows * 0.8 + 1e-9))) as is_train from (select *, row_number() {_OVER.format('')} as k, count(*) over (partition by exchange_id, symbol) as rows from {_FRAME}))"
 query("f17_training_frame", f"select {_KEY}, lag_30, target from {_FRAME}")(lambda s, d: _framed(s, d).select("exchange_id", "symbol", "bucket_epoch_s", "lag_30", "target"))
 query("f18_max_training_rows", "select *, greatest(0, max_resampled_rows - 30 - 6) as max_trainable_rows from (select max(epoch_s) + 1 - min(epoch_s) as available_seconds, (max(epoch_s) + 1 - min(epoch_s)) // 3600 as max_resampled_rows, 30 as indicator_warmup_rows, 6 as max_horizon_steps from ticks)")(lambda s, d: features.max_training_rows(ticks(s, d), 3600, horizons=(1, 6)))
@@ -296,6 +296,16 @@ def f21_ridge(s: SparkSession, d: str) -> DataFrame:
     return models.fit_ridge(models.folded(table, CONFIG).where("is_train"), names, CONFIG.alpha)
 
 
+_LEVELLED = f"(select exchange_id, symbol, lag_1 - level as x, target - level as y from (select *, avg(price) over (partition by exchange_id, symbol) as level from {_SPLIT}) where is_train)"
+
+
+@query("f21b_ridge_of_one_feature", f"select exchange_id, symbol, round(w, 6) as coefficient, round(y - w * x, 6) as intercept, train_rows from (select exchange_id, symbol, covar_pop(x, y) / (var_pop(x) * (1 + 1.0 / count(*))) as w, avg(x) as x, avg(y) as y, count(*) as train_rows from {_LEVELLED} group by all)")
+def f21b_ridge_of_one_feature(s: SparkSession, d: str) -> DataFrame:
+    """The ridge fit of each pair on its last price alone, which SQL has a formula for."""
+    split = features.holdout_split(_framed(s, d))
+    rows = models.design(models.with_level(split), ["lag_1"]).where("is_train").select("exchange_id", "symbol", F.lit(6).alias("horizon_steps"), F.lit(0).alias("fold"), "x", "target", "level")
+    return models.fit_ridge(rows, ["lag_1"], CONFIG.alpha).select("exchange_id", "symbol", F.round(F.col("coefficients")[0], 6).alias("coefficient"), F.round("intercept", 6).alias("intercept"), "train_rows")
+
 
 @query("f22_gbt")
 def f22_gbt(s: SparkSession, d: str) -> DataFrame:
