@@ -57,6 +57,10 @@ def test_a_late_batch_opens_few_key_files(spark, tmp_path):
     # keys of no batch touch all 64 buckets, and open next to nothing; two known ones open their two files
     assert opened([f"new{i}" for i in range(500)]) <= 0.03 * files
     assert 2 <= opened([f"new{i}" for i in range(100)] + ["k3", "k2003"]) <= 0.03 * files
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    few = vault.key_history(spark, path, vault._hashed(spark.createDataFrame([("k3",), ("k2003",)], "dedup_key string")), 3)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert " IN (" in plan[plan.index("PartitionFilters:") : plan.index("PushedFilters:")]  # folders are picked, not rows
     ingest_batch(frame(spark, [message(2005), message(3), message(9999), message(1699)]), 3, path)
     assert spark.read.parquet(f"{path}/market_ticks").where("batch_id = 3").count() == 1
     assert vault.key_history(spark, path, vault._hashed(spark.createDataFrame([("k1",)], "dedup_key string")), 0).count() == 0
