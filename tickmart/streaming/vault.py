@@ -37,7 +37,8 @@ def recent_events(messages: DataFrame, watermark: str = "1 hour", provider: str
     """Valid events of a stream with event_time, each dedup_key once: keys are kept in keyed state for the watermark's length.
 
     Events older than the watermark are dropped, copies and others alike; so state is bounded by the keys of that length. A
-    null event_ts_ms is dropped, too. State lies in the provider's store, on disk for the default one.
+    null event_ts_ms is dropped, too. State lies in the provider's store, on disk for the default one; which it is is a setting
+    of the session, and stays.
     """
     spark = messages.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
