@@ -515,7 +515,6 @@ def test_components_equal_brute_force(spark, monkeypatch, gram, percent, hot):
         monkeypatch.setattr(skew, "MOST_THIN_ROWS", 3)
         monkeypatch.setattr(ngram_join, "FEW_MEMBERS", 1)
         monkeypatch.setattr(ngram_join, "FEW_PAIRS", 0)
-        monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 3)
     rng = np.random.default_rng(gram)
     vocabulary = [f"W{i}" for i in range(300)]
     rows: list[tuple[int, str | None]] = [(0, None), (1, ""), (2, "A b"), (3, "a B"), (4, "c"), (5, " \n")]
@@ -537,24 +536,6 @@ def test_components_equal_brute_force(spark, monkeypatch, gram, percent, hot):
     assert got == linked(rows, gram, percent)
 
 
-@pytest.mark.parametrize("percent", [80, 90, 100])
-def test_groups_of_similar_size_meet_in_one_block(spark, percent):
-    rng = np.random.default_rng(percent)
-    rows = [(g, int(n), [7, 8] if g % 50 else [8]) for g, n in enumerate([*rng.integers(1, 400, 700), *[90, 100, 81, 80, 64] * 20])]
-    met = ngram_join.meetings(spark.createDataFrame(rows, "gid long, n long, prefix array<bigint>"), percent, 16).collect()
-    blocks, home = {}, {}
-    for r in met:
-        blocks.setdefault((r["token"], r["left"], r["right"]), []).append(r["gid"])
-        assert home.setdefault((r["token"], r["gid"]), r["part"]) == r["part"] in (r["left"], r["right"])
-    assert max(map(len, blocks.values())) < 100
-    size = {g: n for g, n, _ in rows}
-    seen = [(a, b) for (t, low, high), own in blocks.items() if t == 7 for i, a in enumerate(sorted(own)) for b in sorted(own)[i + 1 :] if low == high or home[t, a] != home[t, b]]
-    want = {(a, b) for a, _, p in rows for b, _, q in rows if a < b and 7 in p and 7 in q and 100 * min(size[a], size[b]) >= percent * max(size[a], size[b])}
-    assert len(seen) == len(set(seen)) and want <= set(seen)
-    # a group is copied as often as the bands beside its own have parts, not as often as all have
-    assert len(met) < 0.5 * len(rows) * len({home[k] for k in home if k[0] == 8})
-
-
 def test_members_of_one_group_that_do_not_link_to_its_first(spark):
     # equal size and equal prefix (rare words first), but different otherwise: groups whose members have several labels
     rng = np.random.default_rng(12)
