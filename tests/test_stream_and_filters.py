@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickmart.functions import filters
@@ -66,6 +67,27 @@ def test_a_late_batch_opens_few_key_files(spark, tmp_path):
     assert vault.key_history(spark, path, vault._hashed(spark.createDataFrame([("k1",)], "dedup_key string")), 0).count() == 0
 
 
+def test_no_task_reads_all_messages_or_keys(spark, tmp_path):
+    from tickmart.plans import forecast_queries as queries
+    from tickmart.sources import adapters
+
+    data = "/root/testdata/sf0.001"
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(queries, "_FILE_ROWS", 100, raising=False)
+        m.setattr(queries, "scratch_path", lambda s: str(tmp_path / "stream"))
+        path = queries._ingested(spark, data, 2)
+    files = spark.read.parquet(str(tmp_path / "stream/in")).groupBy("_metadata.file_path").count().agg(F.max("count"), F.sum("count")).first()
+    assert files[0] <= 200 and files[1] == adapters.envelopes(spark, data).count()
+    assert spark.read.parquet(f"{path}/commits").select("batch_id").distinct().count() == 2
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ingest_batch(frame(spark, [message(i) for i in range(300)]), 0, str(tmp_path / "vault"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    index = spark.read.parquet(str(tmp_path / "vault/key_index"))
+    assert index.agg(F.sum("n")).first()[0] == 300 and index.select("_metadata.file_path").distinct().count() > 1
+
+
 def test_filters_never_miss_a_key():
     import numpy as np
 

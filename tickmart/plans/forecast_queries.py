@@ -70,13 +70,18 @@ _COUNTED = f"select symbol, exchange_id_norm, count(*) as rows from (select symb
 _TICK_SCHEMA = "symbol string, exchange_id_norm string, layer string, exchange string, date string, hour string"
 
 
-def _ingested(s: SparkSession, d: str, files: int = 1) -> str:
-    """The folder of a vault that all messages have streamed into, in so many batches."""
+#: Messages of a file that the stream reads, about 10 MB.
+_FILE_ROWS = 100_000
+
+
+def _ingested(s: SparkSession, d: str, batches: int = 1) -> str:
+    """The folder of a vault that all messages have streamed into, in so many batches of as many files as their number asks for."""
     from ..streaming.vault import start_ingest
 
-    path = scratch_path(s)
-    src.envelopes(s, d).repartition(files, "stream_id").write.parquet(f"{path}/in")
-    stream = s.readStream.schema("stream_id bigint, event_json string").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    path, messages = scratch_path(s), src.envelopes(s, d)
+    files = -(-messages.count() // (batches * _FILE_ROWS)) or 1
+    messages.repartition(batches * files, "stream_id").write.parquet(f"{path}/in")
+    stream = s.readStream.schema("stream_id bigint, event_json string").option("maxFilesPerTrigger", files).parquet(f"{path}/in")
     start_ingest(stream, f"{path}/vault").awaitTermination()
     return f"{path}/vault"
 

@@ -150,7 +150,7 @@ def ingest_batch(messages: DataFrame, batch_id: int, path: str, layer: str = "ra
             rows.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
         keys = _hashed(fresh)
         keys.select("dedup_key", "bucket").repartition(min(KEY_BUCKETS, spark.sparkContext.defaultParallelism), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/keys/batch_id={batch_id}")
-        keyindex.filters(keys).coalesce(1).write.mode("overwrite").parquet(f"{path}/key_index/batch_id={batch_id}")
+        keyindex.filters(keys).write.mode("overwrite").parquet(f"{path}/key_index/batch_id={batch_id}")  # by the tasks that make them
         spark.createDataFrame([(layer,)], "layer string").coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
     finally:
         for df in (fresh, once, messages):
