@@ -88,6 +88,32 @@ def test_no_task_reads_all_messages_or_keys(spark, tmp_path):
     assert index.agg(F.sum("n")).first()[0] == 300 and index.select("_metadata.file_path").distinct().count() > 1
 
 
+def test_a_batch_parses_once_and_the_first_asks_no_history(spark, tmp_path, monkeypatch):
+    path, seen, asked = str(tmp_path / "vault"), spark.sparkContext.accumulator(0), []
+    parse, unseen = vault.parse_envelopes, vault._unseen
+
+    def counted(messages):
+        def rows(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        parsed = parse(messages)
+        return parsed.mapInArrow(rows, parsed.schema)
+
+    monkeypatch.setattr(vault, "parse_envelopes", counted)
+    monkeypatch.setattr(vault, "_unseen", lambda events, path, n: asked.append(n) or unseen(events, path, n))
+    first = frame(spark, [*[message(i) for i in range(20)], "[]", None, message(1)])
+    ingest_batch(first, 0, path)
+    assert seen.value == 23 and asked == []
+    ingest_batch(first, 0, path)  # a retry finds what the first try has stored
+    ingest_batch(frame(spark, [message(19), message(20), message(21, dedup_key="")]), 1, path)
+    assert seen.value == 49 and asked == [0, 1]
+    letters = spark.read.parquet(f"{path}/dead_letters").collect()
+    assert sorted((r["batch_id"], r["source_message_id"], (r["event_json"] or "")[:2]) for r in letters) == [(0, "20", "[]"), (0, "21", ""), (1, "2", '{"')]
+    assert committed(spark, path, "market_ticks", "symbol string").count() == 21
+
+
 def test_filters_never_miss_a_key():
     import numpy as np
 

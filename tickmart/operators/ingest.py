@@ -48,13 +48,29 @@ def with_errors(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("error_message", error)
 
 
+def flat_envelopes(parsed: DataFrame) -> DataFrame:
+    """Messages with error_message and their fields as columns; event_json stays only where something is wrong, payload is text."""
+    marked = with_errors(parsed)
+    kept = [c for c in parsed.columns if c not in ("event", "keys", "event_json")]
+    return marked.select(*kept, "error_message", F.when(F.col("error_message").isNotNull(), F.col("event_json")).alias("event_json"), "event.*")
+
+
+def split_envelopes(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events, failed) of flat_envelopes()."""
+    return flat.where("error_message is null").drop("error_message", "event_json"), flat.where("error_message is not null")
+
+
+def with_details(events: DataFrame) -> DataFrame:
+    """events with details, the parsed payload."""
+    return events.select("*", F.explode(F.array(F.from_json("payload", _PAYLOAD))).alias("details"))  # once, as in parse_envelopes()
+
+
 def validate_envelopes(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, failed): valid messages with their fields as columns and payload parsed, and the others with error_message."""
     marked = with_errors(parsed)
     kept = [c for c in parsed.columns if c not in ("event", "keys", "event_json")]
     events = marked.where("error_message is null").select(*kept, "event.*")
-    events = events.select("*", F.explode(F.array(F.from_json("payload", _PAYLOAD))).alias("details"))  # once, as above
-    return events, marked.where("error_message is not null").drop("event", "keys")
+    return with_details(events), marked.where("error_message is not null").drop("event", "keys")
 
 
 def dead_letters(failed: DataFrame, source_stream: str, message_id: str = "stream_id") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import dead_letters, dedup_events, parse_envelopes, to_connection_events, to_market_ticks, validate_envelopes
+from ..operators.ingest import dead_letters, dedup_events, flat_envelopes, parse_envelopes, split_envelopes, to_connection_events, to_market_ticks, validate_envelopes, with_details
 from ..operators.manifest import FOLDERS, REGISTRY_KEYS, partition_registry, with_partition
 from ..sources.scratch import exists
 from ..sources.session import prepare
@@ -137,23 +137,27 @@ def ingest_batch(messages: DataFrame, batch_id: int, path: str, layer: str = "ra
     """One batch of messages (stream_id, event_json): keys that any earlier batch has stored are skipped, for ever."""
     spark = messages.sparkSession
     prepare(spark)
-    messages = messages.persist()
-    events, failed = validate_envelopes(parse_envelopes(messages))
-    once = dedup_events(events).persist()
-    fresh = _unseen(once, path, batch_id).persist()
+    flat = flat_envelopes(parse_envelopes(messages)).persist()  # parsed once, for events and dead letters
+    events, failed = split_envelopes(flat)
+    once, later = dedup_events(events), exists(spark, f"{path}/keys")
+    if later:
+        once.persist()
+    fresh = with_details(_unseen(once, path, batch_id) if later else once).persist()  # nothing is stored before the first batch
     n, ticks, conn = fresh.count(), to_market_ticks(fresh), to_connection_events(fresh)
     try:
+        dead_letters(failed, source_stream).write.mode("overwrite").parquet(f"{path}/dead_letters/batch_id={batch_id}")
+        for df in (once, flat):
+            df.unpersist()
         for name, rows in zip(EVENTS, (ticks, conn), strict=True):
             placed = with_partition(rows, layer).repartition(-(-n // LANDED_ROWS) or 1, *FOLDERS).sortWithinPartitions(*FOLDERS)
             placed.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
-        for name, rows in (("dead_letters", dead_letters(failed, source_stream)), ("manifest", partition_registry(ticks, conn, layer))):
-            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+        partition_registry(ticks, conn, layer).write.mode("overwrite").parquet(f"{path}/manifest/batch_id={batch_id}")
         keys = _hashed(fresh)
         keys.select("dedup_key", "bucket").repartition(min(KEY_BUCKETS, spark.sparkContext.defaultParallelism), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/keys/batch_id={batch_id}")
         keyindex.filters(keys).write.mode("overwrite").parquet(f"{path}/key_index/batch_id={batch_id}")  # by the tasks that make them
         spark.createDataFrame([(layer,)], "layer string").coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/batch_id={batch_id}")
     finally:
-        for df in (fresh, once, messages):
+        for df in (fresh, once, flat):
             df.unpersist()
 
 
