@@ -88,6 +88,15 @@ def test_no_task_reads_all_messages_or_keys(spark, tmp_path):
     assert index.agg(F.sum("n")).first()[0] == 300 and index.select("_metadata.file_path").distinct().count() > 1
 
 
+def test_rows_of_a_batch_are_not_read_by_one_task(spark, tmp_path):
+    path, schema = str(tmp_path / "vault"), "symbol string, layer string, exchange string, date string, hour string"
+    plan = lambda: committed(spark, path, "market_ticks", schema)._jdf.queryExecution().executedPlan().toString()
+    ingest_batch(frame(spark, [message(i) for i in range(5)]), 0, path)
+    assert "SortMergeJoin" not in plan() and "hashpartitioning(batch_id" not in plan() and committed(spark, path, "market_ticks", schema).count() == 5
+    compact(spark, path)
+    assert "SortMergeJoin" not in plan() and committed(spark, path, "market_ticks", schema).count() == 5
+
+
 def test_a_batch_parses_once_and_the_first_asks_no_history(spark, tmp_path, monkeypatch):
     path, seen, asked = str(tmp_path / "vault"), spark.sparkContext.accumulator(0), []
     parse, unseen = vault.parse_envelopes, vault._unseen

@@ -69,14 +69,15 @@ def _generations(spark: SparkSession, path: str) -> DataFrame:
 def committed(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
     """The rows of a table of the vault (schema names its columns and folders), of batches that are complete.
 
-    Marks of batches and generations are small tables, of a row for each batch.
+    Marks of batches and generations are small tables, of a row for each batch: they are broadcast, since rows dealt by
+    batch would meet in a task for each.
     """
     covered = _generations(spark, path)
-    landed = _stored(spark, f"{path}/{name}", schema).join(_marks(spark, path), "batch_id", "left_semi").join(covered, "batch_id", "left_anti")
+    landed = _stored(spark, f"{path}/{name}", schema).join(F.broadcast(_marks(spark, path)), "batch_id", "left_semi").join(F.broadcast(covered), "batch_id", "left_anti")
     if not exists(spark, f"{path}/compacted/{name}"):
         return landed
     moved = spark.read.schema(f"{schema}, batch_id bigint, gen bigint").parquet(f"{path}/compacted/{name}")
-    return landed.unionByName(moved.join(covered.select("gen").distinct(), "gen", "left_semi").select(*landed.columns))
+    return landed.unionByName(moved.join(F.broadcast(covered.select("gen").distinct()), "gen", "left_semi").select(*landed.columns))
 
 
 def compact(spark: SparkSession, path: str) -> int | None:
